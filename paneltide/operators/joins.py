@@ -1,0 +1,35 @@
+"""Join helpers with an explicit size check before any broadcast."""
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from paneltide.params import Params
+
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint
+    (written under the shared checkpoint dir; survives executor loss)."""
+    from paneltide.session import scratch_root
+    scratch_root(df.sparkSession)  # make sure a checkpoint dir is configured
+    return df.checkpoint(eager=True)
+
+
+def join_checked(big: DataFrame, small: DataFrame, on: list[str], params: Params,
+                 how: str = "inner") -> DataFrame:
+    """Join a large frame to a derived (usually aggregated) frame.
+
+    The small side is materialised and counted. Up to
+    ``params.broadcast_max_rows`` rows it is broadcast (no shuffle of the big
+    side, immune to key skew). Beyond that it is joined by a salted shuffle
+    join: every small row is replicated over ``salt_buckets`` salts and each
+    big row picks one salt from a hash of all its columns, so a key holding a
+    third of the rows is spread over ``salt_buckets`` tasks instead of one.
+    """
+    small = materialize(small)
+    if small.count() <= params.broadcast_max_rows:
+        return big.join(F.broadcast(small), on, how)
+    n = params.salt_buckets
+    salted_small = small.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(n - 1))))
+    salted_big = big.withColumn("_salt", F.pmod(F.xxhash64(*big.columns), F.lit(n)))
+    return salted_big.join(salted_small, on + ["_salt"], how).drop("_salt")
