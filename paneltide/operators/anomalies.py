@@ -11,7 +11,7 @@ from paneltide.functions import constants as K
 from paneltide.functions.columns import safe_div, severity
 from paneltide.operators.joins import join_checked
 from paneltide.params import Params
-from paneltide.sources.dimension import country_dimension
+from paneltide.sources.dimension import code_of_index
 
 ALERT_COLUMNS = ["dataset", "country_code", "year", "value", "z_score", "mean", "std_dev",
                  "severity", "detected_at"]
@@ -85,12 +85,11 @@ def detect_event_anomalies(events: DataFrame, spark: SparkSession, params: Param
     stats = ev.groupBy("event_type").agg(F.avg("value").alias("mean"),
                                          F.stddev("value").alias("std_dev"))
     j = join_checked(ev, stats, ["event_type"], params)
-    dim = country_dimension(spark).select(F.col("dim_index"), "country_code")
     scored = (j.withColumn("z_score", safe_div(F.col("value") - F.col("mean"),
                                                F.nullif(F.col("std_dev"), F.lit(0))))
               .filter(F.abs("z_score") > params.z_threshold)
-              .withColumn("dim_index", F.pmod(F.col("user_id"), F.lit(25)).cast("int"))
-              .join(dim, "dim_index")
+              .withColumn("country_code", code_of_index(F.pmod(F.col("user_id"), F.lit(25))))
+              .filter(F.col("country_code").isNotNull())
               .withColumn("dataset", F.col("event_type"))
               .withColumn("year", F.year("ts")))
     return _finish(scored, params, F.col("ts").cast("timestamp_ntz"))

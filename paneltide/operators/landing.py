@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from paneltide.functions import constants as K
 from paneltide.functions.columns import strip_ws
-from paneltide.sources.dimension import country_dimension
+from paneltide.sources.dimension import index_of_code, name_of_code
 
 GEO_HEADER = "geo\\TIME_PERIOD"
 
@@ -54,8 +54,9 @@ def geo_filter(long: DataFrame, spark: SparkSession, dataset: str,
     """Trim the geo code, keep known countries (broadcast join to the fixed
     27-row dimension), add the name and the dataset's constant columns."""
     geo = geo_column(long.columns)
-    dim = country_dimension(spark).select("country_code", "country_name")
-    df = long.withColumn("country_code", strip_ws(F.col(f"`{geo}`"))).join(dim, "country_code")
+    df = (long.withColumn("country_code", strip_ws(F.col(f"`{geo}`")))
+          .withColumn("country_name", name_of_code(F.col("country_code")))
+          .filter(F.col("country_name").isNotNull()))
     spec = dict(K.DATASET_SLICES[dataset])
     spec.update(defaults or {})
 
@@ -86,9 +87,9 @@ def build_wide(panel: DataFrame, dataset: str, spark: SparkSession,
     dimension index; codes with an even index are padded with blanks. An
     aggregate row 'EU27_2020' (sum over countries) is added; landing drops it.
     """
-    dim = country_dimension(spark).select("country_code", "dim_index")
     rows = (panel.filter(F.col("dataset") == dataset)
-            .join(dim, "country_code")
+            .withColumn("dim_index", index_of_code(F.col("country_code")))
+            .filter(F.col("dim_index").isNotNull())
             .select("country_code", "dim_index", "year", "value"))
     k = F.col("year") + F.col("dim_index")
     cell = (F.when(k % 5 == 0, F.lit(":"))

@@ -26,21 +26,18 @@ def energy_intensity(deltas: DataFrame) -> DataFrame:
         F.round("energy_yoy_improvement_pct", 2).alias("energy_yoy_improvement_pct"))
 
 
-def country_latest(deltas: DataFrame, composite: DataFrame) -> DataFrame:
-    """Latest year with GDP per country, joined to its deltas and scores.
+def country_latest(scored: DataFrame) -> DataFrame:
+    """Latest year with GDP per country with its deltas and scores.
 
-    ``int_yoy_deltas`` already carries every ``int_country_indicators``
-    column for the same keys, so the reference's inner join to the latest
-    year plus LEFT join to the deltas collapse into one top-1-per-country
-    filter (planned as a WindowGroupLimit) on the deltas.
+    ``scored`` (int_yoy_deltas plus the composite columns, NULL before the
+    score range) carries every column of the reference's three-way join for
+    the same (country, year) key, so the join collapses into a top-1 per
+    country (planned as a WindowGroupLimit).
     """
     w = Window.partitionBy("country_code").orderBy(F.col("reference_year").desc())
-    latest = (deltas.filter(F.col("gdp_meur").isNotNull())
+    latest = (scored.filter(F.col("gdp_meur").isNotNull())
               .withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1))
-    c = composite.select("country_code", "reference_year", "composite_score", "gdp_score",
-                         "unemployment_score", "energy_score")
-    j = latest.join(c, ["country_code", "reference_year"], "left")
-    return j.select(
+    return latest.select(
         "country_code", "country_name", F.col("reference_year").alias("latest_year"),
         F.round("gdp_beur", 2).alias("gdp_beur"),
         F.round("unemployment_rate", 2).alias("unemployment_rate"),

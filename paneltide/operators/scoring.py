@@ -33,27 +33,37 @@ def yoy_deltas(wide: DataFrame) -> DataFrame:
     )
 
 
-def composite_index(deltas: DataFrame, year_min: int) -> DataFrame:
-    """Min-max scores per year (GDP growth direct; unemployment and energy
-    inverted), 50 when undefined, composite = mean of the three (1 dp).
+def score_columns(deltas: DataFrame, year_min: int) -> DataFrame:
+    """Add the min-max scores (GDP growth direct; unemployment and energy
+    inverted; 50 when undefined) and the composite (mean of three, 1 dp).
 
-    The per-year MIN/MAX are a partial+final aggregate whose result has at
-    most one row per year in range, so it is broadcast back without a shuffle
-    of the panel rows (equivalent to the unordered per-year window).
+    MIN/MAX per year come from an unordered window partitioned by year. A
+    year holds at most one row per country of the dimension, so the window
+    buffer is bounded, and the chain is not planned twice (as an aggregate
+    joined back would be). Years before ``year_min`` form their own window
+    partitions, so they cannot influence the scored years; their score
+    columns are NULL.
     """
-    rows = deltas.filter(F.col("reference_year") >= year_min)
-    stats = rows.groupBy("reference_year").agg(
-        F.min("gdp_yoy_growth_pct").alias("_min_g"), F.max("gdp_yoy_growth_pct").alias("_max_g"),
-        F.min("unemployment_rate").alias("_min_u"), F.max("unemployment_rate").alias("_max_u"),
-        F.min("energy_intensity").alias("_min_e"), F.max("energy_intensity").alias("_max_e"))
-    j = rows.join(F.broadcast(stats), "reference_year")
-    g = minmax_score(F.col("gdp_yoy_growth_pct"), F.col("_min_g"), F.col("_max_g"))
-    u = minmax_score(F.col("unemployment_rate"), F.col("_min_u"), F.col("_max_u"), invert=True)
-    e = minmax_score(F.col("energy_intensity"), F.col("_min_e"), F.col("_max_e"), invert=True)
-    scored = j.select("country_code", "country_name", "reference_year", "reference_date",
-                      g.alias("gdp_score"), u.alias("unemployment_score"),
-                      e.alias("energy_score"))
-    return scored.withColumn(
+    w = Window.partitionBy("reference_year")
+    in_range = F.col("reference_year") >= year_min
+
+    def mm(c: str, invert: bool) -> F.Column:
+        return minmax_score(F.col(c), F.min(c).over(w), F.max(c).over(w), invert=invert)
+
+    scores = {"gdp_score": mm("gdp_yoy_growth_pct", False),
+              "unemployment_score": mm("unemployment_rate", True),
+              "energy_score": mm("energy_intensity", True)}
+    df = deltas.select("*", *[F.when(in_range, e).alias(n) for n, e in scores.items()])
+    return df.withColumn(
         "composite_score",
         F.round((F.col("gdp_score") + F.col("unemployment_score") + F.col("energy_score"))
                 / F.lit(3), 1))
+
+
+COMPOSITE_COLUMNS = ["country_code", "country_name", "reference_year", "reference_date",
+                     "gdp_score", "unemployment_score", "energy_score", "composite_score"]
+
+
+def composite_index(scored: DataFrame, year_min: int) -> DataFrame:
+    """mart_composite_economic_index: the scored rows from ``year_min`` on."""
+    return scored.filter(F.col("reference_year") >= year_min).select(*COMPOSITE_COLUMNS)

@@ -50,7 +50,8 @@ def dedupe_latest(df: DataFrame, keys: list[str], order: list[Column] | None = N
             .filter(F.col("_rn") == 1).drop("_rn"))
 
 
-def stage_panel(raw: DataFrame, params: Params, dedupe: bool = True) -> DataFrame:
+def stage_panel(raw: DataFrame, params: Params, dedupe: bool = True,
+                partition_by: list[str] | None = None) -> DataFrame:
     """All four staging views at once over the long panel.
 
     Output: dataset, country_code, country_name, reference_year,
@@ -70,6 +71,8 @@ def stage_panel(raw: DataFrame, params: Params, dedupe: bool = True) -> DataFram
                       year_start(year).alias("reference_date"),
                       F.col("value").cast("double").alias("value"),
                       "unit", "indicator", "age_group", "sex", "loaded_at"))
+    if partition_by:
+        staged = staged.repartition(*partition_by)
     if not dedupe:
         return staged
     keys = ["dataset", "country_code", "reference_year"]

@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from paneltide.sources.dimension import iso3_of_code
 from paneltide.functions.columns import score_band, score_tier, to_iso2, upper_or_low
 
 _BASE = ["country_code", "country_name", "reference_year", "reference_date"]
@@ -74,10 +75,15 @@ def api_recent_alerts(alerts: DataFrame, limit: int) -> DataFrame:
 
 # --- shared page helpers ---------------------------------------------------
 def latest_rows(df: DataFrame, year_col: str = "reference_year") -> DataFrame:
-    """Rows of the latest year (``year == max(year)``); the max is a one-row
-    aggregate broadcast back."""
-    mx = df.agg(F.max(year_col).alias("_max_year"))
-    return df.join(F.broadcast(mx), F.col(year_col) == F.col("_max_year")).drop("_max_year")
+    """Rows of the latest year (``year == max(year)``).
+
+    The inputs are marts with one row per (country, year): at most
+    |dimension| x |year span| rows, so an unpartitioned window is bounded
+    and avoids planning the whole chain a second time for a joined-back
+    aggregate."""
+    mx = F.max(year_col).over(Window.partitionBy())
+    return df.withColumn("_max_year", mx).filter(F.col(year_col) == F.col("_max_year")) \
+        .drop("_max_year")
 
 
 def _best(name: str, value: str, largest: bool = True) -> F.Column:
@@ -107,12 +113,11 @@ def home_kpis(latest: DataFrame) -> DataFrame:
         F.coalesce(_best("composite_score", "composite_score"), F.lit(0.0)).alias("top_score"))
 
 
-def home_map(composite_sel: DataFrame, dim: DataFrame) -> DataFrame:
+def home_map(composite_sel: DataFrame) -> DataFrame:
     rows = latest_rows(composite_sel)
-    iso = dim.select("country_code", "iso3")
-    return (rows.join(iso, "country_code", "left")
-            .select("country_code", "country_name", "reference_year", "composite_score",
-                    to_iso2("country_code").alias("iso2"), "iso3"))
+    return rows.select("country_code", "country_name", "reference_year", "composite_score",
+                       to_iso2("country_code").alias("iso2"),
+                       iso3_of_code(F.col("country_code")).alias("iso3"))
 
 
 def home_ranking(latest: DataFrame) -> DataFrame:
@@ -143,10 +148,10 @@ def ranking(latest: DataFrame, metrics: list[str]) -> DataFrame:
     return out
 
 
-def heatmap(df: DataFrame, value_col: str) -> DataFrame:
-    """country_name x year pivot of the mean value (years taken from the
-    data: a distinct over the year column, bounded by the year span)."""
-    return df.groupBy("country_name").pivot("reference_year").agg(F.avg(value_col))
+def heatmap(df: DataFrame, value_col: str, years: list[int]) -> DataFrame:
+    """country_name x year pivot of the mean value; the year columns are
+    given explicitly (the requested range), so no distinct-values job runs."""
+    return df.groupBy("country_name").pivot("reference_year", years).agg(F.avg(value_col))
 
 
 def gdp_kpis(gdp: DataFrame) -> DataFrame:

@@ -18,7 +18,6 @@ from paneltide.params import TEST_PARAMS, Params
 from paneltide.plans.run import PanelRun
 from paneltide.session import scratch_path
 from paneltide.sources import sinks
-from paneltide.sources.dimension import country_dimension
 from paneltide.sources.testdata import raw_table
 from paneltide.streaming import alert_records, event_driven, window_summary
 from paneltide.streaming.sources import file_stream, stage_messages
@@ -196,15 +195,15 @@ def home_kpis(spark, base):
 def home_map(spark, base):
     r = _run(spark, base)
     comp = views.api_composite(r.composite, r.params.api_start, r.params.api_end)
-    return views.home_map(r.countries_filter(comp), country_dimension(spark))
+    return views.home_map(r.countries_filter(comp))
 
 
 def home_ranking(spark, base):
     return views.home_ranking(_sel_latest(_run(spark, base)))
 
 
-def _page_gdp(r):
-    return api_gdp_trends(r.spark, r.base)
+def _years(p: Params = TEST_PARAMS) -> list[int]:
+    return list(range(p.api_start, p.api_end + 1))
 
 
 def gdp_kpis(spark, base):
@@ -217,7 +216,7 @@ def rank_gdp(spark, base):
 
 
 def heatmap_gdp(spark, base):
-    return views.heatmap(api_gdp_trends(spark, base), "gdp_yoy_growth_pct")
+    return views.heatmap(api_gdp_trends(spark, base), "gdp_yoy_growth_pct", _years())
 
 
 def unemployment_kpis(spark, base):
@@ -225,7 +224,7 @@ def unemployment_kpis(spark, base):
 
 
 def heatmap_unemployment(spark, base):
-    return views.heatmap(api_unemployment(spark, base), "unemployment_rate")
+    return views.heatmap(api_unemployment(spark, base), "unemployment_rate", _years())
 
 
 def rank_unemployment(spark, base):
@@ -242,7 +241,7 @@ def energy_gdp_scatter(spark, base):
 
 
 def heatmap_energy(spark, base):
-    return views.heatmap(api_energy(spark, base), "energy_intensity")
+    return views.heatmap(api_energy(spark, base), "energy_intensity", _years())
 
 
 def rank_energy(spark, base):

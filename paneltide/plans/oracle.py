@@ -279,8 +279,9 @@ def _ranking(src: str, metrics: list[str]) -> str:
 
 
 def _heatmap(src: str, col: str) -> str:
+    years = ", ".join(str(y) for y in range(P.api_start, P.api_end + 1))
     return (f"PIVOT (SELECT country_name, reference_year, {col} FROM {src}) "
-            f"ON reference_year USING avg({col}) GROUP BY country_name")
+            f"ON reference_year IN ({years}) USING avg({col}) GROUP BY country_name")
 
 
 def _best(name: str, value: str, src: str, largest: bool = True) -> str:

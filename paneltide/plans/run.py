@@ -53,7 +53,13 @@ class PanelRun:
     # --- SQL-model chain ----------------------------------------------------
     @cached_property
     def staged(self) -> DataFrame:
-        return staging.stage_panel(self.raw_loads, self.params)
+        """Staged panel, hash-partitioned on country_code once: the dedupe
+        (dataset, country, year), the wide aggregation (country, year) and
+        the per-country lag all accept that partitioning, so the whole SQL
+        model chain runs behind a single shuffle of the (already reduced)
+        panel."""
+        return staging.stage_panel(self.raw_loads, self.params,
+                                   partition_by=["country_code"])
 
     def staged_view(self, dataset: str) -> DataFrame:
         return staging.staged_view(self.staged, dataset)
@@ -68,9 +74,13 @@ class PanelRun:
     def deltas(self) -> DataFrame:
         return scoring.yoy_deltas(self.indicators)
 
+    @cached_property
+    def scored(self) -> DataFrame:
+        return scoring.score_columns(self.deltas, self.params.score_year_min)
+
     @cached_property
     def composite(self) -> DataFrame:
-        return scoring.composite_index(self.deltas, self.params.score_year_min)
+        return scoring.composite_index(self.scored, self.params.score_year_min)
 
     @cached_property
     def mart_gdp(self) -> DataFrame:
@@ -86,7 +96,7 @@ class PanelRun:
 
     @cached_property
     def mart_latest(self) -> DataFrame:
-        return marts.country_latest(self.deltas, self.composite)
+        return marts.country_latest(self.scored)
 
     # --- anomalies --------------------------------------------------------
     @cached_property

@@ -35,3 +35,26 @@ def dimension_values_sql() -> str:
                      for i, c, n, i2, i3 in dimension_rows())
     return (f"(SELECT * FROM (VALUES {rows}) "
             "AS t(dim_index, country_code, country_name, iso2, iso3))")
+
+
+def _lookup(pairs: list[tuple], key: F.Column) -> F.Column:
+    """Value of ``key`` in a fixed literal map (NULL when absent): a
+    projection inside whole-stage codegen, no join and no broadcast job."""
+    m = F.create_map(*[F.lit(x) for kv in pairs for x in kv])
+    return F.element_at(m, key)
+
+
+def code_of_index(idx: F.Column) -> F.Column:
+    return _lookup([(r[0], r[1]) for r in dimension_rows()], idx.cast("int"))
+
+
+def name_of_code(code: F.Column) -> F.Column:
+    return _lookup([(r[1], r[2]) for r in dimension_rows()], code)
+
+
+def index_of_code(code: F.Column) -> F.Column:
+    return _lookup([(r[1], r[0]) for r in dimension_rows()], code)
+
+
+def iso3_of_code(code: F.Column) -> F.Column:
+    return _lookup([(r[1], r[4]) for r in dimension_rows()], code)

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from paneltide.functions import constants as K
 from paneltide.params import Params
-from paneltide.sources.dimension import country_dimension
+from paneltide.sources.dimension import code_of_index, name_of_code
 from paneltide.sources.tables import read_table
 
 MONEY = "decimal(18,2)"
@@ -43,24 +43,6 @@ RAW_COLUMNS: dict[str, list[str]] = {
 }
 
 
-def order_facts(spark: SparkSession, base: str) -> DataFrame:
-    """orders x customer x nation reduced to nation x order year x priority."""
-    orders = read_table(spark, base, "orders",
-                        ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
-                         "o_orderpriority"])
-    customer = read_table(spark, base, "customer", ["c_custkey", "c_nationkey"])
-    # nation has a fixed size (25 rows) in this schema: broadcasting it is bounded
-    nation = F.broadcast(read_table(spark, base, "nation", ["n_nationkey"]))
-    cust_nation = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
-    joined = orders.join(cust_nation, orders.o_custkey == cust_nation.c_custkey)
-    return (joined.groupBy(F.col("n_nationkey").alias("nation_key"),
-                           F.year("o_orderdate").alias("year"),
-                           F.col("o_orderpriority").alias("priority"))
-            .agg(F.sum(F.col("o_totalprice").cast(MONEY)).alias("price_sum"),
-                 F.count(F.lit(1)).alias("n_orders"),
-                 F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("n_final")))
-
-
 def line_facts(spark: SparkSession, base: str) -> DataFrame:
     """lineitem x supplier x nation reduced to supplier nation x ship year."""
     li = read_table(spark, base, "lineitem",
@@ -78,25 +60,41 @@ def line_facts(spark: SparkSession, base: str) -> DataFrame:
 
 
 def _with_country(facts: DataFrame, spark: SparkSession) -> DataFrame:
-    dim = country_dimension(spark).select("dim_index", "country_code", "country_name")
-    return facts.join(dim, facts.nation_key == dim.dim_index).drop("dim_index", "nation_key")
+    """Nation key -> (code, name) of the fixed dimension; unknown keys drop."""
+    code = code_of_index(F.col("nation_key"))
+    return (facts.withColumn("country_code", code)
+            .filter(F.col("country_code").isNotNull())
+            .withColumn("country_name", name_of_code(F.col("country_code")))
+            .drop("nation_key"))
 
 
-def _shape(df: DataFrame, dataset: str, value: F.Column, params: Params,
-           age_group: F.Column | None = None, sex: F.Column | None = None) -> DataFrame:
+def _row(dataset: str, value: F.Column, age_group: F.Column | None = None,
+         sex: F.Column | None = None) -> F.Column:
     sl = K.DATASET_SLICES[dataset]
     nul = F.lit(None).cast("string")
-    return df.select(
-        F.lit(dataset).alias("dataset"),
-        "country_code", "country_name",
-        F.col("year").cast("int").alias("year"),
-        F.lit(sl["unit"]).alias("unit"),
-        (F.lit(sl["indicator"]) if "indicator" in sl else nul).alias("indicator"),
-        (age_group if age_group is not None else nul).alias("age_group"),
-        (sex if sex is not None else nul).alias("sex"),
-        value.cast("double").alias("value"),
-        F.lit(params.load_date).alias("loaded_at"),
-    )
+    return F.struct(F.lit(dataset).alias("dataset"), F.lit(sl["unit"]).alias("unit"),
+                    (F.lit(sl["indicator"]) if "indicator" in sl else nul).alias("indicator"),
+                    (age_group if age_group is not None else nul).alias("age_group"),
+                    (sex if sex is not None else nul).alias("sex"),
+                    value.cast("double").alias("value"))
+
+
+def _expand(facts: DataFrame, rows: F.Column, params: Params, reload: bool) -> DataFrame:
+    """One fact row -> its panel rows (and, with ``reload``, both loads):
+    a single projection + explode, so each fact table is scanned once."""
+    loads = [F.struct(F.lit(params.load_date).alias("loaded_at"), F.lit(1.0).alias("f"))]
+    if reload:
+        loads.append(F.struct(F.lit(params.reload_date).alias("loaded_at"),
+                              F.lit(params.reload_factor).alias("f")))
+    x = (facts.select("country_code", "country_name", F.col("year").cast("int").alias("year"),
+                      F.explode(rows).alias("r"))
+         .filter(F.col("r").isNotNull())
+         .select("*", F.explode(F.array(*loads)).alias("l")))
+    value = F.col("r.value") * F.col("l.f")  # x * 1.0 == x exactly
+    return x.select(F.col("r.dataset").alias("dataset"), "country_code", "country_name", "year",
+                    F.col("r.unit").alias("unit"), F.col("r.indicator").alias("indicator"),
+                    F.col("r.age_group").alias("age_group"), F.col("r.sex").alias("sex"),
+                    value.alias("value"), F.col("l.loaded_at").alias("loaded_at"))
 
 
 def raw_panel(spark: SparkSession, base: str, params: Params,
@@ -105,30 +103,49 @@ def raw_panel(spark: SparkSession, base: str, params: Params,
 
     ``reload=True`` appends an older second load (value x 0.99, one day
     earlier) of every row: the input the staging dedupe is tested on.
+
+    Orders are aggregated once with ROLLUP over (nation, year, priority): the
+    (nation, year) totals give GDP and the main unemployment slice, the
+    per-priority rows give the other age groups. Lineitem is aggregated once
+    to (nation, year) and yields energy and inflation.
     """
-    of = _with_country(order_facts(spark, base), spark)
-    nation_year = (of.groupBy("country_code", "country_name", "year")
-                   .agg(F.sum("price_sum").alias("price_sum"),
-                        F.sum("n_orders").alias("n_orders"),
-                        F.sum("n_final").alias("n_final")))
-    gdp = _shape(nation_year, K.GDP, F.col("price_sum").cast("double") / F.lit(1000.0), params)
+    orders = order_facts_rollup(spark, base)
     share = F.lit(100.0) * F.col("n_final") / F.col("n_orders")
-    unem_main = _shape(nation_year, K.UNEMPLOYMENT, share, params,
-                       F.lit(K.DATASET_SLICES[K.UNEMPLOYMENT]["age_group"]),
-                       F.lit(K.DATASET_SLICES[K.UNEMPLOYMENT]["sex"]))
-    unem_prio = _shape(of, K.UNEMPLOYMENT, share, params, F.col("priority"),
-                       F.lit(K.DATASET_SLICES[K.UNEMPLOYMENT]["sex"]))
+    unem = K.DATASET_SLICES[K.UNEMPLOYMENT]
+    is_total = F.col("_gid") == 1
+    o_rows = F.array(
+        F.when(is_total, _row(K.GDP, F.col("price_sum").cast("double") / F.lit(1000.0))),
+        F.when(is_total, _row(K.UNEMPLOYMENT, share, F.lit(unem["age_group"]), F.lit(unem["sex"]))),
+        F.when(~is_total, _row(K.UNEMPLOYMENT, share, F.col("priority"), F.lit(unem["sex"]))))
     lf = _with_country(line_facts(spark, base), spark)
-    energy = _shape(lf, K.ENERGY, F.lit(1000.0) * F.col("qty_sum").cast("double")
-                    / F.col("price_sum").cast("double"), params)
-    infl = _shape(lf, K.INFLATION, F.lit(100.0) * F.col("disc_sum").cast("double")
-                  / F.col("n_lines"), params)
-    panel = reduce(DataFrame.unionByName, [gdp, unem_main, unem_prio, energy, infl])
-    if reload:
-        older = panel.withColumn("value", F.col("value") * F.lit(params.reload_factor)) \
-                     .withColumn("loaded_at", F.lit(params.reload_date))
-        panel = panel.unionByName(older)
-    return panel
+    l_rows = F.array(
+        _row(K.ENERGY, F.lit(1000.0) * F.col("qty_sum").cast("double")
+             / F.col("price_sum").cast("double")),
+        _row(K.INFLATION, F.lit(100.0) * F.col("disc_sum").cast("double") / F.col("n_lines")))
+    return (_expand(_with_country(orders, spark), o_rows, params, reload)
+            .unionByName(_expand(lf, l_rows, params, reload)))
+
+
+def order_facts_rollup(spark: SparkSession, base: str) -> DataFrame:
+    """order facts at (nation, year, priority) and (nation, year) in one
+    aggregation; ``_gid`` = 1 marks the (nation, year) total."""
+    orders = read_table(spark, base, "orders",
+                        ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate",
+                         "o_orderpriority"])
+    customer = read_table(spark, base, "customer", ["c_custkey", "c_nationkey"])
+    nation = F.broadcast(read_table(spark, base, "nation", ["n_nationkey"]))
+    cust_nation = customer.join(nation, customer.c_nationkey == nation.n_nationkey)
+    joined = (orders.join(cust_nation, orders.o_custkey == cust_nation.c_custkey)
+              .select(F.col("n_nationkey").alias("nation_key"),
+                      F.year("o_orderdate").alias("year"),
+                      F.col("o_orderpriority").alias("priority"),
+                      "o_totalprice", "o_orderstatus"))
+    return (joined.rollup("nation_key", "year", "priority")
+            .agg(F.sum(F.col("o_totalprice").cast(MONEY)).alias("price_sum"),
+                 F.count(F.lit(1)).alias("n_orders"),
+                 F.count(F.when(F.col("o_orderstatus") == "F", 1)).alias("n_final"),
+                 F.grouping_id().alias("_gid"))
+            .filter(F.col("_gid") <= 1))
 
 
 def raw_table(panel: DataFrame, dataset: str) -> DataFrame:
