@@ -23,7 +23,7 @@ dim AS {DIM},
 order_facts AS (
   SELECT n.n_nationkey AS nation_key, CAST(year(o.o_orderdate) AS INTEGER) AS year,
          o.o_orderpriority AS priority,
-         SUM(CAST(o.o_totalprice AS DECIMAL(18,2))) AS price_sum,
+         SUM(CAST(round(o.o_totalprice * 100) AS BIGINT)) AS price_sum,
          COUNT(*) AS n_orders,
          COUNT(CASE WHEN o.o_orderstatus = 'F' THEN 1 END) AS n_final
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
@@ -37,9 +37,9 @@ nation_year AS (
   FROM ofc GROUP BY 1, 2, 3),
 line_facts AS (
   SELECT d.country_code, d.country_name, CAST(year(l.l_shipdate) AS INTEGER) AS year,
-         SUM(CAST(l.l_quantity AS DECIMAL(18,2))) AS qty_sum,
-         SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS price_sum,
-         SUM(CAST(l.l_discount AS DECIMAL(18,2))) AS disc_sum,
+         SUM(CAST(round(l.l_quantity * 100) AS BIGINT)) AS qty_sum,
+         SUM(CAST(round(l.l_extendedprice * 100) AS BIGINT)) AS price_sum,
+         SUM(CAST(round(l.l_discount * 100) AS BIGINT)) AS disc_sum,
          COUNT(*) AS n_lines
   FROM lineitem l JOIN supplier s ON l.l_suppkey = s.s_suppkey
        JOIN nation n ON s.s_nationkey = n.n_nationkey
@@ -48,7 +48,7 @@ line_facts AS (
 raw1 AS (
   SELECT 'gdp_annual' AS dataset, country_code, country_name, year, 'CP_MEUR' AS unit,
          'B1GQ' AS indicator, CAST(NULL AS VARCHAR) AS age_group, CAST(NULL AS VARCHAR) AS sex,
-         CAST(price_sum AS DOUBLE) / CAST(1000 AS DOUBLE) AS value, {LOAD} AS loaded_at
+         CAST(price_sum AS DOUBLE) / CAST(100 AS DOUBLE) / CAST(1000 AS DOUBLE) AS value, {LOAD} AS loaded_at
   FROM nation_year
   UNION ALL
   SELECT 'unemployment_annual', country_code, country_name, year, 'PC_ACT', NULL, 'Y15-74', 'T',
@@ -60,11 +60,11 @@ raw1 AS (
   FROM ofc
   UNION ALL
   SELECT 'energy_intensity', country_code, country_name, year, 'KGOE_TEUR', NULL, NULL, NULL,
-         CAST(1000 AS DOUBLE) * CAST(qty_sum AS DOUBLE) / CAST(price_sum AS DOUBLE), {LOAD}
+         CAST(1000 AS DOUBLE) * (CAST(qty_sum AS DOUBLE) / 100) / (CAST(price_sum AS DOUBLE) / 100), {LOAD}
   FROM line_facts
   UNION ALL
   SELECT 'inflation_annual', country_code, country_name, year, 'RCH_A_AVG', NULL, NULL, NULL,
-         CAST(100 AS DOUBLE) * CAST(disc_sum AS DOUBLE) / n_lines, {LOAD}
+         CAST(100 AS DOUBLE) * (CAST(disc_sum AS DOUBLE) / 100) / n_lines, {LOAD}
   FROM line_facts),
 raw2 AS (
   SELECT * FROM raw1
@@ -253,8 +253,12 @@ def half_up_rounding(sql: str) -> str:
             elif ch == "," and depth == 0:
                 comma = k
             k += 1
-        arg, digits = sql[j + 6:comma], sql[comma + 1:k]
         out.append(sql[i:j])
+        if comma < 0:  # round(x): nearest integer, left to the engine
+            out.append(f"round({half_up_rounding(sql[j + 6:k])})")
+            i = k + 1
+            continue
+        arg, digits = sql[j + 6:comma], sql[comma + 1:k]
         out.append(f"CAST(round(CAST(({half_up_rounding(arg)}) AS DECIMAL(38,12)), {digits.strip()})"
                    " AS DOUBLE)")
         i = k + 1
