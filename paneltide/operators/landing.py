@@ -80,12 +80,14 @@ def geo_filter(long: DataFrame, spark: SparkSession, dataset: str,
 
 
 def build_wide(panel: DataFrame, dataset: str, spark: SparkSession,
-               dims: dict[str, str]) -> DataFrame:
+               dims: dict[str, str], years: list[int]) -> DataFrame:
     """Test input: a dataset's panel rows pivoted back into a wide statistic
     table with text cells. Cells are ':' (missing) when (year + k) % 5 == 0
     and carry a ' p' flag when (year + k) % 7 == 0, k being the country's
     dimension index; codes with an even index are padded with blanks. An
     aggregate row 'EU27_2020' (sum over countries) is added; landing drops it.
+    One text column per year of ``years`` (empty where no data), so the pivot
+    needs no distinct-values job.
     """
     rows = (panel.filter(F.col("dataset") == dataset)
             .withColumn("dim_index", index_of_code(F.col("country_code")))
@@ -107,5 +109,5 @@ def build_wide(panel: DataFrame, dataset: str, spark: SparkSession,
     for name, v in dims.items():
         long = long.withColumn(name, F.lit(v))
     wide = (long.groupBy(*dims.keys(), F.col("geo").alias(GEO_HEADER))
-            .pivot("year").agg(F.first("cell")))
+            .pivot("year", years).agg(F.first("cell")))
     return wide

@@ -33,7 +33,8 @@ def _run(spark: SparkSession, base: str, params: Params = TEST_PARAMS) -> PanelR
 # --- landing -----------------------------------------------------------------
 def land_unpivot(spark, base):
     r = _run(spark, base)
-    wide = landing.build_wide(r.raw, K.GDP, spark, GDP_WIDE_DIMS)
+    years = list(range(r.params.year_min, r.params.year_max + 1))
+    wide = landing.build_wide(r.raw, K.GDP, spark, GDP_WIDE_DIMS, years)
     return landing.unpivot_wide(wide, r.params.year_min, r.params.year_max, r.params.load_date)
 
 

@@ -227,9 +227,10 @@ sel_latest AS (SELECT * FROM mart_latest WHERE country_code IN ({SCOPE}))
 def half_up_rounding(sql: str) -> str:
     """Rewrite every ``round(x, n)`` as rounding of the decimal value of x.
 
-    Spark rounds a double half-up on its decimal representation (17.365 ->
-    17.37); DuckDB rounds the binary value (17.36). Casting to DECIMAL(38,12)
-    first makes DuckDB round the same decimal value Spark does.
+    Spark rounds a double half-up on its shortest decimal representation
+    (17.365 -> 17.37, 40.62499999999999 -> 40.62); DuckDB rounds the binary
+    value. Going through DuckDB's shortest-representation text and DECIMAL
+    makes it round the same decimal value Spark does.
     """
     out, i, low = [], 0, sql.lower()
     while True:
@@ -259,8 +260,8 @@ def half_up_rounding(sql: str) -> str:
             i = k + 1
             continue
         arg, digits = sql[j + 6:comma], sql[comma + 1:k]
-        out.append(f"CAST(round(CAST(({half_up_rounding(arg)}) AS DECIMAL(38,12)), {digits.strip()})"
-                   " AS DOUBLE)")
+        out.append(f"CAST(round(CAST(CAST(({half_up_rounding(arg)}) AS VARCHAR) AS DECIMAL(38,17)),"
+                   f" {digits.strip()}) AS DOUBLE)")
         i = k + 1
 
 
