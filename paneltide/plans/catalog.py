@@ -363,6 +363,13 @@ def layout_partitioned(spark, base):
         .select(*r.composite.columns)
 
 
+def snapshot_clustered(spark, base):
+    r = _run(spark, base)
+    path = scratch_path(spark, "country-latest")
+    sinks.write_clustered(r.mart_latest, path, ["country_code"])
+    return sinks.read_back(spark, path, r.mart_latest.columns)
+
+
 def csv_export(spark, base):
     df = api_gdp_trends(spark, base)
     path = scratch_path(spark, "gdp-csv")
@@ -426,5 +433,6 @@ QUERIES: dict[str, Query] = {
     "event_driven_anomalies": event_driven_anomalies,
     "sink_overwrite": sink_overwrite,
     "layout_partitioned": layout_partitioned,
+    "snapshot_clustered": snapshot_clustered,
     "csv_export": csv_export,
 }

@@ -597,6 +597,7 @@ ORACLE: dict[str, str] = {
         "{reqs}", ", ".join(f"('{n}')" for n in P.ingestion_events))),
     "sink_overwrite": None,
     "layout_partitioned": q("SELECT * FROM composite"),
+    "snapshot_clustered": q("SELECT * FROM mart_latest"),
     "csv_export": q("SELECT * FROM api_gdp"),
 }
 ORACLE["sink_overwrite"] = ORACLE["combined_indicators"]
