@@ -26,8 +26,18 @@ Query = Callable[[SparkSession, str], DataFrame]
 GDP_WIDE_DIMS = {"unit": "CP_MEUR", "na_item": "B1GQ"}
 
 
+_RUNS: dict[tuple, PanelRun] = {}
+
+
 def _run(spark: SparkSession, base: str, params: Params = TEST_PARAMS) -> PanelRun:
-    return PanelRun(spark, base, params)
+    """The lazily wired DAG for (session, input dir, params), built once per
+    process. Only the logical plan is shared: nothing is cached, every query
+    still executes in full from the tables."""
+    key = (id(spark), base, repr(params))
+    run = _RUNS.get(key)
+    if run is None or run.spark is not spark:
+        run = _RUNS[key] = PanelRun(spark, base, params)
+    return run
 
 
 # --- landing -----------------------------------------------------------------
@@ -269,13 +279,7 @@ def composite_components(spark, base):
 # --- data quality ----------------------------------------------------------------
 def dq_report(spark, base):
     r = _run(spark, base)
-    raw = {d: raw_table(r.raw, d) for d in K.DATASETS}
-    stg = {"stg_gdp": r.staged_view(K.GDP), "stg_unemployment": r.staged_view(K.UNEMPLOYMENT),
-           "stg_energy": r.staged_view(K.ENERGY), "stg_inflation": r.staged_view(K.INFLATION)}
-    marts = {"mart_gdp_trends": r.mart_gdp, "mart_unemployment_comparison": r.mart_unemployment,
-             "mart_energy_intensity": r.mart_energy,
-             "mart_composite_economic_index": r.composite, "mart_country_latest": r.mart_latest}
-    return quality.dq_report(raw, stg, marts)
+    return quality.dq_report(r.raw, r.staged, r.scored, r.mart_latest, r.params.score_year_min)
 
 
 # --- streaming -----------------------------------------------------------------

@@ -37,11 +37,16 @@ def dimension_values_sql() -> str:
             "AS t(dim_index, country_code, country_name, iso2, iso3))")
 
 
+def _sql_lit(x) -> str:
+    return str(x) if isinstance(x, int) else "'" + str(x).replace("'", "''") + "'"
+
+
 def _lookup(pairs: list[tuple], key: F.Column) -> F.Column:
     """Value of ``key`` in a fixed literal map (NULL when absent): a
-    projection inside whole-stage codegen, no join and no broadcast job."""
-    m = F.create_map(*[F.lit(x) for kv in pairs for x in kv])
-    return F.element_at(m, key)
+    projection inside whole-stage codegen, no join and no broadcast job.
+    The map literal is parsed from SQL text in one call."""
+    m = F.expr("map(" + ", ".join(f"{_sql_lit(k)}, {_sql_lit(v)}" for k, v in pairs) + ")")
+    return F.try_element_at(m, key)
 
 
 def code_of_index(idx: F.Column) -> F.Column:
