@@ -16,6 +16,13 @@ from paneltide.sources.dimension import index_of_code, name_of_code
 GEO_HEADER = "geo\\TIME_PERIOD"
 
 
+def read_wide_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
+    """A landed wide statistic file: header row, every cell read as text (no
+    schema inference, so ':' and flagged cells survive until coercion)."""
+    return (spark.read.option("header", True).option("sep", sep)
+            .option("inferSchema", False).csv(path))
+
+
 def year_columns(columns: list[str], start: int, end: int) -> list[str]:
     """Names made only of digits whose value lies in [start, end]."""
     return [c for c in columns if str(c).isdigit() and start <= int(c) <= end]

@@ -256,5 +256,6 @@ def composite_components(comp: DataFrame, country: str | None = None) -> DataFra
     df = comp if not country else comp.filter(F.col("country_code") == country)
     parts = df.select("country_code", "reference_year", "composite_score",
                       *[(F.col(c) / 3).alias(c) for c in _COMPONENTS[1:]])
-    return parts.unpivot(["country_code", "reference_year", "composite_score"], _COMPONENTS[1:],
-                         "component", "contribution")
+    return (parts.unpivot(["country_code", "reference_year", "composite_score"], _COMPONENTS[1:],
+                          "component", "contribution")
+            .orderBy("country_code", "reference_year", "component"))

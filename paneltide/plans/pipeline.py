@@ -14,7 +14,7 @@ from __future__ import annotations
 
 import sys
 
-from pyspark.sql import SparkSession
+from pyspark.sql import Observation, SparkSession
 
 from paneltide.functions import constants as K
 from paneltide.operators.joins import materialize
@@ -25,7 +25,10 @@ from paneltide.sources import sinks
 from paneltide.sources.testdata import raw_table
 
 
-def run_batch(spark: SparkSession, base: str, out: str, params: Params = TEST_PARAMS) -> list[str]:
+def run_batch(spark: SparkSession, base: str, out: str, params: Params = TEST_PARAMS,
+              counts: dict | None = None) -> list[str]:
+    """Write every table; ``counts`` (if given) receives the rows written per
+    table, observed during the write itself (no second scan)."""
     r = PanelRun(spark, base, params)
     # materialise the two landed panels once; all models read these copies
     r.__dict__["raw"] = materialize(r.raw)
@@ -34,13 +37,16 @@ def run_batch(spark: SparkSession, base: str, out: str, params: Params = TEST_PA
 
     def put(name, df, partitioned=False, clustered=None):
         path = f"{out.rstrip('/')}/{name}"
+        obs = Observation(name)
         if partitioned:
-            sinks.write_partitioned(df, path, "reference_year", ["country_code"])
+            sinks.write_partitioned(df, path, "reference_year", ["country_code"], observation=obs)
         elif clustered:
-            sinks.write_clustered(df, path, clustered)
+            sinks.write_clustered(df, path, clustered, observation=obs)
         else:
-            sinks.write_overwrite(df, path)
+            sinks.write_overwrite(df, path, observation=obs)
         written.append(name)
+        if counts is not None:
+            counts[name] = obs.get["rows"]
 
     for ds in K.DATASETS:
         put(ds, raw_table(r.raw, ds))

@@ -6,14 +6,22 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 
-def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet") -> None:
+def _observed(df: DataFrame, observation) -> DataFrame:
+    """Attach an Observation right below the write, above any exchange, so a
+    range-sampling job does not count rows twice."""
+    if observation is None:
+        return df
+    return df.observe(observation, F.count(F.lit(1)).alias("rows"))
+
+
+def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", observation=None) -> None:
     """Full refresh: the target is replaced (idempotent on retry)."""
-    df.write.mode("overwrite").format(fmt).save(path)
+    _observed(df, observation).write.mode("overwrite").format(fmt).save(path)
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str,
                       cluster_cols: list[str] | None = None,
-                      max_records_per_file: int = 5_000_000) -> None:
+                      max_records_per_file: int = 5_000_000, observation=None) -> None:
     """Partition directories on ``partition_col`` and rows clustered by
     ``cluster_cols`` inside each file.
 
@@ -22,14 +30,16 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str,
     so parquet min/max statistics skip row groups on the cluster keys.
     """
     keys = [partition_col] + list(cluster_cols or [])
-    (df.repartitionByRange(*keys).sortWithinPartitions(*keys)
+    (_observed(df.repartitionByRange(*keys).sortWithinPartitions(*keys), observation)
      .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(partition_col).parquet(path))
 
 
-def write_clustered(df: DataFrame, path: str, cluster_cols: list[str]) -> None:
+def write_clustered(df: DataFrame, path: str, cluster_cols: list[str],
+                    observation=None) -> None:
     """Unpartitioned snapshot with rows clustered by ``cluster_cols``."""
-    (df.repartitionByRange(*cluster_cols).sortWithinPartitions(*cluster_cols)
+    (_observed(df.repartitionByRange(*cluster_cols).sortWithinPartitions(*cluster_cols),
+               observation)
      .write.mode("overwrite").parquet(path))
 
 

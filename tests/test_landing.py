@@ -37,3 +37,13 @@ def test_unemployment_defaults(spark):
 def test_no_year_columns_gives_empty(spark):
     wide = spark.createDataFrame([("DE", "x")], ["geo", "note"])
     assert landing.unpivot_wide(wide, 2000, 2023, LOAD).count() == 0
+
+
+def test_wide_csv_round_trip(spark, tmp_path):
+    path = tmp_path / "wide.tsv"
+    path.write_text("unit\tgeo\\TIME_PERIOD\t2000\t2001\nCP_MEUR\tDE\t1.5\t:\n")
+    wide = landing.read_wide_csv(spark, str(path), sep="\t")
+    assert set(wide.columns) == {"unit", "geo\\TIME_PERIOD", "2000", "2001"}
+    raw = landing.geo_filter(landing.unpivot_wide(wide, 2000, 2023, LOAD), spark,
+                             "gdp_annual").collect()
+    assert [(r["country_code"], r["year"], r["value"]) for r in raw] == [("DE", 2000, 1.5)]

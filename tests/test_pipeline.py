@@ -8,7 +8,9 @@ from paneltide.sources.adapters import SourceRegistry, SourceSpec
 
 def test_run_batch_writes_all_tables(spark):
     out = tempfile.mkdtemp(prefix="pt-pipe-")
-    written = run_batch(spark, SF_SMALL, out)
+    counts = {}
+    written = run_batch(spark, SF_SMALL, out, counts=counts)
+    assert counts["dq_report"] == 31 and counts["mart_country_latest"] == 25
     assert "mart_composite_economic_index" in written and len(written) == 18
     reg = SourceRegistry(spark, {n: SourceSpec("parquet", f"{out}/{n}") for n in written})
     dq = reg.load("dq_report")
