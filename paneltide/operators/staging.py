@@ -71,15 +71,20 @@ def stage_panel(raw: DataFrame, params: Params, dedupe: bool = True,
                       year_start(year).alias("reference_date"),
                       F.col("value").cast("double").alias("value"),
                       "unit", "indicator", "age_group", "sex", "loaded_at"))
-    if partition_by:
-        staged = staged.repartition(*partition_by)
-    if not dedupe:
-        return staged
+    # The dedupe runs before any repartition so that its partial
+    # WindowGroupLimit keeps one row per key per input partition before the
+    # shuffle: a key with many copies (a third of all rows) is reduced map-side.
+    # Only the deduplicated panel (one row per dataset x country x year) is
+    # then hash-partitioned, so ``partition_by`` never moves raw copies.
     keys = ["dataset", "country_code", "reference_year"]
-    if params.dedupe_inflation:
-        return dedupe_latest(staged, keys)
-    deduped = dedupe_latest(staged.filter(F.col("dataset") != K.INFLATION), keys)
-    return deduped.unionByName(staged.filter(F.col("dataset") == K.INFLATION))
+    if not dedupe:
+        out = staged
+    elif params.dedupe_inflation:
+        out = dedupe_latest(staged, keys)
+    else:
+        deduped = dedupe_latest(staged.filter(F.col("dataset") != K.INFLATION), keys)
+        out = deduped.unionByName(staged.filter(F.col("dataset") == K.INFLATION))
+    return out.repartition(*partition_by) if partition_by else out
 
 
 def staged_view(staged: DataFrame, dataset: str) -> DataFrame:

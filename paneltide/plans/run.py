@@ -53,11 +53,9 @@ class PanelRun:
     # --- SQL-model chain ----------------------------------------------------
     @cached_property
     def staged(self) -> DataFrame:
-        """Staged panel, hash-partitioned on country_code once: the dedupe
-        (dataset, country, year), the wide aggregation (country, year) and
-        the per-country lag all accept that partitioning, so the whole SQL
-        model chain runs behind a single shuffle of the (already reduced)
-        panel."""
+        """Staged, deduplicated panel, then hash-partitioned on country_code
+        once: the wide aggregation (country, year) and the per-country lag
+        both accept that partitioning, so they add no further shuffle."""
         return staging.stage_panel(self.raw_loads, self.params,
                                    partition_by=["country_code"])
 
