@@ -43,11 +43,21 @@ def build_session(master: str | None = None, app: str = "paneltide",
     return spark
 
 
+RUNTIME_CONF: dict[str, str] = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.sources.partitionOverwriteMode": "dynamic",
+}
+
+
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the settings results depend on (UTC timestamps, AQE)."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
-    spark.conf.set("spark.sql.adaptive.enabled", "true")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    """Pin the runtime SQL settings results depend on (UTC timestamps, AQE
+    with skew-join splitting, dynamic partition overwrite) on any session,
+    including one the caller built."""
+    for k, v in RUNTIME_CONF.items():
+        if spark.conf.get(k, None) != v:
+            spark.conf.set(k, v)
     return spark
 
 
