@@ -13,7 +13,8 @@ from pyspark.sql import functions as F
 from paneltide.functions import constants as K
 from paneltide.operators import anomalies, marts, metrics, panel, scoring, staging
 from paneltide.params import TEST_PARAMS, Params
-from paneltide.session import prepare
+from paneltide.session import prepare, size_for_input
+from paneltide.sources.tables import table_path
 from paneltide.sources import testdata
 
 
@@ -22,6 +23,8 @@ class PanelRun:
         self.spark = prepare(spark)
         self.base = base
         self.params = params
+        # size shuffles for the fact tables when they are large (no-op locally)
+        size_for_input(spark, [table_path(base, t) for t in ("orders", "lineitem", "events")])
 
     # --- landed tables ----------------------------------------------------
     @cached_property

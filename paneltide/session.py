@@ -80,3 +80,48 @@ def scratch_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A fresh, unique location under the shared scratch root."""
     return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
+
+
+# Sizing for large inputs. The widest shuffle is the fact-to-customer/supplier
+# join on the pruned fact columns; everything after the partial aggregates is
+# tiny. AQE coalesces small partitions, so the initial count is chosen for the
+# widest exchange: about ``target_bytes`` of input per shuffle partition keeps
+# each reducer's sort/hash buffers within executor memory without spilling.
+SCALE_THRESHOLD_BYTES = 50 * 1024 ** 3          # below this the defaults are fine
+TARGET_PARTITION_BYTES = 256 * 1024 ** 2
+LARGE_INPUT_CONF: dict[str, str] = {
+    "spark.sql.files.maxPartitionBytes": str(512 * 1024 ** 2),
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 ** 2),
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 ** 2),
+}
+
+
+def input_bytes(spark: SparkSession, paths: list[str]) -> int:
+    """Total size of the files under ``paths`` from filesystem metadata only."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    total = 0
+    for p in paths:
+        hp = jvm.org.apache.hadoop.fs.Path(p)
+        fs = hp.getFileSystem(conf)
+        if fs.exists(hp):
+            total += fs.getContentSummary(hp).getLength()
+    return int(total)
+
+
+def size_for_input(spark: SparkSession, paths: list[str],
+                   target_bytes: int = TARGET_PARTITION_BYTES) -> int | None:
+    """Raise the initial shuffle partition count (and the scan split size)
+    for large inputs. Only applies while the session is still at Spark's
+    default of 200 partitions, so an operator's explicit setting wins and
+    small local runs are left alone. Returns the count it set, if any."""
+    if spark.conf.get("spark.sql.shuffle.partitions") != "200":
+        return None
+    total = input_bytes(spark, paths)
+    if total < SCALE_THRESHOLD_BYTES:
+        return None
+    parts = max(200, -(-total // target_bytes))
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    for k, v in LARGE_INPUT_CONF.items():
+        spark.conf.set(k, v)
+    return parts

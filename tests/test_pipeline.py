@@ -18,3 +18,9 @@ def test_run_batch_writes_all_tables(spark):
     assert dq.filter("failures > 0").count() == 0
     marts = reg.load("mart_composite_economic_index")
     assert "reference_year" in marts.columns and marts.count() > 0
+
+
+def test_input_sizing_is_noop_for_small_inputs(spark):
+    from paneltide.session import input_bytes, size_for_input
+    assert input_bytes(spark, [f"{SF_SMALL}/orders.parquet"]) > 0
+    assert size_for_input(spark, [f"{SF_SMALL}/orders.parquet"]) is None

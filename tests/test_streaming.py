@@ -67,3 +67,12 @@ def test_window_summary_late_data_and_update_merge(spark):
     assert got[(0, 0)]["alert_count"] == 2          # late row ignored
     assert got[(0, 0)]["max_abs_z"] == 3.5
     assert got[(1, 0)]["alert_count"] == 2          # update merged: last batch wins
+
+
+def test_window_summary_keeps_malformed_rows_with_null_keys(spark):
+    d = tempfile.mkdtemp(prefix="pt-bad-")
+    _write(f"{d}/in", "a.json", ["nope", _alert("DE", "2024-01-01T00:01:00.000000")])
+    out = window_summary.run_window_summary(spark, file_stream(spark, f"{d}/in"), f"{d}/out",
+                                            f"{d}/ckpt").collect()
+    keys = {(r["country_code"], r["alert_count"]) for r in out}
+    assert ("DE", 1) in keys and (None, 1) in keys  # stamped with processing time
