@@ -108,11 +108,13 @@ class PanelRun:
     def events(self) -> DataFrame:
         return testdata.event_facts(self.spark, self.base)
 
-    @cached_property
+    @property
     def event_alerts(self) -> DataFrame:
+        """Built per use, never cached: its size-checked join materialises the
+        event statistics, and that data must not be shared between queries."""
         return anomalies.detect_event_anomalies(self.events, self.spark, self.params)
 
-    @cached_property
+    @property
     def alert_table(self) -> DataFrame:
         """The anomaly_alerts table: panel detections plus event detections."""
         return self.panel_alerts.unionByName(self.event_alerts)
