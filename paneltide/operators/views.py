@@ -113,8 +113,11 @@ def home_kpis(latest: DataFrame) -> DataFrame:
         F.coalesce(_best("composite_score", "composite_score"), F.lit(0.0)).alias("top_score"))
 
 
-def home_map(composite_sel: DataFrame) -> DataFrame:
-    rows = latest_rows(composite_sel)
+def home_map(composite: DataFrame, countries=None) -> DataFrame:
+    """Latest year of the (unfiltered) composite frame, then the selection."""
+    rows = latest_rows(composite)
+    if countries:
+        rows = rows.filter(F.col("country_code").isin(list(countries)))
     return rows.select("country_code", "country_name", "reference_year", "composite_score",
                        to_iso2("country_code").alias("iso2"),
                        iso3_of_code(F.col("country_code")).alias("iso3"))

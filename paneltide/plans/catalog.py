@@ -206,7 +206,7 @@ def home_kpis(spark, base):
 def home_map(spark, base):
     r = _run(spark, base)
     comp = views.api_composite(r.composite, r.params.api_start, r.params.api_end)
-    return views.home_map(r.countries_filter(comp))
+    return views.home_map(comp, r.params.countries)
 
 
 def home_ranking(spark, base):

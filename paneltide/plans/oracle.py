@@ -416,8 +416,7 @@ ORACLE: dict[str, str] = {
   FROM composite c LEFT JOIN dim d ON c.country_code = d.country_code
   WHERE c.reference_year BETWEEN {P.api_start} AND {P.api_end} AND c.country_code IN ({SCOPE})
     AND c.reference_year = (SELECT max(reference_year) FROM composite
-                            WHERE reference_year BETWEEN {P.api_start} AND {P.api_end}
-                              AND country_code IN ({SCOPE}))"""),
+                            WHERE reference_year BETWEEN {P.api_start} AND {P.api_end})"""),
     "home_ranking": q("""
   SELECT CAST(row_number() OVER (ORDER BY composite_score DESC, country_code) AS INTEGER) AS rank,
          country_code, country_name, composite_score, gdp_yoy_growth_pct, unemployment_rate,
