@@ -16,7 +16,6 @@ DEFAULT_CONF: dict[str, str] = {
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
@@ -47,14 +46,13 @@ RUNTIME_CONF: dict[str, str] = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Pin the runtime SQL settings results depend on (UTC timestamps, AQE
-    with skew-join splitting, dynamic partition overwrite) on any session,
-    including one the caller built."""
+    """Pin the runtime SQL settings results depend on (UTC for parsing zone-less
+    timestamps, AQE with skew-join splitting) on any session, including one
+    the caller built. Overwrite modes are chosen per write, never globally."""
     for k, v in RUNTIME_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)

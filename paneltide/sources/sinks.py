@@ -16,7 +16,8 @@ def _observed(df: DataFrame, observation) -> DataFrame:
 
 def write_overwrite(df: DataFrame, path: str, fmt: str = "parquet", observation=None) -> None:
     """Full refresh: the target is replaced (idempotent on retry)."""
-    _observed(df, observation).write.mode("overwrite").format(fmt).save(path)
+    (_observed(df, observation).write.mode("overwrite")
+     .option("partitionOverwriteMode", "static").format(fmt).save(path))
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str,
@@ -31,7 +32,8 @@ def write_partitioned(df: DataFrame, path: str, partition_col: str,
     """
     keys = [partition_col] + list(cluster_cols or [])
     (_observed(df.repartitionByRange(*keys).sortWithinPartitions(*keys), observation)
-     .write.mode("overwrite").option("maxRecordsPerFile", max_records_per_file)
+     .write.mode("overwrite").option("partitionOverwriteMode", "static")
+     .option("maxRecordsPerFile", max_records_per_file)
      .partitionBy(partition_col).parquet(path))
 
 

@@ -24,3 +24,14 @@ def test_input_sizing_is_noop_for_small_inputs(spark):
     from paneltide.session import input_bytes, size_for_input
     assert input_bytes(spark, [f"{SF_SMALL}/orders.parquet"]) > 0
     assert size_for_input(spark, [f"{SF_SMALL}/orders.parquet"]) is None
+
+
+def test_partitioned_full_refresh_drops_stale_partitions(spark, tmp_path):
+    from paneltide.sources import sinks
+    path = str(tmp_path / "t")
+    a = spark.createDataFrame([(2000, "DE", 1.0), (2001, "DE", 2.0)],
+                              "reference_year int, country_code string, v double")
+    sinks.write_partitioned(a, path, "reference_year", ["country_code"])
+    sinks.write_partitioned(a.filter("reference_year = 2001"), path, "reference_year",
+                            ["country_code"])
+    assert [r["reference_year"] for r in spark.read.parquet(path).collect()] == [2001]
