@@ -18,7 +18,6 @@ from paneltide.params import TEST_PARAMS, Params
 from paneltide.plans.run import PanelRun
 from paneltide.session import scratch_path
 from paneltide.sources import sinks
-from paneltide.sources.testdata import raw_table
 from paneltide.streaming import alert_records, event_driven, window_summary
 from paneltide.streaming.sources import file_stream, stage_messages
 

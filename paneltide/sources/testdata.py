@@ -19,7 +19,6 @@ does not depend on partitioning or summation order.
 """
 from __future__ import annotations
 
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
