@@ -64,6 +64,7 @@ TIER_HIGH = 70.0                # tier (radar): > 70 Strong, > 40 Moderate
 TIER_MID = 40.0
 NEUTRAL_SCORE = 50.0            # score when min-max is undefined
 FULL_PIPELINE_MARKER = "full_pipeline"
+FULL_PIPELINE_EVENT = "panel_full_pipeline"   # event name for "all tables loaded"
 WATERMARK = "5 minutes"
 WINDOW = "10 minutes"
 TRIGGER = "60 seconds"

@@ -28,7 +28,7 @@ class Params:
     # largest row count a side may have to be broadcast after a size check
     broadcast_max_rows: int = 1_000_000
     salt_buckets: int = 32
-    ingestion_events: tuple[str, ...] = ("gdp_annual", "eurostat_full_pipeline", "unknown")
+    ingestion_events: tuple[str, ...] = ("gdp_annual", K.FULL_PIPELINE_EVENT, "unknown")
     extra: dict = field(default_factory=dict)
 
     def with_(self, **kw) -> "Params":

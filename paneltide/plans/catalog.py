@@ -143,7 +143,7 @@ def ingestion_events(r: PanelRun) -> DataFrame:
                 .alias("year_range")]
 
     per = raw.groupBy("dataset").agg(*summary(raw))
-    full = raw.agg(*summary(raw)).select(F.lit("eurostat_full_pipeline").alias("dataset"), "*")
+    full = raw.agg(*summary(raw)).select(F.lit(K.FULL_PIPELINE_EVENT).alias("dataset"), "*")
     return (per.unionByName(full)
             .withColumn("timestamp", F.lit(stamp)).withColumn("status", F.lit("completed")))
 

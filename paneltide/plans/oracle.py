@@ -382,7 +382,7 @@ ORACLE: dict[str, str] = {
          '{P.load_date.isoformat()}T00:00:00' AS timestamp, 'completed' AS status
   FROM raw1 GROUP BY dataset
   UNION ALL
-  SELECT 'eurostat_full_pipeline', COUNT(*),
+  SELECT '{K.FULL_PIPELINE_EVENT}', COUNT(*),
          string_agg(DISTINCT country_code, ',' ORDER BY country_code), min(year), max(year),
          '{P.load_date.isoformat()}T00:00:00', 'completed'
   FROM raw1"""),
