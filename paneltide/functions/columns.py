@@ -22,6 +22,7 @@ __all__ = [
     "minmax_score",
     "growth_pct",
     "upper_or_low",
+    "fixed_mean",
 ]
 
 
@@ -100,3 +101,14 @@ def growth_pct(cur: Column, prev: Column, digits: int = 2,
 
 def upper_or_low(c: str | Column) -> Column:
     return F.upper(F.coalesce(col_or(c), F.lit("LOW")))
+
+
+def fixed_mean(c: str | Column, scale: int) -> Column:
+    """Mean of a column holding values with ``scale`` decimals (a rounded mart
+    column): the sum runs over exact integers, so the result does not depend
+    on summation order, partitioning or engine. NULLs are skipped; NULL when
+    no value is present."""
+    x = col_or(c)
+    f = 10 ** scale
+    total = F.sum(F.round(x * F.lit(f)).cast("long")).cast("double")
+    return total / F.lit(float(f)) / F.count(x)

@@ -10,6 +10,7 @@ from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, St
 from paneltide.functions import constants as K
 from paneltide.functions.columns import safe_div, severity
 from paneltide.operators.joins import join_checked
+from paneltide.operators.metrics import series_stats
 from paneltide.params import Params
 from paneltide.sources.dimension import code_of_index
 
@@ -54,16 +55,13 @@ def detect_panel_anomalies(panel: DataFrame, params: Params,
                            keys: tuple[str, ...] = ("dataset", "country_code")) -> DataFrame:
     """|z| > threshold per series, the top-k by |z| per dataset.
 
-    Series statistics use a whole-series window: a series is bounded by its
-    year span. The top-k is ``row_number() <= k`` per dataset, planned as a
+    Series statistics come from ``series_stats`` (a whole-series window in a
+    fixed summation order): a series is bounded by its year span. The top-k is ``row_number() <= k`` per dataset, planned as a
     WindowGroupLimit that keeps k rows per dataset per partition before the
     shuffle, so a dataset holding most rows never reaches one task whole.
     """
-    w = Window.partitionBy(*keys)
-    mean_ = F.avg("value").over(w)
-    std_ = F.stddev("value").over(w)
-    scored = (panel.select("dataset", "country_code", "year", "value")
-              .withColumn("mean", mean_).withColumn("std_dev", std_)
+    base = panel.select("dataset", "country_code", "year", "value")
+    scored = (series_stats(base, "value", list(keys))
               .withColumn("z_score", safe_div(F.col("value") - F.col("mean"),
                                               F.nullif(F.col("std_dev"), F.lit(0))))
               .filter(F.abs("z_score") > params.z_threshold))

@@ -12,7 +12,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.sources.dimension import iso3_of_code
-from paneltide.functions.columns import score_band, score_tier, to_iso2, upper_or_low
+from paneltide.functions.columns import (fixed_mean, score_band, score_tier, to_iso2,
+                                        upper_or_low)
 
 _BASE = ["country_code", "country_name", "reference_year", "reference_date"]
 
@@ -98,8 +99,17 @@ def join_one_row(a: DataFrame, b: DataFrame) -> DataFrame:
             .join(F.broadcast(b.withColumn("_one", F.lit(0))), "_one").drop("_one"))
 
 
+# decimals carried by the mart columns the pages average (see operators/marts.py)
+SCALES = {"gdp_yoy_growth_pct": 2, "unemployment_rate": 2, "unemp_yoy_change": 2,
+          "energy_intensity": 3, "composite_score": 1}
+
+
+def _mean(c: str) -> F.Column:
+    return fixed_mean(c, SCALES[c])
+
+
 def _mean0(c: str) -> F.Column:
-    return F.coalesce(F.avg(c), F.lit(0.0))
+    return F.coalesce(_mean(c), F.lit(0.0))
 
 
 # --- home page -------------------------------------------------------------
@@ -161,7 +171,7 @@ def gdp_kpis(gdp: DataFrame) -> DataFrame:
     latest = latest_rows(gdp)
     return latest.agg(
         F.max("reference_year").alias("latest_year"),
-        F.avg("gdp_yoy_growth_pct").alias("avg_growth"),
+        _mean("gdp_yoy_growth_pct").alias("avg_growth"),
         _best("country_name", "gdp_beur").alias("largest_country"),
         _best("gdp_beur", "gdp_beur").alias("largest_gdp_beur"),
         _best("country_name", "gdp_yoy_growth_pct").alias("fastest_country"),
@@ -171,25 +181,25 @@ def gdp_kpis(gdp: DataFrame) -> DataFrame:
 def unemployment_kpis(unem: DataFrame) -> DataFrame:
     latest = latest_rows(unem).agg(
         F.max("reference_year").alias("latest_year"),
-        F.avg("unemployment_rate").alias("avg_rate"),
+        _mean("unemployment_rate").alias("avg_rate"),
         _best("country_name", "unemployment_rate", largest=False).alias("lowest_country"),
         _best("unemployment_rate", "unemployment_rate", largest=False).alias("lowest_rate"),
         _best("country_name", "unemployment_rate").alias("highest_country"),
         _best("unemployment_rate", "unemployment_rate").alias("highest_rate"),
-        F.avg("unemp_yoy_change").alias("avg_yoy_change"))
-    overall = unem.agg(F.avg("unemployment_rate").alias("overall_mean"))
+        _mean("unemp_yoy_change").alias("avg_yoy_change"))
+    overall = unem.agg(_mean("unemployment_rate").alias("overall_mean"))
     return join_one_row(latest, overall)
 
 
 def energy_kpis(energy: DataFrame) -> DataFrame:
     latest = latest_rows(energy).agg(
         F.max("reference_year").alias("latest_year"),
-        F.avg("energy_intensity").alias("avg_intensity"),
+        _mean("energy_intensity").alias("avg_intensity"),
         _best("country_name", "energy_intensity", largest=False).alias("most_efficient"),
         _best("energy_intensity", "energy_intensity", largest=False).alias("most_efficient_value"),
         _best("country_name", "energy_intensity").alias("least_efficient"),
         _best("energy_intensity", "energy_intensity").alias("least_efficient_value"))
-    by_year = energy.groupBy("reference_year").agg(F.avg("energy_intensity").alias("_a"))
+    by_year = energy.groupBy("reference_year").agg(_mean("energy_intensity").alias("_a"))
     ends = by_year.agg(F.min("reference_year").alias("first_year"),
                        F.max("reference_year").alias("last_year"),
                        F.min_by("_a", "reference_year").alias("_a0"),
@@ -227,7 +237,7 @@ def composite_kpis(comp: DataFrame) -> DataFrame:
     latest = composite_latest(comp)
     return latest.agg(
         F.max("reference_year").alias("latest_year"),
-        F.avg("composite_score").alias("avg_score"),
+        _mean("composite_score").alias("avg_score"),
         _best("country_name", "composite_score").alias("top_country"),
         _best("composite_score", "composite_score").alias("top_score"),
         _best("country_name", "composite_score", largest=False).alias("bottom_country"),
