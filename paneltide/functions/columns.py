@@ -111,4 +111,5 @@ def fixed_mean(c: str | Column, scale: int) -> Column:
     x = col_or(c)
     f = 10 ** scale
     total = F.sum(F.round(x * F.lit(f)).cast("long")).cast("double")
-    return total / F.lit(float(f)) / F.count(x)
+    # one division: the correctly rounded value of the exact rational mean
+    return total / (F.lit(float(f)) * F.count(x))

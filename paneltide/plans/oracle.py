@@ -414,10 +414,10 @@ ORACLE: dict[str, str] = {
   ORDER BY detected_at DESC NULLS LAST, dataset, country_code, year, z_score DESC NULLS LAST
   LIMIT {P.recent_alerts}"""),
     "home_kpis": q(f"""
-  SELECT COALESCE((CAST(SUM(CAST(round(gdp_yoy_growth_pct * 100) AS BIGINT)) AS DOUBLE) / 100.0 / COUNT(gdp_yoy_growth_pct)), 0.0) AS avg_gdp_growth,
-         COALESCE((CAST(SUM(CAST(round(unemployment_rate * 100) AS BIGINT)) AS DOUBLE) / 100.0 / COUNT(unemployment_rate)), 0.0) AS avg_unemployment,
-         COALESCE((CAST(SUM(CAST(round(energy_intensity * 1000) AS BIGINT)) AS DOUBLE) / 1000.0 / COUNT(energy_intensity)), 0.0) AS avg_energy,
-         COALESCE((CAST(SUM(CAST(round(composite_score * 10) AS BIGINT)) AS DOUBLE) / 10.0 / COUNT(composite_score)), 0.0) AS avg_composite,
+  SELECT COALESCE((CAST(SUM(CAST(round(gdp_yoy_growth_pct * 100) AS BIGINT)) AS DOUBLE) / (CAST(100 AS DOUBLE) * COUNT(gdp_yoy_growth_pct))), 0.0) AS avg_gdp_growth,
+         COALESCE((CAST(SUM(CAST(round(unemployment_rate * 100) AS BIGINT)) AS DOUBLE) / (CAST(100 AS DOUBLE) * COUNT(unemployment_rate))), 0.0) AS avg_unemployment,
+         COALESCE((CAST(SUM(CAST(round(energy_intensity * 1000) AS BIGINT)) AS DOUBLE) / (CAST(1000 AS DOUBLE) * COUNT(energy_intensity))), 0.0) AS avg_energy,
+         COALESCE((CAST(SUM(CAST(round(composite_score * 10) AS BIGINT)) AS DOUBLE) / (CAST(10 AS DOUBLE) * COUNT(composite_score))), 0.0) AS avg_composite,
          COALESCE({_best('country_name', 'composite_score', 'sel_latest')}, '') AS top_country,
          COALESCE({_best('composite_score', 'composite_score', 'sel_latest')}, 0.0) AS top_score
   FROM sel_latest"""),
@@ -438,7 +438,7 @@ ORACLE: dict[str, str] = {
   FROM sel_latest WHERE composite_score IS NOT NULL"""),
     "gdp_kpis": q(f"""
   WITH l AS (SELECT * FROM api_gdp WHERE reference_year = (SELECT max(reference_year) FROM api_gdp))
-  SELECT max(reference_year) AS latest_year, (CAST(SUM(CAST(round(gdp_yoy_growth_pct * 100) AS BIGINT)) AS DOUBLE) / 100.0 / COUNT(gdp_yoy_growth_pct)) AS avg_growth,
+  SELECT max(reference_year) AS latest_year, (CAST(SUM(CAST(round(gdp_yoy_growth_pct * 100) AS BIGINT)) AS DOUBLE) / (CAST(100 AS DOUBLE) * COUNT(gdp_yoy_growth_pct))) AS avg_growth,
          {_best('country_name', 'gdp_beur', 'l')} AS largest_country,
          {_best('gdp_beur', 'gdp_beur', 'l')} AS largest_gdp_beur,
          {_best('country_name', 'gdp_yoy_growth_pct', 'l')} AS fastest_country,
@@ -448,26 +448,26 @@ ORACLE: dict[str, str] = {
     "heatmap_gdp": q(_heatmap("api_gdp", "gdp_yoy_growth_pct")),
     "unemployment_kpis": q(f"""
   WITH l AS (SELECT * FROM api_unem WHERE reference_year = (SELECT max(reference_year) FROM api_unem))
-  SELECT max(reference_year) AS latest_year, (CAST(SUM(CAST(round(unemployment_rate * 100) AS BIGINT)) AS DOUBLE) / 100.0 / COUNT(unemployment_rate)) AS avg_rate,
+  SELECT max(reference_year) AS latest_year, (CAST(SUM(CAST(round(unemployment_rate * 100) AS BIGINT)) AS DOUBLE) / (CAST(100 AS DOUBLE) * COUNT(unemployment_rate))) AS avg_rate,
          {_best('country_name', 'unemployment_rate', 'l', False)} AS lowest_country,
          {_best('unemployment_rate', 'unemployment_rate', 'l', False)} AS lowest_rate,
          {_best('country_name', 'unemployment_rate', 'l')} AS highest_country,
          {_best('unemployment_rate', 'unemployment_rate', 'l')} AS highest_rate,
-         (CAST(SUM(CAST(round(unemp_yoy_change * 100) AS BIGINT)) AS DOUBLE) / 100.0 / COUNT(unemp_yoy_change)) AS avg_yoy_change,
-         (SELECT (CAST(SUM(CAST(round(unemployment_rate * 100) AS BIGINT)) AS DOUBLE) / 100.0 / COUNT(unemployment_rate)) FROM api_unem) AS overall_mean
+         (CAST(SUM(CAST(round(unemp_yoy_change * 100) AS BIGINT)) AS DOUBLE) / (CAST(100 AS DOUBLE) * COUNT(unemp_yoy_change))) AS avg_yoy_change,
+         (SELECT (CAST(SUM(CAST(round(unemployment_rate * 100) AS BIGINT)) AS DOUBLE) / (CAST(100 AS DOUBLE) * COUNT(unemployment_rate))) FROM api_unem) AS overall_mean
   FROM l"""),
     "heatmap_unemployment": q(_heatmap("api_unem", "unemployment_rate")),
     "rank_unemployment": q(_ranking("api_unem", ["unemployment_rate", "unemp_yoy_change"])),
     "energy_kpis": q(f"""
   WITH l AS (SELECT * FROM api_energy
              WHERE reference_year = (SELECT max(reference_year) FROM api_energy)),
-  by_year AS (SELECT reference_year, (CAST(SUM(CAST(round(energy_intensity * 1000) AS BIGINT)) AS DOUBLE) / 1000.0 / COUNT(energy_intensity)) AS a FROM api_energy GROUP BY 1),
+  by_year AS (SELECT reference_year, (CAST(SUM(CAST(round(energy_intensity * 1000) AS BIGINT)) AS DOUBLE) / (CAST(1000 AS DOUBLE) * COUNT(energy_intensity))) AS a FROM api_energy GROUP BY 1),
   ends AS (SELECT min(reference_year) AS y0, max(reference_year) AS y1,
                   (SELECT a FROM by_year ORDER BY reference_year ASC LIMIT 1) AS a0,
                   (SELECT a FROM by_year ORDER BY reference_year DESC LIMIT 1) AS a1
            FROM by_year)
   SELECT (SELECT max(reference_year) FROM l) AS latest_year,
-         (SELECT (CAST(SUM(CAST(round(energy_intensity * 1000) AS BIGINT)) AS DOUBLE) / 1000.0 / COUNT(energy_intensity)) FROM l) AS avg_intensity,
+         (SELECT (CAST(SUM(CAST(round(energy_intensity * 1000) AS BIGINT)) AS DOUBLE) / (CAST(1000 AS DOUBLE) * COUNT(energy_intensity))) FROM l) AS avg_intensity,
          {_best('country_name', 'energy_intensity', 'l', False)} AS most_efficient,
          {_best('energy_intensity', 'energy_intensity', 'l', False)} AS most_efficient_value,
          {_best('country_name', 'energy_intensity', 'l')} AS least_efficient,
@@ -489,7 +489,7 @@ ORACLE: dict[str, str] = {
              WHERE reference_year = (SELECT max(reference_year) FROM api_comp)
              QUALIFY row_number() OVER (PARTITION BY country_name
                                         ORDER BY composite_score DESC NULLS LAST, country_code) = 1)
-  SELECT max(reference_year) AS latest_year, (CAST(SUM(CAST(round(composite_score * 10) AS BIGINT)) AS DOUBLE) / 10.0 / COUNT(composite_score)) AS avg_score,
+  SELECT max(reference_year) AS latest_year, (CAST(SUM(CAST(round(composite_score * 10) AS BIGINT)) AS DOUBLE) / (CAST(10 AS DOUBLE) * COUNT(composite_score))) AS avg_score,
          {_best('country_name', 'composite_score', 'l')} AS top_country,
          {_best('composite_score', 'composite_score', 'l')} AS top_score,
          {_best('country_name', 'composite_score', 'l', False)} AS bottom_country,

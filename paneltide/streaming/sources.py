@@ -25,10 +25,12 @@ def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
 
 
 def stage_messages(messages: DataFrame, path: str, order_col: str | None = None,
-                   files: int = 4) -> None:
+                   files: int | None = None) -> None:
     """Write message text as JSON-lines files, range-partitioned on the event
-    time so that each file covers one ordered slice of time."""
+    time so that each file covers one ordered slice of time. The number of
+    files follows the session's shuffle partitioning unless given."""
     df = messages
     if order_col:
-        df = df.repartitionByRange(files, order_col).sortWithinPartitions(order_col)
+        df = (df.repartitionByRange(files, order_col) if files
+              else df.repartitionByRange(order_col)).sortWithinPartitions(order_col)
     df.select("value").write.mode("overwrite").text(path)

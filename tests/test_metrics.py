@@ -73,3 +73,24 @@ def test_processed_table_layout(spark):
                            "gdp_meur", "loaded_at", "gdp_beur", "yoy_change", "yoy_growth_pct",
                            "z_score", "reference_date"]
     assert out.select(F.col("gdp_beur")).first()[0] == 1.5
+
+
+def test_series_stats_match_sample_statistics_and_ignore_order(spark):
+    import statistics
+    vals = [3.1, 0.7, 12.25, 5.5, 8.0, 1.05, 9.9]
+    rows = [("g", "DE", 2000 + i, v) for i, v in enumerate(vals)] + [("g", "FR", 2000, 4.0)]
+    a = {r["country_code"]: (r["mean"], r["std_dev"]) for r in
+         metrics.series_stats(_panel(spark, rows)).collect()}
+    b = {r["country_code"]: (r["mean"], r["std_dev"]) for r in
+         metrics.series_stats(_panel(spark, list(reversed(rows))).repartition(3)).collect()}
+    assert a == b  # bit-identical whatever the row order / partitioning
+    assert abs(a["DE"][0] - statistics.mean(vals)) < 1e-12
+    assert abs(a["DE"][1] - statistics.stdev(vals)) < 1e-12
+    assert a["FR"] == (4.0, None)  # one value: no sample stddev
+
+
+def test_fixed_mean_is_exact_for_fixed_point_values(spark):
+    from paneltide.functions.columns import fixed_mean
+    df = spark.createDataFrame([(0.1,), (0.2,), (0.3,), (None,)], "x double")
+    assert df.agg(fixed_mean("x", 1)).first()[0] == 0.2
+    assert df.repartition(3).agg(fixed_mean("x", 1)).first()[0] == 0.2
