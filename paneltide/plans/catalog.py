@@ -336,7 +336,8 @@ def event_driven_anomalies(spark, base):
     ev = ingestion_events(r)
     names = spark.createDataFrame([(n, i) for i, n in enumerate(r.params.ingestion_events)],
                                   "dataset string, _ord int")
-    # requested names carry the matching dataset summary (zero rows -> zero count)
+    # requested names carry the matching dataset summary (zero rows -> zero count);
+    # the summaries hold one row per dataset plus the full-pipeline row (bounded)
     evs = names.join(F.broadcast(ev), "dataset", "left").select(
         "_ord", F.to_json(F.struct("dataset", F.coalesce("record_count", F.lit(0)).alias(
             "record_count"), "countries", "year_range", "timestamp",
