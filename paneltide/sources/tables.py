@@ -50,12 +50,3 @@ def read_table(spark: SparkSession, base: str, name: str,
         reader = reader.schema(SCHEMAS[name])
     df = reader.parquet(table_path(base, name))
     return df.select(*columns) if columns else df
-
-
-def read_or_empty(spark: SparkSession, path: str, schema: StructType,
-                  fmt: str = "parquet", **options) -> DataFrame:
-    """A failed or missing load yields an empty frame of the expected schema."""
-    try:
-        return spark.read.format(fmt).schema(schema).options(**options).load(path)
-    except Exception:  # noqa: BLE001 - tolerate a missing landing path
-        return spark.createDataFrame([], schema)
