@@ -45,7 +45,7 @@ def unpivot_wide(wide: DataFrame, start: int, end: int, load_date) -> DataFrame:
         return (wide.select(*[F.col(f"`{d}`") for d in dims])
                 .withColumn("year", F.lit(None).cast("int"))
                 .withColumn("value", F.lit(None).cast("double"))
-                .withColumn("loaded_at", F.lit(load_date)).limit(0))
+                .withColumn("loaded_at", F.lit(load_date)).where(F.lit(False)))
     long = wide.select(*[F.col(f"`{c}`").cast("string").alias(c) if c in years
                          else F.col(f"`{c}`") for c in wide.columns]) \
         .unpivot([F.col(f"`{d}`") for d in dims], [F.col(f"`{y}`") for y in years],

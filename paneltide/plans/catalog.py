@@ -352,7 +352,7 @@ def event_driven_anomalies(spark, base):
 def sink_overwrite(spark, base):
     r = _run(spark, base)
     path = scratch_path(spark, "combined")
-    sinks.write_overwrite(r.combined.limit(0), path)  # an earlier (empty) version
+    sinks.write_overwrite(spark.createDataFrame([], r.combined.schema), path)  # earlier version
     sinks.write_overwrite(r.combined, path)            # replaced by the full refresh
     return sinks.read_back(spark, path, r.combined.columns)
 
