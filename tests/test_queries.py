@@ -12,7 +12,9 @@ TABLES = ["region", "nation", "customer", "supplier", "part", "orders", "lineite
 FAST = ["panel_union", "dedupe_latest", "combined_indicators", "composite_index",
         "mart_country_latest", "anomaly_alerts", "event_alerts", "land_geo_filter",
         "api_recent_alerts", "home_ranking", "composite_kpis", "energy_kpis", "dq_report",
-        "heatmap_gdp", "ingestion_event_json"]
+        "heatmap_gdp", "ingestion_event_json", "land_unpivot", "stg_inflation_raw",
+        "process_panel", "int_yoy_deltas", "composite_components", "layout_partitioned",
+        "csv_export", "stream_alert_records", "event_driven_anomalies"]
 
 
 def _norm(v):
