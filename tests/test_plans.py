@@ -45,3 +45,19 @@ def test_dimension_lookup_is_not_a_join(spark):
     plan = _plan(E.queries()["event_alerts"](spark, SF_SMALL))
     assert "element_at" in plan or "try_element_at" in plan
     assert plan.count("Join") == 1  # only the checked broadcast of the statistics
+
+
+def test_partitioned_layout_prunes_on_year(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from paneltide.sources import sinks
+    df = spark.createDataFrame([(y, c, 1.0) for y in (2000, 2001, 2002) for c in ("DE", "FR")],
+                               "reference_year int, country_code string, v double")
+    path = str(tmp_path / "m")
+    sinks.write_partitioned(df, path, "reference_year", ["country_code"])
+    q = spark.read.parquet(path).filter((F.col("reference_year") >= 2001)
+                                        & (F.col("country_code") == "DE"))
+    plan = _plan(q)
+    assert re.search(r"PartitionFilters: \[[^\]]*reference_year", plan)
+    assert re.search(r"PushedFilters: \[[^\]]*country_code", plan)
+    assert q.count() == 2
