@@ -67,3 +67,20 @@ def test_alert_message_round_trip(spark):
         "mean double, std_dev double, severity string, detected_at timestamp_ntz")
     back = anomalies.parse_alert_messages(anomalies.alert_messages(alerts)).first()
     assert back["value"] == 0.0 and back["z_score"] == 2.5 and back["detected_at"] == ts
+
+
+def test_event_detection_hot_type_same_on_salted_path(spark):
+    """One event type holds most rows: the salted join (used beyond the
+    broadcast limit) gives exactly the broadcast path's alerts."""
+    import random
+    rnd = random.Random(7)
+    rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i % 40,
+             "hot" if i % 10 else "cold", round(rnd.gauss(50, 10) + (90 if i % 97 == 0 else 0), 2),
+             "{}") for i in range(3000)]
+    ev = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, "
+                                     "event_type string, value double, props string")
+    a = sorted(tuple(r) for r in anomalies.detect_event_anomalies(ev, spark, P).collect())
+    b = sorted(tuple(r) for r in anomalies.detect_event_anomalies(
+        ev, spark, P.with_(broadcast_max_rows=0, salt_buckets=8)).collect())
+    assert a == b and len(a) > 0
+    assert {r[0] for r in a} <= {"hot", "cold"}
