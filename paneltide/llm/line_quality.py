@@ -109,6 +109,9 @@ def clean(docs: DataFrame, rules: LineRules = LineRules()) -> DataFrame:
     ``n_chars``, where present, counted anew); all columns of ``docs`` stay."""
     row = fresh(docs, "row")
     m = _measured(docs, [F.struct(*(docs[c] for c in docs.columns)).alias(row)], F.col("text"), rules)
-    new = {"text": F.col("_cleaned"), "n_chars": F.length("_cleaned").cast("long")}
-    return m.filter("_ok").select(*(new[c].alias(c) if c in new else F.col(row)[c].alias(c)
-                                    for c in docs.columns))
+    # a generator, not a filter: a filter on the verdict would be pushed down and every
+    # measure computed once more for it
+    passed = F.when(F.col("_ok"), F.array("_cleaned")).otherwise(F.array().cast("array<string>"))
+    m = m.select(row, F.explode(passed).alias("_cleaned"))
+    new = {"text": F.col("_cleaned"), "n_chars": F.char_length("_cleaned").cast("long")}
+    return m.select(*(new[c].alias(c) if c in new else F.col(row)[c].alias(c) for c in docs.columns))
