@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paneltide.llm.common import fresh
+from paneltide.llm.common import fresh, ready
 
 MIN_WORDS = 5
 
@@ -59,7 +59,9 @@ def cuts(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", te
     return again.groupBy("_row").agg(F.array_sort(F.collect_list("line")).alias("lines"))
 
 
-@F.pandas_udf("text string, n_chars bigint, starts array<bigint>, lengths array<bigint>")
+REBUILT = "text string, n_chars bigint, starts array<bigint>, lengths array<bigint>"
+
+
 def _without(texts: pd.Series, lines: pd.Series) -> pd.DataFrame:
     """Each text without its listed lines, and where those stood."""
     out = []
@@ -79,10 +81,11 @@ def dedupe(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
     counted anew if something was cut) and one more column ``cut``: array of
     (line from 0, start, length) of what was removed, in code points of the
     original text. If ``docs`` has a column ``cut``, the new one is ``cut_``."""
+    ready(docs.sparkSession)
     row, lines, new = (fresh(docs, c) for c in ("row_", "lines_", "new_"))
     found = cuts(docs, min_words).select(F.col("_row").alias(row), F.col("lines").alias(lines))
     out = docs.withColumn(row, F.monotonically_increasing_id()).join(found, row, "left")
-    out = out.withColumn(new, _without(F.col("text"), F.col(lines)))
+    out = out.withColumn(new, F.pandas_udf(_without, REBUILT)(F.col("text"), F.col(lines)))
     spans = F.arrays_zip(F.coalesce(lines, F.array().cast("array<int>")).alias("line"),
                          F.col(new)["starts"].alias("start"), F.col(new)["lengths"].alias("length"))
     changed = {"text": F.col(new)["text"],

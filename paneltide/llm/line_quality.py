@@ -25,7 +25,7 @@ class LineRules:
     """Parameters of the rules."""
     min_words: int = 50                 # base rule
     max_repeat_percent: int = 50        # base rule
-    line_end: str = "[.!?:;,…\"'”’»)\\]}*_-]$"
+    line_end: str = "[.!?:;,…\"'”’»)\\]}*_-]\\z"
     max_symbol_share: float = 0.05      # symbols among the characters of a line
     max_separators: int = 2             # navigation: '|', bullets, chevrons
     separators: str = "[|•›»·]"

@@ -1,2 +1,81 @@
-"""DuckDB SQL of the operators that SQL can express."""
-ORACLE: dict[str, str] = {}
+"""DuckDB SQL of the operators that SQL can express, from the same parameters."""
+from paneltide.llm import license_scan, line_dedup, line_quality
+
+_R = line_quality.LineRules()
+_WORD, _SPACE = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]"
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
+LINE_QUALITY = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+w AS (SELECT r, regexp_extract_all(t, {_quoted(_WORD + '+')}) AS ws FROM d),
+tri AS (SELECT r, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS g
+        FROM (SELECT r, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)),
+dup AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM tri) WHERE n > 1),
+cov AS (SELECT r, count(DISTINCT i + k) AS n FROM dup, (VALUES (0), (1), (2)) v(k) GROUP BY r),
+l AS (SELECT r, unnest(string_split(t, chr(10))) AS line FROM d),
+f AS (SELECT r, line, trim(line) AS s, regexp_matches(line, {_quoted(_WORD)}) AS full_line,
+             length(regexp_replace(line, {_quoted(_SPACE + '+')}, '', 'g')) AS c FROM l),
+j AS (SELECT *, NOT full_line OR (regexp_matches(s, {_quoted(_R.line_end)})
+             AND length(s) - length(regexp_replace(s, {_quoted(line_quality.SYMBOLS)}, '', 'g'))
+                 <= length(s) * {_R.max_symbol_share}::DOUBLE
+             AND length(s) - length(regexp_replace(s, {_quoted(_R.separators)}, '', 'g')) <= {_R.max_separators}
+             AND length(s) - length(replace(s, '!!', '')) <= {2 * _R.max_shouts}
+             AND NOT regexp_matches(lower(s), {_quoted(_R.boilerplate)})) AS passes FROM f),
+m AS (SELECT r, count(*) FILTER (NOT passes) AS lines_removed, coalesce(sum(c) FILTER (NOT passes), 0) AS chars_removed,
+             sum(c) AS word_chars, count(*) FILTER (full_line) - count(DISTINCT line) FILTER (full_line) AS n_dup_lines
+      FROM j GROUP BY r),
+a AS (SELECT d.doc_id, len(ws)::BIGINT AS n_words, word_chars::BIGINT AS word_chars,
+             (length(t) - length(regexp_replace(t, {_quoted(line_quality.SYMBOLS)}, '', 'g')))::BIGINT AS n_symbols,
+             n_dup_lines::BIGINT AS n_dup_lines, coalesce(cov.n, 0)::BIGINT AS n_repeat_words,
+             lines_removed::BIGINT AS lines_removed, chars_removed::BIGINT AS chars_removed
+      FROM d JOIN w USING (r) JOIN m USING (r) LEFT JOIN cov USING (r))
+SELECT *, n_words < {_R.min_words} OR n_repeat_words * 100 > n_words * {_R.max_repeat_percent} AS base_failed,
+       NOT (n_words < {_R.min_words} OR n_repeat_words * 100 > n_words * {_R.max_repeat_percent})
+       AND chars_removed <= word_chars * {_R.max_lost_share}::DOUBLE AS kept
+FROM a
+"""
+
+_T = ", ".join(f"({i}, {_quoted(n)}, {_quoted(t)})" for i, (n, t) in enumerate(license_scan.TEMPLATES))
+_t = license_scan.THRESHOLD
+LICENSE_SCAN = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, string_split(coalesce(text, ''), chr(10)) AS ls FROM documents),
+u AS (SELECT r, unnest(range(0, len(ls) + CASE WHEN len(ls) > 1 THEN 1 ELSE 0 END)) AS k, ls FROM d),
+un AS (SELECT r, k, len(ls) AS n, CASE WHEN k < len(ls) THEN ls[k + 1] ELSE array_to_string(ls, chr(10)) END AS t FROM u),
+uw AS (SELECT r, k, n, list_filter(regexp_split_to_array(lower(t), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w FROM un),
+ub AS (SELECT r, k, n, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS b FROM uw),
+tw AS (SELECT i, name, list_filter(regexp_split_to_array(lower(t), '[^\p{{L}}\p{{N}}]+'), lambda x: x <> '') AS w
+       FROM (VALUES {_T}) v(i, name, t)),
+tb AS (SELECT i, name, list_distinct(list_transform(range(1, len(w)), lambda j: w[j] || ' ' || w[j + 1])) AS g FROM tw),
+h AS (SELECT r, k, n, i, name, 2.0::DOUBLE * len(list_intersect(b, g)) / (len(b) + len(g)) AS dice
+      FROM ub JOIN tb ON len(b) BETWEEN len(g) * {_t} / (2 - {_t}) - 1e-9 AND len(g) * (2 - {_t}) / {_t} + 1e-9),
+x AS (SELECT * FROM h WHERE dice >= {_t}::DOUBLE),
+best AS (SELECT r, name, dice, CASE WHEN k < n THEN k + 1 ELSE 0 END AS line FROM x
+         QUALIFY row_number() OVER (PARTITION BY r ORDER BY dice DESC, i, k) = 1),
+c AS (SELECT r, count(DISTINCT k) AS n_lines FROM x WHERE k < n GROUP BY r)
+SELECT d.doc_id, best.name AS license, best.dice, best.line::BIGINT AS line, coalesce(c.n_lines, 0)::BIGINT AS n_lines
+FROM d LEFT JOIN best USING (r) LEFT JOIN c USING (r)
+"""
+
+LINE_DEDUP = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
+l AS (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line,
+             generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d WHERE text IS NOT NULL),
+n AS (SELECT *, trim(regexp_replace(lower(line), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS norm,
+             coalesce(sum(length(line) + 1) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM l),
+k AS (SELECT *, norm <> '' AND len(string_split(norm, ' ')) >= {line_dedup.MIN_WORDS}
+             AND row_number() OVER (PARTITION BY norm ORDER BY doc_id NULLS LAST, r, i) > 1 AS cut FROM n),
+g AS (SELECT r, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT cut), '') AS text, count(*) FILTER (cut) AS n_cut,
+             coalesce(sum(length(line)) FILTER (cut), 0) AS chars_cut,
+             coalesce(string_agg(start::BIGINT || ':' || length(line), ',' ORDER BY i) FILTER (cut), '') AS cut_spans
+      FROM k GROUP BY r)
+SELECT d.doc_id, g.text, coalesce(n_cut, 0)::BIGINT AS n_cut, coalesce(chars_cut, 0)::BIGINT AS chars_cut,
+       coalesce(cut_spans, '') AS cut_spans
+FROM d LEFT JOIN g USING (r)
+"""
+
+ORACLE: dict[str, str] = {"op5_line_quality": LINE_QUALITY, "op7_license_scan": LICENSE_SCAN, "op8_line_dedup": LINE_DEDUP}
