@@ -2,15 +2,14 @@
 F10, F17, F23, J8)."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (DoubleType, IntegerType, LongType, StringType, StructField,
                                StructType, TimestampNTZType)
 
 from paneltide.functions import constants as K
-from paneltide.functions.columns import safe_div, severity
-from paneltide.operators.joins import join_checked
-from paneltide.operators.metrics import series_stats
+from paneltide.functions.columns import severity
+from paneltide.operators.metrics import series_stats, z_score
 from paneltide.params import Params
 from paneltide.sources.dimension import code_of_index
 
@@ -55,36 +54,34 @@ def detect_panel_anomalies(panel: DataFrame, params: Params,
                            keys: tuple[str, ...] = ("dataset", "country_code")) -> DataFrame:
     """|z| > threshold per series, the top-k by |z| per dataset.
 
-    Series statistics come from ``series_stats`` (a whole-series window in a
-    fixed summation order): a series is bounded by its year span. The top-k is ``row_number() <= k`` per dataset, planned as a
+    The top-k is ``row_number() <= k`` per dataset, planned as a
     WindowGroupLimit that keeps k rows per dataset per partition before the
     shuffle, so a dataset holding most rows never reaches one task whole.
     """
     base = panel.select("dataset", "country_code", "year", "value")
-    scored = (series_stats(base, "value", list(keys))
-              .withColumn("z_score", safe_div(F.col("value") - F.col("mean"),
-                                              F.nullif(F.col("std_dev"), F.lit(0))))
-              .filter(F.abs("z_score") > params.z_threshold))
+    scored = base.select("*", *[c.alias(n) for n, c in series_stats(keys).items()]) \
+        .withColumn("z_score", z_score(F.col("value"), F.col("mean"), F.col("std_dev"))) \
+        .filter(F.abs("z_score") > params.z_threshold)
     rank = Window.partitionBy("dataset").orderBy(F.abs("z_score").desc(), F.col("country_code"),
                                                  F.col("year"))
     top = scored.withColumn("_rn", F.row_number().over(rank)).filter(F.col("_rn") <= params.top_k)
     return _finish(top, params)
 
 
-def detect_event_anomalies(events: DataFrame, spark: SparkSession, params: Params) -> DataFrame:
+def detect_event_anomalies(events: DataFrame, params: Params) -> DataFrame:
     """Alerts over raw events: z-score of ``value`` within its event type.
 
-    Groups here are unbounded (an event type can hold a third of all rows),
-    so the statistics are a partial+final aggregate joined back with a
-    size-checked broadcast (salted shuffle join beyond the limit) instead of
-    a whole-group window. Country = dimension entry ``user_id mod 25``.
+    Groups here are unbounded (an event type can hold a third of all rows), so
+    the statistics are a partial+final aggregate, one row per type, joined back
+    instead of a whole-group window; AQE broadcasts them by their measured size
+    or else splits the hot type's partitions. Country = dimension entry
+    ``user_id mod 25``.
     """
     ev = events.select("event_type", "user_id", "ts", "value")
     stats = ev.groupBy("event_type").agg(F.avg("value").alias("mean"),
                                          F.stddev("value").alias("std_dev"))
-    j = join_checked(ev, stats, ["event_type"], params)
-    scored = (j.withColumn("z_score", safe_div(F.col("value") - F.col("mean"),
-                                               F.nullif(F.col("std_dev"), F.lit(0))))
+    scored = (ev.join(stats, "event_type")
+              .withColumn("z_score", z_score(F.col("value"), F.col("mean"), F.col("std_dev")))
               .filter(F.abs("z_score") > params.z_threshold)
               .withColumn("country_code", code_of_index(F.pmod(F.col("user_id"), F.lit(25))))
               .filter(F.col("country_code").isNotNull())
@@ -107,15 +104,11 @@ def parse_alert_messages(messages: DataFrame, col: str = "value") -> DataFrame:
             .select("m.*"))
 
 
-def dataset_map(spark: SparkSession) -> DataFrame:
-    """The four dispatchable tables (fixed size: broadcast is bounded)."""
-    return F.broadcast(spark.createDataFrame([(d,) for d in K.DATASETS], "table string"))
-
-
-def dispatch(events: DataFrame, spark: SparkSession, dataset_col: str = "dataset") -> DataFrame:
+def dispatch(events: DataFrame, dataset_col: str = "dataset") -> DataFrame:
     """Request -> tables: a name containing ``full_pipeline`` selects all
-    tables, an exact table name selects itself, anything else nothing."""
-    m = dataset_map(spark)
-    cond = (F.col(dataset_col).contains(K.FULL_PIPELINE_MARKER)
-            | (F.col(dataset_col) == F.col("table")))
-    return events.join(m, cond, "inner")
+    tables, an exact table name selects itself, anything else nothing. The
+    tables of a request are exploded from an array: no join."""
+    c = F.col(dataset_col)
+    own = F.when(c.isin(K.DATASETS), F.array(c))
+    tables = F.when(c.contains(K.FULL_PIPELINE_MARKER), F.array(*map(F.lit, K.DATASETS))).otherwise(own)
+    return events.select("*", F.explode(tables).alias("table"))

@@ -56,12 +56,28 @@ def unpivot_wide(wide: DataFrame, start: int, end: int, load_date) -> DataFrame:
             .withColumn("loaded_at", F.lit(load_date)))
 
 
+# names that a wide file may give to the dimensions of an extraction slice
+SLICE_COLUMNS = {"unit": ("unit",), "indicator": ("na_item", "coicop", "indicator"),
+                 "age_group": ("age", "age_group"), "sex": ("sex",)}
+
+
+def extraction_filter(long: DataFrame, dataset: str, extra: dict[str, str] | None = None) -> DataFrame:
+    """Keep the rows of the dataset's extraction: every dimension that the file has
+    must hold the wanted value (``extra``: more file columns, such as ``coicop``)."""
+    wanted = {c: v for d, v in K.DATASET_SLICES[dataset].items() for c in SLICE_COLUMNS[d]
+              if (d, c) != ("indicator", "coicop")} | (extra or {})
+    for c, v in wanted.items():
+        if c in long.columns:
+            long = long.filter(strip_ws(F.col(f"`{c}`").cast("string")) == v)
+    return long
+
+
 def geo_filter(long: DataFrame, spark: SparkSession, dataset: str,
                defaults: dict[str, str] | None = None) -> DataFrame:
-    """Trim the geo code, keep known countries (broadcast join to the fixed
-    27-row dimension), add the name and the dataset's constant columns."""
+    """Keep the extraction slice, trim the geo code, keep known countries (fixed
+    27-entry lookup), add the name and the dataset's constant columns."""
     geo = geo_column(long.columns)
-    df = (long.withColumn("country_code", strip_ws(F.col(f"`{geo}`")))
+    df = (extraction_filter(long, dataset, defaults).withColumn("country_code", strip_ws(F.col(f"`{geo}`")))
           .withColumn("country_name", name_of_code(F.col("country_code")))
           .filter(F.col("country_name").isNotNull()))
     spec = dict(K.DATASET_SLICES[dataset])

@@ -1,79 +1,63 @@
 """Per-series metrics: year-over-year deltas and z-scores.
 
-A series is one (dataset, country) time line. After the panel aggregation it
-holds at most one row per year and load, so a whole-series window is bounded
-by the year span; lag and the series statistics share one WindowSpec and
-therefore one shuffle and one sort.
+A series is one (dataset, country) time line. All measures of a row come from
+one partitioning and sort of its series: the previous row for the deltas, and
+mean and deviation over the whole series in ascending order, a constant state
+per series (no array of its values is built).
 """
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from paneltide.functions import constants as K
-from paneltide.functions.columns import safe_div, year_start
-
-SERIES = ["dataset", "country_code"]
-
-
-def add_yoy(df: DataFrame, value_col: str = "value", keys: list[str] | None = None,
-            order_col: str = "year") -> DataFrame:
-    """yoy_change (unrounded) and yoy_growth_pct (2 dp, NULL when prev is 0/NULL).
-
-    Row-based: a gap year compares with the previous available row.
-    """
-    w = Window.partitionBy(*(keys or SERIES)).orderBy(order_col)
-    prev = F.lag(value_col).over(w)
-    v = F.col(value_col)
-    return (df.withColumn("_prev", prev)
-            .withColumn("yoy_change", v - F.col("_prev"))
-            .withColumn("yoy_growth_pct",
-                        F.round(F.when(F.col("_prev") != 0,
-                                       safe_div(v - F.col("_prev"), F.col("_prev")) * 100), 2))
-            .drop("_prev"))
-
-
-def series_stats(df: DataFrame, value_col: str = "value", keys: list[str] | None = None,
-                 mean_col: str = "mean", std_col: str = "std_dev") -> DataFrame:
-    """Mean and sample standard deviation of each (bounded) series, computed
-    in a fixed order: the series' non-NULL values sorted ascending, summed
-    left to right, then the two-pass sum of squared deviations. The result
-    is the same bit for bit on every partitioning and run, unlike a
-    floating-point aggregate whose summation order follows the partitions.
-    NULL mean for an all-NULL series, NULL stddev below two values.
-    """
-    w = Window.partitionBy(*(keys or SERIES))
-    vals = F.array_sort(F.collect_list(value_col).over(w))
-    n = F.size("_vals").cast("double")
-    total = F.aggregate("_vals", F.lit(0.0), lambda acc, x: acc + x)
-    out = df.withColumn("_vals", vals).withColumn(mean_col, safe_div(total, n))
-    m = F.col(mean_col)
-    squares = F.aggregate("_vals", F.lit(0.0), lambda acc, x: acc + (x - m) * (x - m))
-    return (out.withColumn(std_col, F.sqrt(safe_div(squares, n - F.lit(1.0))))
-            .drop("_vals"))
-
-
-def add_zscore(df: DataFrame, value_col: str = "value", keys: list[str] | None = None,
-               out: str = "z_score", digits: int = 3) -> DataFrame:
-    """Whole-series z-score, rounded; 0 when the stddev is 0 or undefined."""
-    st = series_stats(df, value_col, keys, "_mean", "_std")
-    z = F.when(F.col("_std") != 0, safe_div(F.col(value_col) - F.col("_mean"), F.col("_std"))) \
-        .otherwise(F.lit(0.0))
-    return st.withColumn(out, F.round(z, digits)).drop("_mean", "_std")
-
-
-def add_reference_date(df: DataFrame, year_col: str = "year") -> DataFrame:
-    return df.withColumn("reference_date", year_start(year_col))
-
-
-def enrich_panel(raw: DataFrame) -> DataFrame:
-    """The batch enrichment for all datasets in one pass: yoy, z-score,
-    reference date, then the NOT NULL filter (after the windows, so NULL
-    values still occupy their row for lag)."""
-    df = add_yoy(raw)
-    df = add_zscore(df)
-    df = add_reference_date(df)
-    return df.filter(F.col("value").isNotNull())
+from paneltide.functions.columns import growth_pct, safe_div, year_start
+
+SERIES = ("dataset", "country_code")
+
+
+def _ordered(keys):
+    return Window.partitionBy(*keys).orderBy("year", "value")
+
+
+def _whole(keys):
+    """The whole series in a fixed order, so that floating-point statistics do
+    not depend on how rows arrive."""
+    return _ordered(keys).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+
+
+def yoy(keys=SERIES, value: str = "value") -> dict[str, Column]:
+    """Change (unrounded) and growth in percent (2 dp, NULL when the previous
+    value is 0 or NULL) against the previous row of the series; a gap year
+    compares with the row before the gap."""
+    now, before = F.col(value), F.lag(value).over(Window.partitionBy(*keys).orderBy("year"))
+    return {"yoy_change": now - before, "yoy_growth_pct": growth_pct(now, before)}
+
+
+def series_stats(keys=SERIES, value: str = "value") -> dict[str, Column]:
+    """Mean and sample standard deviation over the series' non-NULL values: NULL
+    mean for an all-NULL series, NULL deviation below two values."""
+    w = _whole(keys)
+    return {"mean": F.avg(value).over(w), "std_dev": F.when(
+        F.count(value).over(w) > 1, F.stddev_samp(value).over(w))}
+
+
+def z_score(value: Column, mean: Column, std_dev: Column) -> Column:
+    """NULL for a zero or undefined deviation."""
+    return safe_div(value - mean, F.nullif(std_dev, F.lit(0.0)))
+
+
+def enrich_panel(raw: DataFrame, keys=SERIES) -> DataFrame:
+    """The batch enrichment for all datasets in one pass: deltas, z-score (3 dp,
+    0 when undefined), reference date, then the NOT NULL filter (after the
+    windows, so NULL values still occupy their row for the deltas)."""
+    stats = series_stats(keys)
+    z = z_score(F.col("value"), stats["mean"], stats["std_dev"])
+    defined = F.coalesce(stats["std_dev"], F.lit(0.0)) != 0
+    return raw.select("*", *[c.alias(n) for n, c in yoy(keys).items()],
+                      F.round(F.when(defined, z).otherwise(F.lit(0.0)), 3).alias("z_score"),
+                      year_start("year").alias("reference_date")) \
+        .filter(F.col("value").isNotNull())
 
 
 PROCESSED_NAMES = {

@@ -19,10 +19,16 @@ def _pick(dataset: str, c: str) -> F.Column:
     return F.max(F.when(F.col("dataset") == dataset, F.col(c)))
 
 
-def union_panel(tables: dict[str, DataFrame]) -> DataFrame:
-    """Collect per-dataset tables into one long panel with a dataset column."""
-    frames = [df.withColumn("dataset", F.lit(name)) for name, df in tables.items()]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+def union_panel(tables: dict[str, DataFrame], columns: list[str] | None = None) -> DataFrame:
+    """Collect per-dataset tables into one long panel with a dataset column, which
+    is a literal on each branch: a filter on it removes branches from the plan.
+    With ``columns`` the panel has exactly those; a table without one gives NULL."""
+    def branch(name: str, df: DataFrame) -> DataFrame:
+        df = df.withColumn("dataset", F.lit(name))
+        return df if columns is None else df.select(*[
+            F.col(c) if c in df.columns else F.lit(None).cast("string").alias(c) for c in columns])
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True),
+                  [branch(n, d) for n, d in tables.items()])
 
 
 def country_indicators(staged: DataFrame) -> DataFrame:

@@ -29,32 +29,35 @@ def _range(df: DataFrame, start: int, end: int, countries) -> DataFrame:
 def api_gdp_trends(mart: DataFrame, start: int, end: int, countries=None) -> DataFrame:
     return (_range(mart, start, end, countries)
             .select(*_BASE, "gdp_beur", "gdp_yoy_growth_pct",
-                    to_iso2("country_code").alias("iso2"))
-            .orderBy("country_code", "reference_year"))
+                    to_iso2("country_code").alias("iso2")))
 
 
 def api_unemployment(mart: DataFrame, start: int, end: int, countries=None) -> DataFrame:
     return (_range(mart, start, end, countries)
             .select(*_BASE, "unemployment_rate",
                     F.col("unem_yoy_change").alias("unemp_yoy_change"),
-                    to_iso2("country_code").alias("iso2"))
-            .orderBy("country_code", "reference_year"))
+                    to_iso2("country_code").alias("iso2")))
 
 
 def api_energy(mart: DataFrame, start: int, end: int, countries=None) -> DataFrame:
     return (_range(mart, start, end, countries)
             .select(*_BASE, "energy_intensity",
                     F.col("energy_yoy_improvement_pct").alias("energy_yoy_improvement"),
-                    to_iso2("country_code").alias("iso2"))
-            .orderBy("country_code", "reference_year"))
+                    to_iso2("country_code").alias("iso2")))
 
 
 def api_composite(composite: DataFrame, start: int, end: int, countries=None) -> DataFrame:
     return (_range(composite, start, end, countries)
             .select(*_BASE, "gdp_score", "unemployment_score", "energy_score",
-                    "composite_score", to_iso2("country_code").alias("iso2"))
-            .orderBy(F.col("reference_year").desc(), F.col("composite_score").desc_nulls_last(),
-                     F.col("country_code")))
+                    "composite_score", to_iso2("country_code").alias("iso2")))
+
+
+def in_api_order(df: DataFrame, composite: bool = False) -> DataFrame:
+    """The order of an API answer; page datasets build on the unsorted frames."""
+    if composite:
+        return df.orderBy(F.col("reference_year").desc(), F.col("composite_score").desc_nulls_last(),
+                          F.col("country_code"))
+    return df.orderBy("country_code", "reference_year")
 
 
 def api_country_latest(latest: DataFrame, countries=None) -> DataFrame:
@@ -76,15 +79,22 @@ def api_recent_alerts(alerts: DataFrame, limit: int) -> DataFrame:
 
 # --- shared page helpers ---------------------------------------------------
 def latest_rows(df: DataFrame, year_col: str = "reference_year") -> DataFrame:
-    """Rows of the latest year (``year == max(year)``).
+    """Rows of the latest year: ``rank() = 1`` by year, planned as a
+    WindowGroupLimit, so each task passes on the rows of its latest year only."""
+    newest = F.rank().over(Window.orderBy(F.col(year_col).desc_nulls_last()))
+    return df.withColumn("_newest", newest).filter(
+        (F.col("_newest") == 1) & F.col(year_col).isNotNull()).drop("_newest")
+
 
-    The inputs are marts with one row per (country, year): at most
-    |dimension| x |year span| rows, so an unpartitioned window is bounded
-    and avoids planning the whole chain a second time for a joined-back
-    aggregate."""
-    mx = F.max(year_col).over(Window.partitionBy())
-    return df.withColumn("_max_year", mx).filter(F.col(year_col) == F.col("_max_year")) \
-        .drop("_max_year")
+def _latest_of(df: DataFrame, measures: dict[str, F.Column], parts: dict[str, F.Column] | None = None,
+               overall: dict[str, F.Column] | None = None) -> DataFrame:
+    """One aggregate by year (``measures`` and ``parts``), then the latest year's
+    measures beside ``overall`` aggregates of the yearly rows; one row."""
+    named = lambda d: [c.alias(n) for n, c in (d or {}).items()]
+    by_year = df.groupBy("reference_year").agg(F.struct(*named(measures)).alias("_m"), *named(parts))
+    return by_year.agg(F.max("reference_year").alias("latest_year"),
+                       F.max_by("_m", "reference_year").alias("_m"), *named(overall)) \
+        .select("latest_year", "_m.*", *(overall or {}))
 
 
 def _best(name: str, value: str, largest: bool = True) -> F.Column:
@@ -92,13 +102,6 @@ def _best(name: str, value: str, largest: bool = True) -> F.Column:
     return F.min_by(F.col(name), F.when(F.col(value).isNotNull(), key))
 
 
-def join_one_row(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Side-by-side combination of two single-row aggregates (equi-join on a
-    constant key; both sides hold exactly one row)."""
-    return (a.withColumn("_one", F.lit(0))
-            .join(F.broadcast(b.withColumn("_one", F.lit(0))), "_one").drop("_one"))
-
-
 # decimals carried by the mart columns the pages average (see operators/marts.py)
 SCALES = {"gdp_yoy_growth_pct": 2, "unemployment_rate": 2, "unemp_yoy_change": 2,
           "energy_intensity": 3, "composite_score": 1}
@@ -149,16 +152,11 @@ def home_ranking(latest: DataFrame) -> DataFrame:
 # --- indicator pages -------------------------------------------------------
 def ranking(latest: DataFrame, metrics: list[str]) -> DataFrame:
     """Ascending bar rankings of the latest year, one block per metric."""
-    parts = []
-    for m in metrics:
-        w = Window.orderBy(F.col(m).asc(), F.col("country_code"))
-        parts.append(latest.filter(F.col(m).isNotNull()).select(
-            F.lit(m).alias("metric"), F.row_number().over(w).alias("position"),
-            "country_code", "country_name", F.col(m).cast("double").alias("value")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    names = ["country_code", "country_name"]
+    long = latest.select(*names, *[F.col(m).cast("double").alias(m) for m in metrics]) \
+        .unpivot(names, metrics, "metric", "value").filter(F.col("value").isNotNull())
+    place = F.row_number().over(Window.partitionBy("metric").orderBy("value", "country_code"))
+    return long.select("metric", place.alias("position"), *names, "value")
 
 
 def heatmap(df: DataFrame, value_col: str, years: list[int]) -> DataFrame:
@@ -168,47 +166,40 @@ def heatmap(df: DataFrame, value_col: str, years: list[int]) -> DataFrame:
 
 
 def gdp_kpis(gdp: DataFrame) -> DataFrame:
-    latest = latest_rows(gdp)
-    return latest.agg(
-        F.max("reference_year").alias("latest_year"),
-        _mean("gdp_yoy_growth_pct").alias("avg_growth"),
-        _best("country_name", "gdp_beur").alias("largest_country"),
-        _best("gdp_beur", "gdp_beur").alias("largest_gdp_beur"),
-        _best("country_name", "gdp_yoy_growth_pct").alias("fastest_country"),
-        _best("gdp_yoy_growth_pct", "gdp_yoy_growth_pct").alias("fastest_growth_pct"))
+    return _latest_of(gdp, {
+        "avg_growth": _mean("gdp_yoy_growth_pct"),
+        "largest_country": _best("country_name", "gdp_beur"),
+        "largest_gdp_beur": _best("gdp_beur", "gdp_beur"),
+        "fastest_country": _best("country_name", "gdp_yoy_growth_pct"),
+        "fastest_growth_pct": _best("gdp_yoy_growth_pct", "gdp_yoy_growth_pct")})
 
 
 def unemployment_kpis(unem: DataFrame) -> DataFrame:
-    latest = latest_rows(unem).agg(
-        F.max("reference_year").alias("latest_year"),
-        _mean("unemployment_rate").alias("avg_rate"),
-        _best("country_name", "unemployment_rate", largest=False).alias("lowest_country"),
-        _best("unemployment_rate", "unemployment_rate", largest=False).alias("lowest_rate"),
-        _best("country_name", "unemployment_rate").alias("highest_country"),
-        _best("unemployment_rate", "unemployment_rate").alias("highest_rate"),
-        _mean("unemp_yoy_change").alias("avg_yoy_change"))
-    overall = unem.agg(_mean("unemployment_rate").alias("overall_mean"))
-    return join_one_row(latest, overall)
+    rate, scale = "unemployment_rate", 10 ** SCALES["unemployment_rate"]
+    return _latest_of(unem, {
+        "avg_rate": _mean(rate),
+        "lowest_country": _best("country_name", rate, largest=False),
+        "lowest_rate": _best(rate, rate, largest=False),
+        "highest_country": _best("country_name", rate),
+        "highest_rate": _best(rate, rate),
+        "avg_yoy_change": _mean("unemp_yoy_change"),
+    }, {"_sum": F.sum(F.round(F.col(rate) * scale).cast("long")), "_n": F.count(rate)},
+        {"overall_mean": F.sum("_sum").cast("double") / (F.lit(float(scale)) * F.sum("_n"))})
 
 
 def energy_kpis(energy: DataFrame) -> DataFrame:
-    latest = latest_rows(energy).agg(
-        F.max("reference_year").alias("latest_year"),
-        _mean("energy_intensity").alias("avg_intensity"),
-        _best("country_name", "energy_intensity", largest=False).alias("most_efficient"),
-        _best("energy_intensity", "energy_intensity", largest=False).alias("most_efficient_value"),
-        _best("country_name", "energy_intensity").alias("least_efficient"),
-        _best("energy_intensity", "energy_intensity").alias("least_efficient_value"))
-    by_year = energy.groupBy("reference_year").agg(_mean("energy_intensity").alias("_a"))
-    ends = by_year.agg(F.min("reference_year").alias("first_year"),
-                       F.max("reference_year").alias("last_year"),
-                       F.min_by("_a", "reference_year").alias("_a0"),
-                       F.max_by("_a", "reference_year").alias("_a1"))
-    imp = F.when((F.col("first_year") < F.col("last_year")) & F.col("_a0").isNotNull()
-                 & (F.col("_a0") != 0),
-                 (F.col("_a0") - F.col("_a1")) / F.col("_a0") * 100).otherwise(F.lit(0.0))
-    ends = ends.select("first_year", imp.alias("improvement_pct"))
-    return join_one_row(latest, ends)
+    e = "energy_intensity"
+    out = _latest_of(energy, {
+        "avg_intensity": _mean(e),
+        "most_efficient": _best("country_name", e, largest=False),
+        "most_efficient_value": _best(e, e, largest=False),
+        "least_efficient": _best("country_name", e),
+        "least_efficient_value": _best(e, e),
+    }, {"_a": _mean(e)}, {"first_year": F.min("reference_year"), "_a0": F.min_by("_a", "reference_year"),
+                          "_a1": F.max_by("_a", "reference_year")})
+    several = (F.col("first_year") < F.col("latest_year")) & F.col("_a0").isNotNull() & (F.col("_a0") != 0)
+    gain = F.when(several, (F.col("_a0") - F.col("_a1")) / F.col("_a0") * 100).otherwise(F.lit(0.0))
+    return out.withColumn("improvement_pct", gain).drop("_a0", "_a1")
 
 
 def energy_gdp_scatter(energy: DataFrame, gdp: DataFrame, year: int | None = None) -> DataFrame:

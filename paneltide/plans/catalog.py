@@ -11,39 +11,33 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from paneltide.functions import constants as K
 from paneltide.operators import anomalies, landing, quality, views
 from paneltide.params import TEST_PARAMS, Params
 from paneltide.plans.run import PanelRun
-from paneltide.session import scratch_path
-from paneltide.sources import sinks
+from paneltide.session import materialize, scratch_path
+from paneltide.sources import sinks, testdata
+from paneltide.sources.adapters import SourceSpec, read_source_or_empty
 from paneltide.streaming import alert_records, event_driven, window_summary
+from paneltide.streaming.jobs import landed_tables
 from paneltide.streaming.sources import file_stream, stage_messages
 
 Query = Callable[[SparkSession, str], DataFrame]
 GDP_WIDE_DIMS = {"unit": "CP_MEUR", "na_item": "B1GQ"}
 
 
-_RUNS: dict[tuple, PanelRun] = {}
-
-
 def _run(spark: SparkSession, base: str, params: Params = TEST_PARAMS) -> PanelRun:
-    """The lazily wired DAG for (session, input dir, params), built once per
-    process. Only the logical plan is shared: nothing is cached, every query
-    still executes in full from the tables."""
-    key = (id(spark), base, repr(params))
-    run = _RUNS.get(key)
-    if run is None or run.spark is not spark:
-        run = _RUNS[key] = PanelRun(spark, base, params)
-    return run
+    """A fresh run: nothing is shared between queries."""
+    return PanelRun(spark, base, params)
 
 
 # --- landing -----------------------------------------------------------------
 def land_unpivot(spark, base):
     r = _run(spark, base)
     years = list(range(r.params.year_min, r.params.year_max + 1))
-    wide = landing.build_wide(r.raw, K.GDP, spark, GDP_WIDE_DIMS, years)
+    wide = landing.build_wide(r.raw(K.GDP), K.GDP, spark, GDP_WIDE_DIMS, years)
     return landing.unpivot_wide(wide, r.params.year_min, r.params.year_max, r.params.load_date)
 
 
@@ -51,6 +45,32 @@ def land_geo_filter(spark, base):
     return landing.geo_filter(land_unpivot(spark, base), spark, K.GDP)
 
 
+def land_file_slice(spark, base):
+    """A wide file on disk with a second unit and a second consumption group beside
+    the wanted ones: landing reads it as text and keeps one row per country and year."""
+    r = _run(spark, base)
+    years = list(range(r.params.year_min, r.params.year_max + 1))
+    wanted = {"unit": "RCH_A_AVG", "coicop": "CP00"}
+    wide = landing.build_wide(r.raw(K.INFLATION), K.INFLATION, spark, wanted, years)
+    other = wide.withColumn("unit", F.lit("INX_A_AVG")).unionByName(wide.withColumn("coicop", F.lit("CP01")))
+    path = scratch_path(spark, "wide-file")
+    sinks.export_csv(wide.unionByName(other), path)
+    long = landing.unpivot_wide(landing.read_wide_csv(spark, path), r.params.year_min, r.params.year_max,
+                                r.params.load_date)
+    return landing.geo_filter(long, spark, K.INFLATION, {"coicop": "CP00"})
+
+
+def raw_layout(spark, base):
+    """A landed table in its raw layout (a directory per ``loaded_at``, clustered by
+    country and year) with two loads; reading the newer load prunes the older."""
+    r = _run(spark, base)
+    path = scratch_path(spark, "raw-gdp")
+    table = testdata.raw_table(r.raw_loads(K.GDP), K.GDP)
+    sinks.write_partitioned(table, path, "loaded_at", ["country_code", "year"])
+    back = spark.read.schema(table.schema).parquet(path)
+    return back.filter(F.col("loaded_at") == F.lit(r.params.load_date)).select(*table.columns)
+
+
 # --- staging -------------------------------------------------------------------
 def _stg(dataset):
     def q(spark, base):
@@ -65,7 +85,7 @@ def stg_inflation_raw(spark, base):
 
 
 def dedupe_latest(spark, base):
-    return _run(spark, base).staged
+    return _run(spark, base).staged()
 
 
 # --- batch enrichment ------------------------------------------------------
@@ -76,64 +96,64 @@ def _processed(dataset):
 
 
 def process_panel(spark, base):
-    return _run(spark, base).enriched
+    return _run(spark, base).enriched()
 
 
 def combined_indicators(spark, base):
-    return _run(spark, base).combined
+    return _run(spark, base).combined()
 
 
 def panel_union(spark, base):
-    return _run(spark, base).raw
+    return _run(spark, base).raw()
 
 
 # --- models and marts -----------------------------------------------------
 def int_country_indicators(spark, base):
-    return _run(spark, base).indicators
+    return _run(spark, base).indicators()
 
 
 def int_yoy_deltas(spark, base):
-    return _run(spark, base).deltas
+    return _run(spark, base).deltas()
 
 
 def composite_index(spark, base):
-    return _run(spark, base).composite
+    return _run(spark, base).composite()
 
 
 def mart_gdp_trends(spark, base):
-    return _run(spark, base).mart_gdp
+    return _run(spark, base).mart_gdp()
 
 
 def mart_unemployment(spark, base):
-    return _run(spark, base).mart_unemployment
+    return _run(spark, base).mart_unemployment()
 
 
 def mart_energy(spark, base):
-    return _run(spark, base).mart_energy
+    return _run(spark, base).mart_energy()
 
 
 def mart_country_latest(spark, base):
-    return _run(spark, base).mart_latest
+    return _run(spark, base).mart_latest()
 
 
 # --- anomalies -------------------------------------------------------------
 def anomaly_alerts(spark, base):
-    return _run(spark, base).panel_alerts
+    return _run(spark, base).panel_alerts()
 
 
 def event_alerts(spark, base):
-    return _run(spark, base).event_alerts
+    return _run(spark, base).event_alerts()
 
 
 def alert_messages_json(spark, base):
-    msgs = anomalies.alert_messages(_run(spark, base).panel_alerts)
+    msgs = anomalies.alert_messages(_run(spark, base).panel_alerts())
     return anomalies.parse_alert_messages(msgs)
 
 
 def ingestion_events(r: PanelRun) -> DataFrame:
     """One completion event per landed dataset plus the full-pipeline event,
     with real record counts, countries and year range."""
-    raw = r.raw
+    raw = r.raw()
     stamp = r.params.load_date.isoformat() + "T00:00:00"
 
     def summary(df: DataFrame) -> list:
@@ -142,10 +162,11 @@ def ingestion_events(r: PanelRun) -> DataFrame:
                 F.struct(F.min("year").alias("start"), F.max("year").alias("end"))
                 .alias("year_range")]
 
-    per = raw.groupBy("dataset").agg(*summary(raw))
-    full = raw.agg(*summary(raw)).select(F.lit(K.FULL_PIPELINE_EVENT).alias("dataset"), "*")
-    return (per.unionByName(full)
-            .withColumn("timestamp", F.lit(stamp)).withColumn("status", F.lit("completed")))
+    # the small panel's groups and their grand total in one aggregate
+    both = raw.rollup("dataset").agg(*summary(raw)).select(
+        F.coalesce("dataset", F.lit(K.FULL_PIPELINE_EVENT)).alias("dataset"),
+        "record_count", "countries", "year_range")
+    return (both.withColumn("timestamp", F.lit(stamp)).withColumn("status", F.lit("completed")))
 
 
 def ingestion_event_json(spark, base):
@@ -160,42 +181,56 @@ def ingestion_event_json(spark, base):
 
 
 # --- read API ------------------------------------------------------------------
-def api_gdp_trends(spark, base):
+def _gdp(spark, base):
     r = _run(spark, base)
-    return views.api_gdp_trends(r.mart_gdp, r.params.api_start, r.params.api_end, r.params.countries)
+    return views.api_gdp_trends(r.mart_gdp(), r.params.api_start, r.params.api_end, r.params.countries)
 
 
-def api_unemployment(spark, base):
+def _unemployment(spark, base):
     r = _run(spark, base)
-    return views.api_unemployment(r.mart_unemployment, r.params.api_start, r.params.api_end,
+    return views.api_unemployment(r.mart_unemployment(), r.params.api_start, r.params.api_end,
                                   r.params.countries)
 
 
-def api_energy(spark, base):
+def _energy(spark, base):
     r = _run(spark, base)
-    return views.api_energy(r.mart_energy, r.params.api_start, r.params.api_end,
-                            r.params.countries)
+    return views.api_energy(r.mart_energy(), r.params.api_start, r.params.api_end, r.params.countries)
 
 
-def api_composite(spark, base):
+def _composite(spark, base):
     r = _run(spark, base)
-    return views.api_composite(r.composite, r.params.api_start, r.params.api_end,
-                               r.params.countries)
+    return views.api_composite(r.composite(), r.params.api_start, r.params.api_end, r.params.countries)
+
+
+def api_gdp_trends(spark, base):
+    return views.in_api_order(_gdp(spark, base))
+
+
+def api_unemployment(spark, base):
+    return views.in_api_order(_unemployment(spark, base))
+
+
+def api_energy(spark, base):
+    return views.in_api_order(_energy(spark, base))
+
+
+def api_composite(spark, base):
+    return views.in_api_order(_composite(spark, base), composite=True)
 
 
 def api_country_latest(spark, base):
     r = _run(spark, base)
-    return views.api_country_latest(r.mart_latest, r.params.countries)
+    return views.api_country_latest(r.mart_latest(), r.params.countries)
 
 
 def api_recent_alerts(spark, base):
     r = _run(spark, base)
-    return views.api_recent_alerts(r.alert_table, r.params.recent_alerts)
+    return views.api_recent_alerts(r.alert_table(), r.params.recent_alerts)
 
 
 # --- page datasets ---------------------------------------------------------
 def _sel_latest(r: PanelRun) -> DataFrame:
-    return r.countries_filter(r.mart_latest)
+    return r.countries_filter(r.mart_latest())
 
 
 def home_kpis(spark, base):
@@ -204,7 +239,7 @@ def home_kpis(spark, base):
 
 def home_map(spark, base):
     r = _run(spark, base)
-    comp = views.api_composite(r.composite, r.params.api_start, r.params.api_end)
+    comp = views.api_composite(r.composite(), r.params.api_start, r.params.api_end)
     return views.home_map(comp, r.params.countries)
 
 
@@ -217,108 +252,153 @@ def _years(p: Params = TEST_PARAMS) -> list[int]:
 
 
 def gdp_kpis(spark, base):
-    return views.gdp_kpis(api_gdp_trends(spark, base))
+    return views.gdp_kpis(_gdp(spark, base))
 
 
 def rank_gdp(spark, base):
-    return views.ranking(views.latest_rows(api_gdp_trends(spark, base)),
+    return views.ranking(views.latest_rows(_gdp(spark, base)),
                          ["gdp_beur", "gdp_yoy_growth_pct"])
 
 
 def heatmap_gdp(spark, base):
-    return views.heatmap(api_gdp_trends(spark, base), "gdp_yoy_growth_pct", _years())
+    return views.heatmap(_gdp(spark, base), "gdp_yoy_growth_pct", _years())
 
 
 def unemployment_kpis(spark, base):
-    return views.unemployment_kpis(api_unemployment(spark, base))
+    return views.unemployment_kpis(_unemployment(spark, base))
 
 
 def heatmap_unemployment(spark, base):
-    return views.heatmap(api_unemployment(spark, base), "unemployment_rate", _years())
+    return views.heatmap(_unemployment(spark, base), "unemployment_rate", _years())
 
 
 def rank_unemployment(spark, base):
-    return views.ranking(views.latest_rows(api_unemployment(spark, base)),
+    return views.ranking(views.latest_rows(_unemployment(spark, base)),
                          ["unemployment_rate", "unemp_yoy_change"])
 
 
 def energy_kpis(spark, base):
-    return views.energy_kpis(api_energy(spark, base))
+    return views.energy_kpis(_energy(spark, base))
 
 
 def energy_gdp_scatter(spark, base):
-    return views.energy_gdp_scatter(api_energy(spark, base), api_gdp_trends(spark, base))
+    return views.energy_gdp_scatter(_energy(spark, base), _gdp(spark, base))
 
 
 def heatmap_energy(spark, base):
-    return views.heatmap(api_energy(spark, base), "energy_intensity", _years())
+    return views.heatmap(_energy(spark, base), "energy_intensity", _years())
 
 
 def rank_energy(spark, base):
-    return views.ranking(views.latest_rows(api_energy(spark, base)),
+    return views.ranking(views.latest_rows(_energy(spark, base)),
                          ["energy_intensity", "energy_yoy_improvement"])
 
 
 def composite_kpis(spark, base):
-    return views.composite_kpis(api_composite(spark, base))
+    return views.composite_kpis(_composite(spark, base))
 
 
 def composite_ranking(spark, base):
-    return views.composite_ranking(api_composite(spark, base))
+    return views.composite_ranking(_composite(spark, base))
 
 
 def composite_tiers(spark, base):
-    return views.composite_tiers(api_composite(spark, base))
+    return views.composite_tiers(_composite(spark, base))
 
 
 def composite_components(spark, base):
-    return views.composite_components(api_composite(spark, base))
+    return views.composite_components(_composite(spark, base))
 
 
 # --- data quality ----------------------------------------------------------------
+def dq_report_of(r: PanelRun) -> DataFrame:
+    """All checks over one materialised copy of the landed panel."""
+    m = r.materialised()
+    return quality.dq_report(m.raw(), m.staged(), m.scored(), m.mart_latest(), m.params.score_year_min)
+
+
 def dq_report(spark, base):
-    r = _run(spark, base)
-    return quality.dq_report(r.raw, r.staged, r.scored, r.mart_latest, r.params.score_year_min)
+    return dq_report_of(_run(spark, base))
+
+
+def dq_report_faulty(spark, base):
+    """The same checks over tables with faults put in from the data: missing keys
+    where a cell is missing, values out of range, unknown and repeated countries."""
+    r = _run(spark, base).materialised()
+    missing, ds = F.col("value").isNull(), F.col("dataset")
+    raw = (r.raw().withColumn("country_code", F.when(~(missing & ds.isin(K.GDP, K.ENERGY)), F.col("country_code")))
+           .withColumn("year", F.when(~(missing & ds.isin(K.UNEMPLOYMENT, K.INFLATION)), F.col("year"))))
+    odd = F.col("reference_year") % 2 == 1
+    staged = (r.staged().withColumn("value", F.when(ds == K.UNEMPLOYMENT, F.col("value") + 60).otherwise(F.col("value")))
+              .withColumn("country_code", F.when((ds == K.GDP) & odd, F.concat("country_code", F.lit("?")))
+                          .when((ds == K.GDP) | odd, F.col("country_code"))))
+    scored = (r.scored().withColumn("country_code", F.when(F.col("inflation_rate").isNotNull(), F.col("country_code")))
+              .withColumn("composite_score", F.col("composite_score") + 45)
+              .withColumn("unemployment_rate", F.col("unemployment_rate") - 48))
+    latest = r.mart_latest()
+    latest = latest.unionByName(latest.filter(F.col("composite_score") > 50))
+    return quality.dq_report(raw, staged, scored, latest, r.params.score_year_min)
+
+
+def country_indicators_fanout(spark, base):
+    """The literal LEFT-join chain on inflation that is not deduplicated: a country
+    and year with two loads gives two rows."""
+    return _run(spark, base, TEST_PARAMS.with_(dedupe_inflation=False)).indicators()
+
+
+def anomaly_alerts_top3(spark, base):
+    """Detection with a limit per table that the panel reaches."""
+    return _run(spark, base, TEST_PARAMS.with_(top_k=3, z_threshold=1.2)).panel_alerts()
 
 
 # --- streaming -----------------------------------------------------------------
-def _alert_stream_input(r: PanelRun, path: str) -> None:
-    al = r.event_alerts
-    body = F.struct("dataset", "country_code", "year",
-                    F.coalesce("value", F.lit(0.0)).alias("value"),
-                    F.coalesce("z_score", F.lit(0.0)).alias("z_score"),
-                    "severity", "detected_at")
-    stage_messages(al.select(F.col("detected_at").alias("_t"),
-                             F.to_json(body, anomalies.JSON_OPTS).alias("value")),
-                   path, order_col="_t")
+SUMMARY_WINDOW = "10 days"
+
+
+def _alert_messages_of(al: DataFrame) -> DataFrame:
+    return al.select(F.col("detected_at").alias("_t"), F.to_json(F.struct(
+        "dataset", "country_code", "year", F.coalesce("value", F.lit(0.0)).alias("value"),
+        F.coalesce("z_score", F.lit(0.0)).alias("z_score"), "severity", "detected_at"),
+        anomalies.JSON_OPTS).alias("value"))
 
 
 def stream_window_summary(spark, base):
+    """Four micro-batches in time order, so that windows are updated across batches,
+    then the oldest alerts once more: by then the watermark has passed their
+    windows and they must not count. Closed days are folded, the rest merged."""
     r = _run(spark, base)
-    src = scratch_path(spark, "alerts-in")
-    _alert_stream_input(r, src)
-    return window_summary.run_window_summary(
-        spark, file_stream(spark, src), scratch_path(spark, "alert-summary"),
-        scratch_path(spark, "alert-summary-ckpt"))
+    src, sink, folded = (scratch_path(spark, n) for n in ("alerts-in", "alert-summary", "alert-summary-days"))
+    messages = materialize(_alert_messages_of(r.event_alerts()))
+    stage_messages(messages, src, "_t")
+    span = messages.agg(F.min("_t").alias("a"), F.max("_t").alias("b")).first()
+    if span["a"] is None:
+        return window_summary.current_summary(spark, sink, folded)
+    first_third = span["a"] + (span["b"] - span["a"]) / 3
+    stage_messages(messages.filter(F.col("_t") < F.lit(first_third)), src, "_t", slices=1)
+    window_summary.start_window_summary(
+        file_stream(spark, src, max_files_per_trigger=1), sink, scratch_path(spark, "alert-summary-ckpt"),
+        {"availableNow": True}, length=SUMMARY_WINDOW).awaitTermination()
+    window_summary.fold_closed(spark, sink, folded, first_third)
+    return window_summary.current_summary(spark, sink, folded, first_third.date())
 
 
 def _record_stream_input(r: PanelRun, path: str) -> None:
     """Alert messages (some already carrying processed_at) mixed with raw
     event payloads: objects without a country code, truncated JSON and JSON
     arrays, all derived from the events table."""
-    al = r.event_alerts
+    al = r.event_alerts()
     processed = F.when(F.minute("detected_at") % 2 == 0,
                        F.col("detected_at") + F.expr("INTERVAL 1 SECOND"))
     body = F.struct("dataset", "country_code", "year", "value", "z_score", "severity",
                     "detected_at", processed.alias("processed_at"))
     good = al.select(F.col("detected_at").alias("_t"),
                      F.to_json(body, anomalies.JSON_OPTS).alias("value"))
-    ev = r.events.select(F.col("ts").alias("_t"), "event_id", "props")
+    ev = r.events().select(F.col("ts").alias("_t"), "event_id", "props")
     junk = ev.select("_t", F.when(F.col("event_id") % 50 == 0,
                                   F.expr("substring(props, 1, length(props) - 1)"))
                      .when(F.col("event_id") % 50 == 1, F.concat(F.lit("["), "props", F.lit("]")))
                      .otherwise(F.col("props")).alias("value"))
-    stage_messages(good.unionByName(junk), path, order_col="_t")
+    stage_messages(good.unionByName(junk), path, "_t")
 
 
 def stream_alert_records(spark, base):
@@ -326,52 +406,79 @@ def stream_alert_records(spark, base):
     src = scratch_path(spark, "records-in")
     _record_stream_input(r, src)
     return alert_records.run_alert_records(
-        spark, file_stream(spark, src), scratch_path(spark, "alert-records"),
+        spark, file_stream(spark, src, max_files_per_trigger=1), scratch_path(spark, "alert-records"),
         scratch_path(spark, "alert-records-ckpt"), r.params.processed_at)
 
 
-def event_driven_anomalies(spark, base):
+def _event_driven(spark, base) -> tuple[DataFrame, str]:
+    """Land the panel, then one ingestion event per micro-batch; returns the alert
+    history and the folder of the published messages."""
     r = _run(spark, base)
-    src = scratch_path(spark, "ingestion-in")
-    ev = ingestion_events(r)
+    src, landed, out = (scratch_path(spark, n) for n in ("ingestion-in", "landed", "event-driven"))
+    sinks.write_partitioned(r.sliced(), landed, "dataset", ["country_code", "year"])
     names = spark.createDataFrame([(n, i) for i, n in enumerate(r.params.ingestion_events)],
                                   "dataset string, _ord int")
-    # requested names carry the matching dataset summary (zero rows -> zero count);
-    # the summaries hold one row per dataset plus the full-pipeline row (bounded)
-    evs = names.join(F.broadcast(ev), "dataset", "left").select(
+    # requested names carry the matching dataset summary (zero rows -> zero count)
+    evs = names.join(ingestion_events(r), "dataset", "left").select(
         "_ord", F.to_json(F.struct("dataset", F.coalesce("record_count", F.lit(0)).alias(
             "record_count"), "countries", "year_range", "timestamp",
             F.lit("completed").alias("status"))).alias("value"))
-    stage_messages(evs, src, order_col="_ord", files=1)
-    return event_driven.run_event_driven(
-        spark, file_stream(spark, src), r.panel_alerts, scratch_path(spark, "event-alerts"),
-        scratch_path(spark, "event-alerts-ckpt"), r.params)
+    stage_messages(materialize(evs), src, "_ord", slices=len(r.params.ingestion_events))
+    alerts = event_driven.run_event_driven(
+        spark, file_stream(spark, src, max_files_per_trigger=1), landed_tables(spark, landed), f"{out}/alerts",
+        f"{out}/checkpoint", r.params, sinks.MessageSink(f"{out}/messages"))
+    return alerts, f"{out}/messages"
+
+
+def event_driven_anomalies(spark, base):
+    return _event_driven(spark, base)[0]
+
+
+def event_driven_messages(spark, base):
+    """The alert messages that the same run publishes, read back and decoded."""
+    spec = SourceSpec("text", _event_driven(spark, base)[1], schema=StructType.fromDDL("value string"))
+    return anomalies.parse_alert_messages(read_source_or_empty(spark, spec))
+
+
+def alerts_appended(spark, base):
+    """Two detector runs append to one alert table."""
+    path = scratch_path(spark, "anomaly-alerts")
+    for datasets in ((K.GDP, K.UNEMPLOYMENT), (K.ENERGY, K.INFLATION, K.GDP)):
+        sinks.append(_run(spark, base).panel_alerts(*datasets), path)
+    return sinks.read_back(spark, path, anomalies.ALERT_COLUMNS)
 
 
 # --- sinks and layout ------------------------------------------------------------
 def sink_overwrite(spark, base):
-    r = _run(spark, base)
+    """A refresh over an earlier version with other rows: none of them stays."""
+    combined = _run(spark, base).combined()
     path = scratch_path(spark, "combined")
-    sinks.write_overwrite(spark.createDataFrame([], r.combined.schema), path)  # earlier version
-    sinks.write_overwrite(r.combined, path)            # replaced by the full refresh
-    return sinks.read_back(spark, path, r.combined.columns)
+    earlier = combined.withColumn("year", F.col("year") - 100).withColumn("gdp_beur", F.lit(-1.0))
+    sinks.write_overwrite(earlier, path)
+    sinks.write_overwrite(combined, path)
+    return sinks.read_back(spark, path, combined.columns)
 
 
 def layout_partitioned(spark, base):
-    r = _run(spark, base)
+    """Years of an earlier version go with a full refresh; a filter on the partition
+    column reads the directories of the later years only."""
+    composite = _run(spark, base).composite()
     path = scratch_path(spark, "composite-by-year")
-    sinks.write_partitioned(r.composite, path, "reference_year", ["country_code"])
-    back = spark.read.parquet(path)
-    # a filter on the partition column prunes directories (PartitionFilters)
-    return back.filter(F.col("reference_year") >= r.params.score_year_min) \
-        .select(*r.composite.columns)
+    earlier = composite.withColumn("reference_year", F.col("reference_year") + 50)
+    sinks.write_partitioned(earlier, path, "reference_year", ["country_code"])
+    sinks.write_partitioned(composite, path, "reference_year", ["country_code"])
+    return spark.read.parquet(path).filter(F.col("reference_year") >= LAYOUT_FROM).select(*composite.columns)
+
+
+LAYOUT_FROM = 1998
 
 
 def snapshot_clustered(spark, base):
-    r = _run(spark, base)
+    latest = _run(spark, base).mart_latest()
     path = scratch_path(spark, "country-latest")
-    sinks.write_clustered(r.mart_latest, path, ["country_code"])
-    return sinks.read_back(spark, path, r.mart_latest.columns)
+    sinks.write_clustered(latest.withColumn("latest_year", F.col("latest_year") - 1), path, ["country_code"])
+    sinks.write_clustered(latest, path, ["country_code"])
+    return sinks.read_back(spark, path, latest.columns)
 
 
 def csv_export(spark, base):
@@ -439,4 +546,11 @@ QUERIES: dict[str, Query] = {
     "layout_partitioned": layout_partitioned,
     "snapshot_clustered": snapshot_clustered,
     "csv_export": csv_export,
+    "land_file_slice": land_file_slice,
+    "raw_layout": raw_layout,
+    "country_indicators_fanout": country_indicators_fanout,
+    "anomaly_alerts_top3": anomaly_alerts_top3,
+    "alerts_appended": alerts_appended,
+    "event_driven_messages": event_driven_messages,
+    "dq_report_faulty": dq_report_faulty,
 }

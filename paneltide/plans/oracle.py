@@ -6,6 +6,8 @@ dimension and the run parameters.
 """
 from __future__ import annotations
 
+import re
+
 from paneltide.functions import constants as K
 from paneltide.params import TEST_PARAMS as P
 from paneltide.sources.dimension import dimension_values_sql
@@ -45,27 +47,29 @@ line_facts AS (
        JOIN nation n ON s.s_nationkey = n.n_nationkey
        JOIN dim d ON n.n_nationkey = d.dim_index
   GROUP BY 1, 2, 3),
-raw1 AS (
-  SELECT 'gdp_annual' AS dataset, country_code, country_name, year, 'CP_MEUR' AS unit,
+raw0 AS (
+  SELECT n_orders AS n, 7 AS missing, 'gdp_annual' AS dataset, country_code, country_name, year, 'CP_MEUR' AS unit,
          'B1GQ' AS indicator, CAST(NULL AS VARCHAR) AS age_group, CAST(NULL AS VARCHAR) AS sex,
          CAST(price_sum AS DOUBLE) / CAST(100 AS DOUBLE) / CAST(1000 AS DOUBLE) AS value, {LOAD} AS loaded_at
   FROM nation_year
   UNION ALL
-  SELECT 'unemployment_annual', country_code, country_name, year, 'PC_ACT', NULL, 'Y15-74', 'T',
+  SELECT n_orders, 5, 'unemployment_annual', country_code, country_name, year, 'PC_ACT', NULL, 'Y15-74', 'T',
          CAST(100 AS DOUBLE) * n_final / n_orders, {LOAD}
   FROM nation_year
   UNION ALL
-  SELECT 'unemployment_annual', country_code, country_name, year, 'PC_ACT', NULL, priority, 'T',
+  SELECT n_orders, 5, 'unemployment_annual', country_code, country_name, year, 'PC_ACT', NULL, priority, 'T',
          CAST(100 AS DOUBLE) * n_final / n_orders, {LOAD}
   FROM ofc
   UNION ALL
-  SELECT 'energy_intensity', country_code, country_name, year, 'KGOE_TEUR', NULL, NULL, NULL,
+  SELECT n_lines, 6, 'energy_intensity', country_code, country_name, year, 'KGOE_TEUR', NULL, NULL, NULL,
          CAST(1000 AS DOUBLE) * (CAST(qty_sum AS DOUBLE) / 100) / (CAST(price_sum AS DOUBLE) / 100), {LOAD}
   FROM line_facts
   UNION ALL
-  SELECT 'inflation_annual', country_code, country_name, year, 'RCH_A_AVG', NULL, NULL, NULL,
+  SELECT n_lines, 4, 'inflation_annual', country_code, country_name, year, 'RCH_A_AVG', NULL, NULL, NULL,
          CAST(100 AS DOUBLE) * (CAST(disc_sum AS DOUBLE) / 100) / n_lines, {LOAD}
   FROM line_facts),
+raw1 AS (
+  SELECT * EXCLUDE (n, missing) REPLACE (CASE WHEN n % missing <> 0 THEN value END AS value) FROM raw0),
 raw2 AS (
   SELECT * FROM raw1
   UNION ALL
@@ -100,53 +104,52 @@ wide AS (
   LEFT JOIN staged i ON i.dataset = 'inflation_annual' AND i.country_code = g.country_code
                      AND i.reference_year = g.reference_year
   WHERE g.dataset = 'gdp_annual'),
-lagged AS (
-  SELECT *, lag(gdp_meur) OVER w AS p_g, lag(unemployment_rate) OVER w AS p_u,
-         lag(energy_intensity) OVER w AS p_e, lag(inflation_rate) OVER w AS p_i
-  FROM wide WINDOW w AS (PARTITION BY country_code ORDER BY reference_year)),
+-- previous available year of a country: a self-join on its year numbers
+numbered AS (SELECT *, dense_rank() OVER (PARTITION BY country_code ORDER BY reference_year) AS nr FROM wide),
+paired AS (
+  SELECT now, earlier FROM numbered now
+  LEFT JOIN numbered earlier ON earlier.country_code = now.country_code AND earlier.nr = now.nr - 1),
 deltas AS (
-  SELECT country_code, country_name, reference_year, reference_date, gdp_meur, gdp_beur,
-         round(gdp_meur - p_g, 2) AS gdp_yoy_change_meur,
-         round((gdp_meur - p_g) / NULLIF(p_g, 0) * 100, 2) AS gdp_yoy_growth_pct,
-         unemployment_rate, round(unemployment_rate - p_u, 2) AS unem_yoy_change,
-         energy_intensity, round(energy_intensity - p_e, 3) AS energy_yoy_change,
-         round((p_e - energy_intensity) / NULLIF(p_e, 0) * 100, 2) AS energy_yoy_improvement_pct,
-         inflation_rate, round(inflation_rate - p_i, 2) AS inflation_yoy_change
-  FROM lagged),
-comp_raw AS (
-  SELECT *, min(gdp_yoy_growth_pct) OVER y AS mn_g, max(gdp_yoy_growth_pct) OVER y AS mx_g,
-         min(unemployment_rate) OVER y AS mn_u, max(unemployment_rate) OVER y AS mx_u,
-         min(energy_intensity) OVER y AS mn_e, max(energy_intensity) OVER y AS mx_e
-  FROM deltas WHERE reference_year >= {P.score_year_min}
-  WINDOW y AS (PARTITION BY reference_year)),
-comp_scored AS (
-  SELECT country_code, country_name, reference_year, reference_date,
-         round(100 * ((gdp_yoy_growth_pct - mn_g) / NULLIF(mx_g - mn_g, 0)), 1) AS g,
-         round(100 * (1 - (unemployment_rate - mn_u) / NULLIF(mx_u - mn_u, 0)), 1) AS u,
-         round(100 * (1 - (energy_intensity - mn_e) / NULLIF(mx_e - mn_e, 0)), 1) AS e
-  FROM comp_raw),
+  SELECT now.country_code, now.country_name, now.reference_year, now.reference_date, now.gdp_meur, now.gdp_beur,
+         round(now.gdp_meur - earlier.gdp_meur, 2) AS gdp_yoy_change_meur,
+         round(CASE WHEN earlier.gdp_meur <> 0
+                    THEN (now.gdp_meur - earlier.gdp_meur) / earlier.gdp_meur * 100 END, 2) AS gdp_yoy_growth_pct,
+         now.unemployment_rate, round(now.unemployment_rate - earlier.unemployment_rate, 2) AS unem_yoy_change,
+         now.energy_intensity, round(now.energy_intensity - earlier.energy_intensity, 3) AS energy_yoy_change,
+         round(CASE WHEN earlier.energy_intensity <> 0
+                    THEN (earlier.energy_intensity - now.energy_intensity) / earlier.energy_intensity * 100 END, 2)
+           AS energy_yoy_improvement_pct,
+         now.inflation_rate, round(now.inflation_rate - earlier.inflation_rate, 2) AS inflation_yoy_change
+  FROM paired),
+-- scores: one long row per country, year and component, scaled by its year's grouped extremes
+component AS (
+  SELECT country_code, reference_year, 'g' AS part, gdp_yoy_growth_pct AS x, FALSE AS inverted FROM deltas
+  UNION ALL SELECT country_code, reference_year, 'u', unemployment_rate, TRUE FROM deltas
+  UNION ALL SELECT country_code, reference_year, 'e', energy_intensity, TRUE FROM deltas),
+extremes AS (SELECT reference_year, part, min(x) AS low, max(x) AS high FROM component GROUP BY ALL),
+points AS (
+  SELECT country_code, reference_year, part,
+         CASE WHEN x IS NULL OR high = low THEN 50.0
+              WHEN inverted THEN round(100 * (1 - (x - low) / (high - low)), 1)
+              ELSE round(100 * ((x - low) / (high - low)), 1) END AS score
+  FROM component JOIN extremes USING (reference_year, part) WHERE reference_year >= {P.score_year_min}),
 composite AS (
-  SELECT country_code, country_name, reference_year, reference_date,
-         COALESCE(g, 50.0) AS gdp_score, COALESCE(u, 50.0) AS unemployment_score,
-         COALESCE(e, 50.0) AS energy_score,
-         round((COALESCE(g, 50.0) + COALESCE(u, 50.0) + COALESCE(e, 50.0)) / 3, 1) AS composite_score
-  FROM comp_scored),
-latest_year AS (
-  SELECT country_code, max(reference_year) AS latest_year FROM wide
-  WHERE gdp_meur IS NOT NULL GROUP BY country_code),
+  SELECT d.country_code, d.country_name, d.reference_year, d.reference_date, g.score AS gdp_score,
+         u.score AS unemployment_score, e.score AS energy_score,
+         round((g.score + u.score + e.score) / 3, 1) AS composite_score
+  FROM deltas d JOIN points g ON g.part = 'g' AND g.country_code = d.country_code AND g.reference_year = d.reference_year
+       JOIN points u ON u.part = 'u' AND u.country_code = d.country_code AND u.reference_year = d.reference_year
+       JOIN points e ON e.part = 'e' AND e.country_code = d.country_code AND e.reference_year = d.reference_year),
+newest AS (SELECT country_code, arg_max(w, reference_year) AS w FROM wide w GROUP BY country_code),
 mart_latest AS (
-  SELECT i.country_code, i.country_name, i.reference_year AS latest_year,
-         round(i.gdp_beur, 2) AS gdp_beur, round(i.unemployment_rate, 2) AS unemployment_rate,
-         round(i.energy_intensity, 3) AS energy_intensity, round(i.inflation_rate, 2) AS inflation_rate,
-         round(d.gdp_yoy_growth_pct, 2) AS gdp_yoy_growth_pct,
-         round(d.unem_yoy_change, 2) AS unem_yoy_change,
+  SELECT n.country_code, n.w.country_name AS country_name, n.w.reference_year AS latest_year,
+         round(n.w.gdp_beur, 2) AS gdp_beur, round(n.w.unemployment_rate, 2) AS unemployment_rate,
+         round(n.w.energy_intensity, 3) AS energy_intensity, round(n.w.inflation_rate, 2) AS inflation_rate,
+         round(d.gdp_yoy_growth_pct, 2) AS gdp_yoy_growth_pct, round(d.unem_yoy_change, 2) AS unem_yoy_change,
          round(c.composite_score, 1) AS composite_score, round(c.gdp_score, 1) AS gdp_score,
          round(c.unemployment_score, 1) AS unemployment_score, round(c.energy_score, 1) AS energy_score
-  FROM wide i JOIN latest_year ly ON i.country_code = ly.country_code
-                                  AND i.reference_year = ly.latest_year
-  LEFT JOIN deltas d ON i.country_code = d.country_code AND i.reference_year = d.reference_year
-  LEFT JOIN composite c ON i.country_code = c.country_code AND i.reference_year = c.reference_year
-  QUALIFY row_number() OVER (PARTITION BY i.country_code ORDER BY i.reference_year DESC) = 1),
+  FROM newest n JOIN deltas d ON d.country_code = n.country_code AND d.reference_year = n.w.reference_year
+       LEFT JOIN composite c ON c.country_code = n.country_code AND c.reference_year = n.w.reference_year),
 mart_gdp AS (
   SELECT country_code, country_name, reference_year, reference_date,
          round(gdp_beur, 3) AS gdp_beur, round(gdp_meur, 0) AS gdp_meur,
@@ -161,20 +164,10 @@ mart_energy AS (
          round(energy_intensity, 3) AS energy_intensity, round(energy_yoy_change, 3) AS energy_yoy_change,
          round(energy_yoy_improvement_pct, 2) AS energy_yoy_improvement_pct
   FROM deltas WHERE energy_intensity IS NOT NULL),
-series_vals AS (
-  SELECT *, list_sort(list(value) FILTER (WHERE value IS NOT NULL)
-                      OVER (PARTITION BY dataset, country_code)) AS _vals
-  FROM sliced),
-series_mean AS (
-  SELECT *, list_reduce(_vals, lambda a, b: a + b, CAST(0 AS DOUBLE))
-            / NULLIF(CAST(len(_vals) AS DOUBLE), 0) AS s_mean
-  FROM series_vals),
-series_stats AS (
-  SELECT * EXCLUDE (_vals),
-         sqrt(list_reduce(list_transform(_vals, lambda x: (x - s_mean) * (x - s_mean)),
-                          lambda a, b: a + b, CAST(0 AS DOUBLE))
-              / NULLIF(CAST(len(_vals) AS DOUBLE) - 1, 0)) AS s_std
-  FROM series_mean),
+series AS (
+  SELECT dataset, country_code, avg(value ORDER BY year) AS s_mean, stddev_samp(value ORDER BY year) AS s_std
+  FROM sliced GROUP BY ALL),
+series_stats AS (SELECT sliced.*, s_mean, s_std FROM sliced JOIN series USING (dataset, country_code)),
 enriched AS (
   SELECT * EXCLUDE (s_mean, s_std), value - lag(value) OVER w AS yoy_change,
          round(CASE WHEN lag(value) OVER w <> 0
@@ -327,21 +320,21 @@ STG_COLS = {
 }
 
 
-def _wide_cells() -> str:
-    """The landed GDP cells that survive coercion (see landing.build_wide)."""
+def _wide_cells(ds: str = K.GDP) -> str:
+    """The landed cells of a dataset that survive coercion (see landing.build_wide)."""
     return f"""
   SELECT 'CP_MEUR' AS unit, 'B1GQ' AS na_item,
          CASE WHEN d.dim_index % 2 = 0 THEN ' ' || r.country_code || ' ' ELSE r.country_code END
            AS "geo\\TIME_PERIOD",
          r.year, r.value, {LOAD} AS loaded_at
   FROM raw1 r JOIN dim d ON r.country_code = d.country_code
-  WHERE r.dataset = 'gdp_annual' AND (r.year + d.dim_index) % 5 <> 0
+  WHERE r.dataset = '{ds}' AND r.value IS NOT NULL AND (r.year + d.dim_index) % 5 <> 0
     AND (r.year + d.dim_index) % 7 <> 0
   UNION ALL
   SELECT 'CP_MEUR', 'B1GQ', 'EU27_2020', r.year,
          CAST(CAST(SUM(CAST(r.value AS DECIMAL(38,6))) AS VARCHAR) AS DOUBLE), {LOAD}
   FROM raw1 r JOIN dim d ON r.country_code = d.country_code
-  WHERE r.dataset = 'gdp_annual' GROUP BY r.year"""
+  WHERE r.dataset = '{ds}' GROUP BY r.year HAVING SUM(r.value) IS NOT NULL"""
 
 
 ORACLE: dict[str, str] = {
@@ -593,8 +586,8 @@ ORACLE: dict[str, str] = {
     "stream_window_summary": q("""
   SELECT country_code, dataset, severity, COUNT(*) AS alert_count, avg(z_score) AS avg_z_score,
          max(abs(z_score)) AS max_abs_z,
-         time_bucket(INTERVAL '10 minutes', detected_at) AS window_start,
-         time_bucket(INTERVAL '10 minutes', detected_at) + INTERVAL '10 minutes' AS window_end
+         time_bucket(INTERVAL '10 days', detected_at, TIMESTAMP '1970-01-01') AS window_start,
+         time_bucket(INTERVAL '10 days', detected_at, TIMESTAMP '1970-01-01') + INTERVAL '10 days' AS window_end
   FROM event_alerts GROUP BY ALL"""),
     "stream_alert_records": q(f"""
   SELECT dataset, country_code, year, value, z_score, severity, detected_at,
@@ -606,7 +599,7 @@ ORACLE: dict[str, str] = {
   JOIN panel_alerts a ON (r.request LIKE '%full_pipeline%' OR r.request = a.dataset)""".replace(
         "{reqs}", ", ".join(f"('{n}')" for n in P.ingestion_events))),
     "sink_overwrite": None,
-    "layout_partitioned": q("SELECT * FROM composite"),
+    "layout_partitioned": q("SELECT * FROM composite WHERE reference_year >= 1998"),
     "snapshot_clustered": q("SELECT * FROM mart_latest"),
     "csv_export": q("SELECT * FROM api_gdp"),
 }
@@ -615,3 +608,49 @@ for _ds, _key in ((K.GDP, "process_gdp"), (K.UNEMPLOYMENT, "process_unemployment
                   (K.ENERGY, "process_energy"), (K.INFLATION, "process_inflation")):
     ORACLE[_key] = q(f"SELECT {PROC_COLS[_ds]}, yoy_change, yoy_growth_pct, z_score, reference_date "
                      f"FROM processed WHERE dataset = '{_ds}'")
+
+EVENT_DRIVEN = "SELECT a.* FROM (VALUES {reqs}) r(request) " \
+    "JOIN panel_alerts a ON (r.request LIKE '%full_pipeline%' OR r.request = a.dataset)".replace(
+        "{reqs}", ", ".join(f"('{n}')" for n in P.ingestion_events))
+ORACLE |= {
+    "event_driven_messages": q(f"""
+  SELECT dataset, country_code, year, COALESCE(value, 0.0) AS value, COALESCE(z_score, 0.0) AS z_score,
+         severity, detected_at FROM ({EVENT_DRIVEN})"""),
+    "alerts_appended": q("SELECT * FROM panel_alerts UNION ALL SELECT * FROM panel_alerts WHERE dataset = 'gdp_annual'"),
+    "anomaly_alerts_top3": q(f"""
+  SELECT dataset, country_code, year, value, z_score, mean, std_dev,
+         CASE WHEN abs(z_score) >= 4 THEN 'HIGH' WHEN abs(z_score) >= 3 THEN 'MEDIUM' ELSE 'LOW' END AS severity,
+         CAST({DETECTED} AS TIMESTAMP) AS detected_at
+  FROM panel_scored WHERE abs(z_score) > 1.2
+  QUALIFY row_number() OVER (PARTITION BY dataset ORDER BY abs(z_score) DESC, country_code, year) <= 3"""),
+    "raw_layout": q("""
+  SELECT country_code, country_name, year, unit, indicator, value, loaded_at FROM raw1
+  WHERE dataset = 'gdp_annual'"""),
+    "land_file_slice": q(f"""
+  SELECT d.country_code, d.country_name, w.year, 'RCH_A_AVG' AS unit, w.value, w.loaded_at
+  FROM ({_wide_cells(K.INFLATION)}) w JOIN dim d ON {TRIM.format('w."geo\\TIME_PERIOD"')} = d.country_code"""),
+    "country_indicators_fanout": q("""
+  SELECT w.* REPLACE (i.value AS inflation_rate) FROM wide w
+  LEFT JOIN staged_all i ON i.dataset = 'inflation_annual' AND i.country_code = w.country_code
+                         AND i.reference_year = w.reference_year"""),
+}
+_FAULTY = {
+    "raw1": "SELECT * REPLACE (CASE WHEN NOT (value IS NULL AND dataset IN ('gdp_annual', 'energy_intensity')) "
+            "THEN country_code END AS country_code, CASE WHEN NOT (value IS NULL AND dataset IN "
+            "('unemployment_annual', 'inflation_annual')) THEN year END AS year) FROM raw1",
+    "staged": "SELECT * REPLACE (CASE WHEN dataset = 'unemployment_annual' THEN value + 60 ELSE value END AS value, "
+              "CASE WHEN dataset = 'gdp_annual' AND reference_year % 2 = 1 THEN country_code || '?' "
+              "WHEN dataset = 'gdp_annual' OR reference_year % 2 = 1 THEN country_code END AS country_code) FROM staged",
+    "deltas_f": "SELECT * REPLACE (CASE WHEN inflation_rate IS NOT NULL THEN country_code END AS country_code, "
+                "unemployment_rate - 48 AS unemployment_rate) FROM deltas",
+    "mart_gdp": "SELECT * FROM deltas_f_f WHERE gdp_meur IS NOT NULL",
+    "mart_unem": "SELECT * REPLACE (round(unemployment_rate, 2) AS unemployment_rate) FROM deltas_f_f "
+                 "WHERE unemployment_rate IS NOT NULL",
+    "mart_energy": "SELECT * FROM deltas_f_f WHERE energy_intensity IS NOT NULL",
+    "composite": "SELECT * REPLACE (composite_score + 45 AS composite_score) FROM composite",
+    "mart_latest": "SELECT * FROM mart_latest UNION ALL SELECT * FROM mart_latest WHERE composite_score > 50",
+}
+_checks = ORACLE["dq_report"][ORACLE["dq_report"].index("SELECT 'gdp_annual' AS table_name"):]
+for _t in ("raw1", "staged", "mart_gdp", "mart_unem", "mart_energy", "composite", "mart_latest"):
+    _checks = re.sub(rf"\bFROM {_t}\b", f"FROM {_t}_f", _checks)
+ORACLE["dq_report_faulty"] = q("WITH " + ",\n".join(f"{n}_f AS ({b})" for n, b in _FAULTY.items()) + "\n" + _checks)

@@ -1,14 +1,16 @@
 """The full batch DAG written as tables (the reference's batch job, SQL
 models, data tests and detector in one Spark application).
 
-usage: python -m paneltide.plans.pipeline <input_dir> <output_dir>
+usage: python -m paneltide.plans.pipeline <input_dir> <output_dir> [<landed_dir>]
 
-Every output is a full refresh (overwrite). Marts are partitioned by
-reference_year and clustered by country_code; the latest snapshot is
-clustered only. Each table is written by its own job over a lazily shared
-plan; the panel itself is tiny next to the fact tables it is derived from,
-so it is materialised once (checkpoint to the shared checkpoint dir) and
-every table reads the materialised copy.
+With ``landed_dir`` the run starts from landed tables (one folder per dataset),
+else from the driver tables. Tables are full refreshes (overwrite), except
+``anomaly_alerts``, to which every run appends. Landed tables get a directory per
+load date and are clustered by country and year, marts a directory per
+reference_year clustered by country; the latest snapshot is clustered only. The
+landed panel is tiny next to the fact tables it is derived from, so it is
+materialised once (checkpoint to the shared checkpoint dir) and every table
+reads that copy.
 """
 from __future__ import annotations
 
@@ -17,29 +19,34 @@ import sys
 from pyspark.sql import Observation, SparkSession
 
 from paneltide.functions import constants as K
-from paneltide.operators.joins import materialize
-from paneltide.params import TEST_PARAMS, Params
-from paneltide.plans import catalog
+from paneltide.operators import quality
+from paneltide.params import Params
 from paneltide.plans.run import PanelRun
 from paneltide.sources import sinks
+from paneltide.sources.adapters import SourceRegistry, SourceSpec
 from paneltide.sources.testdata import raw_table
 
 
-def run_batch(spark: SparkSession, base: str, out: str, params: Params = TEST_PARAMS,
-              counts: dict | None = None) -> list[str]:
+def landed_registry(spark: SparkSession, folder: str) -> SourceRegistry:
+    return SourceRegistry(spark, {n: SourceSpec("parquet", f"{folder.rstrip('/')}/{n}") for n in K.DATASETS})
+
+
+def run_batch(spark: SparkSession, base: str, out: str, params: Params | None = None,
+              counts: dict | None = None, landed: SourceRegistry | None = None) -> list[str]:
     """Write every table; ``counts`` (if given) receives the rows written per
-    table, observed during the write itself (no second scan)."""
-    r = PanelRun(spark, base, params)
-    # materialise the two landed panels once; all models read these copies
-    r.__dict__["raw"] = materialize(r.raw)
-    r.__dict__["raw_loads"] = materialize(r.raw_loads)
+    table, observed during the write itself (no second scan). Without ``params``
+    the run has the default parameters and stamps its rows with its own start."""
+    source = PanelRun(spark, base, params or Params(), landed)
+    r = source.materialised()
     written = []
 
-    def put(name, df, partitioned=False, clustered=None):
+    def put(name, df, partition=None, clustered=None, append=False):
         path = f"{out.rstrip('/')}/{name}"
         obs = Observation(name)
-        if partitioned:
-            sinks.write_partitioned(df, path, "reference_year", ["country_code"], observation=obs)
+        if append:
+            sinks.append(df, path, observation=obs)
+        elif partition:
+            sinks.write_partitioned(df, path, partition, clustered, observation=obs)
         elif clustered:
             sinks.write_clustered(df, path, clustered, observation=obs)
         else:
@@ -49,22 +56,22 @@ def run_batch(spark: SparkSession, base: str, out: str, params: Params = TEST_PA
             counts[name] = obs.get["rows"]
 
     for ds in K.DATASETS:
-        put(ds, raw_table(r.raw, ds))
+        put(ds, raw_table(r.raw(ds), ds), "loaded_at", ["country_code", "year"])
         put(f"{ds}_processed", r.processed(ds))
-    put("combined_indicators", r.combined)
-    put("int_country_indicators", r.indicators)
-    put("int_yoy_deltas", r.deltas)
-    put("mart_gdp_trends", r.mart_gdp, partitioned=True)
-    put("mart_unemployment_comparison", r.mart_unemployment, partitioned=True)
-    put("mart_energy_intensity", r.mart_energy, partitioned=True)
-    put("mart_composite_economic_index", r.composite, partitioned=True)
-    put("mart_country_latest", r.mart_latest, clustered=["country_code"])
-    put("anomaly_alerts", r.alert_table)
-    put("dq_report", catalog.dq_report(spark, base))
+    put("combined_indicators", r.combined())
+    put("int_country_indicators", r.indicators())
+    put("int_yoy_deltas", r.deltas())
+    for name, mart in (("mart_gdp_trends", r.mart_gdp()), ("mart_unemployment_comparison", r.mart_unemployment()),
+                       ("mart_energy_intensity", r.mart_energy()), ("mart_composite_economic_index", r.composite())):
+        put(name, mart, "reference_year", ["country_code"])
+    put("mart_country_latest", r.mart_latest(), clustered=["country_code"])
+    put("anomaly_alerts", r.panel_alerts() if landed is not None else r.alert_table(), append=True)
+    put("dq_report", quality.dq_report(r.raw(), r.staged(), r.scored(), r.mart_latest(), r.params.score_year_min))
     return written
 
 
 if __name__ == "__main__":
     from paneltide.session import build_session
     session = build_session()
-    print(run_batch(session, sys.argv[1], sys.argv[2]))
+    print(run_batch(session, sys.argv[1], sys.argv[2],
+                    landed=landed_registry(session, sys.argv[3]) if len(sys.argv) > 3 else None))

@@ -1,123 +1,127 @@
-"""One lazily wired batch DAG over a directory of driver tables.
+"""One lazily wired batch DAG over landed tables.
 
-Each property is a DataFrame built once per ``PanelRun``; nothing executes
+Every step takes the datasets it is asked for and builds on those only, so a
+table that needs GDP never reads the facts behind energy. Nothing executes
 until an action is called on the result a caller asks for.
 """
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from paneltide.functions import constants as K
 from paneltide.operators import anomalies, marts, metrics, panel, scoring, staging
 from paneltide.params import TEST_PARAMS, Params
-from paneltide.session import prepare, size_for_input
-from paneltide.sources.tables import table_path
+from paneltide.session import materialize, prepare
 from paneltide.sources import testdata
+from paneltide.sources.adapters import SourceRegistry
+
+ALL = tuple(K.DATASETS)
+SCORED = (K.GDP, K.UNEMPLOYMENT, K.ENERGY)
 
 
 class PanelRun:
-    def __init__(self, spark: SparkSession, base: str, params: Params = TEST_PARAMS):
+    """``landed``: a registry of landed tables by dataset name; without one the
+    panel is mapped from the driver tables under ``base``."""
+
+    def __init__(self, spark: SparkSession, base: str, params: Params = TEST_PARAMS,
+                 landed: SourceRegistry | None = None):
         self.spark = prepare(spark)
         self.base = base
         self.params = params
-        # size shuffles for the fact tables when they are large (no-op locally)
-        size_for_input(spark, [table_path(base, t) for t in ("orders", "lineitem", "events")])
+        self.landed = landed
+        self._loads: DataFrame | None = None
 
     # --- landed tables ----------------------------------------------------
-    @cached_property
-    def raw(self) -> DataFrame:
+    def raw(self, *datasets: str) -> DataFrame:
         """Landed panel after one full-replace load."""
-        return testdata.raw_panel(self.spark, self.base, self.params)
-
-    @cached_property
-    def raw_loads(self) -> DataFrame:
-        """Landed panel holding two loads of every key (dedupe input)."""
-        return testdata.raw_panel(self.spark, self.base, self.params, reload=True)
-
-    @cached_property
-    def sliced(self) -> DataFrame:
-        return staging.extraction_slice(self.raw)
+        if self._loads is not None:
+            return self.raw_loads(*datasets).filter(F.col("loaded_at") == F.lit(self.params.load_date))
+        if self.landed is not None:
+            return self.raw_loads(*datasets)
+        return testdata.raw_panel(self.spark, self.base, self.params, datasets=datasets or ALL)
+
+    def raw_loads(self, *datasets: str) -> DataFrame:
+        """Landed panel with every load that a key has had (dedupe input)."""
+        names = datasets or ALL
+        if self._loads is not None:
+            return self._loads.filter(F.col("dataset").isin(*names))
+        if self.landed is not None:
+            return panel.union_panel({n: self.landed.load(n) for n in names}, testdata.PANEL_COLUMNS)
+        return testdata.raw_panel(self.spark, self.base, self.params, reload=True, datasets=names)
+
+    def materialised(self) -> "PanelRun":
+        """The same run over one checkpointed copy of the landed panel, for jobs
+        that read it many times."""
+        run = PanelRun(self.spark, self.base, self.params, self.landed)
+        run._loads = materialize(self.raw_loads())
+        return run
+
+    def sliced(self, *datasets: str) -> DataFrame:
+        return staging.extraction_slice(self.raw(*datasets))
 
     # --- batch enrichment -------------------------------------------------
-    @cached_property
-    def enriched(self) -> DataFrame:
-        return metrics.enrich_panel(self.sliced)
+    def enriched(self, *datasets: str) -> DataFrame:
+        return metrics.enrich_panel(self.sliced(*datasets))
 
     def processed(self, dataset: str) -> DataFrame:
-        return metrics.processed_table(self.enriched, dataset)
+        return metrics.processed_table(self.enriched(dataset), dataset)
 
-    @cached_property
     def combined(self) -> DataFrame:
-        return panel.combined_indicators(self.enriched)
+        return panel.combined_indicators(self.enriched())
 
     # --- SQL-model chain ----------------------------------------------------
-    @cached_property
-    def staged(self) -> DataFrame:
+    def staged(self, *datasets: str) -> DataFrame:
         """Staged, deduplicated panel, then hash-partitioned on country_code
         once: the wide aggregation (country, year) and the per-country lag
         both accept that partitioning, so they add no further shuffle."""
-        return staging.stage_panel(self.raw_loads, self.params,
+        return staging.stage_panel(self.raw_loads(*datasets), self.params,
                                    partition_by=["country_code"])
 
     def staged_view(self, dataset: str) -> DataFrame:
-        return staging.staged_view(self.staged, dataset)
+        return staging.staged_view(self.staged(dataset), dataset)
 
-    @cached_property
-    def indicators(self) -> DataFrame:
+    def indicators(self, *datasets: str) -> DataFrame:
+        """The wide table; sides that are not asked for are NULL."""
+        staged = self.staged(*(sorted({K.GDP, *datasets}, key=ALL.index) if datasets else ()))
         if self.params.dedupe_inflation:
-            return panel.country_indicators(self.staged)
-        return panel.country_indicators_by_join(self.staged)
+            return panel.country_indicators(staged)
+        return panel.country_indicators_by_join(staged)
 
-    @cached_property
-    def deltas(self) -> DataFrame:
-        return scoring.yoy_deltas(self.indicators)
+    def deltas(self, *datasets: str) -> DataFrame:
+        return scoring.yoy_deltas(self.indicators(*datasets))
 
-    @cached_property
-    def scored(self) -> DataFrame:
-        return scoring.score_columns(self.deltas, self.params.score_year_min)
+    def scored(self, *datasets: str) -> DataFrame:
+        return scoring.score_columns(self.deltas(*datasets), self.params.score_year_min)
 
-    @cached_property
     def composite(self) -> DataFrame:
-        return scoring.composite_index(self.scored, self.params.score_year_min)
+        return scoring.composite_index(self.scored(*SCORED), self.params.score_year_min)
 
-    @cached_property
     def mart_gdp(self) -> DataFrame:
-        return marts.gdp_trends(self.deltas)
+        return marts.gdp_trends(self.deltas(K.GDP))
 
-    @cached_property
     def mart_unemployment(self) -> DataFrame:
-        return marts.unemployment_comparison(self.deltas)
+        return marts.unemployment_comparison(self.deltas(K.UNEMPLOYMENT))
 
-    @cached_property
     def mart_energy(self) -> DataFrame:
-        return marts.energy_intensity(self.deltas)
+        return marts.energy_intensity(self.deltas(K.ENERGY))
 
-    @cached_property
     def mart_latest(self) -> DataFrame:
-        return marts.country_latest(self.scored)
+        return marts.country_latest(self.scored())
 
     # --- anomalies --------------------------------------------------------
-    @cached_property
-    def panel_alerts(self) -> DataFrame:
-        return anomalies.detect_panel_anomalies(self.sliced, self.params)
+    def panel_alerts(self, *datasets: str) -> DataFrame:
+        return anomalies.detect_panel_anomalies(self.sliced(*datasets), self.params)
 
-    @cached_property
     def events(self) -> DataFrame:
         return testdata.event_facts(self.spark, self.base)
 
-    @property
     def event_alerts(self) -> DataFrame:
-        """Built per use, never cached: its size-checked join materialises the
-        event statistics, and that data must not be shared between queries."""
-        return anomalies.detect_event_anomalies(self.events, self.spark, self.params)
+        return anomalies.detect_event_anomalies(self.events(), self.params)
 
-    @property
     def alert_table(self) -> DataFrame:
         """The anomaly_alerts table: panel detections plus event detections."""
-        return self.panel_alerts.unionByName(self.event_alerts)
+        return self.panel_alerts().unionByName(self.event_alerts())
 
     def countries_filter(self, df: DataFrame, col: str = "country_code") -> DataFrame:
         cs = self.params.countries

@@ -2,10 +2,11 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on. They are applied to new sessions only; an
 # existing cluster session keeps what its operator configured, except for the
@@ -60,15 +61,18 @@ def prepare(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """Shared folder for checkpoints and intermediate tables.
+    """Shared folder for checkpoints and intermediate tables: what the cluster
+    names in ``spark.checkpoint.dir`` (or the context's checkpoint dir).
 
-    Uses ``spark.checkpoint.dir`` (or the context's checkpoint dir) as the
-    cluster names it; only when neither is set (local tests) a private
-    directory is created and registered as the checkpoint dir.
+    Only a local master, where driver and executors are one process, gets a
+    private directory when neither is set; on a cluster that is an error,
+    since executors would write to their own disks.
     """
     sc = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not root:
+        if not re.match(r"local(\[|$)", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="paneltide-ckpt-")
         sc.setCheckpointDir(root)
         spark.conf.set("spark.checkpoint.dir", root)
@@ -76,50 +80,17 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, unique location under the shared scratch root."""
-    return f"{scratch_root(spark)}/{label}-{uuid.uuid4().hex[:12]}"
-
-
-# Sizing for large inputs. The widest shuffle is the fact-to-customer/supplier
-# join on the pruned fact columns; everything after the partial aggregates is
-# tiny. AQE coalesces small partitions, so the initial count is chosen for the
-# widest exchange: about ``target_bytes`` of input per shuffle partition keeps
-# each reducer's sort/hash buffers within executor memory without spilling.
-SCALE_THRESHOLD_BYTES = 50 * 1024 ** 3          # below this the defaults are fine
-TARGET_PARTITION_BYTES = 256 * 1024 ** 2
-LARGE_INPUT_CONF: dict[str, str] = {
-    "spark.sql.files.maxPartitionBytes": str(512 * 1024 ** 2),
-    "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(256 * 1024 ** 2),
-    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(512 * 1024 ** 2),
-}
+    """A fresh location in this application's folder under the shared root; the
+    folder is deleted when the driver's JVM ends."""
+    sc = spark.sparkContext
+    app = f"{scratch_root(spark)}/paneltide-{sc.applicationId}"
+    folder = sc._jvm.org.apache.hadoop.fs.Path(app)
+    folder.getFileSystem(sc._jsc.hadoopConfiguration()).deleteOnExit(folder)
+    return f"{app}/{label}-{uuid.uuid4().hex[:12]}"
 
 
-def input_bytes(spark: SparkSession, paths: list[str]) -> int:
-    """Total size of the files under ``paths`` from filesystem metadata only."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
-    total = 0
-    for p in paths:
-        hp = jvm.org.apache.hadoop.fs.Path(p)
-        fs = hp.getFileSystem(conf)
-        if fs.exists(hp):
-            total += fs.getContentSummary(hp).getLength()
-    return int(total)
-
-
-def size_for_input(spark: SparkSession, paths: list[str],
-                   target_bytes: int = TARGET_PARTITION_BYTES) -> int | None:
-    """Raise the initial shuffle partition count (and the scan split size)
-    for large inputs. Only applies while the session is still at Spark's
-    default of 200 partitions, so an operator's explicit setting wins and
-    small local runs are left alone. Returns the count it set, if any."""
-    if spark.conf.get("spark.sql.shuffle.partitions") != "200":
-        return None
-    total = input_bytes(spark, paths)
-    if total < SCALE_THRESHOLD_BYTES:
-        return None
-    parts = max(200, -(-total // target_bytes))
-    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
-    for k, v in LARGE_INPUT_CONF.items():
-        spark.conf.set(k, v)
-    return parts
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once and cut its lineage with a reliable checkpoint
+    (written under the shared checkpoint dir; survives executor loss)."""
+    scratch_root(df.sparkSession)
+    return df.checkpoint(eager=True)

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -31,11 +32,12 @@ def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
 
 
 def read_source_or_empty(spark: SparkSession, spec: SourceSpec) -> DataFrame:
-    """A failed or missing load yields an empty frame of the declared schema."""
+    """A missing load yields an empty frame of the declared schema."""
     try:
         return read_source(spark, spec)
-    except Exception:  # noqa: BLE001 - a missing landing is not fatal
-        if spec.schema is None:
+    except AnalysisException as e:
+        # a landing that has not happened yet; every other fault is an error
+        if spec.schema is None or e.getCondition() not in ("PATH_NOT_FOUND", "TABLE_OR_VIEW_NOT_FOUND"):
             raise
         return spark.createDataFrame([], spec.schema)
 

@@ -1,6 +1,8 @@
 """Table sinks: overwrite, partitioned + clustered layout, CSV export."""
 from __future__ import annotations
 
+from dataclasses import dataclass, field
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -53,9 +55,33 @@ def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     return spark.read.option("header", True).schema(schema).csv(path)
 
 
-def append(df: DataFrame, path: str) -> None:
-    """Append rows as they are (NULLs preserved)."""
-    df.write.mode("append").parquet(path)
+def append(df: DataFrame, path: str, observation=None) -> None:
+    """Append rows as they are (NULLs preserved); earlier rows stay."""
+    _observed(df, observation).write.mode("append").parquet(path)
+
+
+def write_batch(df: DataFrame, path: str, batch_id: int, fmt: str = "parquet",
+                partitions: tuple[str, ...] = ()) -> None:
+    """One micro-batch as its own ``batch_id`` partition: other batches stay, and a
+    retried batch replaces itself."""
+    (df.withColumn("batch_id", F.lit(batch_id).cast("long")).write.format(fmt).mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(*partitions, "batch_id").save(path))
+
+
+@dataclass(frozen=True)
+class MessageSink:
+    """Where messages (one string column ``value``) are published: ``text`` files
+    under ``target``, or topic ``target`` of a broker (``fmt="kafka"``, ``options``)."""
+    target: str
+    fmt: str = "text"
+    options: dict = field(default_factory=dict)
+
+    def publish(self, messages: DataFrame, batch_id: int) -> None:
+        if self.fmt == "text":
+            write_batch(messages.select("value"), self.target, batch_id, "text")
+        else:
+            messages.select("value").write.format(self.fmt).options(**self.options) \
+                .option("topic", self.target).save()
 
 
 def read_back(spark: SparkSession, path: str, columns: list[str]) -> DataFrame:

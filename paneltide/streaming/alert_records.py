@@ -7,6 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
+from paneltide.functions import constants as K
+
 RECORD_FIELDS = ["dataset", "country_code", "year", "value", "z_score", "severity",
                  "detected_at", "processed_at"]
 # every field is read as text and converted with try_cast, so a record with a
@@ -32,14 +34,16 @@ def parse_records(stream: DataFrame, processed_at) -> DataFrame:
         .alias("processed_at"))
 
 
+def start_alert_records(stream: DataFrame, sink: str, checkpoint: str, processed_at,
+                        trigger: dict | None = None):
+    """Start the stream; a micro-batch every ``K.TRIGGER`` unless given."""
+    return (parse_records(stream, processed_at).writeStream.format("parquet")
+            .option("path", sink).option("checkpointLocation", checkpoint).outputMode("append")
+            .trigger(**(trigger or {"processingTime": K.TRIGGER})).start())
+
+
 def run_alert_records(spark: SparkSession, stream: DataFrame, sink: str, checkpoint: str,
-                      processed_at, available_now: bool = True) -> DataFrame | None:
-    q = (parse_records(stream, processed_at).writeStream.format("parquet")
-         .option("path", sink).option("checkpointLocation", checkpoint)
-         .outputMode("append"))
-    q = q.trigger(availableNow=True) if available_now else q.trigger(processingTime="60 seconds")
-    handle = q.start()
-    if available_now:
-        handle.awaitTermination()
-        return spark.read.parquet(sink).select(*RECORD_COLUMNS)
-    return None
+                      processed_at) -> DataFrame:
+    """Process what is there now and return the table."""
+    start_alert_records(stream, sink, checkpoint, processed_at, {"availableNow": True}).awaitTermination()
+    return spark.read.parquet(sink).select(*RECORD_COLUMNS)

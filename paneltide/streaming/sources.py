@@ -7,13 +7,16 @@ from pyspark.sql import functions as F
 
 
 def kafka_stream(spark: SparkSession, servers: str, topic: str,
-                 starting_offsets: str = "latest", group_id: str | None = None) -> DataFrame:
+                 starting_offsets: str = "latest", group_id: str | None = None,
+                 max_offsets_per_trigger: int | None = None) -> DataFrame:
     reader = (spark.readStream.format("kafka")
               .option("kafka.bootstrap.servers", servers)
               .option("subscribe", topic)
               .option("startingOffsets", starting_offsets))
     if group_id:
         reader = reader.option("kafka.group.id", group_id)
+    if max_offsets_per_trigger:
+        reader = reader.option("maxOffsetsPerTrigger", max_offsets_per_trigger)
     return reader.load().select(F.col("value").cast("string").alias("value"))
 
 
@@ -24,13 +27,17 @@ def file_stream(spark: SparkSession, path: str, max_files_per_trigger: int | Non
     return reader.load(path)
 
 
-def stage_messages(messages: DataFrame, path: str, order_col: str | None = None,
-                   files: int | None = None) -> None:
-    """Write message text as JSON-lines files, range-partitioned on the event
-    time so that each file covers one ordered slice of time. The number of
-    files follows the session's shuffle partitioning unless given."""
-    df = messages
-    if order_col:
-        df = (df.repartitionByRange(files, order_col) if files
-              else df.repartitionByRange(order_col)).sortWithinPartitions(order_col)
-    df.select("value").write.mode("overwrite").text(path)
+def stage_messages(messages: DataFrame, path: str, order_col: str, slices: int = 4) -> None:
+    """Append the messages as JSON lines in ``slices`` files, each later in
+    ``order_col`` than the one before and written after it, so that a file stream
+    reads them in order, one micro-batch a file."""
+    kind = messages.schema[order_col].dataType.typeName()
+    at = F.col(order_col).cast("timestamp").cast("double") if "timestamp" in kind else F.col(order_col).cast("double")
+    keyed = messages.select("value", at.alias("_at"))
+    cuts = keyed.agg(F.percentile("_at", [i / slices for i in range(1, slices)]).alias("c")).first()["c"] or []
+    bounds = [None, *cuts, None]
+    for low, high in zip(bounds, bounds[1:]):
+        part = keyed.filter((F.lit(True) if low is None else F.col("_at") >= low)
+                            & (F.lit(True) if high is None else F.col("_at") < high))
+        part.repartitionByRange(1, "_at").sortWithinPartitions("_at").select("value") \
+            .write.mode("append").text(path)

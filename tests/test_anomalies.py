@@ -2,10 +2,9 @@
 import datetime as dt
 
 from paneltide.operators import anomalies
-from paneltide.operators.joins import join_checked
 from paneltide.params import Params
 
-P = Params()
+P = Params(detected_at=dt.datetime(2024, 1, 2))
 
 
 def test_threshold_is_strict(spark):
@@ -45,20 +44,10 @@ def test_top_k_per_dataset(spark):
 
 def test_dispatch(spark):
     ev = spark.createDataFrame([("x_full_pipeline",), ("gdp_annual",), ("nope",)], "dataset string")
-    out = anomalies.dispatch(ev, spark).groupBy("dataset").count().collect()
+    out = anomalies.dispatch(ev).groupBy("dataset").count().collect()
     assert {r["dataset"]: r["count"] for r in out} == {"x_full_pipeline": 4, "gdp_annual": 1}
 
 
-def test_join_checked_broadcast_and_salted_agree(spark):
-    big = spark.createDataFrame([("hot", i) for i in range(200)] + [("cold", 1)],
-                                "k string, v int")
-    small = spark.createDataFrame([("hot", 10), ("cold", 20)], "k string, w int")
-    a = sorted(tuple(r) for r in join_checked(big, small, ["k"], P).collect())
-    b = sorted(tuple(r) for r in join_checked(big, small, ["k"],
-                                              P.with_(broadcast_max_rows=0)).collect())
-    assert a == b and len(a) == 201
-
-
 def test_alert_message_round_trip(spark):
     ts = dt.datetime(2024, 1, 1, 0, 0, 7, 179575)
     alerts = spark.createDataFrame(
@@ -69,9 +58,9 @@ def test_alert_message_round_trip(spark):
     assert back["value"] == 0.0 and back["z_score"] == 2.5 and back["detected_at"] == ts
 
 
-def test_event_detection_hot_type_same_on_salted_path(spark):
-    """One event type holds most rows: the salted join (used beyond the
-    broadcast limit) gives exactly the broadcast path's alerts."""
+def test_event_detection_hot_type_same_on_both_joins(spark):
+    """One event type holds most rows: broadcast and sort-merge join of the
+    statistics give the same alerts."""
     import random
     rnd = random.Random(7)
     rows = [(i, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=i), i % 40,
@@ -79,8 +68,12 @@ def test_event_detection_hot_type_same_on_salted_path(spark):
              "{}") for i in range(3000)]
     ev = spark.createDataFrame(rows, "event_id long, ts timestamp_ntz, user_id long, "
                                      "event_type string, value double, props string")
-    a = sorted(tuple(r) for r in anomalies.detect_event_anomalies(ev, spark, P).collect())
-    b = sorted(tuple(r) for r in anomalies.detect_event_anomalies(
-        ev, spark, P.with_(broadcast_max_rows=0, salt_buckets=8)).collect())
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    a = sorted(tuple(r) for r in anomalies.detect_event_anomalies(ev, P).collect())
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        b = sorted(tuple(r) for r in anomalies.detect_event_anomalies(ev, P).collect())
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
     assert a == b and len(a) > 0
     assert {r[0] for r in a} <= {"hot", "cold"}

@@ -12,22 +12,30 @@ def _panel(spark, rows):
     return spark.createDataFrame(rows, SCHEMA)
 
 
+def _yoy(df):
+    return df.select("*", *[c.alias(n) for n, c in metrics.yoy().items()])
+
+
+def _stats(df):
+    return df.select("*", *[c.alias(n) for n, c in metrics.series_stats().items()])
+
+
 def _by_year(df):
     return {r["year"]: r for r in df.collect()}
 
 
 def test_gap_year_compares_with_previous_row(spark):
-    df = metrics.add_yoy(_panel(spark, [("g", "DE", 2001, 100.0), ("g", "DE", 2003, 110.0)]))
+    df = _yoy(_panel(spark, [("g", "DE", 2001, 100.0), ("g", "DE", 2003, 110.0)]))
     assert _by_year(df)[2003]["yoy_growth_pct"] == 10.0
 
 
 def test_previous_zero_gives_change_but_no_growth(spark):
-    r = _by_year(metrics.add_yoy(_panel(spark, [("g", "DE", 1, 0.0), ("g", "DE", 2, 5.0)])))[2]
+    r = _by_year(_yoy(_panel(spark, [("g", "DE", 1, 0.0), ("g", "DE", 2, 5.0)])))[2]
     assert r["yoy_change"] == 5.0 and r["yoy_growth_pct"] is None
 
 
 def test_negative_previous(spark):
-    r = _by_year(metrics.add_yoy(_panel(spark, [("g", "DE", 1, -2.0), ("g", "DE", 2, 1.0)])))[2]
+    r = _by_year(_yoy(_panel(spark, [("g", "DE", 1, -2.0), ("g", "DE", 2, 1.0)])))[2]
     assert r["yoy_growth_pct"] == -150.0
 
 
@@ -39,7 +47,7 @@ def test_first_year_and_single_observation(spark):
 
 
 def test_constant_series_has_zero_z(spark):
-    df = metrics.add_zscore(_panel(spark, [("g", "DE", y, 5.0) for y in (1, 2, 3)]))
+    df = metrics.enrich_panel(_panel(spark, [("g", "DE", y, 5.0) for y in (1, 2, 3)]))
     assert {r["z_score"] for r in df.collect()} == {0.0}
 
 
@@ -52,12 +60,12 @@ def test_null_inside_series_blocks_growth_and_is_dropped_after(spark):
 
 
 def test_series_are_independent(spark):
-    df = metrics.add_yoy(_panel(spark, [("a", "DE", 1, 1.0), ("b", "DE", 2, 2.0)]))
+    df = _yoy(_panel(spark, [("a", "DE", 1, 1.0), ("b", "DE", 2, 2.0)]))
     assert all(r["yoy_change"] is None for r in df.collect())
 
 
 def test_zscore_rounding_and_values(spark):
-    df = metrics.add_zscore(_panel(spark, [("g", "DE", 1, 1.0), ("g", "DE", 2, 2.0),
+    df = metrics.enrich_panel(_panel(spark, [("g", "DE", 1, 1.0), ("g", "DE", 2, 2.0),
                                            ("g", "DE", 3, 3.0)]))
     assert sorted(r["z_score"] for r in df.collect()) == [-1.0, 0.0, 1.0]
 
@@ -80,9 +88,9 @@ def test_series_stats_match_sample_statistics_and_ignore_order(spark):
     vals = [3.1, 0.7, 12.25, 5.5, 8.0, 1.05, 9.9]
     rows = [("g", "DE", 2000 + i, v) for i, v in enumerate(vals)] + [("g", "FR", 2000, 4.0)]
     a = {r["country_code"]: (r["mean"], r["std_dev"]) for r in
-         metrics.series_stats(_panel(spark, rows)).collect()}
+         _stats(_panel(spark, rows)).collect()}
     b = {r["country_code"]: (r["mean"], r["std_dev"]) for r in
-         metrics.series_stats(_panel(spark, list(reversed(rows))).repartition(3)).collect()}
+         _stats(_panel(spark, list(reversed(rows))).repartition(3)).collect()}
     assert a == b  # bit-identical whatever the row order / partitioning
     assert abs(a["DE"][0] - statistics.mean(vals)) < 1e-12
     assert abs(a["DE"][1] - statistics.stdev(vals)) < 1e-12

@@ -2,6 +2,8 @@
 adaptive plan, before execution)."""
 import re
 
+import pytest
+
 import __spark_entry__ as E
 from conftest import SF_SMALL
 
@@ -17,8 +19,42 @@ def test_fact_scans_are_pruned_and_reduced_before_shuffle(spark):
     cols = set(li.group(1).replace(" ", "").split(","))
     assert {c.split("#")[0] for c in cols} == {"l_suppkey", "l_quantity", "l_extendedprice",
                                                "l_discount", "l_shipdate"}
-    # partial aggregates below every shuffle of the fact tables
-    assert plan.count("Expand") == 1  # one ROLLUP over orders
+
+
+@pytest.mark.parametrize("key,absent", [
+    *[(k, "lineitem") for k in ("stg_gdp", "stg_unemployment", "process_gdp", "process_unemployment",
+                                "mart_gdp_trends", "mart_unemployment", "api_gdp_trends", "gdp_kpis",
+                                "rank_unemployment", "heatmap_gdp", "land_unpivot")],
+    *[(k, "orders") for k in ("stg_energy", "stg_inflation", "process_energy", "process_inflation")]])
+def test_only_the_needed_facts_are_read(spark, key, absent):
+    plan = _plan(E.queries()[key](spark, SF_SMALL))
+    scans = re.findall(r"Location: \S+ [^\]]*?/(\w+)\.parquet", plan)
+    assert scans and absent not in scans
+
+
+@pytest.mark.parametrize("key", ["rank_gdp", "rank_energy", "energy_kpis", "unemployment_kpis", "composite_index",
+                                 "ingestion_event_json", "dq_report"])
+def test_facts_are_scanned_once(spark, key):
+    plan = _plan(E.queries()[key](spark, SF_SMALL))
+    scans = re.findall(r"Location: \S+ [^\]]*?/(\w+)\.parquet", plan)
+    assert scans.count("orders") <= 1 and scans.count("lineitem") <= 1
+    # no Expand copies fact rows: it stands above the first aggregate of the facts
+    tree = plan.split("\n")
+    for i, line in enumerate(tree):
+        if re.search(r"\bExpand\b", line):
+            below = "\n".join(tree[i + 1:])
+            assert "HashAggregate" in below or "Scan" not in below
+
+
+def test_no_array_of_a_series_and_no_nested_loops(spark):
+    for key in ("process_panel", "anomaly_alerts", "combined_indicators", "unemployment_kpis", "energy_kpis",
+                "home_map", "event_alerts"):
+        plan = _plan(E.queries()[key](spark, SF_SMALL))
+        assert "collect_list" not in plan and "NestedLoop" not in plan and "Cartesian" not in plan
+
+
+def test_latest_year_is_cut_in_each_task(spark):
+    assert "WindowGroupLimit" in _plan(E.queries()["rank_gdp"](spark, SF_SMALL))
 
 
 def test_dedupe_limits_before_the_shuffle(spark):
@@ -44,7 +80,7 @@ def test_top_k_and_recent_alerts_plans(spark):
 def test_dimension_lookup_is_not_a_join(spark):
     plan = _plan(E.queries()["event_alerts"](spark, SF_SMALL))
     assert "element_at" in plan or "try_element_at" in plan
-    assert plan.count("Join") == 1  # only the checked broadcast of the statistics
+    assert plan.count("Join") == 1  # the statistics, one row per type
 
 
 def test_partitioned_layout_prunes_on_year(spark, tmp_path):

@@ -1,6 +1,8 @@
 """Registered queries: contract, oracle agreement on the smallest tables,
 and scale invariance (1 vs many shuffle partitions)."""
 import math
+import re
+import shutil
 
 import duckdb
 import pytest
@@ -14,7 +16,10 @@ FAST = ["panel_union", "dedupe_latest", "combined_indicators", "composite_index"
         "api_recent_alerts", "home_ranking", "composite_kpis", "energy_kpis", "dq_report",
         "heatmap_gdp", "ingestion_event_json", "land_unpivot", "stg_inflation_raw",
         "process_panel", "int_yoy_deltas", "composite_components", "layout_partitioned",
-        "csv_export", "stream_alert_records", "event_driven_anomalies"]
+        "csv_export", "stream_alert_records", "event_driven_anomalies", "stream_window_summary",
+        "event_driven_messages", "alerts_appended", "anomaly_alerts_top3", "raw_layout",
+        "land_file_slice", "country_indicators_fanout", "dq_report_faulty", "sink_overwrite",
+        "unemployment_kpis", "rank_energy", "gdp_kpis", "home_map"]
 
 
 def _norm(v):
@@ -65,14 +70,51 @@ def test_matches_oracle(spark, duck, key):
     assert _rows(sdf) == _rows(odf)
 
 
+def _final_plan(df) -> str:
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_scale_invariance(spark):
+    """1 and 32 shuffle partitions, asserted in the plans that give the rows."""
     key = "composite_index"
     before = spark.conf.get("spark.sql.shuffle.partitions")
+    rows = {}
     try:
-        spark.conf.set("spark.sql.shuffle.partitions", "1")
-        a = _rows(E.queries()[key](spark, SF_SMALL).toPandas())
-        spark.conf.set("spark.sql.shuffle.partitions", "32")
-        b = _rows(E.queries()[key](spark, SF_SMALL).toPandas())
+        for n in ("1", "32"):
+            spark.conf.set("spark.sql.shuffle.partitions", n)
+            df = E.queries()[key](spark, SF_SMALL)
+            rows[n] = _rows(df.toPandas())
+            counts = set(re.findall(r"hashpartitioning\([^)]*, (\d+)\)", _final_plan(df)))
+            assert counts == {n}
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)
-    assert a == b
+    assert rows["1"] == rows["32"]
+
+
+def test_replaced_input_gives_the_new_answer(spark, tmp_path):
+    """Nothing is kept between calls: a table replaced under the same path counts."""
+    for t in TABLES:
+        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path)
+    first = _rows(E.queries()["panel_union"](spark, str(tmp_path)).toPandas())
+    for t in ("orders", "customer"):
+        shutil.copy(f"/root/testdata/sf0.01/{t}.parquet", tmp_path)
+    second = _rows(E.queries()["panel_union"](spark, str(tmp_path)).toPandas())
+    con = duckdb.connect()
+    for t in TABLES:
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_path}/{t}.parquet')")
+    assert second == _rows(con.execute(E.oracle_sql()["panel_union"]).df()) and second != first
+
+
+def test_settings_of_the_session_stay(spark):
+    names = ["spark.sql.shuffle.partitions", "spark.sql.files.maxPartitionBytes",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes"]
+    before = {n: spark.conf.get(n) for n in names}
+    for key in ("composite_index", "event_alerts", "dq_report"):
+        E.queries()[key](spark, SF_SMALL)
+    assert {n: spark.conf.get(n) for n in names} == before
+
+
+def test_training_data_queries_are_optional():
+    import importlib.util
+    here = importlib.util.find_spec("paneltide.llm") is not None
+    assert ("pipeline" in E.queries()) == here

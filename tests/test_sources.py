@@ -1,5 +1,6 @@
 """Source adapters, the country dimension and the panel union."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from paneltide.operators.panel import union_panel
@@ -14,6 +15,31 @@ def test_missing_source_yields_empty_frame(spark, tmp_path):
     assert df.count() == 0 and df.columns == ["n_nationkey", "n_name", "n_regionkey"]
 
 
+def test_other_faults_are_errors(spark, tmp_path):
+    from paneltide.sources.tables import SCHEMAS
+    bad = tmp_path / "bad"
+    bad.mkdir()
+    (bad / "part-0.parquet").write_text("not parquet")
+    with pytest.raises(Exception):
+        read_source_or_empty(spark, SourceSpec("parquet", str(bad), schema=SCHEMAS["nation"])).count()
+    with pytest.raises(Exception):
+        read_source_or_empty(spark, SourceSpec("no-such-format", str(bad), schema=SCHEMAS["nation"]))
+
+
+def test_scratch_needs_a_shared_folder_on_a_cluster():
+    from paneltide.session import scratch_root
+
+    class Context:
+        master = "spark://host:7077"
+        getCheckpointDir = staticmethod(lambda: None)
+
+    class Session:
+        sparkContext = Context()
+        conf = {}
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_root(Session())
+
+
 def test_registry_loads_by_name(spark, tmp_path):
     path = str(tmp_path / "t")
     spark.createDataFrame([(1, "a")], "k int, v string").write.parquet(path)

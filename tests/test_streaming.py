@@ -3,6 +3,8 @@ import datetime as dt
 import os
 import tempfile
 
+import pytest
+
 from paneltide.streaming import alert_records, window_summary
 from paneltide.streaming.sources import file_stream
 
@@ -36,37 +38,68 @@ def _alert(code, ts, z=2.5, sev="LOW"):
             '"severity":"%s","detected_at":"%s"}' % (code, z, sev, ts))
 
 
-def test_window_summary_late_data_and_update_merge(spark):
+def test_window_summary_late_data_update_merge_and_folding(spark):
     d = tempfile.mkdtemp(prefix="pt-win-")
-    src = f"{d}/in"
-    _write(src, "1.json", [_alert("DE", "2024-01-01T00:01:00.000000"),
-                           _alert("DE", "2024-01-01T00:02:00.000000", z=-3.5)])
-    stream = file_stream(spark, src, max_files_per_trigger=1)
-    q = (window_summary.window_summary(window_summary.parse_alerts(stream)).writeStream
-         .outputMode("update").foreachBatch(window_summary.batch_writer(f"{d}/out"))
-         .option("checkpointLocation", f"{d}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
-    # batch 2: advances the watermark far beyond the first window
-    _write(src, "2.json", [_alert("DE", "2024-01-01T01:00:00.000000")])
-    q = (window_summary.window_summary(window_summary.parse_alerts(
-        file_stream(spark, src, max_files_per_trigger=1))).writeStream
-         .outputMode("update").foreachBatch(window_summary.batch_writer(f"{d}/out"))
-         .option("checkpointLocation", f"{d}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
-    # batch 3: a late alert for the closed first window and an on-time update
-    _write(src, "3.json", [_alert("DE", "2024-01-01T00:03:00.000000"),
-                           _alert("DE", "2024-01-01T01:01:00.000000")])
-    q = (window_summary.window_summary(window_summary.parse_alerts(
-        file_stream(spark, src, max_files_per_trigger=1))).writeStream
-         .outputMode("update").foreachBatch(window_summary.batch_writer(f"{d}/out"))
-         .option("checkpointLocation", f"{d}/ckpt").trigger(availableNow=True).start())
-    q.awaitTermination()
-    merged = window_summary.merged_updates(spark, f"{d}/out", window_summary.SUMMARY_KEYS,
-                                           window_summary.SUMMARY_COLUMNS)
-    got = {(r["window_start"].hour, r["window_start"].minute): r for r in merged.collect()}
-    assert got[(0, 0)]["alert_count"] == 2          # late row ignored
-    assert got[(0, 0)]["max_abs_z"] == 3.5
-    assert got[(1, 0)]["alert_count"] == 2          # update merged: last batch wins
+    src, out, ckpt = f"{d}/in", f"{d}/out", f"{d}/ckpt"
+    batches = [
+        [_alert("DE", "2024-01-01T00:01:00.000000"), _alert("DE", "2024-01-01T00:02:00.000000", z=-3.5)],
+        [_alert("DE", "2024-01-02T01:00:00.000000")],   # the watermark passes the first window
+        [_alert("DE", "2024-01-01T00:03:00.000000"), _alert("DE", "2024-01-02T01:01:00.000000")]]
+    for i, lines in enumerate(batches):
+        _write(src, f"{i}.json", lines)
+        window_summary.start_window_summary(file_stream(spark, src, max_files_per_trigger=1), out, ckpt,
+                                            {"availableNow": True}).awaitTermination()
+
+    def check(df):
+        got = {(r["window_start"].day, r["window_start"].hour): r for r in df.collect()}
+        assert len(got) == 2
+        assert got[(1, 0)]["alert_count"] == 2 and got[(1, 0)]["max_abs_z"] == 3.5    # late row ignored
+        assert got[(2, 1)]["alert_count"] == 2                                       # last update wins
+    check(window_summary.current_summary(spark, out, f"{d}/days"))
+    before = dt.datetime(2024, 1, 2, 0, 30)
+    for _ in range(2):                                                               # folding again changes nothing
+        window_summary.fold_closed(spark, out, f"{d}/days", before)
+    check(window_summary.current_summary(spark, out, f"{d}/days", before.date()))
+    plan = window_summary.current_summary(spark, out, f"{d}/days", before.date())._jdf.queryExecution() \
+        .executedPlan().toString()
+    assert plan.count("PartitionFilters: [isnotnull(window_day") == 2
+
+
+def test_jobs_by_configuration(spark, tmp_path):
+    from paneltide.streaming import jobs
+    src = str(tmp_path / "in")
+    _write(src, "a.json", [_alert("DE", "2024-01-01T00:01:00.000000")])
+    for job in ("window_summary", "alert_records"):
+        jobs.start(spark, [job, "--files", src, "--sink", f"{tmp_path}/{job}", "--checkpoint", f"{tmp_path}/{job}-c",
+                           "--once", "--per-trigger", "1"]).awaitTermination()
+        assert spark.read.parquet(f"{tmp_path}/{job}").count() == 1
+    for argv in (["window_summary", "--sink", "x", "--checkpoint", "y"],
+                 ["event_driven", "--files", src, "--sink", "x", "--checkpoint", "y"]):
+        with pytest.raises(ValueError):
+            jobs.start(spark, argv)
+
+
+def test_event_driven_reads_requested_tables_appends_and_publishes(spark, tmp_path):
+    from paneltide.params import TEST_PARAMS
+    from paneltide.sources.sinks import MessageSink
+    from paneltide.streaming import event_driven
+    rows = [(n, "DE", y, 100.0 if y == 2019 else 0.0) for n in ("gdp_annual", "energy_intensity") for y in range(2000, 2020)]
+    panel = spark.createDataFrame(rows, "dataset string, country_code string, year int, value double")
+    asked = []
+
+    def landed(names):
+        asked.append(names)
+        return panel.filter(panel.dataset.isin(names))
+    src, sink = str(tmp_path / "in"), str(tmp_path / "alerts")
+    for i, name in enumerate(["gdp_annual", "nope", "x_full_pipeline"]):
+        _write(src, f"{i}.json", ['{"dataset":"%s","record_count":1}' % name])
+        out = event_driven.run_event_driven(spark, file_stream(spark, src), landed, sink, str(tmp_path / "c"),
+                                            TEST_PARAMS, MessageSink(str(tmp_path / "messages")))
+    assert asked == [["gdp_annual"], ["energy_intensity", "gdp_annual", "inflation_annual", "unemployment_annual"]]
+    got = sorted((r["request"], r["dataset"], r["year"]) for r in out.collect())
+    assert got == [("gdp_annual", "gdp_annual", 2019), ("x_full_pipeline", "energy_intensity", 2019),
+                   ("x_full_pipeline", "gdp_annual", 2019)]
+    assert spark.read.text(str(tmp_path / "messages")).count() == 3
 
 
 def test_window_summary_keeps_malformed_rows_with_null_keys(spark):
