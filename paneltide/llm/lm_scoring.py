@@ -36,7 +36,7 @@ from paneltide.llm.common import held_out, materialise, mix64, ready, slices, wo
 FOLDS = 10
 ALPHA = 0.1
 MU = 8.0
-BITS_PER_EVENT, PROBES = 10, 5
+BITS_PER_EVENT, PROBES = 12, 6      # 0.4 % false positives
 SHARD_BYTES = 256 << 20
 FREQUENT = 1 << 17
 FLUSH = 4_000_000               # n-grams gathered in a task before they are passed on

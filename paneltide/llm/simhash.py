@@ -122,7 +122,7 @@ def id_range(docs: DataFrame, id_col: str, ranges: int) -> Column:
     table = F.array(*(F.lit(e).cast("bigint") for e in bounds))
     low, high = F.get(table, at).cast("double"), F.get(table, at + 1).cast("double")
     inside = F.least(F.floor((x - low - 1) * steps / F.greatest(high - low, F.lit(1.0))), F.lit(steps - 1))
-    return F.coalesce((at * steps + inside).cast("bigint"), F.lit(-1).cast("bigint"))
+    return F.when(x.isNotNull(), (at * steps + inside).cast("bigint")).otherwise(F.lit(-1).cast("bigint"))
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
