@@ -137,10 +137,11 @@ def _expand(facts: DataFrame, rows: list[F.Column], params: Params, reload: bool
     if reload:
         loads.append(F.struct(F.lit(params.reload_date).alias("loaded_at"),
                               F.lit(params.reload_factor).alias("f")))
+    one_or_each = lambda xs: xs[0] if len(xs) == 1 else F.explode(F.array(*xs))
     x = (facts.select("country_code", "country_name", F.col("year").cast("int").alias("year"),
-                      F.explode(F.array(*rows)).alias("r"))
+                      one_or_each(rows).alias("r"))
          .filter(F.col("r").isNotNull())
-         .select("*", F.explode(F.array(*loads)).alias("l")))
+         .select("*", one_or_each(loads).alias("l")))
     value = F.col("r.value") * F.col("l.f")  # x * 1.0 == x exactly
     return x.select(F.col("r.dataset").alias("dataset"), "country_code", "country_name", "year",
                     F.col("r.unit").alias("unit"), F.col("r.indicator").alias("indicator"),
