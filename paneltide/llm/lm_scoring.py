@@ -173,7 +173,7 @@ def token_counts(model: DataFrame) -> DataFrame:
 class Filter:
     """A run of segments ready for probing."""
 
-    def __init__(self, data: bytes, held: list[tuple[int, int]], segments: int):
+    def __init__(self, data: bytes | bytearray, held: list[tuple[int, int]], segments: int):
         """``held``: (segment, bytes) in the order of ``data``."""
         self.segments = segments
         self.bits = np.zeros(segments, np.uint64)
@@ -277,10 +277,10 @@ def score(docs: DataFrame, model: DataFrame, folds: int = FOLDS, id_col: str = "
     total = model.agg(F.sum("tokens").alias("n"), F.sum("types").alias("v"), F.max("segments").alias("s")).first()
     n_all, n_types, segments = total["n"] or 0, total["v"] or 0, total["s"] or 1
     counts = token_counts(model)
-    top = counts.orderBy(F.desc("n"), "key").limit(FREQUENT).collect()     # FREQUENT pairs of numbers at most
-    keys = np.array([r["key"] for r in top], np.int64).view(np.uint64)
+    top = counts.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()     # FREQUENT pairs of numbers at most
+    keys = top.column("key").to_numpy().view(np.uint64)
     order = np.argsort(keys)
-    frequent = sc.broadcast((keys[order], np.array([r["n"] for r in top], np.float64)[order]))
+    frequent = sc.broadcast((keys[order], top.column("n").to_numpy().astype(np.float64)[order]))
     del top
     # shards: runs of segments of SHARD_BYTES at most
     sizes = [(r["seg"], r["b"]) for r in model.select("seg", F.octet_length("filter").alias("b")).orderBy("seg").collect()]
@@ -301,7 +301,7 @@ def score(docs: DataFrame, model: DataFrame, folds: int = FOLDS, id_col: str = "
         for r in part.toLocalIterator():
             held.append((r["seg"], len(r["filter"])))
             data += r["filter"]
-        shard = sc.broadcast((bytes(data), held, segments))
+        shard = sc.broadcast((data, held, segments))
         del data
         last = i == len(shards) - 1
         types = ("n_tokens long, known long, base double, score double, rare array<long>" if last
