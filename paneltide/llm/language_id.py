@@ -244,7 +244,7 @@ def train(docs: DataFrame, folds: int = FOLDS, sample: int = SAMPLE) -> Models |
         _ngram_counts, "lang string, n int, gram long, context long, suffix long, count long") \
         .groupBy("lang", "n", "gram").agg(F.first("context").alias("context"), F.first("suffix").alias("suffix"),
                                           F.sum("count").alias("count"))
-    counts = grams.toPandas()              # bounded by the sample
+    counts = grams.toArrow().to_pandas()   # bounded by the sample
     if not len(counts):
         return None
     langs = sorted(counts["lang"].unique())
@@ -257,7 +257,7 @@ def train(docs: DataFrame, folds: int = FOLDS, sample: int = SAMPLE) -> Models |
             yield pa.record_batch([batch.column("lang"), pa.array(n), pa.array(list(bits), pa.list_(pa.float64()))],
                                   names=["lang", "n", "bits"])
     table = picked.filter("check").select("lang", "letters").mapInArrow(
-        measure, "lang string, n long, bits array<double>").toPandas()
+        measure, "lang string, n long, bits array<double>").toArrow().to_pandas()
     _calibrate(models, table[table["lang"].isin(langs)])
     return models
 
