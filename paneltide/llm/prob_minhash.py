@@ -7,14 +7,16 @@ keep the earliest arrival. A document's processes stop as soon as they pass its
 latest register, so a long text costs little more than its length. Equal
 registers estimate the probability Jaccard similarity. ``BANDS`` bands of
 ``ROWS`` registers give candidates (a pair at 0.8 meets in one with probability
-0.99993); candidates are verified by the exact probability Jaccard of their
-shingles, ``THRESHOLD`` or more, and linked pairs make up classes.
+0.99993). A candidate goes on if two bits of each register agree often enough:
+``AGREE`` of 512 registers is 4.2 standard deviations below a pair at 0.8. The rest
+are verified by the exact probability Jaccard of their shingles, ``THRESHOLD``
+or more, and linked pairs make up classes.
 
 Texts with equal words are one candidate. Inside a band's bucket not all pairs
-are formed: hubs (the members with most bucket mates) are compared with
-members of other classes, verified links merge classes, and rounds with eight
-times as many hubs follow until every bucket is one class or all its members
-have been hubs, so no link between different classes is lost.
+are formed: first every member meets the bucket's hub, the one with most bucket
+mates, and verified links merge classes; then only members outside the hub's
+class meet the members of other classes. After that every pair of a bucket is
+in one class or has been compared, so no link between classes is lost.
 
 Defined cases: a text of fewer than five words is one shingle of them all; null
 and wordless texts are classes of their own; repeated rows fall into one class;
@@ -37,8 +39,10 @@ from paneltide.llm.common import fresh, materialise, mix64, ready, slices, word_
 WORDS = 5
 THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
-REGISTERS = BANDS * ROWS
-HUB_GROWTH = 8
+REGISTERS = 512
+LANES = REGISTERS // 64        # longs that hold one bit of each register
+AGREE = 401
+MARKS = 1 << 18                # longs of the bitmap that thins texts before their join
 ARRIVAL = np.uint64(0x8CB92BA72F3D8DD7)
 
 
@@ -98,19 +102,28 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
     out = np.tile(mix64(np.arange(BANDS, dtype=np.uint64)), (len(signature), 1))
     with np.errstate(over="ignore"):
         for i in range(ROWS):
-            out = mix64(out * np.uint64(0x9FB21C651E98DF25) ^ signature[:, i::ROWS][:, :BANDS])
+            out = mix64(out * np.uint64(0x9FB21C651E98DF25) ^ signature[:, i:BANDS * ROWS:ROWS])
     return out
 
 
+def register_bits(signature: np.ndarray) -> np.ndarray:
+    """Two bits of each register: LANES numbers of first bits, then of second bits."""
+    mixed = mix64(signature)
+    return np.concatenate([np.packbits((mixed >> np.uint64(k) & np.uint64(1)).astype(np.uint8), axis=1,
+                                       bitorder="little").view(np.int64) for k in (0, 1)], axis=1)
+
+
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches, limit=4 << 20):
         counts, words = word_hashes(batch.column("text"), lower=True)
-        keys = band_keys(signatures(len(counts), *_weighted(*_shingles(counts, words)))).view(np.int64)
+        signature = signatures(len(counts), *_weighted(*_shingles(counts, words)))
+        keys, bits = band_keys(signature).view(np.int64), register_bits(signature)
         ends = np.cumsum(counts)
         digest = [hashlib.blake2b(words[a:b].tobytes(), digest_size=16).digest() if b > a else None
                   for a, b in zip(ends - counts, ends)]
         yield pa.record_batch([batch.column("doc_id"), batch.column("row"), pa.array(digest, pa.binary()),
-                               pa.array(list(keys), pa.list_(pa.int64()))], names=["doc_id", "row", "digest", "bands"])
+                               pa.array(list(keys), pa.list_(pa.int64())), pa.array(list(bits), pa.list_(pa.int64()))],
+                              names=["doc_id", "row", "digest", "bands", "bits"])
 
 
 def similarity(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -166,43 +179,60 @@ def connected(edges: DataFrame) -> DataFrame:
         state = now
 
 
+def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
+    """Pairs (a > b) of one bucket that are in different classes and whose register
+    bits agree as those of a pair at the threshold do. A pair that shares several
+    buckets comes from the first of its common bands only."""
+    other = right.select("bucket", F.col("row").alias("row2"), F.col("class").alias("class2"),
+                         F.col("bands").alias("bands2"), F.col("bits").alias("bits2"))
+    def differ(i):
+        return F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits2")[i]).bitwiseOR(
+            F.col("bits")[i + LANES].bitwiseXOR(F.col("bits2")[i + LANES])))
+    unlike = sum((differ(i) for i in range(LANES)), F.lit(0))
+    common = F.filter(F.zip_with("bands", "bands2", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
+    return left.join(other, "bucket").filter(
+        (F.col("class") != F.col("class2")) & (unlike <= REGISTERS - AGREE) & (F.get(common, F.lit(0)) == F.col("bucket"))) \
+        .select(F.greatest("row", "row2").alias("a"), F.least("row", "row2").alias("b")).distinct()
+
+
+def _texts_of(docs: DataFrame, rows: DataFrame, text_col: str) -> DataFrame:
+    """(row, text) of the rows of ``docs`` that are in ``rows``. A bitmap of MARKS longs
+    is broadcast to drop most others before the join moves any text."""
+    spot = F.xxhash64("row")
+    word, bit = F.shiftright(spot, 6).bitwiseAND(F.lit(MARKS - 1)), spot.bitwiseAND(F.lit(63)).cast("int")
+    marks = rows.groupBy(word.alias("word")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("marks"))
+    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
+    thin = texts.withColumn("word", word).join(F.broadcast(marks), "word").filter(
+        F.call_function("shiftright", F.col("marks"), bit).bitwiseAND(F.lit(1)) == 1).select("row", "text")
+    return thin.join(rows, "row", "left_semi")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame:
+    side = lambda x: texts.select(F.col("row").alias(x), F.col("text").alias(f"text_{x}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "text_a", "text_b") \
+        .mapInArrow(_verify(threshold), "a long, b long")
+
+
 def _linked(docs: DataFrame, members: DataFrame, text_col: str, threshold: float) -> DataFrame:
-    """(node, root) of all members of candidate buckets (bucket, row, degree) that
-    are in one class with a smaller row."""
-    rows = members.select("row").distinct()
-    texts = materialise(docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
-                        .join(rows, "row", "left_semi"), "texts")
-    labels, used, edges, tested, hubs_per_bucket = None, None, None, None, 1
-    while True:
-        m = members if labels is None else members.join(
-            labels.select(F.col("node").alias("row"), "root"), "row", "left")
-        m = m.select("bucket", "row", "degree", (F.col("row") if labels is None else F.coalesce("root", "row")).alias("class"))
-        open_ = m.groupBy("bucket").agg(F.min("class").alias("x"), F.max("class").alias("y")).filter("x <> y")
-        m = materialise(m.join(open_.select("bucket"), "bucket", "left_semi"), "open")
-        fresh_rows = m if used is None else m.join(used, ["bucket", "row"], "left_anti")
-        salt = F.pmod(F.xxhash64("row", F.lit(hubs_per_bucket)), F.lit(hubs_per_bucket))
-        hubs = materialise(fresh_rows.groupBy("bucket", salt.alias("salt")).agg(
-            F.max(F.struct("degree", "row", "class")).alias("h")).select(
-            "bucket", F.col("h.row").alias("hub"), F.col("h.class").alias("hub_class")), "hubs")
-        if hubs.isEmpty():
-            break
-        pairs = m.join(hubs, "bucket").filter("class <> hub_class").select(
-            F.greatest("row", "hub").alias("a"), F.least("row", "hub").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = materialise(pairs, "pairs")
-        tested = pairs if tested is None else tested.unionByName(pairs)
-        close = pairs.join(texts.select(F.col("row").alias("a"), F.col("text").alias("text_a")), "a") \
-            .join(texts.select(F.col("row").alias("b"), F.col("text").alias("text_b")), "b") \
-            .select("a", "b", "text_a", "text_b").mapInArrow(_verify(threshold), "a long, b long")
-        close = materialise(close, "links")
-        edges = close if edges is None else edges.unionByName(close)
-        labels = connected(edges)
-        done = hubs.select("bucket", F.col("hub").alias("row"))
-        used = done if used is None else used.unionByName(done)
-        hubs_per_bucket *= HUB_GROWTH
-    return labels if labels is not None else members.select(
-        F.col("row").alias("node"), F.col("row").alias("root")).filter(F.lit(False))
+    """(node, root) of all members (bucket, row, degree, bits) that are in one class
+    with a smaller row."""
+    texts = materialise(_texts_of(docs, members.select("row").distinct(), text_col), "texts")
+    hub = members.groupBy("bucket").agg(F.max(F.struct("degree", "row")).alias("h")) \
+        .select("bucket", F.col("h.row").alias("hub"))
+    own = members.withColumn("class", F.col("row"))
+    hubs = own.join(hub.select("bucket", F.col("hub").alias("row")), ["bucket", "row"], "left_semi")
+    near = materialise(_verified(_candidates(own, hubs), texts, threshold), "links")
+    labels = connected(near)
+    # rows outside the class of their bucket's hub meet the other classes of the bucket
+    label = labels.select(F.col("node").alias("row"), "root")
+    now = materialise(members.join(label, "row", "left").withColumn("class", F.coalesce("root", "row")).drop("root"),
+                      "classed")
+    main = now.join(hub.withColumnRenamed("hub", "row"), ["bucket", "row"], "left_semi") \
+        .select("bucket", F.col("class").alias("main"))
+    rest = now.join(main, "bucket").filter("class <> main").drop("main")
+    more = materialise(_verified(_candidates(rest, now), texts, threshold), "links")
+    return connected(near.unionByName(more))
 
 
 def _classes(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
@@ -212,7 +242,7 @@ def _classes(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> D
     sketch = materialise(docs.select(
         F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"),
         F.col(text_col).alias("text")).mapInArrow(
-        _sketch, f"doc_id {kind}, row long, digest binary, bands array<long>"), "sketch")
+        _sketch, f"doc_id {kind}, row long, digest binary, bands array<long>, bits array<long>"), "sketch")
     # texts with equal words: the smallest row stands for them
     stands = sketch.filter("digest is not null").groupBy("digest").agg(F.min("row").alias("stand"))
     single = sketch.join(stands.select(F.col("stand").alias("row")), "row", "left_semi")
@@ -220,7 +250,8 @@ def _classes(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> D
     shared = bands.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
     members = materialise(bands.join(shared, "bucket"), "members")
     degree = members.groupBy("row").agg(F.sum("n").alias("degree"))
-    members = materialise(members.join(degree, "row").select("bucket", "row", "degree"), "degrees")
+    more = degree.join(sketch.select("row", "bands", "bits"), "row")
+    members = materialise(members.drop("n").join(more, "row"), "degrees")
     roots = _linked(docs, members, text_col, threshold)
     rows = sketch.select("doc_id", "row", "digest").join(stands, "digest", "left")
     rows = rows.select("doc_id", "row", F.coalesce("stand", "row").alias("node")).join(roots, "node", "left") \

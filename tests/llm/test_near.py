@@ -97,6 +97,19 @@ def test_signatures_estimate_it():
     assert abs((sig[0] == sig[1]).mean() - jaccard(x, y)) < 0.03
 
 
+def test_register_bits_agree_for_pairs_at_the_threshold():
+    r = random.Random(9)
+    worst = 512
+    for k in range(30):
+        keys = np.array([r.getrandbits(63) for _ in range(400)], np.uint64)
+        own = np.r_[np.zeros(360, int), np.ones(360, int)]                    # 320 of 400 shared: 0.8
+        both = np.r_[keys[:360], keys[40:]]
+        sig = prob_minhash.signatures(2, own, both, np.ones(len(own)))
+        x, y = (list(map(int, v)) for v in prob_minhash.register_bits(sig).view(np.uint64))
+        worst = min(worst, 512 - sum(bin((x[i] ^ y[i]) | (x[i + 8] ^ y[i + 8])).count("1") for i in range(8)))
+    assert worst >= prob_minhash.AGREE
+
+
 def changed(text, seed, n):
     r, w = random.Random(seed), text.split()
     for i in r.sample(range(len(w)), n):
