@@ -31,7 +31,7 @@ BITS, HALF = 64, 32
 BLOCKS, RADIUS = 6, 3
 EDGES = [round(i * BITS / BLOCKS) for i in range(BLOCKS + 1)]
 SPREAD = 0x0000000100000001
-QUANTILES = 256                 # of the ids, for the order of rows
+QUANTILES = 64                  # of the ids, for the order of rows
 
 
 def words_of(text: Column) -> Column:
@@ -54,14 +54,13 @@ def count_votes(exploded: DataFrame, keys: list[str], term: str) -> DataFrame:
 
 def fingerprint() -> Column:
     """The 64 bits from the columns of ``count_votes``."""
-    out = F.lit(0).cast("bigint")
-    for b in range(HALF):
-        low = F.col(f"_v{b}").bitwiseAND(F.lit(0xFFFFFFFF))
-        high = F.shiftrightunsigned(f"_v{b}", 32)
-        for bit, count in ((b, low), (b + HALF, high)):
-            word = 1 << bit if bit < 63 else -(1 << 63)
-            out = out.bitwiseOR(F.when(count * 2 > F.col("_n"), F.lit(word)).otherwise(F.lit(0).cast("bigint")))
-    return out
+    def bit(count: Column, at: Column) -> Column:
+        # a shift by an expression has no Python function with a column argument
+        return F.when(count * 2 > F.col("_n"), F.call_function("shiftleft", F.lit(1).cast("bigint"), at)) \
+            .otherwise(F.lit(0).cast("bigint"))
+    words = F.transform(F.array(*(F.col(f"_v{b}") for b in range(HALF))), lambda v, i: bit(
+        v.bitwiseAND(F.lit(0xFFFFFFFF)), i).bitwiseOR(bit(F.shiftrightunsigned(v, HALF), i + HALF)))
+    return F.aggregate(words, F.lit(0).cast("bigint"), lambda a, w: a.bitwiseOR(w))
 
 
 def likeness(a: Column, b: Column) -> Column:
@@ -98,31 +97,27 @@ def search(queries: DataFrame, prints: DataFrame) -> DataFrame:
         .groupBy("fp").agg(F.sum("rows").alias("n_near"))
 
 
-def _count_below(x: Column, edges: list[int], a: int = 0, b: int | None = None) -> Column:
-    """How many sorted edges are smaller than ``x``, as a balanced CASE."""
-    b = len(edges) if b is None else b
-    if a == b:
-        return F.lit(a)
-    m = (a + b) // 2
-    return F.when(x > F.lit(edges[m]), _count_below(x, edges, m + 1, b)).otherwise(_count_below(x, edges, a, m))
-
-
-def id_range(docs: DataFrame, id_col: str, ranges: int) -> Column:
-    """A number that grows with the id and deals rows into about ``ranges``
-    even groups: the id's quantile, then even steps inside it. Null: -1."""
+def with_range(rows: DataFrame, source: DataFrame, id_col: str, ranges: int) -> DataFrame:
+    """``rows`` (column ``doc_id``) with ``range``, a number that grows with the id and
+    deals rows into about ``ranges`` even groups: the id's quantile in ``source``, then
+    even steps inside it. Null: -1."""
     x = F.col(id_col).cast("bigint")
-    row = docs.agg(F.min(x).alias("a"), F.max(x).alias("b"), F.percentile_approx(
+    row = source.agg(F.min(x).alias("a"), F.max(x).alias("b"), F.percentile_approx(
         x, [i / QUANTILES for i in range(1, QUANTILES)], 100 * QUANTILES).alias("c")).first()
     if row["a"] is None:
-        return F.lit(-1).cast("bigint")
+        return rows.withColumn("range", F.lit(-1).cast("bigint"))
     edges = sorted({*row["c"]} - {row["b"]})
-    bounds = [row["a"] - 1, *edges, row["b"]]
+    table = F.array(*(F.lit(e).cast("bigint") for e in [row["a"] - 1, *edges, row["b"]]))
     steps = max(1, ranges // QUANTILES)
-    at = _count_below(x, edges)
-    table = F.array(*(F.lit(e).cast("bigint") for e in bounds))
-    low, high = F.get(table, at).cast("double"), F.get(table, at + 1).cast("double")
-    inside = F.least(F.floor((x - low - 1) * steps / F.greatest(high - low, F.lit(1.0))), F.lit(steps - 1))
-    return F.when(x.isNotNull(), (at * steps + inside).cast("bigint")).otherwise(F.lit(-1).cast("bigint"))
+    below = F.size(F.filter(F.array(*(F.lit(e).cast("bigint") for e in edges)) if edges else F.array().cast("array<bigint>"),
+                            lambda e: e < F.col("doc_id")))
+    at = rows.withColumn("_at", F.when(F.col("doc_id").isNotNull(), below))
+    at = at.withColumn("_low", F.get(table, F.col("_at")).cast("double")) \
+        .withColumn("_high", F.get(table, F.col("_at") + 1).cast("double"))
+    inside = F.least(F.floor((F.col("doc_id") - F.col("_low") - 1) * steps
+                             / F.greatest(F.col("_high") - F.col("_low"), F.lit(1.0))), F.lit(steps - 1))
+    number = F.when(F.col("_at").isNotNull(), (F.col("_at") * steps + inside).cast("bigint"))
+    return at.withColumn("range", F.coalesce(number, F.lit(-1).cast("bigint"))).drop("_at", "_low", "_high")
 
 
 def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -130,9 +125,8 @@ def with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     order of the id, and text and place of the next row (after the last: the
     first). Only the first row of a range is looked up from outside it."""
     spark = docs.sparkSession
-    place = id_range(docs, id_col, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"),
-                       place.alias("range"))
+    rows = with_range(docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text")),
+                      docs, id_col, 4 * int(spark.conf.get("spark.sql.shuffle.partitions")))
     firsts = rows.groupBy("range").agg(F.min("doc_id").alias("first_id"))
     # one row of three numbers per range, so both the window and the broadcast are as
     # small as the number of ranges
