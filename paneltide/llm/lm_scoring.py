@@ -39,7 +39,7 @@ MU = 8.0
 BITS_PER_EVENT, PROBES = 12, 6      # 0.4 % false positives
 SHARD_BYTES = 256 << 20
 FREQUENT = 1 << 17
-FLUSH = 4_000_000               # n-grams gathered in a task before they are passed on
+FLUSH = 2_000_000               # n-grams gathered in a task before they are passed on
 END = np.uint64(0x9D5C1C0B5E8E2A31)
 START = np.uint64(0x3C79AC492BA7B653)
 CONTEXT = np.uint64(0xD6E8FEB86659FD93)
@@ -227,7 +227,7 @@ def _score_texts(shard, frequent, totals, last: bool, first: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filt = Filter(*shard.value)
         keys, counts = frequent.value
-        for batch in slices(batches):
+        for batch in slices(batches, limit=4 << 20):
             starts, tokens = _tokens(batch.column("text"))
             ends = np.r_[starts[1:], len(tokens)] if len(starts) else starts
             context, bigrams = _bigrams(starts, tokens)
