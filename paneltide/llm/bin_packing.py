@@ -31,7 +31,7 @@ from paneltide.llm.common import ascii_words, materialise, ready, slices
 
 CAPACITY = 2048
 END_ID = 0
-CACHE = 400_000                # distinct words kept per worker
+CACHE = 200_000                # distinct words kept per worker
 BLOCK = 2000                   # words joined into one call of the tokenizer
 
 _TOKENIZERS: dict[str, tuple] = {}
@@ -98,7 +98,7 @@ def _token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
 def _pieces(path: str, capacity: int, with_ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, seen = TaskContext.get().partitionId(), np.zeros(capacity + 1, np.int64)
-        for batch in slices(batches):
+        for batch in slices(batches, limit=4 << 20):
             bounds, ids = _token_ids(batch.column("text"), path)
             rows = [(d, p, a - s, min(capacity, e - a), zlib.crc32(ids[a:min(e, a + capacity)]), a)
                     for d, (s, e) in enumerate(zip(bounds.tolist(), bounds[1:].tolist()))
