@@ -41,6 +41,13 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def numbered(docs: DataFrame, name: str, label: str) -> DataFrame:
+    """A stored copy of ``docs`` with its row numbers in the column ``name``. Numbers follow
+    the splits of the input, which change with the cores registered when it is read, so
+    they are given once and every reader gets them from the copy."""
+    return materialise(docs.withColumn(name, F.monotonically_increasing_id()), label)
+
+
 def fresh(docs: DataFrame, name: str) -> str:
     """A column name that ``docs`` does not have."""
     have = {c.lower() for c in docs.columns}

@@ -6,6 +6,12 @@ A line counts as a unit from ``min_words`` words on (``MIN_WORDS``); shorter
 lines, such as headings or list items, are left alone. Rank: ascending
 ``doc_id`` (null last), then place in the input, then offset in the text.
 
+With ``sentences`` the sentences inside a line are units too, of the same least
+length and in one digest space with the lines, so a passage is found inside
+different paragraphs as far as it covers whole sentences. A sentence ends after
+. ! ? before a space, or after a full-width stop. A line of which nothing but
+space would stay goes as a whole.
+
 Only digests move through the shuffles: counts come from partial aggregates,
 single-occurrence digests drop out before the join, and the join with the
 keepers is a plain equi-join which the engine may split where a line is hot.
@@ -14,19 +20,23 @@ The text itself is moved once, to meet its list of cuts.
 Defined cases: a null text stays null with no cut; empty texts stay as they
 are; repeated rows lose the lines that the first of them keeps; lines repeated
 inside one text count too; an empty table gives an empty result; other columns
-pass through. The input must read the same rows in the same order when read
-again (files, tables).
+pass through. The input is read once, into a copy with row numbers.
 """
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from paneltide.llm.common import fresh, ready
+from paneltide.llm.common import fresh, numbered, ready
 
 MIN_WORDS = 5
+# where a line is split into sentences; means the same in Java and Python
+SENTENCE = "(?<=[.!?])(?=[ \\t\\r])|(?<=[\u3002\uff01\uff1f\u0964])(?=[^\\n])"
+WHOLE = 0                      # low half of a unit's number: the line, or a sentence from 1
 
 
 def normalised(line: Column) -> Column:
@@ -34,62 +44,100 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), "[^\\p{L}\\p{N}]+", " "))
 
 
-def _units(docs: DataFrame, min_words: int) -> DataFrame:
-    """(row, rank id, line number, two 64-bit digests) of every unit."""
+def _units(docs: DataFrame, min_words: int, sentences: bool) -> DataFrame:
+    """(row, rank id, unit number, two 64-bit digests) of every unit."""
     lines = docs.select("_row", "_id", F.posexplode(F.split("_text", "\n")).alias("line", "raw"))
-    lines = lines.select("_row", "_id", "line", normalised(F.col("raw")).alias("norm"))
-    lines = lines.filter((F.length("norm") - F.length(F.replace(F.col("norm"), F.lit(" "), F.lit(""))) + 1 >= min_words)
+    units = lines.select("_row", "_id", "line", "raw", normalised(F.col("raw")).alias("norm"), F.lit(WHOLE).alias("piece"))
+    if sentences:
+        pieces = F.split("raw", SENTENCE)
+        inner = F.when(F.size(pieces) > 1, F.transform(pieces, lambda s, i: F.struct(
+            (i + 1).alias("piece"), normalised(s).alias("norm"))))
+        every = F.concat(F.array(F.struct("piece", "norm")),
+                         F.coalesce(inner, F.array().cast("array<struct<piece:int,norm:string>>")))
+        units = units.select("_row", "_id", "line", F.col("norm").alias("whole"), F.explode(every).alias("u")) \
+            .select("_row", "_id", "line", "u.piece", "u.norm", "whole") \
+            .filter((F.col("piece") == WHOLE) | (F.col("norm") != F.col("whole")))
+    units = units.filter((F.length("norm") - F.length(F.replace(F.col("norm"), F.lit(" "), F.lit(""))) + 1 >= min_words)
                          & (F.col("norm") != ""))
-    return lines.select("_row", "_id", "line", F.xxhash64("norm").alias("h1"),
+    unit = F.shiftleft(F.col("line").cast("bigint"), 32) + F.col("piece")
+    return units.select("_row", "_id", unit.alias("unit"), F.xxhash64("norm").alias("h1"),
                         F.xxhash64(F.lit("second"), "norm").alias("h2"))
 
 
-def cuts(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
-         row: Column | None = None) -> DataFrame:
-    """(_row, lines): the numbers of the lines to cut from each row that loses any."""
-    base = docs.select((F.monotonically_increasing_id() if row is None else row).alias("_row"),
+def cuts(docs: DataFrame, row: str, min_words: int = MIN_WORDS, id_col: str = "doc_id", text_col: str = "text",
+         sentences: bool = False) -> DataFrame:
+    """(_row, units): the numbers of the units to cut from each row that loses any."""
+    base = docs.select(F.col(row).alias("_row"),
                        F.coalesce(F.col(id_col).cast("bigint"), F.lit((1 << 63) - 1)).alias("_id"),
                        F.col(text_col).alias("_text"))
-    units = _units(base, min_words)
+    units = _units(base, min_words, sentences)
     first = units.groupBy("h1", "h2").agg(F.count(F.lit(1)).alias("n"), F.min(
-        F.struct("_id", "_row", "line")).alias("first")).filter("n > 1")
-    first = first.select("h1", "h2", F.col("first._row").alias("keep_row"), F.col("first.line").alias("keep_line"))
+        F.struct("_id", "_row", "unit")).alias("first")).filter("n > 1")
+    first = first.select("h1", "h2", F.col("first._row").alias("keep_row"), F.col("first.unit").alias("keep_unit"))
     again = units.join(first, ["h1", "h2"]).filter(
-        (F.col("_row") != F.col("keep_row")) | (F.col("line") != F.col("keep_line")))
-    return again.groupBy("_row").agg(F.array_sort(F.collect_list("line")).alias("lines"))
-
-
-REBUILT = "text string, n_chars bigint, starts array<bigint>, lengths array<bigint>"
-
-
-def _without(texts: pd.Series, lines: pd.Series) -> pd.DataFrame:
-    """Each text without its listed lines, and where those stood."""
+        (F.col("_row") != F.col("keep_row")) | (F.col("unit") != F.col("keep_unit")))
+    return again.groupBy("_row").agg(F.array_sort(F.collect_list("unit")).alias("units"))
+
+
+REBUILT = "text string, n_chars bigint, lines array<int>, starts array<bigint>, lengths array<bigint>"
+
+
+def _line_without(line: str, gone: set[int]) -> tuple[str | None, list[tuple[int, int]]]:
+    """A line without its sentences ``gone`` (null: nothing stays) and the (start, length)
+    of what was cut. Space that would come to stand at the line's start goes too."""
+    whole = [(0, len(line))]
+    if WHOLE in gone:
+        return None, whole
+    kept, spans, at = [], [], 0
+    for i, piece in enumerate(re.split(SENTENCE, line), 1):
+        away = len(piece) if i in gone else 0 if kept or not spans else len(piece) - len(piece.lstrip(" \t\r"))
+        if away and spans and sum(spans[-1]) == at:
+            spans[-1] = (spans[-1][0], spans[-1][1] + away)
+        elif away:
+            spans.append((at, away))
+        if piece[away:]:
+            kept.append(piece[away:])
+        at += len(piece)
+    return ("".join(kept), spans) if any(not k.isspace() for k in kept) else (None, whole)
+
+
+def _without(texts: pd.Series, units: pd.Series) -> pd.DataFrame:
+    """Each text without its listed units, and where those stood."""
     out = []
-    for text, cut in zip(texts, lines):
+    for text, cut in zip(texts, units):
         if text is None or cut is None or not len(cut):
-            out.append((text, None if text is None else len(text), [], []))
+            out.append((text, None if text is None else len(text), [], [], []))
             continue
-        parts, gone = text.split("\n"), set(cut)
+        parts, gone = text.split("\n"), {}
+        for u in cut:
+            gone.setdefault(int(u) >> 32, set()).add(int(u) & 0xFFFFFFFF)
         starts = np.cumsum([0, *(len(p) + 1 for p in parts)])
-        kept = "\n".join(p for i, p in enumerate(parts) if i not in gone)
-        out.append((kept, len(kept), [int(starts[i]) for i in cut], [len(parts[i]) for i in cut]))
-    return pd.DataFrame(out, columns=["text", "n_chars", "starts", "lengths"])
-
-
-def dedupe(docs: DataFrame, min_words: int = MIN_WORDS) -> DataFrame:
-    """``docs`` with repeated lines cut from ``text`` (``n_chars``, where present,
-    counted anew if something was cut) and one more column ``cut``: array of
-    (line from 0, start, length) of what was removed, in code points of the
-    original text. If ``docs`` has a column ``cut``, the new one is ``cut_``."""
+        kept, spans = [], []
+        for i, part in enumerate(parts):
+            left, away = _line_without(part, gone[i]) if i in gone else (part, [])
+            spans += [(i, int(starts[i]) + a, n) for a, n in away]
+            if left is not None:
+                kept.append(left)
+        new = "\n".join(kept)
+        out.append((new, len(new), *([s[k] for s in spans] for k in range(3))))
+    return pd.DataFrame(out, columns=["text", "n_chars", "lines", "starts", "lengths"])
+
+
+def dedupe(docs: DataFrame, min_words: int = MIN_WORDS, sentences: bool = False) -> DataFrame:
+    """``docs`` with repeated lines (with ``sentences``: and sentences) cut from ``text``
+    (``n_chars``, where present, counted anew if something was cut) and one more column
+    ``cut``: array of (line from 0, start, length) of what was removed, in code points of
+    the original text. If ``docs`` has a column ``cut``, the new one is ``cut_``."""
     ready(docs.sparkSession)
-    row, lines, new = (fresh(docs, c) for c in ("row_", "lines_", "new_"))
-    found = cuts(docs, min_words).select(F.col("_row").alias(row), F.col("lines").alias(lines))
-    out = docs.withColumn(row, F.monotonically_increasing_id()).join(found, row, "left")
-    out = out.withColumn(new, F.pandas_udf(_without, REBUILT)(F.col("text"), F.col(lines)))
-    spans = F.arrays_zip(F.coalesce(lines, F.array().cast("array<int>")).alias("line"),
-                         F.col(new)["starts"].alias("start"), F.col(new)["lengths"].alias("length"))
+    row, units, new = (fresh(docs, c) for c in ("row_", "units_", "new_"))
+    stored = numbered(docs, row, "numbered")
+    found = cuts(stored, row, min_words, sentences=sentences).select(F.col("_row").alias(row), F.col("units").alias(units))
+    out = stored.join(found, row, "left")
+    out = out.withColumn(new, F.pandas_udf(_without, REBUILT)(F.col("text"), F.col(units)))
+    spans = F.arrays_zip(F.col(new)["lines"].alias("line"), F.col(new)["starts"].alias("start"),
+                         F.col(new)["lengths"].alias("length"))
     changed = {"text": F.col(new)["text"],
-               "n_chars": F.when(F.col(lines).isNotNull(), F.col(new)["n_chars"]).otherwise(
+               "n_chars": F.when(F.col(units).isNotNull(), F.col(new)["n_chars"]).otherwise(
                    F.col("n_chars") if "n_chars" in docs.columns else F.lit(None))}
     return out.select(*(changed[c].alias(c) if c in changed else F.col(c) for c in docs.columns),
                       spans.alias(fresh(docs, "cut")))

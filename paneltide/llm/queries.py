@@ -47,13 +47,21 @@ def op7_license_scan(spark, sf_dir):
     return license_scan.scan(documents(spark, sf_dir))
 
 
-def op8_line_dedup(spark, sf_dir):
-    return line_dedup.dedupe(documents(spark, sf_dir)).select(
+def _cut_report(out: DataFrame) -> DataFrame:
+    return out.select(
         "doc_id", "text", F.size("cut").cast("long").alias("n_cut"),
         F.coalesce(F.aggregate("cut", F.lit(0).cast("bigint"), lambda a, x: a + x["length"]), F.lit(0)).alias("chars_cut"),
         F.array_join(F.transform("cut", lambda x: F.concat_ws(":", x["start"], x["length"])), ",").alias("cut_spans"))
 
 
+def op8_line_dedup(spark, sf_dir):
+    return _cut_report(line_dedup.dedupe(documents(spark, sf_dir)))
+
+
+def op8_passage_dedup(spark, sf_dir):
+    return _cut_report(line_dedup.dedupe(documents(spark, sf_dir), sentences=True))
+
+
 def op9_min_bin_slack(spark, sf_dir):
     return bin_packing.pack(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
@@ -69,4 +77,4 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_bloom_lm, op2_kneser_ney_lid, op3_byte_bpe, op4_quote_chat, op5_line_quality, op6_simhash, op7_license_scan,
-    op8_line_dedup, op9_min_bin_slack, op10_prob_minhash, pipeline)}
+    op8_line_dedup, op8_passage_dedup, op9_min_bin_slack, op10_prob_minhash, pipeline)}
