@@ -21,8 +21,8 @@ in one class or has been compared, so no link between classes is lost.
 Defined cases: a text of fewer than five words is one shingle of them all; null
 and wordless texts are classes of their own; repeated rows fall into one class;
 a null ``doc_id`` ranks last; an empty table gives an empty result; other
-columns are ignored (``classes``) or passed through (``representatives``). The
-input must read the same rows in the same order when read again (files, tables).
+columns are ignored (``classes``) or passed through (``representatives``). Rows
+are numbered once, in a stored copy that all steps read.
 """
 from __future__ import annotations
 
@@ -34,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paneltide.llm.common import fresh, materialise, mix64, ready, slices, word_hashes
+from paneltide.llm.common import fresh, materialise, mix64, numbered, ready, slices, word_hashes
 
 WORDS = 5
 THRESHOLD = 0.8
@@ -195,15 +195,14 @@ def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
         .select(F.greatest("row", "row2").alias("a"), F.least("row", "row2").alias("b")).distinct()
 
 
-def _texts_of(docs: DataFrame, rows: DataFrame, text_col: str) -> DataFrame:
+def _texts_of(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """(row, text) of the rows of ``docs`` that are in ``rows``. A bitmap of MARKS longs
     is broadcast to drop most others before the join moves any text."""
     spot = F.xxhash64("row")
     word, bit = F.shiftright(spot, 6).bitwiseAND(F.lit(MARKS - 1)), spot.bitwiseAND(F.lit(63)).cast("int")
     marks = rows.groupBy(word.alias("word")).agg(
         F.bit_or(F.call_function("shiftleft", F.lit(1).cast("bigint"), bit)).alias("marks"))
-    texts = docs.select(F.monotonically_increasing_id().alias("row"), F.col(text_col).alias("text"))
-    thin = texts.withColumn("word", word).join(F.broadcast(marks), "word").filter(
+    thin = docs.select("row", "text").withColumn("word", word).join(F.broadcast(marks), "word").filter(
         F.call_function("shiftright", F.col("marks"), bit).bitwiseAND(F.lit(1)) == 1).select("row", "text")
     return thin.join(rows, "row", "left_semi")
 
@@ -214,10 +213,10 @@ def _verified(pairs: DataFrame, texts: DataFrame, threshold: float) -> DataFrame
         .mapInArrow(_verify(threshold), "a long, b long")
 
 
-def _linked(docs: DataFrame, members: DataFrame, text_col: str, threshold: float) -> DataFrame:
+def _linked(docs: DataFrame, members: DataFrame, threshold: float) -> DataFrame:
     """(node, root) of all members (bucket, row, degree, bits) that are in one class
     with a smaller row."""
-    texts = materialise(_texts_of(docs, members.select("row").distinct(), text_col), "texts")
+    texts = materialise(_texts_of(docs, members.select("row").distinct()), "texts")
     hub = members.groupBy("bucket").agg(F.max(F.struct("degree", "row")).alias("h")) \
         .select("bucket", F.col("h.row").alias("hub"))
     own = members.withColumn("class", F.col("row"))
@@ -235,13 +234,11 @@ def _linked(docs: DataFrame, members: DataFrame, text_col: str, threshold: float
     return connected(near.unionByName(more))
 
 
-def _classes(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> DataFrame:
-    """(doc_id, row, class_id, class_row) of every row of ``docs``."""
-    ready(docs.sparkSession)
-    kind = docs.schema[id_col].dataType.simpleString()
-    sketch = materialise(docs.select(
-        F.col(id_col).alias("doc_id"), F.monotonically_increasing_id().alias("row"),
-        F.col(text_col).alias("text")).mapInArrow(
+def _classes(docs: DataFrame, threshold: float) -> DataFrame:
+    """(doc_id, row, class_id, class_row) of every row of ``docs``, a stored table with
+    ``doc_id``, ``row`` and ``text``."""
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    sketch = materialise(docs.select("doc_id", "row", "text").mapInArrow(
         _sketch, f"doc_id {kind}, row long, digest binary, bands array<long>, bits array<long>"), "sketch")
     # texts with equal words: the smallest row stands for them
     stands = sketch.filter("digest is not null").groupBy("digest").agg(F.min("row").alias("stand"))
@@ -252,7 +249,7 @@ def _classes(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> D
     degree = members.groupBy("row").agg(F.sum("n").alias("degree"))
     more = degree.join(sketch.select("row", "bands", "bits"), "row")
     members = materialise(members.drop("n").join(more, "row"), "degrees")
-    roots = _linked(docs, members, text_col, threshold)
+    roots = _linked(docs, members, threshold)
     rows = sketch.select("doc_id", "row", "digest").join(stands, "digest", "left")
     rows = rows.select("doc_id", "row", F.coalesce("stand", "row").alias("node")).join(roots, "node", "left") \
         .select("doc_id", "row", F.coalesce("root", "node").alias("root"))
@@ -266,12 +263,17 @@ def _classes(docs: DataFrame, threshold: float, id_col: str, text_col: str) -> D
 def classes(docs: DataFrame, threshold: float = THRESHOLD, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, class_id (the smallest doc_id of its class),
     the class's size and whether this row is the one that stands for it."""
-    return _classes(docs, threshold, id_col, text_col).select(
+    ready(docs.sparkSession)
+    own = numbered(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "row", "numbered")
+    return _classes(own, threshold).select(
         "doc_id", "class_id", "class_size", (F.col("row") == F.col("class_row")).alias("is_representative"))
 
 
 def representatives(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """One document of each class, the one of the smallest doc_id; all columns."""
+    ready(docs.sparkSession)
     name = fresh(docs, "row_")
-    keep = _classes(docs, threshold, "doc_id", "text").filter("row = class_row").select(F.col("row").alias(name))
-    return docs.withColumn(name, F.monotonically_increasing_id()).join(keep, name, "left_semi").drop(name)
+    own = numbered(docs, name, "numbered")
+    keep = _classes(own.select("doc_id", F.col(name).alias("row"), "text"), threshold) \
+        .filter("row = class_row").select(F.col("row").alias(name))
+    return own.join(keep, name, "left_semi").select(*docs.columns)

@@ -145,6 +145,26 @@ def test_classes_equal_brute_force(spark, tmp_path):
     assert {r["doc_id"] for r in kept} == {find(i) for i in range(len(texts))}
 
 
+def test_other_splits_between_the_jobs_change_nothing(spark, tmp_path, monkeypatch):
+    texts = [prose(i % 12, 90) for i in range(40)] + [changed(prose(i, 90), i, 1) for i in range(12)]
+    path = str(tmp_path / "many")
+    docs_of(spark, texts).repartition(6, "doc_id").write.parquet(path)
+    store, key = prob_minhash.materialise, "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+
+    def then_other_splits(df, label):
+        out = store(df, label)
+        spark.conf.set(key, "256" if label == "sketch" else before)
+        return out
+    monkeypatch.setattr(prob_minhash, "materialise", then_other_splits)
+    try:
+        kept = prob_minhash.representatives(spark.read.parquet(path))
+        spark.conf.set(key, "256")
+        assert {r["doc_id"] for r in kept.collect()} == set(range(12))
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_connected_components(spark):
     r = random.Random(8)
     edges = [(i, i + 1) for i in range(0, 40)] + [(100 + r.randrange(60), 100 + r.randrange(60)) for _ in range(40)] + [(900, k) for k in range(901, 960)]
