@@ -94,10 +94,10 @@ def test_scale_invariance(spark):
 def test_replaced_input_gives_the_new_answer(spark, tmp_path):
     """Nothing is kept between calls: a table replaced under the same path counts."""
     for t in TABLES:
-        shutil.copy(f"{SF_SMALL}/{t}.parquet", tmp_path)
+        shutil.copyfile(f"{SF_SMALL}/{t}.parquet", tmp_path / f"{t}.parquet")
     first = _rows(E.queries()["panel_union"](spark, str(tmp_path)).toPandas())
     for t in ("orders", "customer"):
-        shutil.copy(f"/root/testdata/sf0.01/{t}.parquet", tmp_path)
+        shutil.copyfile(f"/root/testdata/sf0.01/{t}.parquet", tmp_path / f"{t}.parquet")
     second = _rows(E.queries()["panel_union"](spark, str(tmp_path)).toPandas())
     con = duckdb.connect()
     for t in TABLES:
