@@ -1,5 +1,5 @@
 """DuckDB SQL of the operators that SQL can express, from the same parameters."""
-from paneltide.llm import license_scan, line_dedup, line_quality
+from paneltide.llm import bag_search, byte_terms, decontaminate, license_scan, line_dedup, line_quality
 
 _R = line_quality.LineRules()
 _WORD, _SPACE = r"[^\x20\x09-\x0D]", r"[\x20\x09-\x0D]"
@@ -78,4 +78,40 @@ SELECT d.doc_id, g.text, coalesce(n_cut, 0)::BIGINT AS n_cut, coalesce(chars_cut
 FROM d LEFT JOIN g USING (r)
 """
 
-ORACLE: dict[str, str] = {"op5_line_quality": LINE_QUALITY, "op7_license_scan": LICENSE_SCAN, "op8_line_dedup": LINE_DEDUP}
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+WINNOWING = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id,
+                  regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{byte_terms.PATTERN_LOWER}') AS w FROM documents),
+b AS (SELECT coalesce(item_id::VARCHAR, '') AS item,
+             regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{byte_terms.PATTERN_LOWER}') AS w FROM benchmark),
+bi AS (SELECT item, w, least(len(w), {decontaminate.SPAN}) AS k, unnest(range(1, len(w) - least(len(w), {decontaminate.SPAN}) + 2)) AS i
+       FROM b WHERE len(w) > 0),
+bw AS (SELECT DISTINCT item, k, array_to_string(w[i:i + k - 1], ' ') AS x FROM bi),
+di AS (SELECT r, k, w, unnest(range(1, len(w) - k + 2)) AS i FROM d, (SELECT DISTINCT k FROM bw) WHERE len(w) >= k),
+dw AS (SELECT r, k, i, array_to_string(w[i:i + k - 1], ' ') AS x FROM di),
+h AS (SELECT r, k, i, x FROM dw SEMI JOIN bw USING (k, x)),
+n AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM h) GROUP BY r),
+t AS (SELECT r, count(*) AS n_items, sha256(string_agg(item, ',' ORDER BY item)) AS items_sha256
+      FROM (SELECT DISTINCT r, item FROM h JOIN bw USING (k, x)) GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       coalesce(items_sha256, sha256('')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN n USING (r) LEFT JOIN t USING (r)
+"""
+
+BAG_SEARCH = rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(coalesce(text, ''), '{byte_terms.PATTERN}') AS w FROM documents),
+dt AS (SELECT r, doc_id, len(w)::BIGINT AS n, translate(unnest(w), '{_UPPER}', '{_LOWER}') AS t FROM d WHERE len(w) > 0),
+tf AS (SELECT r, doc_id, n, t, count(*) AS tf FROM dt GROUP BY ALL),
+z AS (SELECT count(*) AS n_docs, sum(len(w))::HUGEINT AS n_terms FROM d WHERE len(w) > 0),
+dfs AS (SELECT t, floor(1000 * ln((2 * n_docs + 2)::DOUBLE / (2 * df + 1)::DOUBLE))::BIGINT AS w
+        FROM (SELECT t, count(*) AS df FROM tf GROUP BY t), z),
+b AS (SELECT row_number() OVER () AS q, item_id, regexp_extract_all(coalesce(text, ''), '{byte_terms.PATTERN}') AS w FROM benchmark),
+bt AS (SELECT q, item_id, t, count(*) AS c FROM (SELECT q, item_id, translate(unnest(w), '{_UPPER}', '{_LOWER}') AS t FROM b) GROUP BY ALL),
+s AS (SELECT q, item_id, r, doc_id, sum(c * dfs.w * ((1000000000 * tf) // (1000 * tf + 12 * (75 + (25 * n * n_docs) // n_terms))))::BIGINT AS score
+      FROM tf JOIN bt USING (t) JOIN dfs USING (t), z GROUP BY ALL),
+k AS (SELECT *, row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST, r) AS rank FROM s WHERE score > 0)
+SELECT item_id, rank::INTEGER AS rank, doc_id, score FROM k WHERE rank <= {bag_search.TOP}
+"""
+
+ORACLE: dict[str, str] = {"op5_line_quality": LINE_QUALITY, "op7_license_scan": LICENSE_SCAN, "op8_line_dedup": LINE_DEDUP,
+                          "op11_winnowing": WINNOWING, "op13_bag_search": BAG_SEARCH}

@@ -4,8 +4,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from paneltide.llm import (bin_packing, bpe, language_id, license_scan, line_dedup, line_quality, lm_scoring,
-                           prob_minhash, quote_chat, simhash)
+from paneltide.llm import (bag_search, bin_packing, bpe, decontaminate, language_id, license_scan, line_dedup, line_quality,
+                           lm_scoring, prob_minhash, quote_chat, simhash, structure_repair)
 from paneltide.llm.oracle import ORACLE as ORACLE  # noqa: F401
 from paneltide.session import prepare
 
@@ -70,6 +70,18 @@ def op10_prob_minhash(spark, sf_dir):
     return prob_minhash.classes(documents(spark, sf_dir))
 
 
+def op11_winnowing(spark, sf_dir):
+    return decontaminate.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op12_viterbi_repair(spark, sf_dir):
+    return structure_repair.report(prepare(spark).read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op13_bag_search(spark, sf_dir):
+    return bag_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def pipeline(spark, sf_dir):
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -77,4 +89,5 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_bloom_lm, op2_kneser_ney_lid, op3_byte_bpe, op4_quote_chat, op5_line_quality, op6_simhash, op7_license_scan,
-    op8_line_dedup, op8_passage_dedup, op9_min_bin_slack, op10_prob_minhash, pipeline)}
+    op8_line_dedup, op8_passage_dedup, op9_min_bin_slack, op10_prob_minhash, op11_winnowing,
+    op12_viterbi_repair, op13_bag_search, pipeline)}
