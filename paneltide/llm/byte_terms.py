@@ -28,15 +28,26 @@ class Terms(NamedTuple):
     hashes: np.ndarray
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+class Spans(NamedTuple):
+    """Bytes of all texts, first byte of each text (and the end), terms per text, and the
+    first and the next byte of every term."""
+    raw: np.ndarray
+    at: np.ndarray
+    counts: np.ndarray
+    start: np.ndarray
+    stop: np.ndarray
+
+
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """BASE to the power of 0 to n - 1, and of 0 to 1 - n."""
     up = np.full(n, np.uint64(BASE))
     down = np.full(n, np.uint64(pow(BASE, -1, 1 << 64)))
-    up[0] = down[0] = 1
+    up[:1] = down[:1] = 1
     with np.errstate(over="ignore"):
         return np.cumprod(up, dtype=np.uint64), np.cumprod(down, dtype=np.uint64)
 
 
-_POWERS = _powers(BLOCK)
+_POWERS = powers(BLOCK)
 
 
 def _buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -53,11 +64,12 @@ def _buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0]:at[-1]], at - at[0]
 
 
-def terms(texts: pa.Array) -> Terms:
-    """All terms of the texts in order."""
+def spans(texts: pa.Array) -> Spans:
+    """Where the terms of the texts stand."""
     raw, at = _buffer(texts)
+    none = np.zeros(0, np.int64)
     if not len(raw):
-        return Terms(np.zeros(len(texts), np.int64), np.zeros(0, np.uint64))
+        return Spans(raw, at, np.zeros(len(texts), np.int64), none, none)
     inside = IS_TERM[raw]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
@@ -66,7 +78,18 @@ def terms(texts: pa.Array) -> Terms:
     first[edge] = inside[edge]
     last[edge - 1] = inside[edge - 1]
     start, stop = np.flatnonzero(first), np.flatnonzero(last) + 1
-    counts = np.diff(np.searchsorted(start, at))
+    return Spans(raw, at, np.diff(np.searchsorted(start, at)), start, stop)
+
+
+def terms(texts: pa.Array) -> Terms:
+    """All terms of the texts in order."""
+    found = spans(texts)
+    return Terms(found.counts, hashes(found))
+
+
+def hashes(found: Spans) -> np.ndarray:
+    """The hash of every term."""
+    raw, start, stop = found.raw, found.start, found.stop
     out = np.empty(len(start), np.uint64)
     a = 0
     with np.errstate(over="ignore"):
@@ -74,13 +97,13 @@ def terms(texts: pa.Array) -> Terms:
             # as many terms as end within a block; a longer term has a block of its own
             b = max(a + 1, int(np.searchsorted(stop, start[a] + BLOCK, side="right")))
             origin, n = start[a], int(stop[b - 1] - start[a])
-            up, down = _POWERS if n <= BLOCK else _powers(n)
+            up, down = _POWERS if n <= BLOCK else powers(n)
             total = np.zeros(n + 1, np.uint64)
             np.cumsum(VALUE[raw[origin:origin + n]] * up[:n], out=total[1:])
             s, e = start[a:b] - origin, stop[a:b] - origin
             out[a:b] = mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
             a = b
-    return Terms(counts, out)
+    return out
 
 
 def bit_marks(hashes) -> tuple:

@@ -60,25 +60,38 @@ SELECT d.doc_id, best.name AS license, best.dice, best.line::BIGINT AS line, coa
 FROM d LEFT JOIN best USING (r) LEFT JOIN c USING (r)
 """
 
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TERM = byte_terms.PATTERN[2:-2]                           # what a term does not hold
 LINE_DEDUP = rf"""
-WITH d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents),
-l AS (SELECT r, doc_id, unnest(string_split(text, chr(10))) AS line,
-             generate_subscripts(string_split(text, chr(10)), 1) AS i FROM d WHERE text IS NOT NULL),
-n AS (SELECT *, trim(regexp_replace(lower(line), '[^\p{{L}}\p{{N}}]+', ' ', 'g')) AS norm,
-             coalesce(sum(length(line) + 1) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-      FROM l),
-k AS (SELECT *, norm <> '' AND len(string_split(norm, ' ')) >= {line_dedup.MIN_WORDS}
-             AND row_number() OVER (PARTITION BY norm ORDER BY doc_id NULLS LAST, r, i) > 1 AS cut FROM n),
-g AS (SELECT r, coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT cut), '') AS text, count(*) FILTER (cut) AS n_cut,
-             coalesce(sum(length(line)) FILTER (cut), 0) AS chars_cut,
-             coalesce(string_agg(start::BIGINT || ':' || length(line), ',' ORDER BY i) FILTER (cut), '') AS cut_spans
-      FROM k GROUP BY r)
-SELECT d.doc_id, g.text, coalesce(n_cut, 0)::BIGINT AS n_cut, coalesce(chars_cut, 0)::BIGINT AS chars_cut,
-       coalesce(cut_spans, '') AS cut_spans
-FROM d LEFT JOIN g USING (r)
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, text, regexp_extract(text, '^[{_TERM}]*') AS lead,
+                  regexp_extract_all(text, '[^{_TERM}]+[{_TERM}]*') AS parts FROM documents),
+p AS (SELECT r, doc_id, unnest(parts) AS part, unnest(range(1, len(parts) + 1)) AS i, len(parts) AS n FROM d),
+w AS (SELECT *, translate(regexp_extract(part, '^[^{_TERM}]+'), '{_UPPER}', '{_LOWER}') AS word FROM p),
+e AS (SELECT *, 1 + strlen(word) // {line_dedup.WIDE} AS weight,
+             i = n OR strlen(word) >= {line_dedup.LONG} OR regexp_matches(part, '[\n.!?,;:]') AS ends FROM w),
+k AS (SELECT *, 1 + coalesce(sum(ends::INT) OVER (PARTITION BY r ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS u FROM e),
+u AS (SELECT r, doc_id, u, sum(weight) AS weight, string_agg(word, ' ' ORDER BY i) AS words, string_agg(part, '' ORDER BY i) AS chars
+      FROM k GROUP BY r, doc_id, u),
+c AS (SELECT *, sum(weight) OVER (PARTITION BY r ORDER BY u) AS upto FROM u),
+s AS (SELECT a.r, a.u AS first, min(b.u) AS last FROM c a JOIN c b ON a.r = b.r AND b.u BETWEEN a.u AND a.u + {line_dedup.MIN_WORDS}
+          AND b.upto - a.upto + a.weight >= {line_dedup.MIN_WORDS} GROUP BY a.r, a.u),
+x AS (SELECT s.r, s.first, s.last, any_value(c.doc_id) AS doc_id, string_agg(c.words, ' ' ORDER BY c.u) AS words
+      FROM s JOIN c ON c.r = s.r AND c.u BETWEEN s.first AND s.last GROUP BY s.r, s.first, s.last),
+y AS (SELECT * FROM x QUALIFY row_number() OVER (PARTITION BY words ORDER BY doc_id NULLS LAST, r, first) > 1),
+g AS (SELECT DISTINCT r, unnest(range(first::BIGINT, last::BIGINT + 1)) AS u FROM y),
+t AS (SELECT c.r, c.u, c.chars, g.u IS NOT NULL AS cut, length(c.chars) AS len,
+             coalesce(sum(length(c.chars)) OVER (PARTITION BY c.r ORDER BY c.u ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+      FROM c LEFT JOIN g ON g.r = c.r AND g.u = c.u),
+runs AS (SELECT r, min(start) AS start, sum(len) AS len
+         FROM (SELECT *, u - row_number() OVER (PARTITION BY r ORDER BY u) AS island FROM t WHERE cut) GROUP BY r, island),
+spans AS (SELECT r, count(*) AS n_cut, sum(len) AS chars_cut, string_agg((start + length(lead))::BIGINT || ':' || len::BIGINT, ',' ORDER BY start) AS cut_spans
+          FROM runs JOIN d USING (r) GROUP BY r),
+left_over AS (SELECT r, coalesce(string_agg(chars, '' ORDER BY u) FILTER (NOT cut), '') AS rest FROM t GROUP BY r)
+SELECT doc_id, CASE WHEN n_cut IS NULL THEN text ELSE lead || rest END AS text, coalesce(n_cut, 0)::BIGINT AS n_cut,
+       coalesce(chars_cut, 0)::BIGINT AS chars_cut, coalesce(cut_spans, '') AS cut_spans
+FROM d LEFT JOIN spans USING (r) LEFT JOIN left_over USING (r)
 """
 
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 WINNOWING = rf"""
 WITH d AS (SELECT row_number() OVER () AS r, doc_id,
                   regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '{byte_terms.PATTERN_LOWER}') AS w FROM documents),

@@ -58,10 +58,6 @@ def op8_line_dedup(spark, sf_dir):
     return _cut_report(line_dedup.dedupe(documents(spark, sf_dir)))
 
 
-def op8_passage_dedup(spark, sf_dir):
-    return _cut_report(line_dedup.dedupe(documents(spark, sf_dir), sentences=True))
-
-
 def op9_min_bin_slack(spark, sf_dir):
     return bin_packing.pack(documents(spark, sf_dir), tokenizer_file("word_bpe_49k.json"))
 
@@ -89,5 +85,5 @@ def pipeline(spark, sf_dir):
 
 QUERIES = {f.__name__: f for f in (
     op1_bloom_lm, op2_kneser_ney_lid, op3_byte_bpe, op4_quote_chat, op5_line_quality, op6_simhash, op7_license_scan,
-    op8_line_dedup, op8_passage_dedup, op9_min_bin_slack, op10_prob_minhash, op11_winnowing,
+    op8_line_dedup, op9_min_bin_slack, op10_prob_minhash, op11_winnowing,
     op12_viterbi_repair, op13_bag_search, pipeline)}

@@ -58,7 +58,7 @@ def test_defined_results(edge):
     groups = prob_minhash.classes(edge).filter("doc_id = 100").collect()
     assert [r["class_size"] for r in groups] == [3, 3, 3] and sum(r["is_representative"] for r in groups) == 1
     assert all(r["class_size"] == 1 for r in prob_minhash.classes(edge).filter("doc_id < 4").collect())
-    dedup = [r for r in line_dedup.dedupe(edge).collect() if r["doc_id"] == 100]
+    dedup = [r for r in line_dedup.dedupe(edge, min_words=6).collect() if r["doc_id"] == 100]
     assert sorted(r["text"] for r in dedup) == ["", "", "same row again and again, five."]
 
 

@@ -1,8 +1,9 @@
 """The pipeline stage by stage against plain Python over what each stage read."""
 import corpus_pipeline
-from paneltide.llm import language_id, line_dedup
+from paneltide.llm import language_id
 from paneltide.llm.queries import QUERIES, documents, tokenizer_file
 from tests.llm.test_near import bag, jaccard
+from tests.llm.test_passages import brute_passages
 from tests.llm.test_tokens import check_packing
 
 SMALL = "/root/testdata/sf0.001"
@@ -36,17 +37,8 @@ def test_stages(spark, tmp_path):
                 a, b = find(i), find(j)
                 root[max(a, b)] = min(a, b)
     assert set(near) == {d for d in bags if find(d) == d}
-    seen = set()
-    for d, r in sorted(near.items()):
-        kept = []
-        for line in r["text"].split("\n"):
-            norm = " ".join("".join(c if c.isalnum() else " " for c in line.lower()).split())
-            if len(norm.split()) >= line_dedup.MIN_WORDS:
-                if norm in seen:
-                    continue
-                seen.add(norm)
-            kept.append(line)
-        assert cut[d]["text"] == "\n".join(kept)
+    for (d, _), (text, _) in zip(sorted(near.items()), brute_passages([(d, r["text"]) for d, r in sorted(near.items())])):
+        assert cut[d]["text"] == text and cut[d]["n_chars"] == len(text)
     bins, least = check_packing(packed, {d: r["text"] for d, r in cut.items()})
     assert bins <= least + 2 and tokenizer_file("word_bpe_49k.json")
 

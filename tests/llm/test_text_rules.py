@@ -73,45 +73,6 @@ def test_dice_against_brute_force(spark, tmp_path):
         assert got[i] == (best if best >= 0.5 else None) or abs(got[i] - best) < 1e-12
 
 
-def test_line_dedup_keeps_the_first_and_the_offsets(spark, tmp_path):
-    a, b = prose(1, 60) + ".", prose(2, 12)
-    texts = [f"{a}\nown line of the first text", f"start of the second text\n{a.upper()}\n{b}\nshort\nshort", f"{b}\n{b}!\n{a}", None, "", a]
-    out = {r["doc_id"]: r for r in line_dedup.dedupe(stored(spark, tmp_path, docs_of(spark, texts))).collect()}
-    assert out[0]["text"] == texts[0] and out[1]["text"] == f"start of the second text\n{b}\nshort\nshort"
-    assert out[2]["text"] == "" and out[3]["text"] is None and out[4]["text"] == "" and out[5]["text"] == ""
-    for i, r in out.items():
-        if texts[i] is None:
-            continue
-        gone = [texts[i][c["start"]:c["start"] + c["length"]] for c in r["cut"]]
-        assert gone == [texts[i].split("\n")[c["line"]] for c in r["cut"]]
-        kept = [x for k, x in enumerate(texts[i].split("\n")) if k not in {c["line"] for c in r["cut"]}]
-        assert r["text"] == "\n".join(kept) and r["n_chars"] == len(r["text"])
-
-
-def test_sentences_inside_different_paragraphs_are_cut(spark, tmp_path):
-    passage = [f"{prose(20 + k, 18)}." for k in range(4)]
-    own = [f"{prose(40 + k, 15)}." for k in range(6)]
-    texts = [" ".join([own[0], *passage, own[1]]), "head\n" + " ".join([own[2], *passage, own[3]]) + "\nshort tail",
-             " ".join([*passage, own[4]]), " ".join(passage), f"{own[5]}  {own[5].upper()} Yes! {passage[1]}", None,
-             "\u6f22 a b c d e\u3002\u5b57 f g h i j\u3002", "x y\n\u5b57 f g h i j\u3002\u6f22 a b c d e\u3002 Oh"]
-    docs = stored(spark, tmp_path, docs_of(spark, texts))
-    out = {r["doc_id"]: r for r in line_dedup.dedupe(docs, sentences=True).collect()}
-    assert out[0]["text"] == texts[0] and out[1]["text"] == f"head\n{own[2]} {own[3]}\nshort tail"
-    assert out[2]["text"] == own[4] and out[3]["text"] == "" and out[4]["text"] == f"{own[5]} Yes!"
-    assert out[5]["text"] is None and out[6]["text"] == texts[6] and out[7]["text"] == "x y\nOh"
-    for i, r in out.items():
-        if texts[i] is None:
-            continue
-        left, at = "", 0
-        for c in r["cut"]:
-            assert texts[i][:c["start"]].count("\n") == c["line"]
-            left, at = left + texts[i][at:c["start"]], c["start"] + c["length"]
-        assert (left + texts[i][at:]).strip("\n") == r["text"] and r["n_chars"] == len(r["text"])
-    # lines alone find none of these but the repeated paragraphs
-    lines = {r["doc_id"]: r["text"] for r in line_dedup.dedupe(docs).collect()}
-    assert all(lines[i] == texts[i] for i in range(len(texts)))
-
-
 def test_row_numbers_are_given_once(spark, tmp_path):
     docs = stored(spark, tmp_path, docs_of(spark, [f"{prose(i % 7, 30)}." for i in range(40)]))
     out = line_dedup.dedupe(docs)
