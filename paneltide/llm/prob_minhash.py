@@ -7,7 +7,7 @@ keep the earliest arrival. A document's processes stop as soon as they pass its
 latest register, so a long text costs little more than its length. Equal
 registers estimate the probability Jaccard similarity. ``BANDS`` bands of
 ``ROWS`` registers give candidates (a pair at 0.8 meets in one with probability
-0.99993). A candidate goes on if two bits of each register agree often enough:
+0.99993). A candidate goes on if ``PLANES`` bits of each register agree often enough:
 ``AGREE`` of 512 registers is 4.2 standard deviations below a pair at 0.8. The rest
 are verified by the exact probability Jaccard of their shingles, ``THRESHOLD``
 or more, and linked pairs make up classes.
@@ -28,6 +28,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -41,7 +42,8 @@ THRESHOLD = 0.8
 BANDS, ROWS = 24, 5
 REGISTERS = 512
 LANES = REGISTERS // 64        # longs that hold one bit of each register
-AGREE = 401
+PLANES = 4                     # bits kept of each register: unequal ones agree by chance in one of 16
+AGREE = 379
 MARKS = 1 << 18                # longs of the bitmap that thins texts before their join
 ARRIVAL = np.uint64(0x8CB92BA72F3D8DD7)
 
@@ -107,10 +109,10 @@ def band_keys(signature: np.ndarray) -> np.ndarray:
 
 
 def register_bits(signature: np.ndarray) -> np.ndarray:
-    """Two bits of each register: LANES numbers of first bits, then of second bits."""
+    """PLANES bits of each register: LANES numbers of first bits, then of second bits and so on."""
     mixed = mix64(signature)
     return np.concatenate([np.packbits((mixed >> np.uint64(k) & np.uint64(1)).astype(np.uint8), axis=1,
-                                       bitorder="little").view(np.int64) for k in (0, 1)], axis=1)
+                                       bitorder="little").view(np.int64) for k in range(PLANES)], axis=1)
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -186,8 +188,8 @@ def _candidates(left: DataFrame, right: DataFrame) -> DataFrame:
     other = right.select("bucket", F.col("row").alias("row2"), F.col("class").alias("class2"),
                          F.col("bands").alias("bands2"), F.col("bits").alias("bits2"))
     def differ(i):
-        return F.bit_count(F.col("bits")[i].bitwiseXOR(F.col("bits2")[i]).bitwiseOR(
-            F.col("bits")[i + LANES].bitwiseXOR(F.col("bits2")[i + LANES])))
+        planes = [F.col("bits")[k].bitwiseXOR(F.col("bits2")[k]) for k in range(i, PLANES * LANES, LANES)]
+        return F.bit_count(reduce(lambda x, y: x.bitwiseOR(y), planes))
     unlike = sum((differ(i) for i in range(LANES)), F.lit(0))
     common = F.filter(F.zip_with("bands", "bands2", lambda x, y: F.when(x == y, x)), lambda x: x.isNotNull())
     return left.join(other, "bucket").filter(

@@ -106,7 +106,10 @@ def test_register_bits_agree_for_pairs_at_the_threshold():
         both = np.r_[keys[:360], keys[40:]]
         sig = prob_minhash.signatures(2, own, both, np.ones(len(own)))
         x, y = (list(map(int, v)) for v in prob_minhash.register_bits(sig).view(np.uint64))
-        worst = min(worst, 512 - sum(bin((x[i] ^ y[i]) | (x[i + 8] ^ y[i + 8])).count("1") for i in range(8)))
+        unlike = [0] * 8
+        for i, (p, q) in enumerate(zip(x, y)):
+            unlike[i % 8] |= p ^ q
+        worst = min(worst, 512 - sum(bin(u).count("1") for u in unlike))
     assert worst >= prob_minhash.AGREE
 
 
