@@ -27,72 +27,149 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from paneltide.llm.common import ascii_words, materialise, ready, slices
+from paneltide.llm.byte_terms import hashes, spans
+from paneltide.llm.common import materialise, mix64, ready, slices
 
 CAPACITY = 2048
 END_ID = 0
-CACHE = 200_000                # distinct words kept per worker
-BLOCK = 2000                   # words joined into one call of the tokenizer
+CACHE = 500_000                # distinct pieces of a generation kept per worker, some 20 MB
+BLOCK = 2000                   # pieces joined into one call of the tokenizer
 
 _TOKENIZERS: dict[str, tuple] = {}
 
+_CODE = np.arange(256)
+_SOLID = (_CODE != 32) & ((_CODE < 9) | (_CODE > 13))                  # no white space
+_LETTER = ((_CODE | 32) >= 97) & ((_CODE | 32) <= 122) & (_CODE < 128)
+_ALNUM = _LETTER | (_CODE >= 48) & (_CODE <= 57)
+_STOP = np.zeros(256, bool)
+_STOP[np.frombuffer(b".,;:!?", np.uint8)] = True
+_FOLDED = mix64(np.where(_LETTER, _CODE | 32, _CODE).astype(np.uint64) + np.uint64(1))
+_PLAIN = mix64(_CODE.astype(np.uint64) + np.uint64(1))
+_AGAIN = mix64(_FOLDED)
+OPENING = ord("<")             # special tokens begin with it; they are not case-folded
 
-def _tokenizer(path: str):
-    """(tokenizer, a special token or None, cache) of the file, once a process."""
-    if path not in _TOKENIZERS:
+
+def _apart(before: np.ndarray, byte: np.ndarray) -> np.ndarray:
+    """Between a letter and a stop, or a stop and a letter or digit, the tokenizer always
+    parts the text, so both sides can be encoded on their own."""
+    return _LETTER[before] & _STOP[byte] | _STOP[before] & _ALNUM[byte]
+
+
+class Pieces:
+    """Ids of pieces of text, in arrays ordered by a hash of the piece: ``keys``, a second
+    hash, first place and number of ids in ``ids``."""
+
+    def __init__(self, keys, checks, lengths, ids):
+        order = np.argsort(keys, kind="stable")
+        self.keys, self.checks = keys[order], checks[order]
+        self.first, self.lengths = (np.cumsum(lengths) - lengths)[order], lengths[order]
+        self.ids = ids
+
+    @classmethod
+    def none(cls):
+        return cls(np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, "<u4"))
+
+    def find(self, keys, checks):
+        """(place of each key, whether it is there)."""
+        if not len(self.keys):
+            return np.zeros(len(keys), np.int64), np.zeros(len(keys), bool)
+        at = np.minimum(np.searchsorted(self.keys, keys), len(self.keys) - 1)
+        return at, (self.keys[at] == keys) & (self.checks[at] == checks)
+
+    def taken(self, at):
+        """(number of ids of the places, their ids in a row)."""
+        n = self.lengths[at]
+        return n, self.ids[np.arange(n.sum()) + np.repeat(self.first[at] - (np.cumsum(n) - n), n)]
+
+    def plus(self, keys, checks, lengths, ids):
+        own = np.argsort(self.first, kind="stable")
+        return Pieces(np.r_[self.keys[own], keys], np.r_[self.checks[own], checks], np.r_[self.lengths[own], lengths],
+                      np.r_[self.ids, ids])
+
+
+class Encoder:
+    """The tokenizer of a file with a cache of two generations: when the young one is
+    full it becomes the old one, and what is still in use moves back up."""
+
+    def __init__(self, path: str):
         from tokenizers import Tokenizer
-        t = Tokenizer.from_file(path)
-        t.no_truncation()
-        t.no_padding()
-        special = [(i, a.content) for i, a in sorted(t.get_added_tokens_decoder().items()) if a.special]
-        _TOKENIZERS[path] = (t, special[0] if special else None, {})
-    return _TOKENIZERS[path]
+        self.tokenizer = Tokenizer.from_file(path)
+        self.tokenizer.no_truncation()
+        self.tokenizer.no_padding()
+        special = [(i, a.content) for i, a in sorted(self.tokenizer.get_added_tokens_decoder().items()) if a.special]
+        self.mark = special[0] if special else None
+        self.young, self.old = Pieces.none(), Pieces.none()
 
+    def encode(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(number of ids of each piece, all ids). Pieces are joined with a special token
+        between them, which cuts them apart again."""
+        t, mark = self.tokenizer, self.mark
+        counts, ids = np.zeros(len(pieces), np.int64), []
+        for a in range(0, len(pieces), BLOCK):
+            block = pieces[a:a + BLOCK]
+            if mark is None or any(mark[1] in x for x in block):
+                for i, e in enumerate(t.encode_batch_fast(block, add_special_tokens=False), a):
+                    counts[i] = len(e.ids)
+                    ids.append(np.array(e.ids, "<u4"))
+                continue
+            out = np.array(t.encode_batch_fast([mark[1].join(block)], add_special_tokens=False)[0].ids, "<u4")
+            cut = out == mark[0]
+            counts[a:a + len(block)] = np.diff(np.r_[-1, np.flatnonzero(cut), len(out)]) - 1
+            ids.append(out[~cut])
+        return counts, np.concatenate([np.zeros(0, "<u4"), *ids])
 
-def _word_ids(words: list[str], path: str) -> list[bytes]:
-    """Ids of each word as little-endian unsigned 32-bit numbers. Words are
-    joined with a special token between them, which cuts them apart again."""
-    t, mark, cache = _tokenizer(path)
-    out = [cache.get(w) for w in words]
-    new = [i for i, x in enumerate(out) if x is None]
-    alone = [i for i in new if mark is None or mark[1] in words[i]]
-    joined = [i for i in new if mark is not None and mark[1] not in words[i]]
-    for i, e in zip(alone, t.encode_batch_fast([words[i] for i in alone], add_special_tokens=False)):
-        out[i] = np.array(e.ids, "<u4").tobytes()
-    blocks = [joined[a:a + BLOCK] for a in range(0, len(joined), BLOCK)]
-    for block, e in zip(blocks, t.encode_batch_fast([mark[1].join(words[i] for i in b) for b in blocks],
-                                                    add_special_tokens=False) if blocks else []):
-        ids = np.array(e.ids, "<u4")
-        cuts = np.flatnonzero(ids == mark[0])
-        raw = ids.tobytes()
-        for i, a, b in zip(block, np.r_[0, cuts + 1].tolist(), np.r_[cuts, len(ids)].tolist()):
-            out[i] = raw[4 * a:4 * b]
-    for i in new:
-        if len(cache) >= CACHE:
-            break
-        cache[words[i]] = out[i]
-    return out
+    def known(self, raw: np.ndarray, keys, checks, start, stop) -> tuple[Pieces, np.ndarray]:
+        """(pieces, place of each of the distinct ``keys`` in them), encoding what is new."""
+        if len(self.young.keys) >= CACHE:
+            self.old, self.young = self.young, Pieces.none()
+        there = self.young.find(keys, checks)[1]
+        up, back = self.old.find(keys, checks)
+        back &= ~there
+        new = np.flatnonzero(~there & ~back)
+        counts, ids = self.encode([raw[a:b].tobytes().decode() for a, b in zip(start[new].tolist(), stop[new].tolist())])
+        moved, old_ids = self.old.taken(up[back])
+        self.young = self.young.plus(np.r_[keys[back], keys[new]], np.r_[checks[back], checks[new]],
+                                     np.r_[moved, counts], np.r_[old_ids, ids])
+        at, found = self.young.find(keys, checks)
+        if not found.all():             # two pieces of one key: none of this slice is taken from the cache
+            counts, ids = self.encode([raw[a:b].tobytes().decode() for a, b in zip(start.tolist(), stop.tolist())])
+            apart = Pieces(np.arange(len(keys), dtype=np.uint64), checks, counts, ids)
+            self.young = self.old = Pieces.none()
+            return apart, np.arange(len(keys))
+        return self.young, at
+
+
+def _encoder(path: str) -> Encoder:
+    """The encoder of the file, once a process."""
+    if path not in _TOKENIZERS:
+        _TOKENIZERS[path] = Encoder(path)
+    return _TOKENIZERS[path]
 
 
 def _token_ids(texts: pa.Array, path: str) -> tuple[np.ndarray, np.ndarray]:
     """(first position of each text and the end, ids with END_ID after each text).
     The tokenizer drops white space and never joins across it, so each distinct
-    word is encoded once."""
-    counts, words = ascii_words(texts)
-    coded = _word_ids(words.dictionary.to_pylist(), path)
-    length = np.fromiter((len(c) // 4 for c in coded), np.int64, len(coded))
-    flat = np.frombuffer(b"".join(coded), "<u4")
-    start = np.cumsum(length) - length
-    index = words.indices.to_numpy(zero_copy_only=False)
-    # an extra word of one id at the end of each text
-    owner_end = np.cumsum(counts + 1) - 1
-    inner = np.ones(len(index) + len(counts), bool)
+    piece between white space or stops is encoded once."""
+    found = spans(texts, _SOLID, _apart)
+    first = hashes(found, _FOLDED)
+    # pieces that may hold a special token are told apart by case, the others are not
+    seen = np.flatnonzero(found.raw == OPENING)
+    odd = np.searchsorted(seen, found.stop) > np.searchsorted(seen, found.start)
+    if odd.any():
+        first[odd] = mix64(hashes(found, _PLAIN)[odd])
+    _, some, index = np.unique(first, return_index=True, return_inverse=True)
+    check = mix64((found.stop - found.start)[some].astype(np.uint64) ^ hashes(found, _AGAIN)[some])
+    pieces, at = _encoder(path).known(found.raw, first[some], check, found.start[some], found.stop[some])
+    length, start, flat = pieces.lengths[at], pieces.first[at], pieces.ids
+    # an extra piece of one id at the end of each text
+    owner_end = np.cumsum(found.counts + 1) - 1
+    inner = np.ones(len(index) + len(found.counts), bool)
     inner[owner_end] = False
     n, at = np.ones(len(inner), np.int64), np.full(len(inner), len(flat), np.int64)
     n[inner], at[inner] = length[index], start[index]
     ends = np.cumsum(n)
     ids = np.append(flat, np.uint32(END_ID))[np.repeat(at - (ends - n), n) + np.arange(ends[-1] if len(ends) else 0)]
-    return np.r_[0, ends[owner_end]] if len(counts) else np.zeros(1, np.int64), ids
+    return np.r_[0, ends[owner_end]] if len(found.counts) else np.zeros(1, np.int64), ids
 
 
 def _pieces(path: str, capacity: int, with_ids: bool):

@@ -64,16 +64,21 @@ def _buffer(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8)[at[0]:at[-1]], at - at[0]
 
 
-def spans(texts: pa.Array) -> Spans:
-    """Where the terms of the texts stand."""
+def spans(texts: pa.Array, table: np.ndarray = IS_TERM, parts=None) -> Spans:
+    """Where the terms of the texts stand: runs of the bytes that ``table`` marks.
+    ``parts(before, byte)`` may say between which bytes a run falls into two terms."""
     raw, at = _buffer(texts)
     none = np.zeros(0, np.int64)
     if not len(raw):
         return Spans(raw, at, np.zeros(len(texts), np.int64), none, none)
-    inside = IS_TERM[raw]
+    inside = table[raw]
     first, last = inside.copy(), inside.copy()
     first[1:] &= ~inside[:-1]
     last[:-1] &= ~inside[1:]
+    if parts is not None:
+        two = inside[:-1] & inside[1:] & parts(raw[:-1], raw[1:])
+        first[1:] |= two
+        last[:-1] |= two
     edge = at[1:-1][(at[1:-1] > 0) & (at[1:-1] < len(raw))]      # where one text meets the next
     first[edge] = inside[edge]
     last[edge - 1] = inside[edge - 1]
@@ -87,8 +92,8 @@ def terms(texts: pa.Array) -> Terms:
     return Terms(found.counts, hashes(found))
 
 
-def hashes(found: Spans) -> np.ndarray:
-    """The hash of every term."""
+def hashes(found: Spans, value: np.ndarray = VALUE) -> np.ndarray:
+    """The hash of every term from the values of its bytes."""
     raw, start, stop = found.raw, found.start, found.stop
     out = np.empty(len(start), np.uint64)
     a = 0
@@ -99,7 +104,7 @@ def hashes(found: Spans) -> np.ndarray:
             origin, n = start[a], int(stop[b - 1] - start[a])
             up, down = _POWERS if n <= BLOCK else powers(n)
             total = np.zeros(n + 1, np.uint64)
-            np.cumsum(VALUE[raw[origin:origin + n]] * up[:n], out=total[1:])
+            np.cumsum(value[raw[origin:origin + n]] * up[:n], out=total[1:])
             s, e = start[a:b] - origin, stop[a:b] - origin
             out[a:b] = mix64((total[e] - total[s]) * down[s] + (e - s).astype(np.uint64))
             a = b

@@ -4,6 +4,7 @@ import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from paneltide.llm import bin_packing, bpe
@@ -108,3 +109,34 @@ def test_plan_places_every_rank_once():
 def test_edge_rows_keep_the_id_type(spark, tmp_path):
     out = bpe.digests(stored(spark, tmp_path, edge_docs(spark)), BYTE)
     assert dict(out.dtypes)["doc_id"] == "bigint"
+
+
+def test_pieces_apart_equal_the_whole(monkeypatch):
+    """Stops inside and behind words, contractions, marks of composition, special tokens in
+    any case, and caches that are full at once; the ids are those of the whole text."""
+    import random
+
+    from tokenizers import Tokenizer
+
+    from paneltide.llm import bin_packing
+    library = Tokenizer.from_file(WORD)
+    rng = random.Random(3)
+    parts = ["word", "Word", "it's", "IT'S", ".'s", "a.b", "3.14", "x,y;z", "...", "?!", "é", "́.", "É.", "ç,a", "….", ".…",
+             "<|endoftext|>", "<|ENDOFTEXT|>", "<|endoftext|>.", "a<b", "<|", "|>", "ΣΑΣ.", "İ.", "漢字.", "don't.re", " ", "　x", "1,2", ":)", "\x00", "'", "'.ll"]
+    texts = ["".join(rng.choice(parts) + rng.choice(["", "", " ", "\n", "\t"]) for _ in range(rng.randrange(30))) for _ in range(300)]
+    for size in (500_000, 3):
+        monkeypatch.setattr(bin_packing, "CACHE", size)
+        for a in range(0, len(texts), 50):
+            bounds, ids = bin_packing._token_ids(pa.array(texts[a:a + 50]), WORD)
+            for i, t in enumerate(texts[a:a + 50]):
+                assert ids[bounds[i]:bounds[i + 1]].tolist() == [*library.encode(t, add_special_tokens=False).ids, 0], t
+
+
+def test_pieces_of_one_key_are_told_apart(monkeypatch):
+    coder = bin_packing.Encoder(WORD)
+    raw, start, stop = np.frombuffer(b"onetwo", np.uint8), np.array([0, 3]), np.array([3, 6])
+    key = np.array([7], np.uint64)
+    pieces, at = coder.known(raw, key, np.array([1], np.uint64), start[:1], stop[:1])
+    one = pieces.taken(at)[1].tolist()
+    pieces, at = coder.known(raw, key, np.array([2], np.uint64), start[1:], stop[1:])
+    assert pieces.taken(at)[1].tolist() == coder.tokenizer.encode("two", add_special_tokens=False).ids != one
