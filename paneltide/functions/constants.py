@@ -66,6 +66,7 @@ NEUTRAL_SCORE = 50.0            # score when min-max is undefined
 FULL_PIPELINE_MARKER = "full_pipeline"
 FULL_PIPELINE_EVENT = "panel_full_pipeline"   # event name for "all tables loaded"
 WATERMARK = "5 minutes"
+OUT_OF_ORDERNESS = "30 seconds"   # record stream: how late a record may come
 WINDOW = "10 minutes"
 TRIGGER = "60 seconds"
 RECENT_ALERTS_LIMIT = 50

@@ -8,13 +8,15 @@ return the table they wrote.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import StreamingQueryException
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paneltide.functions import constants as K
-from paneltide.operators import anomalies, landing, quality, views
+from paneltide.operators import anomalies, completion, landing, quality, views
 from paneltide.params import TEST_PARAMS, Params
 from paneltide.plans.run import PanelRun
 from paneltide.session import materialize, scratch_path
@@ -22,7 +24,8 @@ from paneltide.sources import sinks, testdata
 from paneltide.sources.adapters import SourceSpec, read_source_or_empty
 from paneltide.streaming import alert_records, event_driven, window_summary
 from paneltide.streaming.jobs import landed_tables
-from paneltide.streaming.sources import file_stream, stage_messages
+from paneltide.sources.testdata import raw_table
+from paneltide.streaming.sources import even_cuts, file_stream, in_slices, slice_of
 
 Query = Callable[[SparkSession, str], DataFrame]
 GDP_WIDE_DIMS = {"unit": "CP_MEUR", "na_item": "B1GQ"}
@@ -172,9 +175,11 @@ def ingestion_events(r: PanelRun) -> DataFrame:
 def ingestion_event_json(spark, base):
     ev = ingestion_events(_run(spark, base))
     js = ev.select(F.to_json(F.struct(*ev.columns)).alias("value"))
-    schema = "dataset string, record_count bigint, countries array<string>, " \
-             "year_range struct<start:int,end:int>, timestamp string, status string"
-    p = js.select(F.from_json("value", schema).alias("e")).select("e.*")
+    return _decoded_events(js)
+
+
+def _decoded_events(messages: DataFrame) -> DataFrame:
+    p = messages.select(F.from_json("value", completion.EVENT_SCHEMA).alias("e")).select("e.*")
     return p.select("dataset", "record_count", F.array_join("countries", ",").alias("countries"),
                     F.col("year_range.start").alias("year_start"),
                     F.col("year_range.end").alias("year_end"), "timestamp", "status")
@@ -365,24 +370,21 @@ def _alert_messages_of(al: DataFrame) -> DataFrame:
 def stream_window_summary(spark, base):
     """Four micro-batches in time order, so that windows are updated across batches,
     then the oldest alerts once more: by then the watermark has passed their
-    windows and they must not count. Closed days are folded, the rest merged."""
+    windows and they must not count. The job folds the days that it has closed."""
     r = _run(spark, base)
-    src, sink, folded = (scratch_path(spark, n) for n in ("alerts-in", "alert-summary", "alert-summary-days"))
+    src, sink, checkpoint = (scratch_path(spark, n) for n in ("alerts-in", "alert-summary", "alert-summary-ckpt"))
     messages = materialize(_alert_messages_of(r.event_alerts()))
-    stage_messages(messages, src, "_t")
-    span = messages.agg(F.min("_t").alias("a"), F.max("_t").alias("b")).first()
-    if span["a"] is None:
-        return window_summary.current_summary(spark, sink, folded)
-    first_third = span["a"] + (span["b"] - span["a"]) / 3
-    stage_messages(messages.filter(F.col("_t") < F.lit(first_third)), src, "_t", slices=1)
-    window_summary.start_window_summary(
-        file_stream(spark, src, max_files_per_trigger=1), sink, scratch_path(spark, "alert-summary-ckpt"),
-        {"availableNow": True}, length=SUMMARY_WINDOW).awaitTermination()
-    window_summary.fold_closed(spark, sink, folded, first_third)
-    return window_summary.current_summary(spark, sink, folded, first_third.date())
-
-
-def _record_stream_input(r: PanelRun, path: str) -> None:
+    cuts = even_cuts(messages, "_t", 4)
+    at = slice_of("_t", cuts)
+    again = messages.filter(at == 0).withColumn("at", F.lit(4))
+    sent = messages.withColumn("at", at).unionByName(again)
+    out = window_summary.current_summary(spark, sink)
+    for _ in in_slices(sent, src, F.col("at"), 5):
+        out = window_summary.run_window_summary(spark, file_stream(spark, src), sink, checkpoint, length=SUMMARY_WINDOW)
+    return out
+
+
+def _record_messages(r: PanelRun) -> DataFrame:
     """Alert messages (some already carrying processed_at) mixed with raw
     event payloads: objects without a country code, truncated JSON and JSON
     arrays, all derived from the events table."""
@@ -398,16 +400,75 @@ def _record_stream_input(r: PanelRun, path: str) -> None:
                                   F.expr("substring(props, 1, length(props) - 1)"))
                      .when(F.col("event_id") % 50 == 1, F.concat(F.lit("["), "props", F.lit("]")))
                      .otherwise(F.col("props")).alias("value"))
-    stage_messages(good.unionByName(junk), path, "_t")
+    return good.unionByName(junk)
 
 
 def stream_alert_records(spark, base):
     r = _run(spark, base)
-    src = scratch_path(spark, "records-in")
-    _record_stream_input(r, src)
-    return alert_records.run_alert_records(
-        spark, file_stream(spark, src, max_files_per_trigger=1), scratch_path(spark, "alert-records"),
-        scratch_path(spark, "alert-records-ckpt"), r.params.processed_at)
+    src, sink, checkpoint = (scratch_path(spark, n) for n in ("records-in", "alert-records", "alert-records-ckpt"))
+    messages = _record_messages(r)
+    out = spark.createDataFrame([], alert_records.TABLE_SCHEMA)
+    for _ in in_slices(messages, src, slice_of("_t", even_cuts(messages, "_t", 4)), 4):
+        out = alert_records.run_alert_records(spark, file_stream(spark, src), sink, checkpoint, r.params.processed_at)
+    return out
+
+
+def _repeated_records(r: PanelRun) -> DataFrame:
+    """(value, at): records in four micro-batches by time, some twice in one batch, some
+    again in the next one, and some of the first batch only in the third, when the
+    watermark has passed them."""
+    al = materialize(r.event_alerts().select("dataset", "country_code", "year", "value", "z_score", "severity", "detected_at"))
+    n, kind = slice_of("detected_at", even_cuts(al, "detected_at", 4)), F.minute("detected_at") % 7
+    at = F.when((kind == 0) & (n == 0), F.array(F.lit(2))).when((kind == 1) & (n < 3), F.array(n, n + 1)) \
+        .when(kind == 2, F.array(n, n)).otherwise(F.array(n))
+    return al.select(F.explode(at).alias("at"), F.to_json(F.struct(*al.columns), anomalies.JSON_OPTS).alias("value"))
+
+
+def _unique_records(spark, base, crash_in: int | None = None) -> tuple[str, list[tuple]]:
+    """Run the record stream without repeats, one micro-batch a start, each start going on
+    from the checkpoint; in batch ``crash_in`` it stops once between write and commit.
+    Returns the sink and the accounts of the batches that were committed."""
+    r = _run(spark, base)
+    src, sink, checkpoint = (scratch_path(spark, n) for n in ("unique-in", "unique-records", "unique-records-ckpt"))
+    sent, accounts, crashes = _repeated_records(r), [], [crash_in]
+    write = alert_records.batch_writer(sink)
+
+    def write_or_stop(records: DataFrame, batch_id: int) -> None:
+        write(records, batch_id)
+        if crashes and crashes[0] == len(accounts):
+            crashes.clear()
+            raise RuntimeError("stopped between write and commit")
+
+    for i in in_slices(sent, src, F.col("at"), 4):
+        for _ in range(2):
+            query = alert_records.start_unique_records(
+                file_stream(spark, src), sink, checkpoint, r.params.processed_at, {"availableNow": True}, writer=write_or_stop)
+            try:
+                query.awaitTermination()
+                break
+            except StreamingQueryException:
+                if i != crash_in or crashes:      # not the stop that was asked for
+                    raise
+        accounts += [(i, *a[1:]) for a in alert_records.accounting(query)] or [(i, 0, 0, 0)]
+    return sink, accounts
+
+
+def stream_unique_records(spark, base):
+    """Repeated and late messages over several micro-batches: each record once."""
+    sink, _ = _unique_records(spark, base)
+    return sinks.read_back(spark, sink, alert_records.RECORD_COLUMNS)
+
+
+def stream_restart(spark, base):
+    """The same stream stopped after the write of its second batch and before its commit:
+    that batch runs again and replaces what it wrote; state comes from the checkpoint."""
+    sink, _ = _unique_records(spark, base, crash_in=1)
+    return sinks.read_back(spark, sink, alert_records.RECORD_COLUMNS)
+
+
+def stream_late_rows(spark, base):
+    """What each micro-batch read, dropped as late and kept, from the stream's own progress."""
+    return spark.createDataFrame(_unique_records(spark, base)[1], alert_records.ACCOUNT_SCHEMA)
 
 
 def _event_driven(spark, base) -> tuple[DataFrame, str]:
@@ -423,10 +484,11 @@ def _event_driven(spark, base) -> tuple[DataFrame, str]:
         "_ord", F.to_json(F.struct("dataset", F.coalesce("record_count", F.lit(0)).alias(
             "record_count"), "countries", "year_range", "timestamp",
             F.lit("completed").alias("status"))).alias("value"))
-    stage_messages(materialize(evs), src, "_ord", slices=len(r.params.ingestion_events))
-    alerts = event_driven.run_event_driven(
-        spark, file_stream(spark, src, max_files_per_trigger=1), landed_tables(spark, landed), f"{out}/alerts",
-        f"{out}/checkpoint", r.params, sinks.MessageSink(f"{out}/messages"))
+    alerts = event_driven.alert_history(spark, f"{out}/alerts")
+    for _ in in_slices(materialize(evs), src, F.col("_ord"), len(r.params.ingestion_events)):
+        alerts = event_driven.run_event_driven(
+            spark, file_stream(spark, src), landed_tables(spark, landed), f"{out}/alerts", f"{out}/checkpoint",
+            r.params, sinks.MessageSink(f"{out}/messages"))
     return alerts, f"{out}/messages"
 
 
@@ -448,6 +510,23 @@ def alerts_appended(spark, base):
     return sinks.read_back(spark, path, anomalies.ALERT_COLUMNS)
 
 
+def completion_events(spark, base):
+    """Land the four tables; what each write counted is published after its commit, then
+    one event for all of them. The messages are read back and decoded."""
+    r = _run(spark, base).materialised()
+    out = scratch_path(spark, "landing")
+    stamp = r.params.load_date.isoformat() + "T00:00:00"
+    target, events = sinks.MessageSink(f"{out}/events"), []
+    for i, ds in enumerate(K.DATASETS):
+        seen = Observation(ds)
+        sinks.write_partitioned(raw_table(r.raw(ds), ds), f"{out}/{ds}", "loaded_at", ["country_code", "year"],
+                                observation=partial(completion.counted, observation=seen))
+        events.append(completion.event(ds, seen.get, stamp))
+        completion.publish(spark, events[-1:], target, i)
+    completion.publish(spark, [completion.pipeline_event(events, stamp)], target, len(events))
+    return _decoded_events(spark.read.schema("value string").text(target.target))
+
+
 # --- sinks and layout ------------------------------------------------------------
 def sink_overwrite(spark, base):
     """A refresh over an earlier version with other rows: none of them stays."""
@@ -541,6 +620,10 @@ QUERIES: dict[str, Query] = {
     "dq_report": dq_report,
     "stream_window_summary": stream_window_summary,
     "stream_alert_records": stream_alert_records,
+    "stream_unique_records": stream_unique_records,
+    "stream_restart": stream_restart,
+    "stream_late_rows": stream_late_rows,
+    "completion_events": completion_events,
     "event_driven_anomalies": event_driven_anomalies,
     "sink_overwrite": sink_overwrite,
     "layout_partitioned": layout_partitioned,

@@ -634,6 +634,36 @@ ORACLE |= {
   LEFT JOIN staged_all i ON i.dataset = 'inflation_annual' AND i.country_code = w.country_code
                          AND i.reference_year = w.reference_year"""),
 }
+# the record stream: four batches by time, with copies and late rows; what a batch sees as late
+# is at or before the latest time (whole milliseconds) of the earlier batches less 30 seconds
+_SENT = """
+WITH span AS (SELECT min(epoch_us(detected_at)) AS a, max(epoch_us(detected_at)) AS b FROM event_alerts),
+placed AS (
+  SELECT e.*, minute(detected_at) % 7 AS kind, epoch_us(detected_at) AS t,
+         CASE WHEN t >= a + (b - a) // 4 * 3 THEN 3 WHEN t >= a + (b - a) // 4 * 2 THEN 2
+              WHEN t >= a + (b - a) // 4 THEN 1 ELSE 0 END AS n
+  FROM event_alerts e, span),
+sent AS (
+  SELECT * EXCLUDE (kind, n), unnest(CASE WHEN kind = 0 AND n = 0 THEN [2] WHEN kind = 1 AND n < 3 THEN [n, n + 1]
+                                          WHEN kind = 2 THEN [n, n] ELSE [n] END) AS nr
+  FROM placed),
+marks AS (
+  SELECT x.nr, (SELECT max(y.t) // 1000 - 30000 FROM sent y WHERE y.nr < x.nr) AS mark
+  FROM (SELECT unnest(range(4)) AS nr) x),
+judged AS (SELECT s.*, coalesce(s.t <= m.mark * 1000, FALSE) AS late FROM sent s JOIN marks m USING (nr)),
+kept AS (
+  SELECT dataset, country_code, year, value, z_score, severity, detected_at, min(nr) AS nr
+  FROM judged WHERE NOT late GROUP BY ALL)
+"""
+ORACLE["stream_unique_records"] = q(f"""{_SENT}
+  SELECT * EXCLUDE (nr), CAST({PROCESSED} AS TIMESTAMP) AS processed_at FROM kept""")
+ORACLE["stream_restart"] = ORACLE["stream_unique_records"]
+ORACLE["stream_late_rows"] = q(f"""{_SENT}
+  SELECT m.nr::BIGINT AS batch_id, (SELECT count(*) FROM judged j WHERE j.nr = m.nr) AS rows_in,
+         (SELECT count(*) FROM judged j WHERE j.nr = m.nr AND late) AS rows_late,
+         (SELECT count(*) FROM kept k WHERE k.nr = m.nr) AS rows_kept
+  FROM marks m""")
+ORACLE["completion_events"] = ORACLE["ingestion_event_json"]
 _FAULTY = {
     "raw1": "SELECT * REPLACE (CASE WHEN NOT (value IS NULL AND dataset IN ('gdp_annual', 'energy_intensity')) "
             "THEN country_code END AS country_code, CASE WHEN NOT (value IS NULL AND dataset IN "

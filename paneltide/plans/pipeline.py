@@ -1,7 +1,7 @@
 """The full batch DAG written as tables (the reference's batch job, SQL
 models, data tests and detector in one Spark application).
 
-usage: python -m paneltide.plans.pipeline <input_dir> <output_dir> [<landed_dir>]
+usage: python -m paneltide.plans.pipeline <input_dir> <output_dir> [<landed_dir> [<events_dir>]]
 
 With ``landed_dir`` the run starts from landed tables (one folder per dataset),
 else from the driver tables. Tables are full refreshes (overwrite), except
@@ -15,15 +15,17 @@ reads that copy.
 from __future__ import annotations
 
 import sys
+from functools import partial
 
 from pyspark.sql import Observation, SparkSession
 
 from paneltide.functions import constants as K
-from paneltide.operators import quality
+from paneltide.operators import completion, quality
 from paneltide.params import Params
 from paneltide.plans.run import PanelRun
 from paneltide.sources import sinks
 from paneltide.sources.adapters import SourceRegistry, SourceSpec
+from paneltide.sources.sinks import MessageSink
 from paneltide.sources.testdata import raw_table
 
 
@@ -32,17 +34,21 @@ def landed_registry(spark: SparkSession, folder: str) -> SourceRegistry:
 
 
 def run_batch(spark: SparkSession, base: str, out: str, params: Params | None = None,
-              counts: dict | None = None, landed: SourceRegistry | None = None) -> list[str]:
+              counts: dict | None = None, landed: SourceRegistry | None = None,
+              messages: MessageSink | None = None) -> list[str]:
     """Write every table; ``counts`` (if given) receives the rows written per
     table, observed during the write itself (no second scan). Without ``params``
-    the run has the default parameters and stamps its rows with its own start."""
+    the run has the default parameters and stamps its rows with its own start. With
+    ``messages`` every landed table's completion event is published once the table is
+    there, and one for all of them at the end of the run."""
     source = PanelRun(spark, base, params or Params(), landed)
     r = source.materialised()
     written = []
 
-    def put(name, df, partition=None, clustered=None, append=False):
+    def put(name, df, partition=None, clustered=None, append=False, observed=None):
         path = f"{out.rstrip('/')}/{name}"
-        obs = Observation(name)
+        seen = Observation(name)
+        obs = partial(observed, observation=seen) if observed else seen
         if append:
             sinks.append(df, path, observation=obs)
         elif partition:
@@ -53,10 +59,16 @@ def run_batch(spark: SparkSession, base: str, out: str, params: Params | None =
             sinks.write_overwrite(df, path, observation=obs)
         written.append(name)
         if counts is not None:
-            counts[name] = obs.get["rows"]
+            counts[name] = seen.get["record_count" if observed else "rows"]
+        return seen
 
-    for ds in K.DATASETS:
-        put(ds, raw_table(r.raw(ds), ds), "loaded_at", ["country_code", "year"])
+    events, stamp = [], r.params.detected_at.isoformat()
+    run = int(r.params.detected_at.timestamp() * 1_000_000)
+    for i, ds in enumerate(K.DATASETS):
+        seen = put(ds, raw_table(r.raw(ds), ds), "loaded_at", ["country_code", "year"], observed=completion.counted)
+        events.append(completion.event(ds, seen.get, stamp))
+        if messages is not None:
+            completion.publish(spark, events[-1:], messages, run + i)
         put(f"{ds}_processed", r.processed(ds))
     put("combined_indicators", r.combined())
     put("int_country_indicators", r.indicators())
@@ -67,6 +79,8 @@ def run_batch(spark: SparkSession, base: str, out: str, params: Params | None =
     put("mart_country_latest", r.mart_latest(), clustered=["country_code"])
     put("anomaly_alerts", r.panel_alerts() if landed is not None else r.alert_table(), append=True)
     put("dq_report", quality.dq_report(r.raw(), r.staged(), r.scored(), r.mart_latest(), r.params.score_year_min))
+    if messages is not None:
+        completion.publish(spark, [completion.pipeline_event(events, stamp)], messages, run + len(events))
     return written
 
 
@@ -74,4 +88,5 @@ if __name__ == "__main__":
     from paneltide.session import build_session
     session = build_session()
     print(run_batch(session, sys.argv[1], sys.argv[2],
-                    landed=landed_registry(session, sys.argv[3]) if len(sys.argv) > 3 else None))
+                    landed=landed_registry(session, sys.argv[3]) if len(sys.argv) > 3 else None,
+                    messages=MessageSink(sys.argv[4]) if len(sys.argv) > 4 else None))

@@ -29,9 +29,12 @@ def requests_of(events: DataFrame) -> DataFrame:
         .select("request", F.col("table").alias("dataset"))
 
 
-def detections_for(requests: DataFrame, landed: Landed, params: Params) -> DataFrame | None:
+def detections_for(requests: DataFrame, landed: Landed, params: Params | None = None) -> DataFrame | None:
     """Alerts of the requested tables, one copy per request; None without any. At
-    most one name per table of the fixed set reaches the driver."""
+    most one name per table of the fixed set reaches the driver. Without ``params`` the
+    alerts are stamped with this call's time, so those of a job that runs for weeks have
+    the time of their micro-batch."""
+    params = params or Params()
     names = sorted(r["dataset"] for r in requests.select("dataset").distinct().collect())
     if not names:
         return None
@@ -39,7 +42,7 @@ def detections_for(requests: DataFrame, landed: Landed, params: Params) -> DataF
     return alerts.join(requests, "dataset").select(*OUTPUT_COLUMNS)
 
 
-def start_event_driven(stream: DataFrame, landed: Landed, sink: str, checkpoint: str, params: Params,
+def start_event_driven(stream: DataFrame, landed: Landed, sink: str, checkpoint: str, params: Params | None = None,
                        messages: MessageSink | None = None, trigger: dict | None = None):
     def handle(events: DataFrame, batch_id: int) -> None:
         found = detections_for(requests_of(events), landed, params)

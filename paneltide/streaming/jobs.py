@@ -2,8 +2,11 @@
 
 usage: python -m paneltide.streaming.jobs window_summary|alert_records|event_driven
          (--files DIR | --servers HOST:PORT --topic NAME) --sink DIR --checkpoint DIR
-         [--every "60 seconds" | --once] [--per-trigger N] [--landed DIR]
-         [--messages DIR | --message-topic NAME]
+         [--from earliest|latest] [--group ID] [--every "60 seconds" | --once] [--per-trigger N]
+         [--landed DIR] [--messages DIR | --message-topic NAME] [--message-servers HOST:PORT] [--unique]
+
+A new job starts at the offsets of STARTS unless told otherwise: the summary at what comes
+next, the others at the earliest message. A restarted one goes on from its checkpoint.
 """
 from __future__ import annotations
 
@@ -13,12 +16,14 @@ from pyspark.sql import SparkSession
 from pyspark.sql import functions as F
 
 from paneltide.functions import constants as K
-from paneltide.params import Params
 from paneltide.sources.sinks import MessageSink
 from paneltide.streaming import alert_records, event_driven, window_summary
 from paneltide.streaming.sources import file_stream, kafka_stream
 
 
+STARTS = {"window_summary": "latest", "alert_records": "earliest", "event_driven": "earliest"}
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="paneltide.streaming.jobs")
     p.add_argument("job", choices=["window_summary", "alert_records", "event_driven"])
@@ -33,6 +38,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--landed", help="folder of landed tables, one per dataset")
     p.add_argument("--messages")
     p.add_argument("--message-topic")
+    p.add_argument("--message-servers")
+    p.add_argument("--from", dest="offsets", choices=["earliest", "latest"])
+    p.add_argument("--group")
+    p.add_argument("--unique", action="store_true", help="alert_records: drop repeated records")
     return p
 
 
@@ -42,19 +51,28 @@ def start(spark: SparkSession, argv: list[str]):
     if bool(a.files) == bool(a.servers):
         raise ValueError("give either --files or --servers")
     stream = file_stream(spark, a.files, a.per_trigger) if a.files else \
-        kafka_stream(spark, a.servers, a.topic, max_offsets_per_trigger=a.per_trigger)
+        kafka_stream(spark, a.servers, a.topic, starting_offsets=a.offsets or STARTS[a.job],
+                     group_id=a.group or f"paneltide-{a.job}", max_offsets_per_trigger=a.per_trigger)
     trigger = {"availableNow": True} if a.once else {"processingTime": a.every}
-    params = Params()
     if a.job == "window_summary":
         return window_summary.start_window_summary(stream, a.sink, a.checkpoint, trigger)
     if a.job == "alert_records":
-        return alert_records.start_alert_records(stream, a.sink, a.checkpoint, params.processed_at, trigger)
+        start_records = alert_records.start_unique_records if a.unique else alert_records.start_alert_records
+        return start_records(stream, a.sink, a.checkpoint, trigger=trigger)
     if not a.landed:
         raise ValueError("event_driven needs --landed")
-    target = MessageSink(a.message_topic, "kafka", {"kafka.bootstrap.servers": a.servers}) if a.message_topic \
-        else MessageSink(a.messages) if a.messages else None
-    return event_driven.start_event_driven(stream, landed_tables(spark, a.landed), a.sink, a.checkpoint, params,
-                                           target, trigger)
+    return event_driven.start_event_driven(stream, landed_tables(spark, a.landed), a.sink, a.checkpoint,
+                                           messages=message_target(a), trigger=trigger)
+
+
+def message_target(a: argparse.Namespace) -> MessageSink | None:
+    """Where alerts are published, if anywhere."""
+    if not a.message_topic:
+        return MessageSink(a.messages) if a.messages else None
+    servers = a.message_servers or a.servers
+    if not servers:
+        raise ValueError("--message-topic needs --message-servers or --servers")
+    return MessageSink(a.message_topic, "kafka", {"kafka.bootstrap.servers": servers})
 
 
 def landed_tables(spark: SparkSession, folder: str) -> event_driven.Landed:
