@@ -30,7 +30,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines are cut; the earliest occurrence stays."""
+    """Repeated passages are cut; the earliest occurrence stays."""
     return line_dedup.dedupe(docs).select(*docs.columns)
 
 
