@@ -34,6 +34,14 @@ def yoy(keys=SERIES, value: str = "value") -> dict[str, Column]:
     return {"yoy_change": now - before, "yoy_growth_pct": growth_pct(now, before)}
 
 
+def yoy_strict(keys=SERIES, value: str = "value") -> dict[str, Column]:
+    """Change and growth against the calendar year before, NULL where that year is missing:
+    a RANGE frame one year back, in the same partitioning and order as ``yoy``."""
+    year_before = Window.partitionBy(*keys).orderBy("year").rangeBetween(-1, -1)
+    now, before = F.col(value), F.max(value).over(year_before)
+    return {"strict_change": now - before, "strict_growth_pct": growth_pct(now, before)}
+
+
 def series_stats(keys=SERIES, value: str = "value") -> dict[str, Column]:
     """Mean and sample standard deviation over the series' non-NULL values: NULL
     mean for an all-NULL series, NULL deviation below two values."""

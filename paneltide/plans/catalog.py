@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paneltide.functions import constants as K
-from paneltide.operators import anomalies, completion, landing, quality, views
+from paneltide.operators import anomalies, completion, landing, metrics, quality, views
 from paneltide.params import TEST_PARAMS, Params
 from paneltide.plans.run import PanelRun
 from paneltide.session import materialize, scratch_path
@@ -98,6 +98,14 @@ def _processed(dataset):
     return q
 
 
+def yoy_gap_years(spark, base):
+    """Rows with a value only, so that series have gap years: the change against the row
+    before beside the change against the calendar year before."""
+    own = _run(spark, base).sliced().filter(F.col("value").isNotNull())
+    measures = {**metrics.yoy(), **metrics.yoy_strict()}
+    return own.select("dataset", "country_code", "year", "value", *[c.alias(n) for n, c in measures.items()])
+
+
 def process_panel(spark, base):
     return _run(spark, base).enriched()
 
@@ -582,6 +590,7 @@ QUERIES: dict[str, Query] = {
     "process_energy": _processed(K.ENERGY),
     "process_inflation": _processed(K.INFLATION),
     "process_panel": process_panel,
+    "yoy_gap_years": yoy_gap_years,
     "combined_indicators": combined_indicators,
     "int_country_indicators": int_country_indicators,
     "int_yoy_deltas": int_yoy_deltas,

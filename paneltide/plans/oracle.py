@@ -664,6 +664,16 @@ ORACLE["stream_late_rows"] = q(f"""{_SENT}
          (SELECT count(*) FROM kept k WHERE k.nr = m.nr) AS rows_kept
   FROM marks m""")
 ORACLE["completion_events"] = ORACLE["ingestion_event_json"]
+ORACLE["yoy_gap_years"] = q("""
+  WITH have AS (SELECT dataset, country_code, year, value FROM sliced WHERE value IS NOT NULL),
+  ranked AS (SELECT *, row_number() OVER (PARTITION BY dataset, country_code ORDER BY year) AS nr FROM have)
+  SELECT n.dataset, n.country_code, n.year, n.value, n.value - p.value AS yoy_change,
+         round(CASE WHEN p.value <> 0 THEN (n.value - p.value) / p.value * 100 END, 2) AS yoy_growth_pct,
+         n.value - s.value AS strict_change,
+         round(CASE WHEN s.value <> 0 THEN (n.value - s.value) / s.value * 100 END, 2) AS strict_growth_pct
+  FROM ranked n
+  LEFT JOIN ranked p ON p.dataset = n.dataset AND p.country_code = n.country_code AND p.nr = n.nr - 1
+  LEFT JOIN have s ON s.dataset = n.dataset AND s.country_code = n.country_code AND s.year = n.year - 1""")
 _FAULTY = {
     "raw1": "SELECT * REPLACE (CASE WHEN NOT (value IS NULL AND dataset IN ('gdp_annual', 'energy_intensity')) "
             "THEN country_code END AS country_code, CASE WHEN NOT (value IS NULL AND dataset IN "

@@ -102,3 +102,14 @@ def test_fixed_mean_is_exact_for_fixed_point_values(spark):
     df = spark.createDataFrame([(0.1,), (0.2,), (0.3,), (None,)], "x double")
     assert df.agg(fixed_mean("x", 1)).first()[0] == 0.2
     assert df.repartition(3).agg(fixed_mean("x", 1)).first()[0] == 0.2
+
+
+def test_strict_year_differs_from_the_row_before_in_gap_years(spark):
+    from paneltide.operators.metrics import yoy, yoy_strict
+    rows = [("d", "DE", 2000, 10.0), ("d", "DE", 2001, 15.0), ("d", "DE", 2004, 30.0), ("d", "DE", 2005, 0.0), ("d", "DE", 2006, 4.0),
+            ("d", "FR", 2001, 1.0)]
+    df = spark.createDataFrame(rows, "dataset string, country_code string, year int, value double")
+    out = df.select("country_code", "year", *[c.alias(n) for n, c in {**yoy(), **yoy_strict()}.items()]).collect()
+    got = {(r["country_code"], r["year"]): (r["yoy_change"], r["strict_change"], r["strict_growth_pct"]) for r in out}
+    assert got == {("DE", 2000): (None, None, None), ("DE", 2001): (5.0, 5.0, 50.0), ("DE", 2004): (15.0, None, None),
+                   ("DE", 2005): (-30.0, -30.0, -100.0), ("DE", 2006): (4.0, 4.0, None), ("FR", 2001): (None, None, None)}
