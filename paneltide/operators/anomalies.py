@@ -62,6 +62,11 @@ def detect_panel_anomalies(panel: DataFrame, params: Params,
     scored = base.select("*", *[c.alias(n) for n, c in series_stats(keys).items()]) \
         .withColumn("z_score", z_score(F.col("value"), F.col("mean"), F.col("std_dev"))) \
         .filter(F.abs("z_score") > params.z_threshold)
+    return strongest(scored, params)
+
+
+def strongest(scored: DataFrame, params: Params) -> DataFrame:
+    """The top-k of scored rows by |z| per dataset, as alerts."""
     rank = Window.partitionBy("dataset").orderBy(F.abs("z_score").desc(), F.col("country_code"),
                                                  F.col("year"))
     top = scored.withColumn("_rn", F.row_number().over(rank)).filter(F.col("_rn") <= params.top_k)

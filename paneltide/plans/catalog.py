@@ -8,7 +8,7 @@ return the table they wrote.
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -17,6 +17,7 @@ from pyspark.sql.types import StructType
 
 from paneltide.functions import constants as K
 from paneltide.operators import anomalies, completion, landing, metrics, quality, views
+from paneltide.operators.running_stats import RunningDetector, deviation
 from paneltide.params import TEST_PARAMS, Params
 from paneltide.plans.run import PanelRun
 from paneltide.session import materialize, scratch_path
@@ -518,6 +519,55 @@ def alerts_appended(spark, base):
     return sinks.read_back(spark, path, anomalies.ALERT_COLUMNS)
 
 
+RUNNING_LOADS = 3
+
+
+def _loaded(rows: DataFrame, at: F.Column, keys: tuple[str, ...], params: Params) -> RunningDetector:
+    """The rows added as loads 0, 1, 2, of which ``at`` gives the number."""
+    detector = RunningDetector(scratch_path(rows.sparkSession, "running"), rows.schema, keys, params.z_threshold)
+    for load in range(RUNNING_LOADS):
+        detector.add(rows.filter(at == load), load)
+    return detector
+
+
+def running_alerts(spark, base):
+    """The panel in three loads by year: after the third, the alerts of one full read,
+    found by the moments of all loads."""
+    r = _run(spark, base)
+    rows = materialize(r.sliced().select("dataset", "country_code", "year", "value"))
+    year = F.col("year")
+    at = F.when(year <= 1996, 0).when(year <= 1998, 1).otherwise(2)
+    found = _loaded(rows, at, metrics.SERIES, r.params).current(spark, RUNNING_LOADS - 1)
+    return _six_places(anomalies.strongest(found, r.params))
+
+
+def _six_places(alerts: DataFrame) -> DataFrame:
+    """Statistics to six places: merged moments differ from a full read in the last digits."""
+    return alerts.withColumns({c: F.round(c, 6) for c in ("z_score", "mean", "std_dev")})
+
+
+def _event_loads(spark, base) -> RunningDetector:
+    r = _run(spark, base)
+    rows = r.events().select("event_id", "event_type", "ts", "value")
+    return _loaded(rows, slice_of("ts", even_cuts(rows, "ts", RUNNING_LOADS)), ("event_type",), r.params)
+
+
+def running_alerts_by_load(spark, base):
+    """Events in three loads by time: the alerts of each load when it came in."""
+    detector = _event_loads(spark, base)
+    each = [detector.of_load(spark, load) for load in range(RUNNING_LOADS)]
+    return _six_places(reduce(DataFrame.unionByName, each).withColumnRenamed("batch_id", "load"))
+
+
+def running_moments(spark, base):
+    """Count, mean and deviation of each event type through each of the three loads."""
+    detector = _event_loads(spark, base)
+    each = [detector.through(spark, load).select(
+        F.lit(load).cast("long").alias("load"), "event_type", "n", F.round("mean", 6).alias("mean"),
+        F.round(deviation(), 6).alias("std_dev"), "low", "high") for load in range(RUNNING_LOADS)]
+    return reduce(DataFrame.unionByName, each)
+
+
 def completion_events(spark, base):
     """Land the four tables; what each write counted is published after its commit, then
     one event for all of them. The messages are read back and decoded."""
@@ -645,4 +695,7 @@ QUERIES: dict[str, Query] = {
     "alerts_appended": alerts_appended,
     "event_driven_messages": event_driven_messages,
     "dq_report_faulty": dq_report_faulty,
+    "running_alerts": running_alerts,
+    "running_alerts_by_load": running_alerts_by_load,
+    "running_moments": running_moments,
 }

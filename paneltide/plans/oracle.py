@@ -674,6 +674,28 @@ ORACLE["yoy_gap_years"] = q("""
   FROM ranked n
   LEFT JOIN ranked p ON p.dataset = n.dataset AND p.country_code = n.country_code AND p.nr = n.nr - 1
   LEFT JOIN have s ON s.dataset = n.dataset AND s.country_code = n.country_code AND s.year = n.year - 1""")
+ORACLE["running_alerts"] = q("""
+  SELECT * REPLACE (round(z_score, 6) AS z_score, round(mean, 6) AS mean, round(std_dev, 6) AS std_dev) FROM panel_alerts""")
+# events in three loads by time; statistics over all loads up to each
+_LOADS = """
+WITH span AS (SELECT min(epoch_us(ts)) AS a, max(epoch_us(ts)) AS b FROM events),
+loaded AS (
+  SELECT event_id, event_type, ts, value, CAST(CASE WHEN epoch_us(ts) >= a + (b - a) // 3 * 2 THEN 2
+         WHEN epoch_us(ts) >= a + (b - a) // 3 THEN 1 ELSE 0 END AS BIGINT) AS load
+  FROM events, span),
+through AS (
+  SELECT l.load, e.event_type, count(e.value) AS n, avg(e.value) AS mean, stddev_samp(e.value) AS std_dev,
+         min(e.value) AS low, max(e.value) AS high
+  FROM (SELECT unnest([0, 1, 2]) AS load) l JOIN loaded e ON e.load <= l.load
+  GROUP BY ALL HAVING count(e.value) > 0)
+"""
+ORACLE["running_moments"] = q(f"""{_LOADS}
+  SELECT load::BIGINT AS load, event_type, n, round(mean, 6) AS mean, round(std_dev, 6) AS std_dev, low, high FROM through""")
+ORACLE["running_alerts_by_load"] = q(f"""{_LOADS}
+  SELECT e.event_id, e.event_type, e.ts, e.value, e.load, round((e.value - t.mean) / nullif(t.std_dev, 0), 6) AS z_score,
+         round(t.mean, 6) AS mean, round(t.std_dev, 6) AS std_dev
+  FROM loaded e JOIN through t ON t.load = e.load AND t.event_type IS NOT DISTINCT FROM e.event_type
+  WHERE abs((e.value - t.mean) / nullif(t.std_dev, 0)) > {P.z_threshold}""")
 _FAULTY = {
     "raw1": "SELECT * REPLACE (CASE WHEN NOT (value IS NULL AND dataset IN ('gdp_annual', 'energy_intensity')) "
             "THEN country_code END AS country_code, CASE WHEN NOT (value IS NULL AND dataset IN "
