@@ -6,6 +6,10 @@ the reshape itself is Spark's ``unpivot`` (an Expand, no shuffle).
 """
 from __future__ import annotations
 
+import re
+from functools import reduce
+from urllib.parse import unquote
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,9 +20,10 @@ from paneltide.sources.dimension import index_of_code, name_of_code
 GEO_HEADER = "geo\\TIME_PERIOD"
 
 
-def read_wide_csv(spark: SparkSession, path: str, sep: str = ",") -> DataFrame:
-    """A landed wide statistic file: header row, every cell read as text (no
-    schema inference, so ':' and flagged cells survive until coercion)."""
+def read_wide_csv(spark: SparkSession, path: str | list[str], sep: str = ",") -> DataFrame:
+    """A landed wide statistic file, or several with the same header: header row, every
+    cell read as text (no schema inference, so ':' and flagged cells survive until
+    coercion)."""
     return (spark.read.option("header", True).option("sep", sep)
             .option("inferSchema", False).csv(path))
 
@@ -102,6 +107,62 @@ def geo_filter(long: DataFrame, spark: SparkSession, dataset: str,
     return df.select(*out)
 
 
+# cells that say "no value", which is no fault of a file
+MISSING_CELLS = ("", ":")
+
+
+def header_groups(spark: SparkSession, path: str) -> dict[str, list[str]]:
+    """Header line -> the files below ``path`` that begin with it.
+
+    The first line with any text of every file is found by an aggregate over the files'
+    first blocks; names of files and distinct headers come to the driver, no rows."""
+    meta = F.col("_metadata")
+    lines = (spark.read.text(path)
+             .filter((meta["file_block_start"] == 0) & (F.trim("value") != ""))
+             .select(meta["file_path"].alias("file"), "value", F.monotonically_increasing_id().alias("at")))
+    first = lines.groupBy("file").agg(F.min_by("value", "at").alias("header"))
+    groups = first.groupBy("header").agg(F.sort_array(F.collect_list("file")).alias("files")).orderBy("header")
+    # the path column is a URI; signs that a reader takes for a pattern are escaped
+    return {g["header"]: [re.sub(r"([\[\]{}*?\\])", r"\\\1", unquote(f)) for f in g["files"]] for g in groups.collect()}
+
+
+def rejected_cells(wide: DataFrame, start: int, end: int) -> DataFrame:
+    """(file, country_code, year, cell): cells of year columns that hold something, but
+    no number, such as flagged values."""
+    years, geo = year_columns(wide.columns, start, end), geo_column(wide.columns)
+    named = wide.select(F.col("_metadata.file_path").alias("file"),
+                        (strip_ws(F.col(f"`{geo}`")) if geo in wide.columns else F.lit(None).cast("string"))
+                        .alias("country_code"), *[F.col(f"`{y}`") for y in years])
+    if not years:
+        return named.select("file", "country_code", F.lit(None).cast("int").alias("year"),
+                            F.lit(None).cast("string").alias("cell")).where(F.lit(False))
+    return (named.unpivot(["file", "country_code"], [F.col(f"`{y}`") for y in years], "year", "cell")
+            .filter(~strip_ws("cell").isin(*MISSING_CELLS) & strip_ws("cell").try_cast("double").isNull())
+            .withColumn("year", F.col("year").cast("int")))
+
+
+def land_folder(spark: SparkSession, path: str, dataset: str, start: int, end: int, load_date,
+                sep: str = ",", defaults: dict[str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The landed rows of all wide files below ``path`` and their rejected cells.
+
+    Files may differ in their year columns, dimensions and column order: those with the
+    same header are read together, every group is unpivoted by its own column names, and
+    the results are united by name. A folder without any line gives empty tables, as do
+    files that hold a header only or no geo column."""
+    landed, rejects = [], []
+    for files in header_groups(spark, path).values():
+        wide = read_wide_csv(spark, files, sep)
+        rejects.append(rejected_cells(wide, start, end))
+        if geo_column(wide.columns) in wide.columns:
+            landed.append(geo_filter(unpivot_wide(wide, start, end, load_date), spark, dataset, defaults))
+    if not landed:
+        none = unpivot_wide(spark.createDataFrame([], "geo string"), start, end, load_date)
+        landed.append(geo_filter(none, spark, dataset, defaults))
+    if not rejects:
+        rejects.append(spark.createDataFrame([], "file string, country_code string, year int, cell string"))
+    return reduce(DataFrame.unionByName, landed), reduce(DataFrame.unionByName, rejects)
+
+
 def build_wide(panel: DataFrame, dataset: str, spark: SparkSession,
                dims: dict[str, str], years: list[int]) -> DataFrame:
     """Test input: a dataset's panel rows pivoted back into a wide statistic

@@ -64,6 +64,32 @@ def land_file_slice(spark, base):
     return landing.geo_filter(long, spark, K.INFLATION, {"coicop": "CP00"})
 
 
+def _folder_of_headers(spark, base) -> tuple[DataFrame, DataFrame]:
+    """Land a folder whose files have other years, dimensions and column orders: the years
+    to 1997, the odd and the even ones after, as three deliveries."""
+    r = _run(spark, base)
+    years = list(range(r.params.year_min, r.params.year_max + 1))
+    wide = materialize(landing.build_wide(r.raw(K.INFLATION), K.INFLATION, spark,
+                                          {"unit": "RCH_A_AVG", "coicop": "CP00"}, years))
+    path, dims = scratch_path(spark, "wide-folder"), [c for c in wide.columns if not c.isdigit()]
+    deliveries = [dims + [str(y) for y in years if y <= 1997],
+                  [str(y) for y in reversed(years) if y > 1997 and y % 2] + dims[::-1],
+                  [landing.GEO_HEADER] + [str(y) for y in years if y > 1997 and not y % 2]]
+    for columns in deliveries:
+        wide.select(*[f"`{c}`" for c in columns]).write.mode("append").option("header", True).csv(path)
+    return landing.land_folder(spark, path, K.INFLATION, r.params.year_min, r.params.year_max,
+                               r.params.load_date, defaults={"coicop": "CP00"})
+
+
+def land_file_headers(spark, base):
+    return _folder_of_headers(spark, base)[0]
+
+
+def land_rejects(spark, base):
+    """Cells that are neither numbers nor marked as missing, without their files' names."""
+    return _folder_of_headers(spark, base)[1].drop("file")
+
+
 def raw_layout(spark, base):
     """A landed table in its raw layout (a directory per ``loaded_at``, clustered by
     country and year) with two loads; reading the newer load prunes the older."""
@@ -695,6 +721,8 @@ QUERIES: dict[str, Query] = {
     "alerts_appended": alerts_appended,
     "event_driven_messages": event_driven_messages,
     "dq_report_faulty": dq_report_faulty,
+    "land_file_headers": land_file_headers,
+    "land_rejects": land_rejects,
     "running_alerts": running_alerts,
     "running_alerts_by_load": running_alerts_by_load,
     "running_moments": running_moments,

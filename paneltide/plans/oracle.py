@@ -674,6 +674,12 @@ ORACLE["yoy_gap_years"] = q("""
   FROM ranked n
   LEFT JOIN ranked p ON p.dataset = n.dataset AND p.country_code = n.country_code AND p.nr = n.nr - 1
   LEFT JOIN have s ON s.dataset = n.dataset AND s.country_code = n.country_code AND s.year = n.year - 1""")
+ORACLE["land_file_headers"] = ORACLE["land_file_slice"]
+ORACLE["land_rejects"] = q("""
+  SELECT r.country_code, r.year, CAST(r.value AS VARCHAR) || ' p' AS cell
+  FROM raw1 r JOIN dim d ON r.country_code = d.country_code
+  WHERE r.dataset = 'inflation_annual' AND r.value IS NOT NULL AND (r.year + d.dim_index) % 5 <> 0
+    AND (r.year + d.dim_index) % 7 = 0""")
 ORACLE["running_alerts"] = q("""
   SELECT * REPLACE (round(z_score, 6) AS z_score, round(mean, 6) AS mean, round(std_dev, 6) AS std_dev) FROM panel_alerts""")
 # events in three loads by time; statistics over all loads up to each

@@ -47,3 +47,38 @@ def test_wide_csv_round_trip(spark, tmp_path):
     raw = landing.geo_filter(landing.unpivot_wide(wide, 2000, 2023, LOAD), spark,
                              "gdp_annual").collect()
     assert [(r["country_code"], r["year"], r["value"]) for r in raw] == [("DE", 2000, 1.5)]
+
+
+def _landed(spark, folder, **kw):
+    rows, rejects = landing.land_folder(spark, str(folder), "gdp_annual", 2000, 2023, LOAD, **kw)
+    return (sorted((r["country_code"], r["year"], r["value"]) for r in rows.collect()),
+            sorted((r["file"].rsplit("/", 1)[-1], r["country_code"], r["year"], r["cell"]) for r in rejects.collect()))
+
+
+def test_files_of_other_headers_are_aligned_by_name(spark, tmp_path):
+    """Shifted years, other dimensions, another order; names with blanks and pattern signs."""
+    (tmp_path / "a b{1}.csv").write_text("geo,2000,2001\nDE,1,2\nFR,:,4 p\n")
+    (tmp_path / "b[2].csv").write_text("\ngeo,2001,2002\nDE,20,30\nIT,n/a,\n")
+    (tmp_path / "c*.csv").write_text("2003,unit,na_item,geo\n7,CP_MEUR,B1GQ, DE \n8,OTHER,B1GQ,DE\n9,CP_MEUR,B1GQ,XX\n")
+    (tmp_path / "d.csv").write_text("geo,2000,2001\nES,5,6\n")
+    rows, rejects = _landed(spark, tmp_path)
+    assert rows == [("DE", 2000, 1.0), ("DE", 2001, 2.0), ("DE", 2001, 20.0), ("DE", 2002, 30.0), ("DE", 2003, 7.0),
+                    ("ES", 2000, 5.0), ("ES", 2001, 6.0)]
+    assert [r[1:] for r in rejects] == [("FR", 2001, "4 p"), ("IT", 2001, "n/a")]
+
+
+def test_folders_without_rows(spark, tmp_path):
+    (tmp_path / "empty.csv").write_text("")
+    assert _landed(spark, tmp_path) == ([], [])
+    (tmp_path / "header.csv").write_text("geo,2000\n")
+    (tmp_path / "nogeo.csv").write_text("note,2000\nx,odd\n")
+    (tmp_path / "noyear.csv").write_text("geo,note\nDE,x\n")
+    rows, rejects = _landed(spark, tmp_path)
+    assert rows == [] and rejects == [("nogeo.csv", None, 2000, "odd")]
+
+
+def test_files_of_one_header_are_one_scan(spark, tmp_path):
+    for i in range(5):
+        (tmp_path / f"f{i}.tsv").write_text(f"geo\t{2000 + i % 2}\nDE\t{i}\n")
+    assert sorted(len(f) for f in landing.header_groups(spark, str(tmp_path)).values()) == [2, 3]
+    assert [v for _, _, v in _landed(spark, tmp_path, sep="\t")[0]] == [0.0, 2.0, 4.0, 1.0, 3.0]
