@@ -49,13 +49,17 @@ def country_indicators(staged: DataFrame) -> DataFrame:
 
 def country_indicators_by_join(staged: DataFrame) -> DataFrame:
     """The literal LEFT-join chain (fans out when a side is not deduplicated)."""
+    return join_sides({ds: staged.filter(F.col("dataset") == ds) for ds in K.DATASETS})
+
+
+def join_sides(tables: dict[str, DataFrame]) -> DataFrame:
+    """The same over one staged table per dataset, such as stored ones."""
     keys = ["country_code", "reference_year"]
 
     def side(ds: str, name: str) -> DataFrame:
-        return staged.filter(F.col("dataset") == ds).select(*keys, F.col("value").alias(name))
+        return tables[ds].select(*keys, F.col("value").alias(name))
 
-    g = staged.filter(F.col("dataset") == K.GDP).select(
-        *keys, "country_name", "reference_date", F.col("value").alias("gdp_meur"))
+    g = tables[K.GDP].select(*keys, "country_name", "reference_date", F.col("value").alias("gdp_meur"))
     out = (g.join(side(K.UNEMPLOYMENT, "unemployment_rate"), keys, "left")
            .join(side(K.ENERGY, "energy_intensity"), keys, "left")
            .join(side(K.INFLATION, "inflation_rate"), keys, "left"))

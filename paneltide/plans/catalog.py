@@ -7,6 +7,7 @@ return the table they wrote.
 """
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import partial, reduce
 
@@ -16,13 +17,14 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from paneltide.functions import constants as K
-from paneltide.operators import anomalies, completion, landing, metrics, quality, views
+from paneltide.operators import anomalies, completion, landing, metrics, panel, quality, scoring, views
 from paneltide.operators.running_stats import RunningDetector, deviation
 from paneltide.params import TEST_PARAMS, Params
 from paneltide.plans.run import PanelRun
 from paneltide.session import materialize, scratch_path
 from paneltide.sources import sinks, testdata
 from paneltide.sources.adapters import SourceSpec, read_source_or_empty
+from paneltide.sources.store import LATEST_MART, Catalog, MartStore, at_latest_year
 from paneltide.streaming import alert_records, event_driven, window_summary
 from paneltide.streaming.jobs import landed_tables
 from paneltide.sources.testdata import raw_table
@@ -268,6 +270,93 @@ def api_recent_alerts(spark, base):
     return views.api_recent_alerts(r.alert_table(), r.params.recent_alerts)
 
 
+# --- the same answers from stored marts -----------------------------------------
+def _stored(name: str, mart: Callable[[PanelRun], DataFrame]) -> Callable[..., DataFrame]:
+    """Write one mart, then give what a reader finds there."""
+    def read(spark, base):
+        frame = mart(_run(spark, base))
+        return MartStore(spark, scratch_path(spark, "marts")).write(name, frame).read(name, frame.schema)
+    return read
+
+
+_stored_gdp = _stored("mart_gdp_trends", PanelRun.mart_gdp)
+_stored_unemployment = _stored("mart_unemployment_comparison", PanelRun.mart_unemployment)
+_stored_energy = _stored("mart_energy_intensity", PanelRun.mart_energy)
+_stored_composite = _stored("mart_composite_economic_index", PanelRun.composite)
+_stored_latest = _stored(LATEST_MART, PanelRun.mart_latest)
+
+
+def _range_of(p: Params = TEST_PARAMS) -> tuple:
+    return p.api_start, p.api_end, p.countries
+
+
+def stored_gdp_trends(spark, base):
+    return views.in_api_order(views.api_gdp_trends(_stored_gdp(spark, base), *_range_of()))
+
+
+def stored_unemployment(spark, base):
+    return views.in_api_order(views.api_unemployment(_stored_unemployment(spark, base), *_range_of()))
+
+
+def stored_energy(spark, base):
+    return views.in_api_order(views.api_energy(_stored_energy(spark, base), *_range_of()))
+
+
+def stored_composite(spark, base):
+    return views.in_api_order(views.api_composite(_stored_composite(spark, base), *_range_of()), composite=True)
+
+
+def stored_country_latest(spark, base):
+    return views.api_country_latest(_stored_latest(spark, base), TEST_PARAMS.countries)
+
+
+def stored_rank_gdp(spark, base):
+    """The latest year's ranking: the year is found first, then its directory alone is read."""
+    newest = at_latest_year(views.api_gdp_trends(_stored_gdp(spark, base), *_range_of()))
+    return views.ranking(newest, ["gdp_beur", "gdp_yoy_growth_pct"])
+
+
+BUCKETS = 8
+
+
+def _catalog(spark) -> Catalog:
+    return Catalog(spark, scratch_path(spark, "catalog"), f"panel_{uuid.uuid4().hex[:8]}_")
+
+
+def bucketed_deltas(spark, base):
+    """The staged panel as a table in buckets by country: neither the wide table nor the
+    lags over it move a row."""
+    catalog = _catalog(spark)
+    staged = spark.table(catalog.table("staged", _run(spark, base).staged(), BUCKETS, ("country_code",)))
+    return scoring.yoy_deltas(panel.country_indicators(staged))
+
+
+def bucketed_join(spark, base):
+    """Four staged tables in buckets by country and year, joined bucket by bucket."""
+    catalog, r = _catalog(spark), _run(spark, base).materialised()
+    keys = ("country_code", "reference_year")
+    stored = {ds: spark.table(catalog.table(f"staged_{ds}", r.staged(ds), BUCKETS, keys)) for ds in K.DATASETS}
+    return panel.join_sides(stored)
+
+
+def catalog_views_tables(spark, base):
+    """A source, a view on it and a table made from the view by name; after a second load
+    the view sees both loads, the table the one that it was made from."""
+    r, catalog, landed = _run(spark, base), _catalog(spark), scratch_path(spark, "landed")
+    loads = materialize(r.raw_loads(K.INFLATION))
+    first = F.col("loaded_at") == F.lit(r.params.load_date)
+    sinks.append(loads.filter(first), landed)
+    source = catalog.source("raw_inflation", SourceSpec("parquet", landed, schema=loads.schema))
+    view = catalog.view("stg_inflation", f"SELECT * FROM {source} WHERE value IS NOT NULL")
+    catalog.table("mart_inflation", f"SELECT * FROM {view} WHERE year > 1995")
+    sinks.append(loads.filter(~first), landed)
+    return reduce(DataFrame.unionByName, [
+        catalog.refreshed(name).groupBy("loaded_at").agg(
+            F.count(F.lit(1)).alias("n_rows"), F.min("value").alias("low"), F.max("value").alias("high"))
+        .select(F.lit(name).alias("name"), "loaded_at", "n_rows", "low", "high")
+        for name in ("stg_inflation", "mart_inflation")])
+
+
 # --- page datasets ---------------------------------------------------------
 def _sel_latest(r: PanelRun) -> DataFrame:
     return r.countries_filter(r.mart_latest())
@@ -721,6 +810,15 @@ QUERIES: dict[str, Query] = {
     "alerts_appended": alerts_appended,
     "event_driven_messages": event_driven_messages,
     "dq_report_faulty": dq_report_faulty,
+    "stored_gdp_trends": stored_gdp_trends,
+    "stored_unemployment": stored_unemployment,
+    "stored_energy": stored_energy,
+    "stored_composite": stored_composite,
+    "stored_country_latest": stored_country_latest,
+    "stored_rank_gdp": stored_rank_gdp,
+    "bucketed_deltas": bucketed_deltas,
+    "bucketed_join": bucketed_join,
+    "catalog_views_tables": catalog_views_tables,
     "land_file_headers": land_file_headers,
     "land_rejects": land_rejects,
     "running_alerts": running_alerts,

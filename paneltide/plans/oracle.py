@@ -674,6 +674,17 @@ ORACLE["yoy_gap_years"] = q("""
   FROM ranked n
   LEFT JOIN ranked p ON p.dataset = n.dataset AND p.country_code = n.country_code AND p.nr = n.nr - 1
   LEFT JOIN have s ON s.dataset = n.dataset AND s.country_code = n.country_code AND s.year = n.year - 1""")
+for _key, _same in (("stored_gdp_trends", "api_gdp_trends"), ("stored_unemployment", "api_unemployment"),
+                    ("stored_energy", "api_energy"), ("stored_composite", "api_composite"),
+                    ("stored_country_latest", "api_country_latest"), ("stored_rank_gdp", "rank_gdp"),
+                    ("bucketed_deltas", "int_yoy_deltas"), ("bucketed_join", "int_country_indicators")):
+    ORACLE[_key] = ORACLE[_same]
+ORACLE["catalog_views_tables"] = q(f"""
+  SELECT 'stg_inflation' AS name, loaded_at, count(*) AS n_rows, min(value) AS low, max(value) AS high
+  FROM raw2 WHERE dataset = 'inflation_annual' AND value IS NOT NULL GROUP BY loaded_at
+  UNION ALL
+  SELECT 'mart_inflation', loaded_at, count(*), min(value), max(value) FROM raw2
+  WHERE dataset = 'inflation_annual' AND value IS NOT NULL AND year > 1995 AND loaded_at = {LOAD} GROUP BY loaded_at""")
 ORACLE["land_file_headers"] = ORACLE["land_file_slice"]
 ORACLE["land_rejects"] = q("""
   SELECT r.country_code, r.year, CAST(r.value AS VARCHAR) || ' p' AS cell
