@@ -19,7 +19,9 @@ FAST = ["panel_union", "dedupe_latest", "combined_indicators", "composite_index"
         "csv_export", "stream_alert_records", "event_driven_anomalies", "stream_window_summary",
         "event_driven_messages", "alerts_appended", "anomaly_alerts_top3", "raw_layout",
         "land_file_slice", "country_indicators_fanout", "dq_report_faulty", "sink_overwrite",
-        "unemployment_kpis", "rank_energy", "gdp_kpis", "home_map"]
+        "unemployment_kpis", "rank_energy", "gdp_kpis", "home_map", "running_alerts", "running_alerts_by_load",
+        "running_moments", "land_file_headers", "land_rejects", "stored_rank_gdp", "stored_composite",
+        "catalog_views_tables"]
 
 
 def _norm(v):
