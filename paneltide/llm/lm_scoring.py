@@ -3,15 +3,23 @@
 Training: unigram (with one end token a text) and bigram counts of all training
 texts are gathered by hash in segments of the key space. Each segment becomes
 one Bloom filter sized by its own n-grams; the filter holds, for an n-gram of
-count c, the events (n-gram, 1) .. (n-gram, q) with q = 1 + floor(log2 c). The
-segments are broadcast in shards of ``SHARD_BYTES`` at most, one shard after
-the other when there are more, so a worker never holds a larger filter.
+count c, the events (n-gram, 1) .. (n-gram, q) with q = 1 + floor(log2 c). A
+second set of segments holds, for every context h, the sum S(h) of the quantised
+counts of its own bigrams: the events of 1 + floor(log2 S) and those of
+``STEP_BITS`` bits below the first one, rounded up. The segments are broadcast in
+shards of ``SHARD_BYTES`` at most, one shard after the other when there are
+more, so a worker never holds a larger filter.
 
 Scoring: the quantised count of an n-gram is the number of probes j = 1, 2, ..
-that hit before the first miss. Bigrams are smoothed by their unigrams:
-P(w|h) = (c(hw) + MU * P(w)) / (c(h) + MU), P(w) = (c(w) + 0.1) / (N + 0.1 (V + 1)),
-c(hw) at most c(h), with the counts read from the filter (the mean count of
-their quantum). A filter can only overstate a count: a miss proves it absent.
+that hit before the first miss; c is the mean count of that quantum. Bigrams are
+smoothed by their unigrams:
+P(w|h) = (c(hw) + MU * P(w)) / (S(h) + MU), P(w) = (c(w) + 0.1) / (U + 0.1 (V + 1)),
+U the sum of c over all V training tokens. P(w) adds up to 1 over the V tokens and
+one unknown token, P(w|h) to 1 for S as it is and to more than 0.94 for S as it is
+held. A filter can only overstate: a miss proves an n-gram absent. c(hw) is cut
+to c(w) and S(h), which a true count never exceeds. A false bigram adds to the
+mass of its context, so the first event of a bigram has as many probes as leave
+``FALSE`` false bigrams a context on average, whatever the vocabulary.
 
 The exact base score does not use the filter: counts of the ``FREQUENT`` most
 frequent tokens are broadcast (a fixed number of 16 bytes), all other tokens of
@@ -24,6 +32,7 @@ tokens unknown; an empty table gives an empty result; other columns are ignored.
 """
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,9 +45,11 @@ from paneltide.llm.common import held_out, materialise, mix64, ready, slices, wo
 FOLDS = 10
 ALPHA = 0.1
 MU = 8.0
-BITS_PER_EVENT, PROBES = 12, 6      # 0.4 % false positives
+BITS_PER_PROBE, PROBES = 2, 6       # 39 % of the bits are set: 0.4 % false positives
+FALSE = 0.25
 SHARD_BYTES = 256 << 20
 FREQUENT = 1 << 17
+STEP_BITS = 4                   # of a context's sum, below its first bit
 FLUSH = 2_000_000               # n-grams gathered in a task before they are passed on
 END = np.uint64(0x9D5C1C0B5E8E2A31)
 START = np.uint64(0x3C79AC492BA7B653)
@@ -46,7 +57,8 @@ CONTEXT = np.uint64(0xD6E8FEB86659FD93)
 EVENT = np.uint64(0xA0761D6478BD642F)
 
 PARTS = pa.schema([("seg", pa.int32()), ("uni", pa.binary()), ("uni_n", pa.binary()),
-                   ("bi", pa.binary()), ("bi_n", pa.binary())])
+                   ("bi", pa.binary()), ("bi_n", pa.binary()), ("bi_h", pa.binary())])
+SUMS = pa.schema([("seg", pa.int32()), ("h", pa.binary()), ("h_sum", pa.binary())])
 
 
 def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -69,42 +81,52 @@ def _bigrams(starts: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.nda
         return context, mix64(context * CONTEXT ^ tokens)
 
 
-def _count(keys: list[np.ndarray], counts: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+def _count(keys: list[np.ndarray], counts: list[np.ndarray] | None = None,
+           contexts: list[np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
+    """(distinct keys, their counts added up), with ``contexts`` also the context of each."""
     keys_ = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
-    if counts is None:
-        return np.unique(keys_, return_counts=True)
     order = np.argsort(keys_)
-    keys_, n = keys_[order], np.concatenate(counts)[order] if counts else np.zeros(0, np.int64)
+    keys_ = keys_[order]
     first = np.flatnonzero(np.r_[True, keys_[1:] != keys_[:-1]]) if len(keys_) else np.zeros(0, np.int64)
-    return keys_[first], np.add.reduceat(n, first) if len(first) else n
+    if counts is None:
+        n = np.diff(np.r_[first, len(keys_)])
+    else:
+        n = np.concatenate(counts)[order] if counts else np.zeros(0, np.int64)
+        n = np.add.reduceat(n, first) if len(first) else n
+    if contexts is None:
+        return keys_[first], n
+    return keys_[first], n, np.concatenate(contexts)[order[first]] if contexts else keys_
 
 
 def _segment(keys: np.ndarray, segments: int) -> np.ndarray:
     return ((keys >> np.uint64(32)) * np.uint64(segments) >> np.uint64(32)).astype(np.int64)
 
 
+def _by_segment(keys: np.ndarray, columns: list[np.ndarray], segments: int, seg: list[int] | None = None):
+    """The segments that ``keys`` (ascending) meet, and each column's bytes per segment."""
+    cuts = np.searchsorted(_segment(keys, segments), np.arange(segments + 1))
+    if seg is None:
+        seg = np.flatnonzero(np.diff(cuts)).tolist()
+    return seg, [pa.array([x[cuts[i]:cuts[i + 1]].tobytes() for i in seg], pa.binary()) for x in columns]
+
+
 def _gather(segments: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
 
         def flush():
-            sides = []
-            for side in (0, 1):
-                keys, n = _count([h[side] for h in held])
-                cuts = np.searchsorted(_segment(keys, segments), np.arange(segments + 1))
-                sides.append((keys, n.astype(np.int64), cuts))
-            (u, un, uc), (b, bn, bc) = sides
+            u, un = _count([h[0] for h in held])
+            b, bn, bh = _count([h[1] for h in held], contexts=[h[2] for h in held])
             held.clear()
-            seg = [s for s in range(segments) if uc[s + 1] > uc[s] or bc[s + 1] > bc[s]]
-            cut = lambda x, c: [x[c[s]:c[s + 1]].tobytes() for s in seg]
-            return pa.record_batch([pa.array(seg, pa.int32()), pa.array(cut(u, uc), pa.binary()),
-                                    pa.array(cut(un.astype(np.uint32), uc), pa.binary()),
-                                    pa.array(cut(b, bc), pa.binary()),
-                                    pa.array(cut(bn.astype(np.uint32), bc), pa.binary())], schema=PARTS)
+            seg = np.unique(np.r_[_segment(u, segments), _segment(b, segments)]).tolist()
+            uni = _by_segment(u, [u, un.astype(np.uint32)], segments, seg)[1]
+            bi = _by_segment(b, [b, bn.astype(np.uint32), bh], segments, seg)[1]
+            return pa.record_batch([pa.array(seg, pa.int32()), *uni, *bi], schema=PARTS)
         size = 0
         for batch in slices(batches):
             starts, tokens = _tokens(batch.column("text"))
-            held.append((tokens, _bigrams(starts, tokens)[1]))
+            context, bigrams = _bigrams(starts, tokens)
+            held.append((tokens, bigrams, context))
             size += len(tokens)
             if size >= FLUSH:
                 yield flush()
@@ -115,49 +137,118 @@ def _gather(segments: int):
 
 
 def _build(table: pa.Table) -> pa.Table:
-    """Merge one segment's counts; its filter and its exact unigram counts."""
-    def merged(k: str, n: str):
-        return _count([np.frombuffer(x, np.uint64) for x in table.column(k).to_pylist()],
-                      [np.frombuffer(x, np.uint32).astype(np.int64) for x in table.column(n).to_pylist()])
-    uni, uni_n = merged("uni", "uni_n")
-    bi, bi_n = merged("bi", "bi_n")
-    keys, n = np.concatenate([uni, bi]), np.concatenate([uni_n, bi_n])
-    quanta = np.frexp(n.astype(np.float64))[1]              # 1 + floor(log2 n)
-    events = int(quanta.sum())
-    bits = max(64, -(-events * BITS_PER_EVENT // 64) * 64)
-    flags = np.zeros(bits, bool)
-    for j in range(1, int(quanta.max(initial=0)) + 1):
-        for at in _positions(keys[quanta >= j], j, np.uint64(bits)):
-            flags[at] = True
+    """Merge one segment's counts; its filter, its exact unigram counts and its share of
+    the contexts' sums (in halves, as mean counts are)."""
+    def side(k: str, kind=np.uint64):
+        return [np.frombuffer(x, kind) for x in table.column(k).to_pylist()]
+    uni, uni_n = _count(side("uni"), [x.astype(np.int64) for x in side("uni_n", np.uint32)])
+    bi, bi_n, bi_h = _count(side("bi"), [x.astype(np.int64) for x in side("bi_n", np.uint32)], side("bi_h"))
+    quanta = np.frexp(np.concatenate([uni_n, bi_n]).astype(np.float64))[1]      # 1 + floor(log2 n)
+    halves = (2 * _mean_counts()[quanta]).astype(np.int64)
+    h, h_sum = _count([bi_h], [halves[len(uni):]])
+    keys = np.concatenate([uni, bi])
+    # tokens are dealt out evenly by their hashes, so this segment's tell the vocabulary
+    vocabulary = len(uni) * table.column("segments")[0].as_py()
+    probes = max(PROBES, math.ceil(math.log(max(vocabulary, 1) / FALSE) / -math.log1p(-math.exp(-1 / BITS_PER_PROBE))))
+    levels = [(uni, 1, PROBES), (bi, 1, probes)]
+    levels += [(keys[quanta >= j], j, PROBES) for j in range(2, int(quanta.max(initial=0)) + 1)]
+    events, packed = _filter(levels)
     return pa.table({"seg": pa.array([table.column("seg")[0].as_py()], pa.int32()),
                      "tokens": pa.array([int(uni_n.sum())], pa.int64()),
                      "types": pa.array([len(uni)], pa.int64()),
+                     "halves": pa.array([int(halves[:len(uni)].sum())], pa.int64()),
                      "events": pa.array([events], pa.int64()),
                      "uni": pa.array([uni.tobytes()], pa.binary()),
                      "uni_n": pa.array([uni_n.astype(np.int64).tobytes()], pa.binary()),
-                     "filter": pa.array([np.packbits(flags, bitorder="little").tobytes()], pa.binary())})
+                     "probes": pa.array([probes], pa.int32()),
+                     "filter": pa.array([packed], pa.binary()),
+                     "h": pa.array([h.tobytes()], pa.binary()),
+                     "h_sum": pa.array([h_sum.tobytes()], pa.binary())})
+
+
+def _filter(levels: list[tuple[np.ndarray, int, int]]) -> tuple[int, bytes]:
+    """(events, packed bits) of a filter that holds all (keys, event, probes) of ``levels``."""
+    bits = sum(len(keys) * probes for keys, _, probes in levels) * BITS_PER_PROBE
+    bits = max(64, -(-bits // 64) * 64)
+    flags = np.zeros(bits, bool)
+    for keys, j, probes in levels:
+        for at in _positions(keys, j, np.uint64(bits), probes):
+            flags[at] = True
+    return sum(len(keys) for keys, _, _ in levels), np.packbits(flags, bitorder="little").tobytes()
+
+
+def _sums(segments: int):
+    """Deal the contexts' sums out by the contexts' own segments, added up per task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, sums, size = [], [], 0
+
+        def flush():
+            h, n = _count(keys, sums)
+            keys.clear()
+            sums.clear()
+            seg, columns = _by_segment(h, [h, n], segments)
+            return pa.record_batch([pa.array(seg, pa.int32()), *columns], schema=SUMS)
+        for batch in batches:
+            for h, n in zip(batch.column("h"), batch.column("h_sum")):
+                keys.append(np.frombuffer(h.as_py(), np.uint64))
+                sums.append(np.frombuffer(n.as_py(), np.int64))
+                size += len(keys[-1])
+                if size >= FLUSH:
+                    yield flush()
+                    size = 0
+        if size:
+            yield flush()
+    return run
+
+
+def _rounded(halves: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(exponent, ``STEP_BITS`` bits below the first) of each number, rounded up."""
+    exponent = np.frexp(halves.astype(np.float64))[1] - 1
+    steps = np.ceil((halves / 2.0 ** exponent - 1) * (1 << STEP_BITS)).astype(np.int64)
+    over = steps >> STEP_BITS
+    return exponent + over, np.where(over > 0, 0, steps)
+
+
+def _build_contexts(table: pa.Table) -> pa.Table:
+    """The filter of one segment of contexts. A sum is 2 halves or more, so the exponent
+    is the number of its events; then one event per bit that is set."""
+    h, n = _count([np.frombuffer(x, np.uint64) for x in table.column("h").to_pylist()],
+                  [np.frombuffer(x, np.int64) for x in table.column("h_sum").to_pylist()])
+    exponent, steps = _rounded(n)
+    levels = [(h[exponent >= j], j, PROBES) for j in range(1, int(exponent.max(initial=0)) + 1)]
+    levels += [(h[(steps >> k) & 1 == 1], 64 + k, PROBES) for k in range(STEP_BITS)]
+    events, packed = _filter(levels)
+    return pa.table({"seg": pa.array([table.column("seg")[0].as_py()], pa.int32()),
+                     "events": pa.array([events], pa.int64()), "filter": pa.array([packed], pa.binary())})
 
 
-def _positions(keys: np.ndarray, j: int, bits: np.ndarray):
-    """The PROBES bit positions of event (n-gram, j), one array each."""
+def _positions(keys: np.ndarray, j: int, bits: np.ndarray, probes: int):
+    """The bit positions of event (n-gram, j), one array for each probe."""
     with np.errstate(over="ignore"):
         a = mix64(keys + np.uint64(j) * EVENT)
         b = mix64(a) | np.uint64(1)
-        for _ in range(PROBES):
+        for _ in range(probes):
             yield (a >> np.uint64(1)) % bits
             a = a + b
 
 
 def train(docs: DataFrame, segments: int | None = None) -> DataFrame:
     """One row per segment: token and type counts, exact unigram counts and the
-    Bloom filter. ``docs`` are the training rows."""
+    Bloom filter; the segments of the contexts follow, from number ``segments`` on.
+    ``docs`` are the training rows."""
     ready(docs.sparkSession)
     texts = docs.select("text")
     segments = segments or max(256, 8 * texts.rdd.getNumPartitions())
-    parts = texts.mapInArrow(_gather(segments), "seg int, uni binary, uni_n binary, bi binary, bi_n binary")
-    model = parts.groupBy("seg").applyInArrow(
-        _build, "seg int, tokens long, types long, events long, uni binary, uni_n binary, filter binary")
-    return materialise(model.withColumn("segments", F.lit(segments)), "lm")
+    parts = texts.mapInArrow(_gather(segments), "seg int, uni binary, uni_n binary, bi binary, bi_n binary, bi_h binary")
+    grams = materialise(parts.withColumn("segments", F.lit(segments)).groupBy("seg").applyInArrow(
+        _build, "seg int, tokens long, types long, halves long, events long, uni binary, uni_n binary, probes int, "
+        "filter binary, h binary, h_sum binary"), "lm")
+    sums = grams.select("h", "h_sum").mapInArrow(_sums(segments), "seg int, h binary, h_sum binary")
+    contexts = materialise(sums.groupBy("seg").applyInArrow(
+        _build_contexts, "seg int, events long, filter binary"), "lm-contexts")
+    return grams.drop("h", "h_sum").unionByName(
+        contexts.withColumn("seg", F.col("seg") + segments), allowMissingColumns=True) \
+        .withColumn("segments", F.lit(segments))
 
 
 def token_counts(model: DataFrame) -> DataFrame:
@@ -167,51 +258,64 @@ def token_counts(model: DataFrame) -> DataFrame:
             for k, n in zip(batch.column("uni"), batch.column("uni_n")):
                 yield pa.record_batch([pa.array(np.frombuffer(k.as_py(), np.int64)),
                                        pa.array(np.frombuffer(n.as_py(), np.int64))], names=["key", "n"])
-    return model.select("uni", "uni_n").mapInArrow(run, "key long, n long")
+    return model.filter("uni IS NOT NULL").select("uni", "uni_n").mapInArrow(run, "key long, n long")
 
 
 class Filter:
     """A run of segments ready for probing."""
 
-    def __init__(self, data: bytes | bytearray, held: list[tuple[int, int]], segments: int):
-        """``held``: (segment, bytes) in the order of ``data``."""
+    def __init__(self, data: bytes | bytearray, held: list[tuple[int, int, int]], segments: int):
+        """``held``: (segment, bytes, probes of a bigram's first event) in the order of ``data``."""
         self.segments = segments
-        self.bits = np.zeros(segments, np.uint64)
-        self.start = np.zeros(segments, np.uint64)
+        self.bits = np.zeros(2 * segments, np.uint64)
+        self.start = np.zeros(2 * segments, np.uint64)
+        self.first = np.full(2 * segments, PROBES, np.uint8)
         at = 0
-        for seg, size in held:
-            self.bits[seg], self.start[seg] = size * 8, at * 8
+        for seg, size, probes in held:
+            self.bits[seg], self.start[seg], self.first[seg] = size * 8, at * 8, probes
             at += size
         self.data = np.frombuffer(data, np.uint8)
 
-    def quanta(self, keys: np.ndarray) -> np.ndarray:
+    def quanta(self, keys: np.ndarray, bigrams: bool = False) -> np.ndarray:
         """Quantised count of each n-gram; 0: absent (or in another shard)."""
+        return self._levels(keys, _segment(keys, self.segments), bigrams)
+
+    def sums(self, contexts: np.ndarray) -> np.ndarray:
+        """The sum of each context in halves, as one number: exponent and bits below the
+        first; 0: no such context (or in another shard)."""
+        seg = _segment(contexts, self.segments) + self.segments
+        exponent = self._levels(contexts, seg).astype(np.uint16)
+        live = np.flatnonzero(exponent)
+        steps = np.zeros(len(contexts), np.uint16)
+        for k in range(STEP_BITS):
+            steps[live[self._hits(contexts, seg, live, 64 + k)]] |= np.uint16(1 << k)
+        return exponent << np.uint16(STEP_BITS) | steps
+
+    def _levels(self, keys: np.ndarray, seg: np.ndarray, bigrams: bool = False) -> np.ndarray:
         out = np.zeros(len(keys), np.uint8)
-        seg = _segment(keys, self.segments)
         live = np.flatnonzero(self.bits[seg])
         j = 1
         while len(live):
-            bits, start = self.bits[seg[live]], self.start[seg[live]]
-            hit = np.arange(len(live))
-            for at in _lazy(keys[live], j, bits, start, self.data):
-                hit = at(hit)
-            live = live[hit]
+            live = live[self._hits(keys, seg, live, j, self.first[seg[live]] if bigrams and j == 1 else None)]
             out[live] = j
             j += 1
         return out
 
-
-def _lazy(keys, j, bits, start, data):
-    """The probes of one event level; each tests only what the last one left."""
-    with np.errstate(over="ignore"):
-        a = mix64(keys + np.uint64(j) * EVENT)
-        b = mix64(a) | np.uint64(1)
-    for i in range(PROBES):
-        def probe(hit, i=np.uint64(i)):
+    def _hits(self, keys: np.ndarray, seg: np.ndarray, live: np.ndarray, j: int, probes: np.ndarray | None = None):
+        """Which of ``live`` have event j; each probe tests only what the last one left."""
+        bits, start = self.bits[seg[live]], self.start[seg[live]]
+        hit = np.arange(len(live))
+        with np.errstate(over="ignore"):
+            a = mix64(keys[live] + np.uint64(j) * EVENT)
+            b = mix64(a) | np.uint64(1)
+        for i in range(PROBES if probes is None else int(probes.max(initial=0))):
             with np.errstate(over="ignore"):
-                at = ((a[hit] + i * b[hit]) >> np.uint64(1)) % bits[hit] + start[hit]
-            return hit[(data[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1]
-        yield probe
+                at = ((a[hit] + np.uint64(i) * b[hit]) >> np.uint64(1)) % bits[hit] + start[hit]
+            held = (self.data[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            if i >= PROBES:
+                held |= probes[hit] <= i            # another segment's keys have more probes
+            hit = hit[held]
+        return hit
 
 
 def _mean_counts() -> np.ndarray:
@@ -220,9 +324,23 @@ def _mean_counts() -> np.ndarray:
     return np.where(q == 0, 0, (2.0 ** (q - 1) + 2.0 ** q - 1) / 2)
 
 
+def _held_sums() -> np.ndarray:
+    """The sum behind each number of ``Filter.sums``."""
+    x = np.arange(64 << STEP_BITS)
+    return np.where(x == 0, 0, 2.0 ** ((x >> STEP_BITS) - 1) * (1 + (x % (1 << STEP_BITS)) / (1 << STEP_BITS)))
+
+
+def bigram_log10(uni: np.ndarray, bi: np.ndarray, context: np.ndarray, halves: int, n_types: int) -> np.ndarray:
+    """log10 P(w|h) from the quanta of w and hw and the held sum of h."""
+    mean, s = _mean_counts(), _held_sums()[context]
+    c_w = mean[uni]
+    p_w = (c_w + ALPHA) / (halves / 2 + ALPHA * (n_types + 1))
+    return np.log10((np.minimum(mean[np.minimum(bi, uni)], s) + MU * p_w) / (s + MU))
+
+
 def _score_texts(shard, frequent, totals, last: bool, first: bool):
     """Fill in this shard's quanta; the last shard also yields the scores."""
-    n_all, n_types = totals
+    halves, n_types = totals
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filt = Filter(*shard.value)
@@ -232,24 +350,21 @@ def _score_texts(shard, frequent, totals, last: bool, first: bool):
             ends = np.r_[starts[1:], len(tokens)] if len(starts) else starts
             context, bigrams = _bigrams(starts, tokens)
             types, inverse = np.unique(tokens, return_inverse=True)
-            uni, bi = filt.quanta(types)[inverse], filt.quanta(bigrams)
+            uni, bi = filt.quanta(types)[inverse], filt.quanta(bigrams, True)
+            sums = np.empty(len(tokens), np.uint16)
+            sums[1:] = filt.sums(types)[inverse][:-1]
+            sums[starts] = filt.sums(np.array([START]))
             if not first:
-                before = np.frombuffer(b"".join(batch.column("quanta").to_pylist()), np.uint8).reshape(-1, 2)
-                uni, bi = np.maximum(uni, before[:, 0]), np.maximum(bi, before[:, 1])
+                before = np.frombuffer(b"".join(batch.column("quanta").to_pylist()), np.uint16).reshape(-1, 3).T
+                uni, bi, sums = np.maximum(uni, before[0]), np.maximum(bi, before[1]), np.maximum(sums, before[2])
             if not last:
-                both = np.stack([uni, bi], 1)
-                packed = [both[a:b].tobytes() for a, b in zip(starts, ends)]
+                rows = np.stack([uni.astype(np.uint16), bi.astype(np.uint16), sums], 1)
+                packed = [rows[a:b].tobytes() for a, b in zip(starts, ends)]
                 yield pa.record_batch([*(batch.column(c) for c in ("doc_id", "row", "held_out", "text")),
                                        pa.array(packed, pa.binary())],
                                       names=["doc_id", "row", "held_out", "text", "quanta"])
                 continue
-            mean = _mean_counts()
-            c_w, c_hw = mean[uni], mean[bi]
-            p_w = (c_w + ALPHA) / (n_all + ALPHA * (n_types + 1)) 
-            c_h = np.empty(len(tokens))
-            c_h[1:] = c_w[:-1]
-            c_h[starts] = c_w[ends - 1]       # as many starts as ends
-            logs = np.log10((np.minimum(c_hw, c_h) + MU * p_w) / (c_h + MU))
+            logs = bigram_log10(uni, bi, sums, halves, n_types)
             at = np.searchsorted(keys, tokens)
             at[at == len(keys)] = 0
             known = keys[at] == tokens if len(keys) else np.zeros(len(tokens), bool)
@@ -274,8 +389,9 @@ def score(docs: DataFrame, model: DataFrame, folds: int = FOLDS, id_col: str = "
     """Score every row of ``docs`` with a model of ``train``."""
     spark = ready(docs.sparkSession)
     sc = spark.sparkContext
-    total = model.agg(F.sum("tokens").alias("n"), F.sum("types").alias("v"), F.max("segments").alias("s")).first()
-    n_all, n_types, segments = total["n"] or 0, total["v"] or 0, total["s"] or 1
+    total = model.agg(F.sum("tokens").alias("n"), F.sum("types").alias("v"), F.sum("halves").alias("u"),
+                      F.max("segments").alias("s")).first()
+    n_all, n_types, halves, segments = total["n"] or 0, total["v"] or 0, total["u"] or 0, total["s"] or 1
     counts = token_counts(model)
     top = counts.orderBy(F.desc("n"), "key").limit(FREQUENT).toArrow()     # FREQUENT pairs of numbers at most
     keys = top.column("key").to_numpy().view(np.uint64)
@@ -296,10 +412,11 @@ def score(docs: DataFrame, model: DataFrame, folds: int = FOLDS, id_col: str = "
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     for i, segs in enumerate(shards):
         low, high = (segs[0], segs[-1]) if segs else (0, -1)
-        part = model.filter(F.col("seg").between(low, high)).select("seg", "filter")
+        part = model.filter(F.col("seg").between(low, high)).select(
+            "seg", F.coalesce("probes", F.lit(PROBES)).alias("probes"), "filter")
         data, held = bytearray(), []
         for r in part.toLocalIterator():
-            held.append((r["seg"], len(r["filter"])))
+            held.append((r["seg"], len(r["filter"]), r["probes"]))
             data += r["filter"]
         shard = sc.broadcast((data, held, segments))
         del data
@@ -307,7 +424,7 @@ def score(docs: DataFrame, model: DataFrame, folds: int = FOLDS, id_col: str = "
         types = ("n_tokens long, known long, base double, score double, rare array<long>" if last
                  else "text string, quanta binary")
         rows = materialise(rows.mapInArrow(
-            _score_texts(shard, frequent, (n_all, n_types), last, i == 0),
+            _score_texts(shard, frequent, (halves, n_types), last, i == 0),
             f"doc_id {docs.schema[id_col].dataType.simpleString()}, row long, held_out boolean, {types}"), "lm-rows")
         shard.unpersist()
     # the tokens beyond the broadcast table meet the exact counts
