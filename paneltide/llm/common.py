@@ -65,6 +65,17 @@ def mix64(x: np.ndarray) -> np.ndarray:
         return x ^ (x >> np.uint64(31))
 
 
+def unmix64(x: np.ndarray) -> np.ndarray:
+    """The values that ``mix64`` turns into ``x``."""
+    with np.errstate(over="ignore"):
+        x = x ^ (x >> np.uint64(31)) ^ (x >> np.uint64(62))
+        x = x * np.uint64(pow(0x94D049BB133111EB, -1, 1 << 64))
+        x = x ^ (x >> np.uint64(27)) ^ (x >> np.uint64(54))
+        x = x * np.uint64(pow(0xBF58476D1CE4E5B9, -1, 1 << 64))
+        x = x ^ (x >> np.uint64(30)) ^ (x >> np.uint64(60))
+        return x - np.uint64(0x9E3779B97F4A7C15)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str = "text",
            limit: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cut record batches so that each holds about ``limit`` bytes of text

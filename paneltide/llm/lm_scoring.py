@@ -25,7 +25,10 @@ The exact base score does not use the filter: counts of the ``FREQUENT`` most
 frequent tokens are broadcast (a fixed number of 16 bytes), all other tokens of
 a text are joined to the count table.
 
-Tokens are known by 64-bit hashes of their bytes. Defined cases: a null text is
+Tokens are known by 64-bit hashes of their bytes; a bigram's key is a bijective mix of
+32 bits of its context and 32 of its token, so the context of a counted bigram is read
+from its key and need not be shuffled beside it (contexts that share their 32 bits
+have one sum, which is then too high). Defined cases: a null text is
 empty and has the end token only; repeated rows are scored alike; a null
 doc_id counts as '' for the fold; with no training rows N and V are 0 and all
 tokens unknown; an empty table gives an empty result; other columns are ignored.
@@ -40,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from paneltide.llm.common import held_out, materialise, mix64, ready, slices, word_hashes
+from paneltide.llm.common import held_out, materialise, mix64, ready, slices, unmix64, word_hashes
 
 FOLDS = 10
 ALPHA = 0.1
@@ -53,11 +56,11 @@ STEP_BITS = 4                   # of a context's sum, below its first bit
 FLUSH = 2_000_000               # n-grams gathered in a task before they are passed on
 END = np.uint64(0x9D5C1C0B5E8E2A31)
 START = np.uint64(0x3C79AC492BA7B653)
-CONTEXT = np.uint64(0xD6E8FEB86659FD93)
+CONTEXT = np.uint64(0xFFFFFFFF00000000)         # a context's bits in the key of a bigram
 EVENT = np.uint64(0xA0761D6478BD642F)
 
 PARTS = pa.schema([("seg", pa.int32()), ("uni", pa.binary()), ("uni_n", pa.binary()),
-                   ("bi", pa.binary()), ("bi_n", pa.binary()), ("bi_h", pa.binary())])
+                   ("bi", pa.binary()), ("bi_n", pa.binary())])
 SUMS = pa.schema([("seg", pa.int32()), ("h", pa.binary()), ("h_sum", pa.binary())])
 
 
@@ -73,29 +76,25 @@ def _tokens(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _bigrams(starts: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(context, bigram) hash of every token; a text's first context is START."""
+    """(context, bigram) key of every token; a text's first context is START."""
     context = np.empty_like(tokens)
-    context[1:] = tokens[:-1]
-    context[starts] = START
-    with np.errstate(over="ignore"):
-        return context, mix64(context * CONTEXT ^ tokens)
+    context[1:] = context_keys(tokens[:-1])
+    context[starts] = context_keys(START)
+    return context, mix64(context | tokens & ~CONTEXT)
+
 
+def context_keys(tokens: np.ndarray) -> np.ndarray:
+    return mix64(tokens) & CONTEXT
 
-def _count(keys: list[np.ndarray], counts: list[np.ndarray] | None = None,
-           contexts: list[np.ndarray] | None = None) -> tuple[np.ndarray, ...]:
-    """(distinct keys, their counts added up), with ``contexts`` also the context of each."""
+
+def _count(keys: list[np.ndarray], counts: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
     keys_ = np.concatenate(keys) if keys else np.zeros(0, np.uint64)
+    if counts is None:
+        return np.unique(keys_, return_counts=True)
     order = np.argsort(keys_)
-    keys_ = keys_[order]
+    keys_, n = keys_[order], np.concatenate(counts)[order] if counts else np.zeros(0, np.int64)
     first = np.flatnonzero(np.r_[True, keys_[1:] != keys_[:-1]]) if len(keys_) else np.zeros(0, np.int64)
-    if counts is None:
-        n = np.diff(np.r_[first, len(keys_)])
-    else:
-        n = np.concatenate(counts)[order] if counts else np.zeros(0, np.int64)
-        n = np.add.reduceat(n, first) if len(first) else n
-    if contexts is None:
-        return keys_[first], n
-    return keys_[first], n, np.concatenate(contexts)[order[first]] if contexts else keys_
+    return keys_[first], np.add.reduceat(n, first) if len(first) else n
 
 
 def _segment(keys: np.ndarray, segments: int) -> np.ndarray:
@@ -112,21 +111,20 @@ def _by_segment(keys: np.ndarray, columns: list[np.ndarray], segments: int, seg:
 
 def _gather(segments: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
         def flush():
             u, un = _count([h[0] for h in held])
-            b, bn, bh = _count([h[1] for h in held], contexts=[h[2] for h in held])
+            b, bn = _count([h[1] for h in held])
             held.clear()
             seg = np.unique(np.r_[_segment(u, segments), _segment(b, segments)]).tolist()
             uni = _by_segment(u, [u, un.astype(np.uint32)], segments, seg)[1]
-            bi = _by_segment(b, [b, bn.astype(np.uint32), bh], segments, seg)[1]
+            bi = _by_segment(b, [b, bn.astype(np.uint32)], segments, seg)[1]
             return pa.record_batch([pa.array(seg, pa.int32()), *uni, *bi], schema=PARTS)
         size = 0
         for batch in slices(batches):
             starts, tokens = _tokens(batch.column("text"))
-            context, bigrams = _bigrams(starts, tokens)
-            held.append((tokens, bigrams, context))
+            held.append((tokens, _bigrams(starts, tokens)[1]))
             size += len(tokens)
             if size >= FLUSH:
                 yield flush()
@@ -142,10 +140,10 @@ def _build(table: pa.Table) -> pa.Table:
     def side(k: str, kind=np.uint64):
         return [np.frombuffer(x, kind) for x in table.column(k).to_pylist()]
     uni, uni_n = _count(side("uni"), [x.astype(np.int64) for x in side("uni_n", np.uint32)])
-    bi, bi_n, bi_h = _count(side("bi"), [x.astype(np.int64) for x in side("bi_n", np.uint32)], side("bi_h"))
+    bi, bi_n = _count(side("bi"), [x.astype(np.int64) for x in side("bi_n", np.uint32)])
     quanta = np.frexp(np.concatenate([uni_n, bi_n]).astype(np.float64))[1]      # 1 + floor(log2 n)
     halves = (2 * _mean_counts()[quanta]).astype(np.int64)
-    h, h_sum = _count([bi_h], [halves[len(uni):]])
+    h, h_sum = _count([unmix64(bi) & CONTEXT], [halves[len(uni):]])
     keys = np.concatenate([uni, bi])
     # tokens are dealt out evenly by their hashes, so this segment's tell the vocabulary
     vocabulary = len(uni) * table.column("segments")[0].as_py()
@@ -239,7 +237,7 @@ def train(docs: DataFrame, segments: int | None = None) -> DataFrame:
     ready(docs.sparkSession)
     texts = docs.select("text")
     segments = segments or max(256, 8 * texts.rdd.getNumPartitions())
-    parts = texts.mapInArrow(_gather(segments), "seg int, uni binary, uni_n binary, bi binary, bi_n binary, bi_h binary")
+    parts = texts.mapInArrow(_gather(segments), "seg int, uni binary, uni_n binary, bi binary, bi_n binary")
     grams = materialise(parts.withColumn("segments", F.lit(segments)).groupBy("seg").applyInArrow(
         _build, "seg int, tokens long, types long, halves long, events long, uni binary, uni_n binary, probes int, "
         "filter binary, h binary, h_sum binary"), "lm")
@@ -303,18 +301,19 @@ class Filter:
 
     def _hits(self, keys: np.ndarray, seg: np.ndarray, live: np.ndarray, j: int, probes: np.ndarray | None = None):
         """Which of ``live`` have event j; each probe tests only what the last one left."""
-        bits, start = self.bits[seg[live]], self.start[seg[live]]
-        hit = np.arange(len(live))
         with np.errstate(over="ignore"):
-            a = mix64(keys[live] + np.uint64(j) * EVENT)
-            b = mix64(a) | np.uint64(1)
+            at = mix64(keys[live] + np.uint64(j) * EVENT)
+            step = mix64(at) | np.uint64(1)
+        hit, place = np.arange(len(live)), seg[live]
         for i in range(PROBES if probes is None else int(probes.max(initial=0))):
-            with np.errstate(over="ignore"):
-                at = ((a[hit] + np.uint64(i) * b[hit]) >> np.uint64(1)) % bits[hit] + start[hit]
-            held = (self.data[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
+            bit = (at >> np.uint64(1)) % self.bits[place] + self.start[place]
+            held = (self.data[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
             if i >= PROBES:
                 held |= probes[hit] <= i            # another segment's keys have more probes
-            hit = hit[held]
+            with np.errstate(over="ignore"):
+                at = at + step
+            if not held.all():
+                hit, at, step, place = hit[held], at[held], step[held], place[held]
         return hit
 
 
@@ -345,15 +344,15 @@ def _score_texts(shard, frequent, totals, last: bool, first: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         filt = Filter(*shard.value)
         keys, counts = frequent.value
-        for batch in slices(batches, limit=4 << 20):
+        for batch in slices(batches, limit=2 << 20):
             starts, tokens = _tokens(batch.column("text"))
             ends = np.r_[starts[1:], len(tokens)] if len(starts) else starts
-            context, bigrams = _bigrams(starts, tokens)
+            bigrams = _bigrams(starts, tokens)[1]
             types, inverse = np.unique(tokens, return_inverse=True)
             uni, bi = filt.quanta(types)[inverse], filt.quanta(bigrams, True)
             sums = np.empty(len(tokens), np.uint16)
-            sums[1:] = filt.sums(types)[inverse][:-1]
-            sums[starts] = filt.sums(np.array([START]))
+            sums[1:] = filt.sums(context_keys(types))[inverse][:-1]
+            sums[starts] = filt.sums(context_keys(np.array([START])))
             if not first:
                 before = np.frombuffer(b"".join(batch.column("quanta").to_pylist()), np.uint16).reshape(-1, 3).T
                 uni, bi, sums = np.maximum(uni, before[0]), np.maximum(bi, before[1]), np.maximum(sums, before[2])
