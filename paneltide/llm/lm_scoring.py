@@ -17,9 +17,9 @@ P(w|h) = (c(hw) + MU * P(w)) / (S(h) + MU), P(w) = (c(w) + 0.1) / (U + 0.1 (V +
 U the sum of c over all V training tokens. P(w) adds up to 1 over the V tokens and
 one unknown token, P(w|h) to 1 for S as it is and to more than 0.94 for S as it is
 held. A filter can only overstate: a miss proves an n-gram absent. c(hw) is cut
-to c(w) and S(h), which a true count never exceeds. A false bigram adds to the
-mass of its context, so the first event of a bigram has as many probes as leave
-``FALSE`` false bigrams a context on average, whatever the vocabulary.
+to c(w) and S(h), which a true count never exceeds. The false bigrams that are left
+add 0.004 V / (S(h) + MU) on average to the mass of a context summed over all V tokens;
+fewer of them take a larger filter (a rate of 1 / 4V: 36 bits an event for V of 3 million).
 
 The exact base score does not use the filter: counts of the ``FREQUENT`` most
 frequent tokens are broadcast (a fixed number of 16 bytes), all other tokens of
@@ -35,7 +35,6 @@ tokens unknown; an empty table gives an empty result; other columns are ignored.
 """
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,8 +47,7 @@ from paneltide.llm.common import held_out, materialise, mix64, ready, slices, un
 FOLDS = 10
 ALPHA = 0.1
 MU = 8.0
-BITS_PER_PROBE, PROBES = 2, 6       # 39 % of the bits are set: 0.4 % false positives
-FALSE = 0.25
+BITS_PER_EVENT, PROBES = 12, 6      # 0.4 % false positives
 SHARD_BYTES = 256 << 20
 FREQUENT = 1 << 17
 STEP_BITS = 4                   # of a context's sum, below its first bit
@@ -145,11 +143,7 @@ def _build(table: pa.Table) -> pa.Table:
     halves = (2 * _mean_counts()[quanta]).astype(np.int64)
     h, h_sum = _count([unmix64(bi) & CONTEXT], [halves[len(uni):]])
     keys = np.concatenate([uni, bi])
-    # tokens are dealt out evenly by their hashes, so this segment's tell the vocabulary
-    vocabulary = len(uni) * table.column("segments")[0].as_py()
-    probes = max(PROBES, math.ceil(math.log(max(vocabulary, 1) / FALSE) / -math.log1p(-math.exp(-1 / BITS_PER_PROBE))))
-    levels = [(uni, 1, PROBES), (bi, 1, probes)]
-    levels += [(keys[quanta >= j], j, PROBES) for j in range(2, int(quanta.max(initial=0)) + 1)]
+    levels = [(keys[quanta >= j], j) for j in range(1, int(quanta.max(initial=0)) + 1)]
     events, packed = _filter(levels)
     return pa.table({"seg": pa.array([table.column("seg")[0].as_py()], pa.int32()),
                      "tokens": pa.array([int(uni_n.sum())], pa.int64()),
@@ -158,21 +152,20 @@ def _build(table: pa.Table) -> pa.Table:
                      "events": pa.array([events], pa.int64()),
                      "uni": pa.array([uni.tobytes()], pa.binary()),
                      "uni_n": pa.array([uni_n.astype(np.int64).tobytes()], pa.binary()),
-                     "probes": pa.array([probes], pa.int32()),
                      "filter": pa.array([packed], pa.binary()),
                      "h": pa.array([h.tobytes()], pa.binary()),
                      "h_sum": pa.array([h_sum.tobytes()], pa.binary())})
 
 
-def _filter(levels: list[tuple[np.ndarray, int, int]]) -> tuple[int, bytes]:
-    """(events, packed bits) of a filter that holds all (keys, event, probes) of ``levels``."""
-    bits = sum(len(keys) * probes for keys, _, probes in levels) * BITS_PER_PROBE
-    bits = max(64, -(-bits // 64) * 64)
+def _filter(levels: list[tuple[np.ndarray, int]]) -> tuple[int, bytes]:
+    """(events, packed bits) of a filter that holds all (keys, event) of ``levels``."""
+    events = sum(len(keys) for keys, _ in levels)
+    bits = max(64, -(-events * BITS_PER_EVENT // 64) * 64)
     flags = np.zeros(bits, bool)
-    for keys, j, probes in levels:
-        for at in _positions(keys, j, np.uint64(bits), probes):
+    for keys, j in levels:
+        for at in _positions(keys, j, np.uint64(bits)):
             flags[at] = True
-    return sum(len(keys) for keys, _, _ in levels), np.packbits(flags, bitorder="little").tobytes()
+    return events, np.packbits(flags, bitorder="little").tobytes()
 
 
 def _sums(segments: int):
@@ -213,19 +206,19 @@ def _build_contexts(table: pa.Table) -> pa.Table:
     h, n = _count([np.frombuffer(x, np.uint64) for x in table.column("h").to_pylist()],
                   [np.frombuffer(x, np.int64) for x in table.column("h_sum").to_pylist()])
     exponent, steps = _rounded(n)
-    levels = [(h[exponent >= j], j, PROBES) for j in range(1, int(exponent.max(initial=0)) + 1)]
-    levels += [(h[(steps >> k) & 1 == 1], 64 + k, PROBES) for k in range(STEP_BITS)]
+    levels = [(h[exponent >= j], j) for j in range(1, int(exponent.max(initial=0)) + 1)]
+    levels += [(h[(steps >> k) & 1 == 1], 64 + k) for k in range(STEP_BITS)]
     events, packed = _filter(levels)
     return pa.table({"seg": pa.array([table.column("seg")[0].as_py()], pa.int32()),
                      "events": pa.array([events], pa.int64()), "filter": pa.array([packed], pa.binary())})
 
 
-def _positions(keys: np.ndarray, j: int, bits: np.ndarray, probes: int):
-    """The bit positions of event (n-gram, j), one array for each probe."""
+def _positions(keys: np.ndarray, j: int, bits: np.ndarray):
+    """The PROBES bit positions of event (n-gram, j), one array each."""
     with np.errstate(over="ignore"):
         a = mix64(keys + np.uint64(j) * EVENT)
         b = mix64(a) | np.uint64(1)
-        for _ in range(probes):
+        for _ in range(PROBES):
             yield (a >> np.uint64(1)) % bits
             a = a + b
 
@@ -238,9 +231,9 @@ def train(docs: DataFrame, segments: int | None = None) -> DataFrame:
     texts = docs.select("text")
     segments = segments or max(256, 8 * texts.rdd.getNumPartitions())
     parts = texts.mapInArrow(_gather(segments), "seg int, uni binary, uni_n binary, bi binary, bi_n binary")
-    grams = materialise(parts.withColumn("segments", F.lit(segments)).groupBy("seg").applyInArrow(
-        _build, "seg int, tokens long, types long, halves long, events long, uni binary, uni_n binary, probes int, "
-        "filter binary, h binary, h_sum binary"), "lm")
+    grams = materialise(parts.groupBy("seg").applyInArrow(
+        _build, "seg int, tokens long, types long, halves long, events long, uni binary, uni_n binary, filter binary, "
+        "h binary, h_sum binary"), "lm")
     sums = grams.select("h", "h_sum").mapInArrow(_sums(segments), "seg int, h binary, h_sum binary")
     contexts = materialise(sums.groupBy("seg").applyInArrow(
         _build_contexts, "seg int, events long, filter binary"), "lm-contexts")
@@ -262,21 +255,20 @@ def token_counts(model: DataFrame) -> DataFrame:
 class Filter:
     """A run of segments ready for probing."""
 
-    def __init__(self, data: bytes | bytearray, held: list[tuple[int, int, int]], segments: int):
-        """``held``: (segment, bytes, probes of a bigram's first event) in the order of ``data``."""
+    def __init__(self, data: bytes | bytearray, held: list[tuple[int, int]], segments: int):
+        """``held``: (segment, bytes) in the order of ``data``."""
         self.segments = segments
         self.bits = np.zeros(2 * segments, np.uint64)
         self.start = np.zeros(2 * segments, np.uint64)
-        self.first = np.full(2 * segments, PROBES, np.uint8)
         at = 0
-        for seg, size, probes in held:
-            self.bits[seg], self.start[seg], self.first[seg] = size * 8, at * 8, probes
+        for seg, size in held:
+            self.bits[seg], self.start[seg] = size * 8, at * 8
             at += size
         self.data = np.frombuffer(data, np.uint8)
 
-    def quanta(self, keys: np.ndarray, bigrams: bool = False) -> np.ndarray:
+    def quanta(self, keys: np.ndarray) -> np.ndarray:
         """Quantised count of each n-gram; 0: absent (or in another shard)."""
-        return self._levels(keys, _segment(keys, self.segments), bigrams)
+        return self._levels(keys, _segment(keys, self.segments))
 
     def sums(self, contexts: np.ndarray) -> np.ndarray:
         """The sum of each context in halves, as one number: exponent and bits below the
@@ -289,27 +281,25 @@ class Filter:
             steps[live[self._hits(contexts, seg, live, 64 + k)]] |= np.uint16(1 << k)
         return exponent << np.uint16(STEP_BITS) | steps
 
-    def _levels(self, keys: np.ndarray, seg: np.ndarray, bigrams: bool = False) -> np.ndarray:
+    def _levels(self, keys: np.ndarray, seg: np.ndarray) -> np.ndarray:
         out = np.zeros(len(keys), np.uint8)
         live = np.flatnonzero(self.bits[seg])
         j = 1
         while len(live):
-            live = live[self._hits(keys, seg, live, j, self.first[seg[live]] if bigrams and j == 1 else None)]
+            live = live[self._hits(keys, seg, live, j)]
             out[live] = j
             j += 1
         return out
 
-    def _hits(self, keys: np.ndarray, seg: np.ndarray, live: np.ndarray, j: int, probes: np.ndarray | None = None):
+    def _hits(self, keys: np.ndarray, seg: np.ndarray, live: np.ndarray, j: int) -> np.ndarray:
         """Which of ``live`` have event j; each probe tests only what the last one left."""
         with np.errstate(over="ignore"):
             at = mix64(keys[live] + np.uint64(j) * EVENT)
             step = mix64(at) | np.uint64(1)
         hit, place = np.arange(len(live)), seg[live]
-        for i in range(PROBES if probes is None else int(probes.max(initial=0))):
+        for _ in range(PROBES):
             bit = (at >> np.uint64(1)) % self.bits[place] + self.start[place]
             held = (self.data[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            if i >= PROBES:
-                held |= probes[hit] <= i            # another segment's keys have more probes
             with np.errstate(over="ignore"):
                 at = at + step
             if not held.all():
@@ -349,7 +339,7 @@ def _score_texts(shard, frequent, totals, last: bool, first: bool):
             ends = np.r_[starts[1:], len(tokens)] if len(starts) else starts
             bigrams = _bigrams(starts, tokens)[1]
             types, inverse = np.unique(tokens, return_inverse=True)
-            uni, bi = filt.quanta(types)[inverse], filt.quanta(bigrams, True)
+            uni, bi = filt.quanta(types)[inverse], filt.quanta(bigrams)
             sums = np.empty(len(tokens), np.uint16)
             sums[1:] = filt.sums(context_keys(types))[inverse][:-1]
             sums[starts] = filt.sums(context_keys(np.array([START])))
@@ -411,11 +401,10 @@ def score(docs: DataFrame, model: DataFrame, folds: int = FOLDS, id_col: str = "
                        F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     for i, segs in enumerate(shards):
         low, high = (segs[0], segs[-1]) if segs else (0, -1)
-        part = model.filter(F.col("seg").between(low, high)).select(
-            "seg", F.coalesce("probes", F.lit(PROBES)).alias("probes"), "filter")
+        part = model.filter(F.col("seg").between(low, high)).select("seg", "filter")
         data, held = bytearray(), []
         for r in part.toLocalIterator():
-            held.append((r["seg"], len(r["filter"]), r["probes"]))
+            held.append((r["seg"], len(r["filter"])))
             data += r["filter"]
         shard = sc.broadcast((data, held, segments))
         del data

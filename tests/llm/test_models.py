@@ -60,11 +60,10 @@ def test_filter_has_no_false_negatives_and_few_false_positives():
     counts = rng.integers(1, 50, len(keys)).astype(np.uint32)
     import pyarrow as pa
     part = pa.table({"seg": pa.array([0], pa.int32()), "uni": pa.array([keys.tobytes()]), "uni_n": pa.array([counts.tobytes()]),
-                     "bi": pa.array([b""]), "bi_n": pa.array([b""]),
-                     "segments": pa.array([1], pa.int32())})
+                     "bi": pa.array([b""]), "bi_n": pa.array([b""])})
     built = lm_scoring._build(part).to_pylist()[0]
     assert built["tokens"] == counts.sum() and built["types"] == len(keys)
-    f = lm_scoring.Filter(built["filter"], [(0, len(built["filter"]), built["probes"])], 1)
+    f = lm_scoring.Filter(built["filter"], [(0, len(built["filter"]))], 1)
     true = np.frexp(counts.astype(float))[1]
     got = f.quanta(keys)
     assert (got >= true).all() and (got > true).mean() < 0.03
@@ -77,8 +76,7 @@ def test_probabilities_of_a_context_add_up(spark, tmp_path):
     docs = stored(spark, tmp_path, docs_of(spark, texts))
     model = lm_scoring.train(docs)
     rows = sorted(model.collect(), key=lambda r: r["seg"])
-    f = lm_scoring.Filter(b"".join(r["filter"] for r in rows), [
-        (r["seg"], len(r["filter"]), r["probes"] or lm_scoring.PROBES) for r in rows], rows[0]["segments"])
+    f = lm_scoring.Filter(b"".join(r["filter"] for r in rows), [(r["seg"], len(r["filter"])) for r in rows], rows[0]["segments"])
     import pyarrow as pa
     starts, hashed = lm_scoring._tokens(pa.array(texts))
     context, bigrams = lm_scoring._bigrams(starts, hashed)
@@ -89,15 +87,15 @@ def test_probabilities_of_a_context_add_up(spark, tmp_path):
     exact, over = [], []
     for h in np.unique(context):
         keys = lm_scoring.mix64(h | vocabulary & ~lm_scoring.CONTEXT)
-        q = np.r_[f.quanta(keys, True), np.uint8(0)]
+        q = np.r_[f.quanta(keys), np.uint8(0)]
         real = np.where(np.r_[np.isin(keys, true), False], q, 0).astype(np.uint8)
         s = np.repeat(f.sums(np.array([h])), len(q))
         exact.append((10 ** lm_scoring.bigram_log10(uni, real, s, halves, types)).sum())
         over.append((10 ** lm_scoring.bigram_log10(uni, q, s, halves, types)).sum() - exact[-1])
     exact = np.array(exact)
-    whole = exact + np.array(over)              # false bigrams, and false levels of true counts
-    assert (exact > 0.94).mean() > 0.97 and np.mean((whole > 0.9) & (whole < 1.1)) > 0.97 and 0.95 < whole.mean() < 1.01
-    assert np.mean(over) < 2 * lm_scoring.FALSE / lm_scoring.MU
+    # false levels of true counts; false bigrams add their rate over the vocabulary
+    assert np.mean((exact > 0.94) & (exact < 1.05)) > 0.97 and 0.95 < exact.mean() <= 1
+    assert np.mean(over) < 2 * 0.004 * len(vocabulary) / lm_scoring.MU
 
 
 def test_sums_of_contexts_are_rounded_up_by_a_sixteenth_at_most():
