@@ -38,6 +38,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -50,6 +51,7 @@ MU = 8.0
 BITS_PER_EVENT, PROBES = 12, 6      # 0.4 % false positives
 SHARD_BYTES = 256 << 20
 FREQUENT = 1 << 17
+BLOCK = 1 << 15                 # n-grams probed at once
 STEP_BITS = 4                   # of a context's sum, below its first bit
 FLUSH = 2_000_000               # n-grams gathered in a task before they are passed on
 END = np.uint64(0x9D5C1C0B5E8E2A31)
@@ -219,7 +221,7 @@ def _positions(keys: np.ndarray, j: int, bits: np.ndarray):
         a = mix64(keys + np.uint64(j) * EVENT)
         b = mix64(a) | np.uint64(1)
         for _ in range(PROBES):
-            yield (a >> np.uint64(1)) % bits
+            yield (a >> np.uint64(32)) * bits >> np.uint64(32)      # a segment has fewer than 2^32 bits
             a = a + b
 
 
@@ -266,9 +268,10 @@ class Filter:
             at += size
         self.data = np.frombuffer(data, np.uint8)
 
-    def quanta(self, keys: np.ndarray) -> np.ndarray:
-        """Quantised count of each n-gram; 0: absent (or in another shard)."""
-        return self._levels(keys, _segment(keys, self.segments))
+    def quanta(self, keys: np.ndarray, most: np.ndarray | None = None) -> np.ndarray:
+        """Quantised count of each n-gram, not probed beyond ``most``; 0: absent (or in
+        another shard)."""
+        return self._levels(keys, _segment(keys, self.segments), most)
 
     def sums(self, contexts: np.ndarray) -> np.ndarray:
         """The sum of each context in halves, as one number: exponent and bits below the
@@ -277,33 +280,44 @@ class Filter:
         exponent = self._levels(contexts, seg).astype(np.uint16)
         live = np.flatnonzero(exponent)
         steps = np.zeros(len(contexts), np.uint16)
-        for k in range(STEP_BITS):
+        for k in reversed(range(STEP_BITS)):
+            live = live[exponent[live] >= STEP_BITS - k]        # a small sum has no lower bits
             steps[live[self._hits(contexts, seg, live, 64 + k)]] |= np.uint16(1 << k)
         return exponent << np.uint16(STEP_BITS) | steps
 
-    def _levels(self, keys: np.ndarray, seg: np.ndarray) -> np.ndarray:
+    def _levels(self, keys: np.ndarray, seg: np.ndarray, most: np.ndarray | None = None) -> np.ndarray:
         out = np.zeros(len(keys), np.uint8)
         live = np.flatnonzero(self.bits[seg])
         j = 1
         while len(live):
             live = live[self._hits(keys, seg, live, j)]
             out[live] = j
+            if most is not None:
+                live = live[most[live] > j]
             j += 1
         return out
 
     def _hits(self, keys: np.ndarray, seg: np.ndarray, live: np.ndarray, j: int) -> np.ndarray:
-        """Which of ``live`` have event j; each probe tests only what the last one left."""
+        """Which of ``live`` have event j, in blocks whose arrays stay in the cache."""
+        found = [a + self._probe(keys[live[a:a + BLOCK]], seg[live[a:a + BLOCK]], j)
+                 for a in range(0, len(live), BLOCK)]
+        return np.concatenate(found) if found else live
+
+    def _probe(self, keys: np.ndarray, seg: np.ndarray, j: int) -> np.ndarray:
         with np.errstate(over="ignore"):
-            at = mix64(keys[live] + np.uint64(j) * EVENT)
-            step = mix64(at) | np.uint64(1)
-        hit, place = np.arange(len(live)), seg[live]
-        for _ in range(PROBES):
-            bit = (at >> np.uint64(1)) % self.bits[place] + self.start[place]
-            held = (self.data[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8)) & 1 == 1
-            with np.errstate(over="ignore"):
-                at = at + step
-            if not held.all():
-                hit, at, step, place = hit[held], at[held], step[held], place[held]
+            at = mix64(keys + np.uint64(j) * EVENT)
+        step = mix64(at) | np.uint64(1)
+        bits, start = self.bits[seg], self.start[seg]
+        hit = np.arange(len(keys))
+
+        def held(i: int) -> np.ndarray:
+            bit = ((at + np.uint64(i) * step >> np.uint64(32)) * bits >> np.uint64(32)) + start
+            return self.data[bit >> np.uint64(3)] >> (bit & np.uint64(7)).astype(np.uint8) & np.uint8(1)
+        # the first two probes turn most absent events away, the others are read together
+        for probes in ((0,), (1,), range(2, PROBES)):
+            ok = np.flatnonzero(np.bitwise_and.reduce([held(i) for i in probes]))
+            if len(ok) < len(hit):
+                at, step, bits, start, hit = at[ok], step[ok], bits[ok], start[ok], hit[ok]
         return hit
 
 
@@ -338,8 +352,14 @@ def _score_texts(shard, frequent, totals, last: bool, first: bool):
             starts, tokens = _tokens(batch.column("text"))
             ends = np.r_[starts[1:], len(tokens)] if len(starts) else starts
             bigrams = _bigrams(starts, tokens)[1]
-            types, inverse = np.unique(tokens, return_inverse=True)
-            uni, bi = filt.quanta(types)[inverse], filt.quanta(bigrams)
+            inverse, types = pd.factorize(tokens)
+            uni = filt.quanta(types)[inverse]
+            place, bigrams = pd.factorize(bigrams)
+            most = None
+            if first and last:          # a bigram is counted no more often than its token; one shard does not tell
+                most = np.empty(len(bigrams), np.uint8)
+                most[place] = uni
+            bi = filt.quanta(bigrams, most)[place]
             sums = np.empty(len(tokens), np.uint16)
             sums[1:] = filt.sums(context_keys(types))[inverse][:-1]
             sums[starts] = filt.sums(context_keys(np.array([START])))
